@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 10
 
+# Scores are ranked at this many decimals, ties then go by doc_id: sums of
+# the same partial scores taken in another order differ in the last bits,
+# and that noise must not reorder equal documents (exact copies).
+RANK_DECIMALS = 9
+
+
+def rank_order():
+    return [F.desc(F.round("score", RANK_DECIMALS)), F.asc("doc_id")]
+
 # Above this limit the hits are not collected to the driver for the
 # stored-field lookup; a join is planned instead.
 MAX_LOOKUP_HITS = 10000
@@ -15,14 +24,14 @@ MAX_LOOKUP_HITS = 10000
 def top_k(hits: DataFrame, k: int = DEFAULT_LIMIT) -> DataFrame:
     """Best k hits, descending score, ties by doc_id. Planned as
     TakeOrderedAndProject: each partition keeps k rows, the driver merges."""
-    return hits.orderBy(F.desc("score"), F.asc("doc_id")).limit(k)
+    return hits.orderBy(*rank_order()).limit(k)
 
 
 def top_k_per_query(hits: DataFrame, k: int = DEFAULT_LIMIT, key: str = "query_id") -> DataFrame:
     """Best k hits of every query. `row_number() <= k` is rewritten by Spark
     into a partial per-partition group limit before the shuffle, so a query
     matching most of the corpus still ships at most k rows per partition."""
-    w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("doc_id"))
+    w = Window.partitionBy(key).orderBy(*rank_order())
     return (hits.withColumn("rank", F.row_number().over(w))
                 .where(F.col("rank") <= k))
 

@@ -72,26 +72,37 @@ class Index:
         return cls.open(spark, path, schema, id_col)
 
     @staticmethod
-    def _write_commit(spark, corpus, schema, id_col, path, partitions, mode):
+    def _write_commit(spark, corpus, schema, id_col, path, partitions, mode, dynamic=False):
+        """Write one or more commits of corpus rows and their derived tables.
+
+        With `dynamic`, only the commit partitions present are replaced, so
+        a replayed batch rewrites its own commit and nothing else.
+        """
         n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         fields = schema.text_fields()
+
+        def writer(df, *parts):
+            w = df.write.mode(mode)
+            if dynamic:
+                w = w.option("partitionOverwriteMode", "dynamic")
+            return w.partitionBy(*parts)
         # corpus: clustered on the id so that a hit lookup by id skips row groups
-        (corpus.repartitionByRange(n, id_col).sortWithinPartitions(id_col)
-               .write.mode(mode).partitionBy(COMMIT_COL).parquet(path + "/corpus"))
+        writer(corpus.repartitionByRange(n, id_col).sortWithinPartitions(id_col),
+               COMMIT_COL).parquet(path + "/corpus")
         written = spark.read.parquet(path + "/corpus")
         batch = written.where(F.col(COMMIT_COL).isin(
             [r[0] for r in corpus.select(COMMIT_COL).distinct().collect()]))
         terms = analysis.term_table(batch, fields, id_col)
-        (terms.repartitionByRange(n, "field", "term", "doc_id")
-              .sortWithinPartitions("field", "term", "doc_id")
-              .write.mode(mode).partitionBy(COMMIT_COL, "field").parquet(path + "/terms"))
+        writer(terms.repartitionByRange(n, "field", "term", "doc_id")
+                    .sortWithinPartitions("field", "term", "doc_id"),
+               COMMIT_COL, "field").parquet(path + "/terms")
         new_terms = spark.read.parquet(path + "/terms").where(
             F.col(COMMIT_COL).isin([r[0] for r in batch.select(COMMIT_COL).distinct().collect()]))
-        (analysis.commit_vocabulary(new_terms)
-            .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term")
-            .write.mode(mode).partitionBy(COMMIT_COL, "field").parquet(path + "/vocab"))
-        (analysis.commit_stats(batch, new_terms, fields).coalesce(1)
-            .write.mode(mode).parquet(path + "/stats"))
+        writer(analysis.commit_vocabulary(new_terms)
+                 .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term"),
+               COMMIT_COL, "field").parquet(path + "/vocab")
+        writer(analysis.commit_stats(batch, new_terms, fields).coalesce(1),
+               COMMIT_COL).parquet(path + "/stats")
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, schema: Schema,

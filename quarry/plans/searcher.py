@@ -35,7 +35,7 @@ class Searcher:
         top = ranking.top_k(self.hits(query), limit)
         if stored:
             top = ranking.stored_fields(self.index, top, limit)
-        return top.orderBy(F.desc("score"), F.asc("doc_id"))
+        return top.orderBy(*ranking.rank_order())
 
     def total_hits(self, query: Query | None, limit: int = ranking.DEFAULT_LIMIT) -> DataFrame:
         """(total_hits, total_matches): hits returned (capped by the limit,
