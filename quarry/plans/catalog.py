@@ -135,9 +135,10 @@ def q_stream_ingest(spark, sf):
     from quarry.streaming.ingest_stream import ingest_stream
     src = _t(spark, sf, "documents")
     path = scratch_path(spark, "stream")
-    ingest_stream(spark, spark.readStream.schema(src.schema)
-                  .option("maxFilesPerTrigger", 1).parquet(f"{sf.rstrip('/')}/documents.parquet"),
-                  Schema().add_text_field("text", stored=True), path)
+    # a file stream source watches a folder: the table's file is picked by name
+    sdf = (spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1)
+                .option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/")))
+    ingest_stream(spark, sdf, Schema().add_text_field("text", stored=True), path)
     return spark.read.parquet(path + "/terms").select(
         "doc_id", "field", "term", F.col("tf").cast("long").alias("tf"))
 
@@ -179,7 +180,7 @@ q_field_term = _hits(part_index, match("p_name", "RED"))
 q_field_phrase = _hits(docs_index, match("text", "In THE"))
 q_prefix_match = _hits(docs_index, Prefix("text", "men"))
 q_fuzzy_match = _hits(docs_index, Fuzzy("text", "thier", 1))
-q_fuzzy_plain = _hits(docs_index, Fuzzy("text", "lnaguage", 2, transposition=False))
+q_fuzzy_plain = _hits(docs_index, Fuzzy("text", "oratnion", 2, transposition=False))
 q_fuzzy_prefix = _hits(docs_index, Fuzzy("text", "mnt", 1, prefix=True))
 q_phrase_match = _hits(docs_index, Phrase("text", ["of", "the"]))
 q_range_u64 = _hits(docs_index, Range("n_chars", 100, 1000, "both", "u64"))

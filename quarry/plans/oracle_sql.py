@@ -218,7 +218,7 @@ FROM dfs JOIN st USING (field) WHERE field = 'text'""",
     "prefix_match": _hits(_const("field = 'text' AND regexp_full_match(term, 'men[a-z0-9]*')")),
     "fuzzy_match": _hits(_FUZZY_THIER),
     "fuzzy_plain": _hits(_const(f"field = 'text' AND abs(length(term) - 8) <= 2 "
-                                f"AND levenshtein({ASCII1}, 'lnaguage') <= 2")),
+                                f"AND levenshtein({ASCII1}, 'oratnion') <= 2")),
     "fuzzy_prefix": _hits(_const(
         f"field = 'text' AND list_min(list_transform(range(0, least(length(term), 4) + 1), "
         f"lambda n: damerau_levenshtein(left({ASCII1}, n), 'mnt'))) <= 1")),
