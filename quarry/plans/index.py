@@ -15,6 +15,7 @@ frequent term spread over many files instead of one.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,43 +67,51 @@ class Index:
         if exists(spark, path + "/corpus"):
             raise SearchError(f"Index already exists at '{path}'")
         corpus = ingest(df, schema, id_col).withColumn(COMMIT_COL, F.lit(commit_id).cast("long"))
-        cls._write_commit(spark, corpus, schema, id_col, path, partitions, "errorifexists")
+        cls._write_commit(spark, corpus, schema, id_col, path, partitions, "errorifexists",
+                          [commit_id])
         spark.createDataFrame([(1,)], "ok int").coalesce(1).write.mode("overwrite").parquet(path + "/_BUILT")
         _CACHE[key] = path
         return cls.open(spark, path, schema, id_col)
 
     @staticmethod
-    def _write_commit(spark, corpus, schema, id_col, path, partitions, mode, dynamic=False):
-        """Write one or more commits of corpus rows and their derived tables.
-
-        With `dynamic`, only the commit partitions present are replaced, so
-        a replayed batch rewrites its own commit and nothing else.
+    def _write_commit(spark, corpus, schema, id_col, path, partitions, mode,
+                      commits, dynamic=False):
+        """Write commit(s) `commits` of corpus rows and their derived tables.
+
+        The term table is aggregated once and persisted (memory, spilling to
+        disk) while the range sampler, the term write, the vocabulary and the
+        statistics read it; a lost executor recomputes its blocks from lineage.
+        With `dynamic`, only the commit partitions present are replaced, so a
+        replayed batch rewrites its own commit and nothing else.
         """
         n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         fields = schema.text_fields()
+        commits = [int(c) for c in commits]
 
         def writer(df, *parts):
             w = df.write.mode(mode)
             if dynamic:
                 w = w.option("partitionOverwriteMode", "dynamic")
             return w.partitionBy(*parts)
-        # corpus: clustered on the id so that a hit lookup by id skips row groups
+
+        # corpus: clustered on the id so that a hit lookup by id skips files
         writer(corpus.repartitionByRange(n, id_col).sortWithinPartitions(id_col),
                COMMIT_COL).parquet(path + "/corpus")
-        written = spark.read.parquet(path + "/corpus")
-        batch = written.where(F.col(COMMIT_COL).isin(
-            [r[0] for r in corpus.select(COMMIT_COL).distinct().collect()]))
-        terms = analysis.term_table(batch, fields, id_col)
-        writer(terms.repartitionByRange(n, "field", "term", "doc_id")
-                    .sortWithinPartitions("field", "term", "doc_id"),
-               COMMIT_COL, "field").parquet(path + "/terms")
-        new_terms = spark.read.parquet(path + "/terms").where(
-            F.col(COMMIT_COL).isin([r[0] for r in batch.select(COMMIT_COL).distinct().collect()]))
-        writer(analysis.commit_vocabulary(new_terms)
-                 .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term"),
-               COMMIT_COL, "field").parquet(path + "/vocab")
-        writer(analysis.commit_stats(batch, new_terms, fields).coalesce(1),
-               COMMIT_COL).parquet(path + "/stats")
+        # tokenise from the written files: as many tasks as files, not as
+        # many as the source happened to have
+        batch = spark.read.parquet(path + "/corpus").where(F.col(COMMIT_COL).isin(commits))
+        terms = analysis.term_table(batch, fields, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            writer(terms.repartitionByRange(n, "field", "term", "doc_id")
+                        .sortWithinPartitions("field", "term", "doc_id"),
+                   COMMIT_COL, "field").parquet(path + "/terms")
+            writer(analysis.commit_vocabulary(terms)
+                     .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term"),
+                   COMMIT_COL, "field").parquet(path + "/vocab")
+            writer(analysis.commit_stats(batch, terms, fields).coalesce(1),
+                   COMMIT_COL).parquet(path + "/stats")
+        finally:
+            terms.unpersist()
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, schema: Schema,
@@ -120,7 +129,7 @@ class Index:
         corpus = ingest(df, self.schema, self.id_col)
         corpus = corpus.withColumn(COMMIT_COL, F.lit(commit_id).cast("long"))
         self._write_commit(self.spark, corpus, self.schema, self.id_col, self.path,
-                           None, "append")
+                           None, "append", [commit_id])
         return Index.open(self.spark, self.path, self.schema, self.id_col)
 
     # ---------------------------------------------------------------- views

@@ -25,7 +25,7 @@ def ingest_stream(spark: SparkSession, sdf: DataFrame, schema: Schema, path: str
     def write_batch(batch: DataFrame, batch_id: int):
         corpus = ingest(batch, schema, id_col).withColumn(COMMIT_COL, F.lit(batch_id).cast("long"))
         Index._write_commit(batch.sparkSession, corpus, schema, id_col, path, None,
-                            "overwrite", dynamic=True)
+                            "overwrite", [batch_id], dynamic=True)
 
     w = (sdf.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint or path + "/_checkpoint"))
