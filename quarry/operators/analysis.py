@@ -21,6 +21,9 @@ def field_texts(corpus: DataFrame, fields: list[str], id_col: str = "doc_id") ->
     keys = [F.col(id_col).alias("doc_id")]
     if COMMIT_COL in corpus.columns:
         keys.append(F.col(COMMIT_COL))
+    if not fields:   # no indexed text field: an empty, typed table
+        return corpus.select(*keys, F.lit(None).cast("string").alias("field"),
+                             F.lit(None).cast("string").alias("text")).where(F.lit(False))
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("text"))
                       for f in fields])
     return corpus.select(*keys, F.inline(pairs))
@@ -79,8 +82,8 @@ def commit_stats(corpus: DataFrame, terms: DataFrame, fields: list[str]) -> Data
     """(commit_id, field, n_docs, total_len): tiny, one row per commit and field."""
     docs = corpus.groupBy(COMMIT_COL).agg(F.count(F.lit(1)).alias("n_docs"))
     lens = terms.groupBy(COMMIT_COL, "field").agg(F.sum("tf").alias("total_len"))
-    per_field = docs.select(COMMIT_COL, "n_docs",
-                            F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
+    names = F.array(*[F.lit(f) for f in fields]) if fields else F.array().cast("array<string>")
+    per_field = docs.select(COMMIT_COL, "n_docs", F.explode(names).alias("field"))
     return (per_field.join(lens, [COMMIT_COL, "field"], "left")
                      .select(COMMIT_COL, "field", "n_docs",
                              F.coalesce("total_len", F.lit(0)).cast("long").alias("total_len")))

@@ -33,7 +33,7 @@ def _coerce(src: Column, src_type: T.DataType, field_type: str) -> Column:
             return F.when(src >= 0, src.cast("long"))
         if is_dec0:
             # unsigned values beyond the signed range keep full precision
-            return F.when((src >= 0) & (src <= F.lit(U64_MAX).cast("decimal(20,0)")),
+            return F.when((src >= 0) & (src <= F.lit(str(U64_MAX)).cast("decimal(20,0)")),
                           src.cast("decimal(20,0)"))
         return F.lit(None).cast("long")
     if field_type == I64:
