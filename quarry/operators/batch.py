@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.distance import edit_distance
 from quarry.functions.text import tokens
 from quarry.operators.ranking import DEFAULT_LIMIT, top_k_per_query
-from quarry.operators.scoring import bm25, idf
+from quarry.operators.scoring import K1, bm25, idf
 from quarry.schema import SearchError
 
+# Pruning keeps documents whose score bound comes within this margin of the
+# k-th score, far wider than the 1e-9 ranking precision.
+PRUNE_MARGIN = 1e-6
+# The seed takes a query's rarest words until their document frequencies sum
+# to SEED_FACTOR * k, so that (despite words sharing documents) the seed
+# usually yields k documents and a useful threshold.
+SEED_FACTOR = 8
+
 
 def query_terms(queries: DataFrame, text_col: str = "text", key: str = "query_id") -> DataFrame:
     """(query_id, term, qtf): a query's whole text analysed like documents.
@@ -20,33 +28,91 @@ def query_terms(queries: DataFrame, text_col: str = "text", key: str = "query_id
 
 
 def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
-               key: str = "query_id") -> DataFrame:
-    """Every (query_id, doc_id, score) of the bag-of-words OR query of each row.
+               key: str = "query_id", k: int | None = DEFAULT_LIMIT) -> DataFrame:
+    """(query_id, doc_id, score) of the bag-of-words OR query of each row.
+
+    With `k`, only the documents that can reach a query's top k are scored
+    (exact MaxScore pruning, below); with k=None every match is scored.
+
+    Joining query words to the term table on `term` would emit every
+    (query, document) pair that shares a frequent word such as `the`. So:
 
-    The query-term table grows with the query table, so it is never
-    broadcast by hint: AQE converts the join when the runtime size allows,
-    and splits a skewed term's partition when it does not. tf rows are
-    summed per (query, doc) with map-side partial aggregation.
+    1. seed: each query's rarest words, just enough that their document
+       frequencies add up to k, give candidate documents;
+    2. those candidates are scored exactly; the k-th best score theta is a
+       lower bound of the query's final k-th score;
+    3. a word's contribution is below ub = qtf * idf * (k1 + 1). Taking the
+       words by ascending ub, the longest run whose ub sum stays below theta
+       (less a margin wider than the ranking precision) is non-essential: a
+       document holding only those words scores below theta and cannot
+       enter the top k. Only the essential words fetch more candidates;
+    4. all candidates are scored exactly with an equi-join on
+       (doc_id, term) — keys that are unique in the term table, so no
+       frequent word forms a hot group.
+
+    Every window is per query (bounded by its word count); the query-side
+    tables grow with the query table and are never broadcast by hint.
     """
-    if index.schema.require_text(field) is None:
-        raise SearchError(f"Field '{field}' not found in schema")
+    index.schema.require_text(field)
     qt = query_terms(queries, text_col, key)
-    terms = index.terms.where(F.col("field") == field).select("term", "doc_id", "tf", "dl")
-    wanted = qt.select("term").distinct()
-    dfs = (index.vocabulary(F.col("field") == field)
-                .join(wanted, "term", "left_semi").select("term", "df"))
-    stats = index.stats().where(F.col("field") == field).select("n_docs", "avgdl")
+    stats = index.stats().where(F.col("field") == field)
     n_docs = stats.select("n_docs").scalar()
     avgdl = stats.select("avgdl").scalar()
-    j = terms.join(qt, "term").join(dfs, "term")
-    score = F.col("qtf") * bm25(idf(F.col("df"), n_docs), F.col("tf"), F.col("dl"), avgdl)
-    return (j.groupBy("query_id", "doc_id").agg(F.sum(score).alias("score")))
+    voc = index.vocabulary(F.col("field") == field).select("term", "df")
+    qv = (qt.join(voc, "term")
+            .withColumn("idf", idf(F.col("df"), n_docs))
+            .withColumn("ub", F.col("qtf") * F.col("idf") * (K1 + 1.0)))
+
+    tt = index.terms.where(F.col("field") == field).select("term", "doc_id", "tf", "dl")
+
+    def contrib(df: DataFrame) -> Column:
+        return F.col("qtf") * bm25(F.col("idf"), F.col("tf"), F.col("dl"), avgdl)
+
+    def exact(cands: DataFrame, words: DataFrame) -> DataFrame:
+        """Scores of candidate (query, doc) pairs over `words` (query, term, qtf, idf),
+        looked up by the unique key (doc_id, term)."""
+        trip = cands.join(words, "query_id")
+        j = trip.join(tt, ["doc_id", "term"])
+        return j.groupBy("query_id", "doc_id").agg(F.sum(contrib(j)).alias("score"))
+
+    words = qv.select("query_id", "term", "qtf", "idf")
+    if k is None:
+        rows = words.join(tt, "term")
+        return rows.groupBy("query_id", "doc_id").agg(F.sum(contrib(rows)).alias("score"))
+
+    rare = Window.partitionBy("query_id").orderBy("df", "term")
+    seed = (qv.withColumn("cum_df", F.sum("df").over(
+                rare.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .where(F.col("cum_df") - F.col("df") < SEED_FACTOR * k))
+    c1 = (seed.select("query_id", "term").join(tt.select("term", "doc_id"), "term")
+              .select("query_id", "doc_id").distinct())
+    s1 = exact(c1, words)
+    kth = (top_k_per_query(s1, k)
+           .groupBy("query_id")
+           .agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(0.0)).alias("theta")))
+    low = Window.partitionBy("query_id").orderBy("ub", "term") \
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    split = (qv.join(kth, "query_id", "left")
+               .withColumn("essential", F.sum("ub").over(low)
+                           >= F.coalesce(F.col("theta"), F.lit(0.0)) - PRUNE_MARGIN))
+    # essential words: scored straight from the term join; they are the
+    # high-idf words, so their document lists are the short ones
+    ess = split.where("essential").select("query_id", "term", "qtf", "idf").join(tt, "term")
+    part = ess.groupBy("query_id", "doc_id").agg(F.sum(contrib(ess)).alias("score"))
+    # the remaining (frequent) words only for those candidates, by (doc_id, term)
+    rest = exact(part.select("query_id", "doc_id"),
+                 split.where(~F.col("essential")).select("query_id", "term", "qtf", "idf"))
+    full = (part.unionByName(rest).groupBy("query_id", "doc_id")
+                .agg(F.sum("score").alias("score")))
+    # seed documents keep their exact scores (the same value when also in `full`)
+    return (s1.unionByName(full).groupBy("query_id", "doc_id")
+              .agg(F.max("score").alias("score")))
 
 
 def batch_search(index, queries: DataFrame, field: str, k: int = DEFAULT_LIMIT,
                  text_col: str = "text", key: str = "query_id") -> DataFrame:
     """Top k documents for every query row: (query_id, rank, doc_id, score)."""
-    hits = batch_hits(index, queries, field, text_col, key)
+    hits = batch_hits(index, queries, field, text_col, key, k)
     return top_k_per_query(hits, k).select("query_id", "rank", "doc_id", "score")
 
 
