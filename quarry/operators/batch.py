@@ -147,5 +147,11 @@ def batch_fuzzy(index, words: DataFrame, field: str, distance: int = 1,
     vk = v.select("term", F.explode(deletion_keys("term", distance)).alias("key"))
     cand = (wk.join(vk, "key").select("word", "term").distinct()
               .where(F.abs(F.char_length("word") - F.char_length("term")) <= distance))
+    if not transposition:
+        d = F.levenshtein("word", "term", distance)
+        return cand.select("word", "term", d.alias("distance")).where(F.col("distance") >= 0)
+    # a swap is at most two plain edits: the codegen'd bounded Levenshtein
+    # drops most candidates before the exact table runs
+    cand = cand.where(F.levenshtein("word", "term", 2 * distance) >= 0)
     d = edit_distance(F.col("word"), F.col("term"), transposition)
     return cand.select("word", "term", d.alias("distance")).where(F.col("distance") <= distance)

@@ -128,6 +128,21 @@ def prefix_rows(index, leaf_id: int, q: Prefix) -> DataFrame:
                  .select(F.lit(leaf_id).alias("leaf_id"), "doc_id", F.lit(1.0).alias("score")))
 
 
+def shared_chars(term: Column, query: str, k: int, window: int | None = None) -> Column:
+    """Necessary condition for being within k edits of `query` (codegen'd).
+
+    An edit removes at most one of the query's distinct characters, so a
+    match keeps at least distinct(query) - k of them; for a prefix match
+    they sit in the first len(query) + k characters.
+    """
+    chars = sorted(set(query))
+    need = len(chars) - k
+    if need <= 0:
+        return F.lit(True)
+    src = F.substring(term, 1, window) if window else term
+    return F.size(F.array_intersect(F.split(src, ""), F.array(*[F.lit(c) for c in chars]))) >= need
+
+
 def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
     """(field, term, distance) for the vocabulary terms the fuzzy leaf accepts.
 
@@ -139,12 +154,13 @@ def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
     term = F.col("term")
     base = F.col("field") == q.field
     if q.prefix:
-        where = base & (F.char_length(term) >= F.lit(max(m - k, 0)))
+        where = (base & (F.char_length(term) >= F.lit(max(m - k, 0)))
+                 & shared_chars(term, t, k, m + k))
         if k == 0:
             where = base & term.startswith(t)
         dist = prefix_distance_to_literal(term, t, k, q.transposition)
     else:
-        where = base & (F.abs(F.char_length(term) - F.lit(m)) <= k)
+        where = base & (F.abs(F.char_length(term) - F.lit(m)) <= k) & shared_chars(term, t, k)
         if k == 0:
             where = base & (term == t)
             dist = F.lit(0)
