@@ -31,3 +31,23 @@ def test_batch_fuzzy_equals_brute_force(spark, make_index):
         got = {(r["word"], r["term"]) for r in batch.batch_fuzzy(idx, w, "text", k).collect()}
         want = {(a, b) for a in words for b in vocab if osa(a, b) <= k}
         assert got == want
+
+
+def test_pruned_batch_equals_unpruned(spark, make_index):
+    """MaxScore pruning is exact: same top k as scoring every match."""
+    import random
+    from quarry.operators.ranking import top_k_per_query
+    rnd = random.Random(7)
+    vocab = [f"w{i}" for i in range(60)]
+    weights = [1.0 / (i + 1) for i in range(60)]          # Zipf-like: w0 is a hot word
+    docs = [" ".join(rnd.choices(vocab, weights, k=rnd.randint(3, 30))) for _ in range(300)]
+    idx = make_index(Schema().add_text_field("text"), [{"text": t} for t in docs])
+    qs = spark.createDataFrame(
+        [(q, " ".join(rnd.choices(vocab, weights, k=rnd.randint(2, 12)))) for q in range(25)],
+        "query_id long, text string")
+    for k in (1, 5, 20):
+        pruned = {(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 9))
+                  for r in batch.batch_search(idx, qs, "text", k).collect()}
+        full = top_k_per_query(batch.batch_hits(idx, qs, "text", k=None), k)
+        want = {(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 9)) for r in full.collect()}
+        assert pruned == want
