@@ -143,10 +143,16 @@ def batch_fuzzy(index, words: DataFrame, field: str, distance: int = 1,
     index.schema.require_text(field)
     w = words.select(F.col(word_col).alias("word")).distinct()
     v = index.vocabulary(F.col("field") == field).select("term")
-    wk = w.select("word", F.explode(deletion_keys("word", distance)).alias("key"))
-    vk = v.select("term", F.explode(deletion_keys("term", distance)).alias("key"))
-    cand = (wk.join(vk, "key").select("word", "term").distinct()
-              .where(F.abs(F.char_length("word") - F.char_length("term")) <= distance))
+    # The join key is (deletion key, term length): a word asks for every term
+    # length within `distance` of its own. Short keys such as "" are shared
+    # by many short strings; adding the length splits those groups, and the
+    # length window is enforced by the equi-join itself.
+    wk = w.select("word", F.explode(deletion_keys("word", distance)).alias("key"),
+                  F.explode(F.sequence(F.greatest(F.char_length("word") - distance, F.lit(1)),
+                                       F.char_length("word") + distance)).alias("tlen"))
+    vk = v.select("term", F.explode(deletion_keys("term", distance)).alias("key"),
+                  F.char_length("term").alias("tlen"))
+    cand = wk.join(vk, ["key", "tlen"]).select("word", "term").distinct()
     if not transposition:
         d = F.levenshtein("word", "term", distance)
         return cand.select("word", "term", d.alias("distance")).where(F.col("distance") >= 0)
