@@ -37,15 +37,16 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
     Joining query words to the term table on `term` would emit every
     (query, document) pair that shares a frequent word such as `the`. So:
 
-    1. seed: each query's rarest words, just enough that their document
-       frequencies add up to k, give candidate documents;
-    2. those candidates are scored exactly; the k-th best score theta is a
-       lower bound of the query's final k-th score;
+    1. seed: each query's rarest words, until their document frequencies
+       add up to SEED_FACTOR * k, are joined to the term table;
+    2. their summed contributions are lower bounds of exact scores, so the
+       k-th best of them, theta, is a lower bound of the final k-th score;
     3. a word's contribution is below ub = qtf * idf * (k1 + 1). Taking the
        words by ascending ub, the longest run whose ub sum stays below theta
        (less a margin wider than the ranking precision) is non-essential: a
        document holding only those words scores below theta and cannot
-       enter the top k. Only the essential words fetch more candidates;
+       enter the top k. Seed words are always essential. Only essential
+       words fetch candidates;
     4. all candidates are scored exactly with an equi-join on
        (doc_id, term) — keys that are unique in the term table, so no
        frequent word forms a hot group.
@@ -58,11 +59,14 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
     stats = index.stats().where(F.col("field") == field)
     n_docs = stats.select("n_docs").scalar()
     avgdl = stats.select("avgdl").scalar()
-    voc = index.vocabulary(F.col("field") == field).select("term", "df")
+    # only the query words' vocabulary rows are summed over commits
+    wanted = qt.select("term").distinct()
+    voc = index.vocabulary(F.col("field") == field, only=wanted).select("term", "df")
     qv = (qt.join(voc, "term")
             .withColumn("idf", idf(F.col("df"), n_docs))
             .withColumn("ub", F.col("qtf") * F.col("idf") * (K1 + 1.0)))
 
+
     tt = index.terms.where(F.col("field") == field).select("term", "doc_id", "tf", "dl")
 
     def contrib(df: DataFrame) -> Column:
@@ -81,32 +85,30 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
         return rows.groupBy("query_id", "doc_id").agg(F.sum(contrib(rows)).alias("score"))
 
     rare = Window.partitionBy("query_id").orderBy("df", "term")
-    seed = (qv.withColumn("cum_df", F.sum("df").over(
+    qv = (qv.withColumn("cum_df", F.sum("df").over(
                 rare.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .where(F.col("cum_df") - F.col("df") < SEED_FACTOR * k))
-    c1 = (seed.select("query_id", "term").join(tt.select("term", "doc_id"), "term")
-              .select("query_id", "doc_id").distinct())
-    s1 = exact(c1, words)
-    kth = (top_k_per_query(s1, k)
+            .withColumn("seed", F.col("cum_df") - F.col("df") < SEED_FACTOR * k))
+    # partial scores over the seed words are lower bounds of exact scores, so
+    # their k-th best is a lower bound of the query's final k-th score
+    seed = qv.where("seed").select("query_id", "term", "qtf", "idf").join(tt, "term")
+    partial = seed.groupBy("query_id", "doc_id").agg(F.sum(contrib(seed)).alias("score"))
+    kth = (top_k_per_query(partial, k)
            .groupBy("query_id")
            .agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(0.0)).alias("theta")))
     low = Window.partitionBy("query_id").orderBy("ub", "term") \
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     split = (qv.join(kth, "query_id", "left")
-               .withColumn("essential", F.sum("ub").over(low)
-                           >= F.coalesce(F.col("theta"), F.lit(0.0)) - PRUNE_MARGIN))
-    # essential words: scored straight from the term join; they are the
-    # high-idf words, so their document lists are the short ones
+               .withColumn("essential", F.col("seed") | (
+                   F.sum("ub").over(low) >= F.coalesce(F.col("theta"), F.lit(0.0)) - PRUNE_MARGIN)))
+    # essential words (the seed and the high-idf words): scored straight
+    # from the term join, their document lists are the short ones
     ess = split.where("essential").select("query_id", "term", "qtf", "idf").join(tt, "term")
     part = ess.groupBy("query_id", "doc_id").agg(F.sum(contrib(ess)).alias("score"))
     # the remaining (frequent) words only for those candidates, by (doc_id, term)
     rest = exact(part.select("query_id", "doc_id"),
                  split.where(~F.col("essential")).select("query_id", "term", "qtf", "idf"))
-    full = (part.unionByName(rest).groupBy("query_id", "doc_id")
+    return (part.unionByName(rest).groupBy("query_id", "doc_id")
                 .agg(F.sum("score").alias("score")))
-    # seed documents keep their exact scores (the same value when also in `full`)
-    return (s1.unionByName(full).groupBy("query_id", "doc_id")
-              .agg(F.max("score").alias("score")))
 
 
 def batch_search(index, queries: DataFrame, field: str, k: int = DEFAULT_LIMIT,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import analysis
 from quarry.schema import Schema, SearchError
-from quarry.session import exists, scratch_path
+from quarry.session import exists, scratch_path, touch
 from quarry.sources.corpus import COMMIT_COL, append_commit, ingest
 
 _CACHE: dict[tuple, str] = {}
@@ -69,7 +69,7 @@ class Index:
         corpus = ingest(df, schema, id_col).withColumn(COMMIT_COL, F.lit(commit_id).cast("long"))
         cls._write_commit(spark, corpus, schema, id_col, path, partitions, "errorifexists",
                           [commit_id])
-        spark.createDataFrame([(1,)], "ok int").coalesce(1).write.mode("overwrite").parquet(path + "/_BUILT")
+        touch(spark, path + "/_BUILT")   # written last: the build is complete
         _CACHE[key] = path
         return cls.open(spark, path, schema, id_col)
 
@@ -151,11 +151,14 @@ class Index:
     def terms(self) -> DataFrame:
         return self._pin(self._terms)
 
-    def vocabulary(self, where=None) -> DataFrame:
-        """(field, term, df, cf); `where` is applied before summing commits."""
+    def vocabulary(self, where=None, only: DataFrame | None = None) -> DataFrame:
+        """(field, term, df, cf). `where` and the semi join with `only` (a
+        `term` column) are applied before the per-commit rows are summed."""
         v = self._pin(self._vocab)
         if where is not None:
             v = v.where(where)
+        if only is not None:
+            v = v.join(only.select("term"), "term", "left_semi")
         return analysis.vocabulary(v)
 
     def stats(self) -> DataFrame:

@@ -67,4 +67,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-__all__ = ["local_session", "checkpoint_dir", "scratch_path", "exists", "os"]
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file through Hadoop (no Spark job)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(jpath, True).close()
+
+
+__all__ = ["local_session", "checkpoint_dir", "scratch_path", "exists", "touch", "os"]
