@@ -145,3 +145,33 @@ def any_words(fields, text: str) -> Query | None:
     if not words:
         return None
     return words[0] if len(words) == 1 else Bool(should=words)
+
+
+# Function-style constructors, one per leaf kind.
+def term(field: str, value: str) -> Term:
+    return Term(field, value)
+
+
+def phrase(field: str, text) -> Phrase:
+    """A phrase from a token list, or from text (analysed)."""
+    return Phrase(field, analyse(text) if isinstance(text, str) else text)
+
+
+def prefix(field: str, p: str) -> Prefix:
+    return Prefix(field, p)
+
+
+def fuzzy(field: str, t: str, distance: int = 1, transposition: bool = True) -> Fuzzy:
+    return Fuzzy(field, t, distance, transposition)
+
+
+def fuzzy_prefix(field: str, p: str, distance: int = 1, transposition: bool = True) -> Fuzzy:
+    return Fuzzy(field, p, distance, transposition, prefix=True)
+
+
+def range_(field: str, lower=None, upper=None, inclusive: str = "both") -> Range:
+    return Range(field, lower, upper, inclusive)
+
+
+def equals(field: str, value) -> Equals:
+    return Equals(field, value)
