@@ -56,9 +56,8 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
     """
     index.schema.require_text(field)
     qt = query_terms(queries, text_col, key)
-    stats = index.stats().where(F.col("field") == field)
-    n_docs = stats.select("n_docs").scalar()
-    avgdl = stats.select("avgdl").scalar()
+    n_docs, avgdl = index.stat_values().get(field, (0, 0.0))
+    n_docs, avgdl = F.lit(n_docs).cast("long"), F.lit(float(avgdl))
     # only the query words' vocabulary rows are summed over commits
     wanted = qt.select("term").distinct()
     voc = index.vocabulary(F.col("field") == field, only=wanted).select("term", "df")

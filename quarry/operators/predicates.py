@@ -62,12 +62,11 @@ def term_rows(index, leaves: list[tuple[int, Term]]) -> DataFrame:
     cond = _pairs_filter((q.field, q.value) for _, q in leaves)
     hits = index.terms.where(cond).select("field", "term", "doc_id", "tf", "dl")
     dfs = index.vocabulary(cond).select("field", "term", "df")
-    stats = index.stats().select("field", "n_docs", "avgdl")
-    # the three small sides are bounded by the query's own size (terms x fields)
+    n_docs, avgdl = index.stat_columns()
+    # both small sides are bounded by the query's own size (terms x fields)
     j = (hits.join(F.broadcast(lt), ["field", "term"])
-             .join(F.broadcast(dfs), ["field", "term"])
-             .join(F.broadcast(stats), "field"))
-    score = bm25(idf(F.col("df"), F.col("n_docs")), F.col("tf"), F.col("dl"), F.col("avgdl"))
+             .join(F.broadcast(dfs), ["field", "term"]))
+    score = bm25(idf(F.col("df"), n_docs), F.col("tf"), F.col("dl"), avgdl)
     return j.select("leaf_id", "doc_id", score.alias("score"))
 
 
@@ -96,14 +95,13 @@ def phrase_rows(index, leaves: list[tuple[int, Phrase]]) -> DataFrame:
                      .agg(F.count(F.lit(1)).alias("c"))
                      .where(F.col("c") == F.col("n")))
     freq = starts.groupBy("leaf_id", "field", "doc_id", "dl").agg(F.count(F.lit(1)).alias("pf"))
-    stats = index.stats().select("field", "n_docs", "avgdl")
+    n_docs, avgdl = index.stat_columns()
     dfs = index.vocabulary(cond).select("field", "term", "df")
     idfs = (offs.join(dfs, ["field", "term"], "left")
-                .join(stats, "field")
                 .groupBy("leaf_id")
-                .agg(F.sum(idf(F.coalesce(F.col("df"), F.lit(0)), F.col("n_docs"))).alias("idf")))
-    j = freq.join(F.broadcast(stats), "field").join(F.broadcast(idfs), "leaf_id")
-    score = bm25(F.col("idf"), F.col("pf"), F.col("dl"), F.col("avgdl"))
+                .agg(F.sum(idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)).alias("idf")))
+    j = freq.join(F.broadcast(idfs), "leaf_id")
+    score = bm25(F.col("idf"), F.col("pf"), F.col("dl"), avgdl)
     return j.select("leaf_id", "doc_id", score.alias("score"))
 
 

@@ -40,6 +40,7 @@ class Index:
         self.spark, self.schema, self.id_col = spark, schema, id_col
         self._corpus, self._terms, self._vocab, self._stats = corpus, terms, vocab, stats
         self.path, self.commit = path, commit
+        self._stat_rows = None
 
     # ---------------------------------------------------------------- build
     @classmethod
@@ -153,14 +154,46 @@ class Index:
 
     def vocabulary(self, where=None, only: DataFrame | None = None) -> DataFrame:
         """(field, term, df, cf). `where` and the semi join with `only` (a
-        `term` column) are applied before the per-commit rows are summed."""
+        `term` column) are applied before the per-commit rows are summed;
+        a view of a single commit needs no sum (and no shuffle)."""
         v = self._pin(self._vocab)
         if where is not None:
             v = v.where(where)
         if only is not None:
             v = v.join(only.select("term"), "term", "left_semi")
+        if self.path is not None and len(self.commits()) == 1:
+            return v.select("field", "term", "df", "cf")
         return analysis.vocabulary(v)
 
+    def _stats_rows(self):
+        """The view's per-commit stats rows: one per (commit, field), read once
+        per view (a snapshot, as a reader is). Bounded by commits x fields."""
+        if self._stat_rows is None:
+            self._stat_rows = self._pin(self._stats).collect()
+        return self._stat_rows
+
+    def commits(self) -> list[int]:
+        return sorted({int(r[COMMIT_COL]) for r in self._stats_rows()})
+
+    def stat_values(self) -> dict[str, tuple[int, float]]:
+        """field -> (n_docs, avgdl) of the view, as driver-side numbers."""
+        tot: dict[str, list[int]] = {}
+        for r in self._stats_rows():
+            t = tot.setdefault(r["field"], [0, 0])
+            t[0] += int(r["n_docs"])
+            t[1] += int(r["total_len"])
+        return {f: (n, tl / max(n, 1)) for f, (n, tl) in tot.items()}
+
+    def stat_columns(self, field_col: str = "field"):
+        """(n_docs, avgdl) columns for rows of any field: literal lookups."""
+        vals = self.stat_values()
+        if not vals:
+            return F.lit(None).cast("long"), F.lit(None).cast("double")
+        keys = sorted(vals)
+        n = F.create_map(*[x for f in keys for x in (F.lit(f), F.lit(vals[f][0]).cast("long"))])
+        a = F.create_map(*[x for f in keys for x in (F.lit(f), F.lit(float(vals[f][1])))])
+        return F.try_element_at(n, F.col(field_col)), F.try_element_at(a, F.col(field_col))
+
     def stats(self) -> DataFrame:
         """(field, n_docs, total_len, avgdl): one row per text field."""
         return analysis.corpus_stats(self._pin(self._stats))
