@@ -32,8 +32,14 @@ def top_k_per_query(hits: DataFrame, k: int = DEFAULT_LIMIT, key: str = "query_i
     into a partial per-partition group limit before the shuffle, so a query
     matching most of the corpus still ships at most k rows per partition."""
     w = Window.partitionBy(key).orderBy(*rank_order())
-    return (hits.withColumn("rank", F.row_number().over(w))
-                .where(F.col("rank") <= k))
+    # Spread each query's hits over partitions by (query, doc) first. If the
+    # hits arrived partitioned by query alone, the window would need no
+    # exchange, get no partial limit, and a query holding a third of all
+    # hits would be sorted in one task; this way every partition forwards
+    # at most k rows per query to the final limit.
+    spread = hits.repartition(key, "doc_id")
+    return (spread.withColumn("rank", F.row_number().over(w))
+                  .where(F.col("rank") <= k))
 
 
 def total_hits(top: DataFrame) -> DataFrame:
