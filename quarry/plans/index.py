@@ -26,6 +26,28 @@ from quarry.sources.corpus import COMMIT_COL, append_commit, ingest
 
 _CACHE: dict[tuple, str] = {}
 
+# Target bytes of input per written partition.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def _write_partitions(spark: SparkSession, df: DataFrame) -> int:
+    """Output partitions for one commit: about one per 128 MB of input (from
+    the optimiser's size estimate), at least the cluster's default
+    parallelism, at most spark.sql.shuffle.partitions. A small commit then
+    writes a few files, not hundreds."""
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        # sum of the scanned relations (a join's own estimate, without table
+        # statistics, can be the product of its sides)
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        size = 0
+        while leaves.hasNext():
+            size += int(str(leaves.next().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: use the configured number
+        return cap
+    want = max(spark.sparkContext.defaultParallelism, -(-size // TARGET_PARTITION_BYTES))
+    return max(1, min(cap, want))
+
 
 class Index:
     """A searchable view: corpus rows and the tables derived from them.
@@ -85,7 +107,7 @@ class Index:
         With `dynamic`, only the commit partitions present are replaced, so a
         replayed batch rewrites its own commit and nothing else.
         """
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions or _write_partitions(spark, corpus)
         fields = schema.text_fields()
         commits = [int(c) for c in commits]
 
