@@ -183,28 +183,29 @@ class Index:
             v = v.where(where)
         if only is not None:
             v = v.join(only.select("term"), "term", "left_semi")
-        if self.path is not None and len(self.commits()) == 1:
+        if self.path is not None and self.n_commits() == 1:
             return v.select("field", "term", "df", "cf")
         return analysis.vocabulary(v)
 
     def _stats_rows(self):
-        """The view's per-commit stats rows: one per (commit, field), read once
-        per view (a snapshot, as a reader is). Bounded by commits x fields."""
+        """The view's statistics, summed over commits on the executors: one
+        row per text field (bounded by the schema, however many commits a
+        stream has written). Read once per view, a snapshot as a reader is."""
         if self._stat_rows is None:
-            self._stat_rows = self._pin(self._stats).collect()
+            self._stat_rows = (self._pin(self._stats).groupBy("field")
+                               .agg(F.sum("n_docs").alias("n_docs"),
+                                    F.sum("total_len").alias("total_len"),
+                                    F.count_distinct(COMMIT_COL).alias("n_commits"))
+                               .collect())
         return self._stat_rows
 
-    def commits(self) -> list[int]:
-        return sorted({int(r[COMMIT_COL]) for r in self._stats_rows()})
+    def n_commits(self) -> int:
+        return max([int(r["n_commits"]) for r in self._stats_rows()], default=0)
 
     def stat_values(self) -> dict[str, tuple[int, float]]:
         """field -> (n_docs, avgdl) of the view, as driver-side numbers."""
-        tot: dict[str, list[int]] = {}
-        for r in self._stats_rows():
-            t = tot.setdefault(r["field"], [0, 0])
-            t[0] += int(r["n_docs"])
-            t[1] += int(r["total_len"])
-        return {f: (n, tl / max(n, 1)) for f, (n, tl) in tot.items()}
+        return {r["field"]: (int(r["n_docs"]), int(r["total_len"]) / max(int(r["n_docs"]), 1))
+                for r in self._stats_rows()}
 
     def stat_columns(self, field_col: str = "field"):
         """(n_docs, avgdl) columns for rows of any field: literal lookups."""

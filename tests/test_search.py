@@ -210,3 +210,21 @@ def test_snapshot(spark, tmp_path):
     assert old.index.commit is None
     with pytest.raises(SearchError, match="already exists"):
         Index.build(first, s, path=str(tmp_path / "ix"), reuse=False)
+
+
+def test_fuzzy_containment(make_index):
+    """fuzzy(k=0) = term; plain(k) ⊆ swaps(k) ⊆ swaps(k+1), for whole words and prefixes."""
+    words = ["phoenix", "phonix", "pheonix", "phoenxi", "photo", "hpoenix", "phoenixes", "elixir",
+             "xphoenix", "phx", "pheo"]
+    idx = make_index(Schema().add_text_field("w"), [{"w": x} for x in words])
+    assert hits(idx, Fuzzy("w", "phoenix", 0)) == hits(idx, Term("w", "phoenix"))
+    for pre in (False, True):
+        for q in ("phoenix", "pheo"):
+            prev = None
+            for k in (0, 1, 2):
+                plain = set(hits(idx, Fuzzy("w", q, k, False, prefix=pre)))
+                swaps = set(hits(idx, Fuzzy("w", q, k, True, prefix=pre)))
+                assert plain <= swaps
+                if prev is not None:
+                    assert prev <= swaps
+                prev = swaps
