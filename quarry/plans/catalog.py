@@ -47,6 +47,10 @@ EVENTS_SCHEMA = (Schema()
                  .add_u64_field("user_id", stored=True)
                  .add_f64_field("value", stored=True))
 
+PAGES_SCHEMA = (Schema()
+                .add_text_field("html", stored=True)
+                .add_text_field("url", stored=True, indexed=False))
+
 # commit order used by the append / snapshot queries: one batch per language
 COMMIT_LANGS = ("en", "fr", "de", "es")
 
@@ -79,6 +83,10 @@ def events_index(spark, sf) -> Index:
     return Index.build(_t(spark, sf, "events"), EVENTS_SCHEMA, id_col="event_id")
 
 
+def pages_index(spark, sf) -> Index:
+    return Index.build(_t(spark, sf, "pages"), PAGES_SCHEMA, id_col="page_id")
+
+
 def _scored(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.round("score", 6).alias("score"))
 
@@ -250,6 +258,14 @@ def q_fuzzy_snippets(spark, sf):
                     F.col("snippets")["text"].alias("snippet"))
 
 
+def q_snippets_html(spark, sf):
+    """F1 on raw web pages: markup, entities and quotes must come back escaped."""
+    s = Searcher(pages_index(spark, sf))
+    r = s.search_with_snippets(any_words(["html"], "amp href nav"), ["html"], 150, 10)
+    return r.select("doc_id", F.round("score", 6).alias("score"),
+                    F.col("snippets")["html"].alias("snippet"))
+
+
 # ------------------------------------------------------------------ G: many queries
 def q_batch_search(spark, sf):
     idx = docs_index(spark, sf)
@@ -307,6 +323,7 @@ QUERIES = {
     "stored_fields": q_stored_fields,
     "snippets": q_snippets,
     "fuzzy_snippets": q_fuzzy_snippets,
+    "snippets_html": q_snippets_html,
     "batch_search": q_batch_search,
     "batch_fuzzy": q_batch_fuzzy,
 }

@@ -124,7 +124,8 @@ _BM25_TOP_RAW = _bool(_bm25_leaves, _bm25_matched, _bm25_score).replace(
     f"round({_bm25_score}, 6) AS score", f"{_bm25_score} AS score")
 
 
-def _snippet_sql(hits_sql: str, weights_sql: str, max_chars: int = 150) -> str:
+def _snippet_sql(hits_sql: str, weights_sql: str, max_chars: int = 150,
+                 src: str = None, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Best fragment chosen by a constant-state list_reduce, then marked and escaped."""
     w = f"(regexp_matches(x, '^[\\p{{L}}\\p{{N}}]') AND strlen(lower(x)) < 40)"
     wt = f"CASE WHEN {w} THEN coalesce(map_extract_value(m, lower(x)), 0.0{D}) ELSE 0.0{D} END"
@@ -150,9 +151,9 @@ def _snippet_sql(hits_sql: str, weights_sql: str, max_chars: int = 150) -> str:
 wm AS (SELECT coalesce(map_from_entries(list(struct_pack(k := term, v := 1.0{D} / (1.0{D} + df)))),
                        MAP {{}}::MAP(VARCHAR, DOUBLE)) AS m FROM ({weights_sql})),
 hs AS ({hits_sql}),
-r AS (SELECT hs.doc_id, hs.score, dd.text, wm.m,
-             list_reduce(regexp_extract_all(dd.text, '{PIECES}'), {step}, {init}) AS st
-      FROM hs JOIN {DOCS} dd ON dd.doc_id = hs.doc_id CROSS JOIN wm),
+r AS (SELECT hs.doc_id, hs.score, dd.{text_col} AS text, wm.m,
+             list_reduce(regexp_extract_all(dd.{text_col}, '{PIECES}'), {step}, {init}) AS st
+      FROM hs JOIN {src or DOCS} dd ON dd.{id_col} = hs.doc_id CROSS JOIN wm),
 b AS (SELECT doc_id, score, text, m,
              CASE WHEN st.fsc > st.bsc THEN st.fs ELSE st.bs END AS bs,
              CASE WHEN st.fsc > st.bsc THEN st.fe ELSE st.be END AS be,
@@ -177,6 +178,14 @@ _OSA1 = f"""(w.word = v.term
         lambda i: substring(w.word, 1, i - 1) || substring(w.word, i + 1, 1) || substring(w.word, i, 1)
                   || substring(w.word, i + 2) = v.term))))"""
 
+PAGES_IX = "WITH " + _index("pages", "page_id", ["html"])
+HTML_WORDS = ["amp", "href", "nav"]
+_html_leaves = [_term("html", w) for w in HTML_WORDS]
+_html_matched = " OR ".join(_m(i + 1) for i in range(3))
+_html_score = "0.0::DOUBLE + " + " + ".join(_s(i + 1) for i in range(3))
+_HTML_TOP_RAW = _bool(_html_leaves, _html_matched, _html_score, PAGES_IX).replace(
+    f"round({_html_score}, 6) AS score", f"{_html_score} AS score")
+
 _LANG_COMMIT = "CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 WHEN 'es' THEN 3 END"
 
 ORACLES = {
@@ -277,6 +286,10 @@ FROM ({_top(_BM25_TOP_RAW)}) t JOIN {DOCS} dd USING (doc_id)""",
         f"SELECT * FROM ({_FUZZY_THIER}) ORDER BY score DESC, doc_id LIMIT 10",
         f"SELECT term, df FROM dfs WHERE field = 'text' AND abs(length(term) - 5) <= 1 "
         f"AND damerau_levenshtein({ASCII1}, 'thier') <= 1"),
+    "snippets_html": PAGES_IX + "," + _snippet_sql(
+        _top(_HTML_TOP_RAW),
+        "SELECT term, df FROM dfs WHERE field = 'html' AND term IN ('amp', 'href', 'nav')",
+        150, "pages", "page_id", "html"),
     "batch_search": DOCS_IX + f""",
 qt AS (SELECT query_id, term, count(*) AS qtf FROM (
          SELECT item_id AS query_id,
