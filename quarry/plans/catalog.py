@@ -47,6 +47,14 @@ EVENTS_SCHEMA = (Schema()
                  .add_u64_field("user_id", stored=True)
                  .add_f64_field("value", stored=True))
 
+TURNS_SCHEMA = (Schema()
+                .add_text_field("role", stored=True)
+                .add_text_field("text", stored=True))
+
+# A conversation turn is one document; its id packs (conv_id, turn), with
+# turns numbered below TURN_SLOTS.
+TURN_SLOTS = 1000
+
 PAGES_SCHEMA = (Schema()
                 .add_text_field("html", stored=True)
                 .add_text_field("url", stored=True, indexed=False))
@@ -83,6 +91,12 @@ def events_index(spark, sf) -> Index:
     return Index.build(_t(spark, sf, "events"), EVENTS_SCHEMA, id_col="event_id")
 
 
+def turns_index(spark, sf) -> Index:
+    t = _t(spark, sf, "conversations").withColumn(
+        "doc_id", F.col("conv_id") * TURN_SLOTS + F.col("turn"))
+    return Index.build(t, TURNS_SCHEMA)
+
+
 def pages_index(spark, sf) -> Index:
     return Index.build(_t(spark, sf, "pages"), PAGES_SCHEMA, id_col="page_id")
 
@@ -217,6 +231,7 @@ q_bool_nested = _hits(docs_index, all_of(Term("text", "de"),
                                          any_of(Term("text", "la"), Term("text", "le"))))
 q_field_group = _hits(part_index, any_of(Term("p_name", "red"), Term("p_name", "blue")))
 q_multi_field = _hits(part_index, any_words(["p_name", "p_type"], "small widget"))
+q_multi_field_turns = _hits(turns_index, any_words(["role", "text"], "assistant la"))
 q_text_and_range = _hits(docs_index, all_of(Term("text", "the"), Range("n_chars", 1000, 5000)))
 q_phrase_and_term = _hits(docs_index, boolean(must=[Phrase("text", ["of", "the"])],
                                               must_not=[Term("text", "and")]))
@@ -314,6 +329,7 @@ QUERIES = {
     "bool_nested": q_bool_nested,
     "field_group": q_field_group,
     "multi_field": q_multi_field,
+    "multi_field_turns": q_multi_field_turns,
     "text_and_range": q_text_and_range,
     "phrase_and_term": q_phrase_and_term,
     "bm25_score": q_bm25_score,

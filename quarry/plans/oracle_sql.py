@@ -178,6 +178,8 @@ _OSA1 = f"""(w.word = v.term
         lambda i: substring(w.word, 1, i - 1) || substring(w.word, i + 1, 1) || substring(w.word, i, 1)
                   || substring(w.word, i + 2) = v.term))))"""
 
+TURNS = "(SELECT conv_id * 1000 + turn AS doc_id, role, text FROM conversations)"
+TURNS_IX = "WITH " + _index(TURNS + " cc", "doc_id", ["role", "text"])
 PAGES_IX = "WITH " + _index("pages", "page_id", ["html"])
 HTML_WORDS = ["amp", "href", "nav"]
 _html_leaves = [_term("html", w) for w in HTML_WORDS]
@@ -261,6 +263,12 @@ FROM dfs JOIN st USING (field) WHERE field = 'text'""",
                          f"0.0{D} + (CASE WHEN {_m(1)} OR {_m(2)} THEN 0.0{D} + {_s(1)} + {_s(2)} ELSE 0.0{D} END)"
                          f" + (CASE WHEN {_m(3)} OR {_m(4)} THEN 0.0{D} + {_s(3)} + {_s(4)} ELSE 0.0{D} END)",
                          PART_IX),
+    "multi_field_turns": _bool([_term("role", "assistant"), _term("text", "assistant"),
+                                _term("role", "la"), _term("text", "la")],
+                               f"{_m(1)} OR {_m(2)} OR {_m(3)} OR {_m(4)}",
+                               f"0.0{D} + (CASE WHEN {_m(1)} OR {_m(2)} THEN 0.0{D} + {_s(1)} + {_s(2)} ELSE 0.0{D} END)"
+                               f" + (CASE WHEN {_m(3)} OR {_m(4)} THEN 0.0{D} + {_s(3)} + {_s(4)} ELSE 0.0{D} END)",
+                               TURNS_IX),
     "text_and_range": _bool([_term("text", "the"),
                              f"SELECT doc_id, 1.0{D} AS score FROM documents "
                              f"WHERE n_chars BETWEEN 1000 AND 5000"],
