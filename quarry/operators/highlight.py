@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import MAX_TOKEN_BYTES, PIECE_PATTERN
 from quarry.operators.predicates import MAX_INLINE_TERMS, fuzzy_vocabulary
-from quarry.query import Bool, Fuzzy, Phrase, Query, Term
+from quarry.query import Fuzzy, Phrase, Query, Term
 from quarry.schema import TEXT, SearchError
 
 # HTML escapes applied to text outside and inside the marks.

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quarry.functions.distance import edit_distance_to_literal, prefix_distance_to_literal
 from quarry.operators.scoring import bm25, idf
 from quarry.query import Equals, Fuzzy, Phrase, Prefix, Range, Term
-from quarry.schema import BOOL, F64, I64, NUMERIC_TYPES, TEXT, U64, SearchError
+from quarry.schema import BOOL, I64, NUMERIC_TYPES, TEXT, U64, SearchError
 
 LEAF_COLS = ("leaf_id", "doc_id", "score")
 

@@ -18,7 +18,7 @@ from quarry.query import (Equals, Fuzzy, Phrase, Prefix, Range, Term, all_of, an
                           any_words, boolean, match)
 from quarry.schema import Schema
 from quarry.session import checkpoint_dir, scratch_path
-from quarry.sources.corpus import COMMIT_COL, as_of, ingest, read_corpus
+from quarry.sources.corpus import COMMIT_COL, ingest, read_corpus
 
 DOCS_SCHEMA = (Schema()
                .add_text_field("text", stored=True)

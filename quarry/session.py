@@ -3,7 +3,6 @@ folder for materialised tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,10 +54,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quarry/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:")
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, asked through Hadoop so any file system works."""
     jvm = spark.sparkContext._jvm
@@ -75,4 +70,4 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(jpath, True).close()
 
 
-__all__ = ["local_session", "checkpoint_dir", "scratch_path", "exists", "touch", "os"]
+__all__ = ["local_session", "checkpoint_dir", "scratch_path", "exists", "touch"]

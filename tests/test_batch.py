@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from quarry import Schema, Searcher, any_words
 from quarry.operators import batch
 

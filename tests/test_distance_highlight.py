@@ -1,8 +1,5 @@
-import random
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from quarry import Schema, Searcher, Term, any_words
 from quarry.functions.distance import edit_distance, prefix_distance_to_literal

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from quarry import Schema, SearchError
 from quarry.sources.corpus import ingest

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from quarry import Schema, Searcher, Term
 from quarry.plans.index import Index
 from quarry.streaming import ingest_stream
