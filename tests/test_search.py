@@ -228,3 +228,30 @@ def test_fuzzy_containment(make_index):
                 if prev is not None:
                     assert prev <= swaps
                 prev = swaps
+
+
+def test_entry_point_forms(make_index):
+    """The reference's search calls and the function-style constructors."""
+    from quarry import equals, fuzzy, fuzzy_prefix, phrase, prefix, range_, term
+    s = (Schema().add_text_field("title", stored=True).add_text_field("body", stored=True)
+         .add_u64_field("views", stored=True).add_bool_field("published", stored=True))
+    idx = make_index(s, [
+        {"title": "Elixir Guide", "body": "functional programming in elixir", "views": 10, "published": True},
+        {"title": "Rust Book", "body": "systems programming", "views": 500, "published": False},
+        {"title": "Phoenix Tips", "body": "web framework for elixir", "views": 50, "published": True}])
+    sr = Searcher(idx)
+    assert ids(sr.search_query("elixir", ["title", "body"])) == [0, 2]
+    assert ids(sr.search_term("title", "rust")) == [1]
+    assert ids(sr.search_prefix("title", "PHO")) == [2]
+    assert ids(sr.search_range_u64("views", 10, 50)) == [0, 2]
+    assert ids(sr.search_fuzzy("title", "elixr")) == [0]
+    assert ids(sr.search_fuzzy_prefix("title", "phx")) == [2]
+    assert hits(idx, phrase("body", "Functional Programming")) == [0]
+    assert hits(idx, term("title", "guide")) == [0]
+    assert hits(idx, prefix("body", "prog")) == [0, 1]
+    assert hits(idx, fuzzy("body", "framwork", 1)) == [2]
+    assert hits(idx, fuzzy_prefix("body", "framw", 1)) == [2]
+    assert hits(idx, range_("views", 100, None)) == [1]
+    assert hits(idx, equals("published", False)) == [1]
+    r = sr.search_query("elixir", ["title"]).collect()[0]
+    assert set(r.asDict()) == {"doc_id", "score", "title", "body", "views", "published"}
