@@ -75,6 +75,18 @@ class Searcher:
     def search_fuzzy_prefix(self, field, prefix, distance=1, transposition=True, limit=10):
         return self.search(Fuzzy(field, prefix, distance, transposition, prefix=True), limit)
 
+    def batch_search(self, queries: DataFrame, field: str, limit: int = 10,
+                     text_col: str = "text", key: str = "query_id") -> DataFrame:
+        """Top `limit` documents for every row of a query table (G1)."""
+        from quarry.operators.batch import batch_search
+        return batch_search(self.index, queries, field, limit, text_col, key)
+
+    def correct_words(self, words: DataFrame, field: str, distance: int = 1,
+                      transposition: bool = True, word_col: str = "word") -> DataFrame:
+        """(word, term, distance) for the vocabulary terms near each word (G2)."""
+        from quarry.operators.batch import batch_fuzzy
+        return batch_fuzzy(self.index, words, field, distance, transposition, word_col)
+
     def search_with_snippets(self, query: Query, snippet_fields, max_snippet_chars: int = 150,
                              limit: int = 10) -> DataFrame:
         from quarry.operators.highlight import attach_snippets

@@ -49,3 +49,13 @@ def test_pruned_batch_equals_unpruned(spark, make_index):
         full = top_k_per_query(batch.batch_hits(idx, qs, "text", k=None), k)
         want = {(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 9)) for r in full.collect()}
         assert pruned == want
+
+
+def test_searcher_batch_methods(spark, make_index):
+    s = Schema().add_text_field("text")
+    idx = make_index(s, [{"text": "phoenix web"}, {"text": "elixir web"}])
+    sr = Searcher(idx)
+    qs = spark.createDataFrame([(1, "web phoenix")], "query_id long, text string")
+    assert [r["doc_id"] for r in sr.batch_search(qs, "text", 1).collect()] == [0]
+    w = spark.createDataFrame([("phonix",)], "word string")
+    assert [(r["term"], r["distance"]) for r in sr.correct_words(w, "text").collect()] == [("phoenix", 1)]

@@ -255,3 +255,28 @@ def test_entry_point_forms(make_index):
     assert hits(idx, equals("published", False)) == [1]
     r = sr.search_query("elixir", ["title"]).collect()[0]
     assert set(r.asDict()) == {"doc_id", "score", "title", "body", "views", "published"}
+
+
+def test_boolean_algebra_matches_set_logic(make_index):
+    """AND / OR / NOT / must-should / nesting equal set operations on which
+    documents hold each word; scores add up over the matched clauses."""
+    import random
+    rnd = random.Random(11)
+    vocab = ["ant", "bee", "cat", "dog", "eel"]
+    docs = [" ".join(rnd.choices(vocab, k=rnd.randint(1, 6))) for _ in range(60)]
+    idx = make_index(CONTENT, [{"content": d} for d in docs])
+    has = {w: {i for i, d in enumerate(docs) if w in d.split()} for w in vocab}
+    a, b, c = (Term("content", w) for w in ("ant", "bee", "cat"))
+    assert set(hits(idx, all_of(a, b))) == has["ant"] & has["bee"]
+    assert set(hits(idx, any_of(a, b))) == has["ant"] | has["bee"]
+    assert set(hits(idx, boolean(must=[a], must_not=[b]))) == has["ant"] - has["bee"]
+    assert set(hits(idx, boolean(must=[a], should=[b]))) == has["ant"]
+    assert set(hits(idx, all_of(a, any_of(b, c)))) == has["ant"] & (has["bee"] | has["cat"])
+    assert set(hits(idx, any_of(all_of(a, b), boolean(must=[c], must_not=[a])))) == \
+        (has["ant"] & has["bee"]) | (has["cat"] - has["ant"])
+    s = Searcher(idx)
+    single = {w: {r["doc_id"]: r["score"] for r in s.hits(Term("content", w)).collect()} for w in vocab}
+    combo = {r["doc_id"]: r["score"] for r in s.hits(boolean(must=[a], should=[b, c])).collect()}
+    for d, sc in combo.items():
+        want = single["ant"][d] + single["bee"].get(d, 0.0) + single["cat"].get(d, 0.0)
+        assert abs(sc - want) < 1e-9
