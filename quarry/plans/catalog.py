@@ -211,6 +211,7 @@ q_field_phrase = _hits(docs_index, match("text", "In THE"))
 q_prefix_match = _hits(docs_index, Prefix("text", "men"))
 q_fuzzy_match = _hits(docs_index, Fuzzy("text", "thier", 1))
 q_fuzzy_plain = _hits(docs_index, Fuzzy("text", "oratnion", 2, transposition=False))
+q_fuzzy_swaps_k2 = _hits(docs_index, Fuzzy("text", "oratnion", 2, transposition=True))
 q_fuzzy_prefix = _hits(docs_index, Fuzzy("text", "mnt", 1, prefix=True))
 q_phrase_match = _hits(docs_index, Phrase("text", ["of", "the"]))
 q_range_u64 = _hits(docs_index, Range("n_chars", 100, 1000, "both", "u64"))
@@ -314,6 +315,7 @@ QUERIES = {
     "prefix_match": q_prefix_match,
     "fuzzy_match": q_fuzzy_match,
     "fuzzy_plain": q_fuzzy_plain,
+    "fuzzy_swaps_k2": q_fuzzy_swaps_k2,
     "fuzzy_prefix": q_fuzzy_prefix,
     "phrase_match": q_phrase_match,
     "range_u64": q_range_u64,

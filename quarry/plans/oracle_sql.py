@@ -163,6 +163,22 @@ SELECT doc_id, round(score, 6) AS score,
        CASE WHEN bsc > 0 THEN {mark} ELSE '' END AS snippet FROM f"""
 
 
+def _osa(t: str, q: str) -> str:
+    """Optimal-string-alignment distance between column `t` and literal `q`
+    in characters: list_reduce over t's characters, each row built by a
+    nested list_reduce over q's; every number BIGINT."""
+    m = len(q)
+    row = (f"list_reduce(range(1, {m} + 1), lambda r, j: list_append(r, least("
+           f"acc.p[j + 1] + 1, r[j] + 1, acc.p[j] + (CASE WHEN substring({t}, i, 1) = "
+           f"substring('{q}', j, 1) THEN 0 ELSE 1 END), "
+           f"CASE WHEN i > 1 AND j > 1 AND substring({t}, i, 1) = substring('{q}', j - 1, 1) "
+           f"AND substring({t}, i - 1, 1) = substring('{q}', j, 1) THEN acc.pp[j - 1] + 1 "
+           f"ELSE 999 END)::BIGINT), [i::BIGINT])")
+    init = f"struct_pack(pp := range(0, {m} + 1)::BIGINT[], p := range(0, {m} + 1)::BIGINT[])"
+    return (f"(CASE WHEN length({t}) = 0 THEN {m} ELSE list_reduce(range(1, length({t}) + 1), "
+            f"lambda acc, i: struct_pack(pp := acc.p, p := {row}), {init}).p[{m} + 1] END)")
+
+
 _FUZZY_THIER = _const(f"field = 'text' AND abs(length(term) - 5) <= 1 "
                       f"AND damerau_levenshtein({ASCII1}, 'thier') <= 1")
 
@@ -230,6 +246,9 @@ FROM dfs JOIN st USING (field) WHERE field = 'text'""",
     "fuzzy_match": _hits(_FUZZY_THIER),
     "fuzzy_plain": _hits(_const(f"field = 'text' AND abs(length(term) - 8) <= 2 "
                                 f"AND levenshtein({ASCII1}, 'oratnion') <= 2")),
+    "fuzzy_swaps_k2": _hits(_const(
+        f"field = 'text' AND abs(length(term) - 8) <= 2 AND levenshtein({ASCII1}, 'oratnion') <= 4 "
+        f"AND {_osa('term', 'oratnion')} <= 2")),
     "fuzzy_prefix": _hits(_const(
         f"field = 'text' AND list_min(list_transform(range(0, least(length(term), 4) + 1), "
         f"lambda n: damerau_levenshtein(left({ASCII1}, n), 'mnt'))) <= 1")),
