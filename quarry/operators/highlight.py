@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import MAX_TOKEN_BYTES, PIECE_PATTERN
 from quarry.operators.predicates import MAX_INLINE_TERMS, fuzzy_vocabulary
+from quarry.operators.ranking import MAX_LOOKUP_HITS
 from quarry.query import Fuzzy, Phrase, Query, Term
 from quarry.schema import TEXT, SearchError
 
@@ -133,6 +134,11 @@ def attach_snippets(index, top: DataFrame, query: Query, fields, max_chars: int
     if missing:
         extra = index.corpus.select(F.col(index.id_col).alias("doc_id"),
                                     *[F.col(f"`{f}`").alias(f"__snip_{f}") for f in missing])
+        # a bounded set of hits: push their ids into the corpus scan (clustered
+        # on id) instead of joining against every document's text
+        ids = [r["doc_id"] for r in top.select("doc_id").limit(MAX_LOOKUP_HITS + 1).collect()]
+        if len(ids) <= MAX_LOOKUP_HITS:
+            extra = extra.where(F.col("doc_id").isin(ids))
         src = top.join(extra, "doc_id", "left")
     cols = {f: (F.col(f"`{f}`") if f not in missing else F.col(f"__snip_{f}")) for f in wanted}
     pairs = []

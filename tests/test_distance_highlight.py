@@ -68,3 +68,13 @@ def test_fuzzy_snippet_marks_variant(make_index):
     idx = make_index(s, [{"content": "the phoenix framework"}])
     r = Searcher(idx).search_fuzzy_with_snippets("content", "phonix", ["content"]).collect()
     assert "<b>phoenix</b>" in r[0]["snippets"]["content"]
+
+
+def test_snippet_on_unstored_field(make_index):
+    s = Schema().add_text_field("title", stored=True).add_text_field("body")   # body not stored
+    idx = make_index(s, [{"title": "a", "body": "the phoenix framework"},
+                         {"title": "b", "body": "nothing here"}])
+    r = Searcher(idx).search_with_snippets(Term("body", "phoenix"), ["body", "title"]).collect()
+    assert len(r) == 1 and "body" not in r[0].asDict()
+    assert r[0]["snippets"]["body"] == "the <b>phoenix</b> framework"
+    assert r[0]["snippets"]["title"] == ""
