@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from quarry.llm import minmax_dedup, sentencepiece_bpe
+from quarry.llm import minmax_dedup, sentencepiece_bpe, suffix_dedup
 from quarry.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,5 +18,10 @@ def op9_sentencepiece(spark, sf_dir):
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op5_minmax_near_dedup, op9_sentencepiece)}
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op5_minmax_near_dedup, op9_sentencepiece,
+                                   op10_suffix_dedup)}
 ORACLES: dict[str, str] = {}
