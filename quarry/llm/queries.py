@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from quarry.llm import minmax_dedup, sentencepiece_bpe, suffix_dedup
+from quarry.llm import langid, minmax_dedup, quality_gbt, sentencepiece_bpe, suffix_dedup
 from quarry.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -14,6 +14,15 @@ def op5_minmax_near_dedup(spark, sf_dir):
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.predictions(docs, langid.train(docs, PIECE_MODEL))
+
+
+def op8_quality_gbt(spark, sf_dir):
+    return quality_gbt.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sentencepiece(spark, sf_dir):
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
@@ -22,6 +31,6 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_minmax_near_dedup, op9_sentencepiece,
+QUERIES = {f.__name__: f for f in (op5_minmax_near_dedup, op7_language_id, op8_quality_gbt, op9_sentencepiece,
                                    op10_suffix_dedup)}
 ORACLES: dict[str, str] = {}

@@ -56,15 +56,16 @@ def prefix(data: np.ndarray, values: np.ndarray = BYTE_VALUE) -> np.ndarray:
     return out
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
-    """(hash of each word, first word of each text). Texts are
-    data[offsets[i]:offsets[i+1]]; words are runs of bytes other than
-    \\x20 and \\x09-\\x0D, with A-Z lower-cased."""
+def word_table(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+    """(hash, begin, end of each word, first word of each text). Texts are
+    data[offsets[i]:offsets[i+1]]; words are runs of bytes other than \\x20
+    and \\x09-\\x0D, hashed with A-Z lower-cased if `lower`."""
     base = int(offsets[0])
     d = data[base:int(offsets[-1])]
     off = offsets - base
+    none = np.zeros(0, np.int64)
     if not len(d):
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+        return np.zeros(0, np.uint64), none, none, np.zeros(len(off), np.int64)
     inside = ~SPACES[d]
     first = np.zeros(len(d) + 1, bool)          # texts begin here
     first[off] = True
@@ -75,14 +76,19 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     p = prefix(LOWER[d] if lower else d)
     h = mix((p[end] - p[start]) * powers(len(d) + 1)[1][start] + (end - start).astype(np.uint64))
-    return h, np.searchsorted(start, off)
+    return h, start, end, np.searchsorted(start, off)
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, k: int):
     """(hashes, offsets): each text's k-word shingles in order, repeats
     included; a text of fewer words has its whole sequence as one, a text
     without words none."""
-    w, at = words(data, offsets)
+    w, _, _, at = word_table(data, offsets)
+    return join_words(w, at, k)
+
+
+def join_words(w: np.ndarray, at: np.ndarray, k: int):
+    """The same from the words' hashes."""
     n = np.diff(at)
     count = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     out_at = np.r_[0, np.cumsum(count)]
