@@ -3,17 +3,28 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from quarry.llm import langid, minmax_dedup, quality_gbt, sentencepiece_bpe, suffix_dedup
+from quarry.llm import (langid, minmax_dedup, poisson_mix, quality_gbt, sentencepiece_bpe, suffix_dedup,
+                        url_cascade)
 from quarry.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_url_cascade(spark, sf_dir):
+    return url_cascade.verdicts(table(spark, sf_dir, "pages"))
+
+
 def op5_minmax_near_dedup(spark, sf_dir):
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op6_poisson_mix(spark, sf_dir):
+    mixed = poisson_mix.mix(table(spark, sf_dir, "documents"))
+    return mixed.withColumn("rate", F.round("rate", 6))
+
+
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.predictions(docs, langid.train(docs, PIECE_MODEL))
@@ -31,6 +42,6 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_minmax_near_dedup, op7_language_id, op8_quality_gbt, op9_sentencepiece,
+QUERIES = {f.__name__: f for f in (op2_url_cascade, op5_minmax_near_dedup, op6_poisson_mix, op7_language_id, op8_quality_gbt, op9_sentencepiece,
                                    op10_suffix_dedup)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_url_cascade": url_cascade.ORACLE, "op6_poisson_mix": poisson_mix.ORACLE}
