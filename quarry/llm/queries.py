@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import (langid, minmax_dedup, poisson_mix, quality_gbt, sentencepiece_bpe, suffix_dedup,
+from quarry.llm import (langid, license_diagonals, minmax_dedup, ngram_ratio, poisson_mix, quality_gbt, sentencepiece_bpe, suffix_dedup,
                         url_cascade)
 from quarry.llm.common import table
 
@@ -16,6 +16,14 @@ def op2_url_cascade(spark, sf_dir):
     return url_cascade.verdicts(table(spark, sf_dir, "pages"))
 
 
+def op3_ngram_ratio(spark, sf_dir):
+    return ngram_ratio.query(spark, sf_dir)
+
+
+def op4_license_diagonals(spark, sf_dir):
+    return license_diagonals.query(spark, sf_dir)
+
+
 def op5_minmax_near_dedup(spark, sf_dir):
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
@@ -42,6 +50,6 @@ def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_cascade, op5_minmax_near_dedup, op6_poisson_mix, op7_language_id, op8_quality_gbt, op9_sentencepiece,
+QUERIES = {f.__name__: f for f in (op2_url_cascade, op3_ngram_ratio, op4_license_diagonals, op5_minmax_near_dedup, op6_poisson_mix, op7_language_id, op8_quality_gbt, op9_sentencepiece,
                                    op10_suffix_dedup)}
 ORACLES: dict[str, str] = {"op2_url_cascade": url_cascade.ORACLE, "op6_poisson_mix": poisson_mix.ORACLE}
