@@ -219,6 +219,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                                                F.col("component_id").isNull())))
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
+    """One document of each class, with its columns: the one with the
+    smallest id (one of its rows, if the id repeats). Rows without an id
+    cannot be told apart by it and stay."""
+    named = docs.where(F.col(id_col).isNotNull())
+    kept = (near_duplicates(named, id_col=id_col, text_col=text_col, **rule).where("kept")
+            .select(F.col("doc_id").alias(id_col)).distinct())
+    one = named.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def _across_blocks(members, large, keyed, edges, k, num, den) -> DataFrame:
     """Links between blocks of a large cluster: pairs that share a band and
     are not connected yet, one side outside the cluster's largest class."""

@@ -254,7 +254,7 @@ class Encoder:
         return [list(map(get, ws)) for ws in words]
 
     def encode(self, text: str | None) -> list[int]:
-        return _ids_of(self.lookup([text or ""])[0])
+        return _ids_of(self.lookup([text or ""])[0]).tolist()
 
     def decode(self, ids) -> str:
         return self.model.decode(ids)
@@ -266,30 +266,23 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _ids_of(entries) -> list[int]:
-    return list(map(int, ",".join([e[1] for e in entries]).split(","))) if entries else []
+def _ids_of(entries) -> np.ndarray:
+    text = ",".join([e[1] for e in entries])
+    return np.fromstring(text, np.int32, sep=",") if text else np.zeros(0, np.int32)
 
 
-def _groups(values: list, limit: int = 1 << 20):
-    """Runs of texts of about `limit` characters, so that memory is bounded."""
-    run, size = [], 0
-    for v in values:
-        run.append(v or "")
+def _runs(column: pa.Array, limit: int = 1 << 20):
+    """Slices (row, texts) of about `limit` characters, so that memory is
+    bounded; nulls as empty texts."""
+    at, run, size = 0, [], 0
+    for i, v in enumerate(column):
+        run.append(v.as_py() or "")
         size += len(run[-1])
         if size >= limit:
-            yield run
-            run, size = [], 0
+            yield at, run
+            at, run, size = i + 1, [], 0
     if run:
-        yield run
-
-
-def _entries(path):
-    enc = encoder(path)
-
-    def each(col):
-        for texts in _groups(col.to_pylist()):
-            yield from enc.lookup(texts)
-    return each
+        yield at, run
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
@@ -302,17 +295,21 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
     at = src.columns.index(text_col)
 
     def run(batches):
-        each = _entries(model_path)
+        enc = encoder(model_path)
         for b in batches:
-            ids = [_ids_of(es) for es in each(b.column(at))]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(ids, pa.list_(pa.int32())),
-                 pa.array([len(x) for x in ids], pa.int64())], names=out.names)
+            for row, texts in _runs(b.column(at)):
+                ids = [_ids_of(es) for es in enc.lookup(texts)]
+                n = np.array([len(x) for x in ids], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()),
+                                                 pa.array(np.concatenate(ids), pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [*b.slice(row, len(texts)).columns, lists, pa.array(n)], names=out.names)
     return src.mapInArrow(run, out)
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """`df` with the text of its ids in `out_col`; null ids give empty text."""
+    """`df` with the text of its ids in `out_col` (a column of that name is
+    replaced); null ids give empty text."""
     src = fresh(df, out_col)
     out = T.StructType([f for f in src.schema.fields] + [T.StructField(out_col, T.StringType())])
     at = src.columns.index(ids_col)
@@ -320,7 +317,7 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str =
     def run(batches):
         m = model(model_path)
         for b in batches:
-            texts = [m.decode(x or []) for x in b.column(at).to_pylist()]
+            texts = [m.decode(x.values.to_numpy().tolist()) if x.is_valid else "" for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                              names=out.names)
     return src.mapInArrow(run, out)
@@ -336,15 +333,16 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     kind = src.schema[id_col].dataType
 
     def run(batches):
-        each = _entries(model_path)
+        enc = encoder(model_path)
         for b in batches:
             n, ids, back = [], [], []
-            for es in each(b.column(1)):
-                n.append(sum([e[0] for e in es]))
-                ids.append(hashlib.sha256(",".join([e[1] for e in es]).encode()).hexdigest())
-                data = b"".join([e[2] for e in es])
-                text = (data[1:] if data[:1] == b" " else data).decode("utf-8", "quarry_each_byte")
-                back.append(hashlib.sha256(text.encode()).hexdigest())
+            for _, texts in _runs(b.column(1)):
+                for es in enc.lookup(texts):
+                    n.append(sum([e[0] for e in es]))
+                    ids.append(hashlib.sha256(",".join([e[1] for e in es]).encode()).hexdigest())
+                    data = b"".join([e[2] for e in es])
+                    text = (data[1:] if data[:1] == b" " else data).decode("utf-8", "quarry_each_byte")
+                    back.append(hashlib.sha256(text.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
