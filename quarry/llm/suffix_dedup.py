@@ -248,7 +248,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", group: int = GROUP)
     texts = (docs.select(F.xxhash64(text_col).alias("tid"), F.col(text_col).alias("text"))
                  .where(F.octet_length("text") >= L))
     known = _anchor_rows(texts, True).groupBy("h").count().where("count > 1").select("h")
-    rows = written(_anchor_rows(texts, False).join(known, "h"), "anchors")
+    rows = written(_anchor_rows(texts, False).join(known.hint("merge"), "h"), "anchors")
     kinds = rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"),
                                        F.min(F.struct("tid", "place")).alias("one"))
     kinds = written(kinds, "contexts")
@@ -264,7 +264,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", group: int = GROUP)
                      .agg(F.collect_list(F.struct("h", "n", "kinds", "place")).alias("open")))
     # one copy of a text is enough, whichever row has it
     fetched = (texts.select("tid", F.octet_length("text").cast("long").alias("size"), "text")
-                    .join(per_text, ["tid", "size"]))
+                    .join(per_text.hint("merge"), ["tid", "size"]))
     contexts = written(_cut_contexts(fetched).dropDuplicates(["h", "tid", "place"]), "open")
     spans = whole.unionByName(_compare(contexts.where(F.col("kinds") <= group)))
     large = contexts.where(F.col("kinds") > group)
@@ -342,7 +342,7 @@ def _with_spans(docs: DataFrame, text_col: str) -> DataFrame:
         F.col("ends").alias("_ends"))
     keyed = (docs.withColumn("_tid", F.xxhash64(text_col))
                  .withColumn("_size", F.octet_length(text_col).cast("long")))
-    return keyed.join(found, ["_tid", "_size"], "left").drop("_tid", "_size")
+    return keyed.join(found.hint("merge"), ["_tid", "_size"], "left").drop("_tid", "_size")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
