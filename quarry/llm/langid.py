@@ -274,11 +274,13 @@ class Scorer:
 
     def predict(self, texts: list[str | None]):
         """(language, score) of each text."""
+        if not self.m.langs:
+            return [("und", 0.0)] * len(texts)
         words = [split(t) if t and _LETTER.search(t) else None for t in texts]
         self._learn({w for ws in words if ws for w in ws})
         out, get = [], self.at.__getitem__
         for ws in words:
-            if not ws or not self.m.langs:
+            if not ws:
                 out.append(("und", 0.0))
                 continue
             s = self.table[list(map(get, ws))].sum(axis=0)
