@@ -16,9 +16,9 @@ How the work is bounded:
     the links leaves the task. In a cluster of several blocks every block
     also gets the same PIVOTS documents, so most of a large group joins up
     at once;
-  * pairs of such a cluster that share a band, lie in different blocks and
-    are still unconnected are then compared one by one, so no block border
-    loses a link.
+  * documents of such a cluster that are still outside its largest class
+    are then dealt to blocks of their own, which are compared with all blocks
+    of the cluster, so no block border loses a link.
 
 Only candidates sharing a band are found: with `bands_for`, a pair exactly
 at the threshold is missed with a chance below MISS, a closer one far less.
@@ -169,6 +169,7 @@ def _group(*cols):
     return F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]))
 
 
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id, kept).
@@ -196,8 +197,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
               .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
               .withColumn("pivot", F.array_contains("pivots", F.col("rep"))).drop("pivots"))
     # the texts of documents in clusters, fetched once
-    members = written(placed.join(docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")),
-                                  "rep"), "members")
+    members = written(docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
+                          .join(placed.hint("merge"), "rep"), "members")
     own = members.select("component", "rep", "text", "block", "blocks")
     shared = (members.where("pivot and blocks > 1")
               .select("component", "rep", "text",
@@ -206,9 +207,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     edges = written(confirmed(
         own.unionByName(shared).select(_group(F.col("component"), F.col("block")).alias("grp"),
                                        F.col("rep").alias("id"), "text"), k, num, den), "links")
-    large = placed.where("blocks > 1").select("component", "rep", "block")
-    if not large.isEmpty():
-        edges = edges.unionByName(_across_blocks(members, large, keyed, edges, k, num, den))
+    across = _across_blocks(members.where("blocks > 1"), edges)
+    edges = edges.unionByName(written(confirmed(across, k, num, den), "links"))
     found = components(edges).withColumnRenamed("id", "rep").withColumnRenamed("component", "class")
     classes = (reps.select("set_digest", "rep").join(found, "rep", "left")
                    .select("set_digest", F.coalesce("class", "rep").alias("class")))
@@ -230,27 +230,24 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col(id_col).isNull()))
 
 
-def _across_blocks(members, large, keyed, edges, k, num, den) -> DataFrame:
-    """Links between blocks of a large cluster: pairs that share a band and
-    are not connected yet, one side outside the cluster's largest class."""
+def _across_blocks(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """(grp, id, text): what is left to compare in clusters of several
+    blocks. Documents outside their cluster's largest class so far are dealt
+    to blocks of their own, and each of these meets each block of the
+    cluster; a cluster that is one class has none."""
     so_far = components(edges).select(F.col("id").alias("rep"), F.col("component").alias("class"))
-    state = written(large.join(so_far, "rep", "left")
-                         .withColumn("class", F.coalesce("class", "rep")), "state")
-    biggest = (state.groupBy("component", "class").count().groupBy("component")
-                    .agg(F.max_by("class", "count").alias("main")))
-    bands = (keyed.join(state, "rep").join(biggest, "component")
-                  .withColumn("outside", F.col("class") != F.col("main")))
-    one = bands.where("outside").select("key", "component", F.col("rep").alias("a"),
-                                        F.col("class").alias("ca"), F.col("block").alias("ba"))
-    two = bands.select("key", "component", F.col("rep").alias("b"), F.col("class").alias("cb"),
-                       F.col("block").alias("bb"))
-    pairs = (one.join(two, ["key", "component"])
-                .where("ca != cb and ba != bb").select("a", "b").distinct())
-    # a document and at most BLOCK of its partners in a group
-    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    counted = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "a").select("a", "b", part.alias("part"))
-    rows = (counted.select("a", "part", F.col("b").alias("rep"))
-            .unionByName(counted.select("a", "part", F.col("a").alias("rep")).distinct())
-            .select(_group(F.col("a"), F.col("part")).alias("grp"), "rep"))
-    texts = members.where("blocks > 1").select("rep", "text")
-    return confirmed(rows.join(texts, "rep").select("grp", F.col("rep").alias("id"), "text"), k, num, den)
+    state = written(members.select("component", "rep").distinct().join(so_far, "rep", "left")
+                           .withColumn("class", F.coalesce("class", "rep")), "state")
+    per_class = state.groupBy("component", "class").agg(F.count(F.lit(1)).alias("n"))
+    left = (per_class.groupBy("component").agg(F.max_by("class", "n").alias("main"),
+                                               (F.sum("n") - F.max("n")).alias("outside"))
+                     .where("outside > 0")
+                     .withColumn("asking", F.ceil(F.col("outside") / BLOCK).cast("int")))
+    todo = members.join(state, ["component", "rep"]).join(left, "component")
+    answers = todo.select("component", "rep", "text", "block",
+                          F.explode(F.expr("sequence(0, asking - 1)")).alias("ask"))
+    asks = (todo.where("class != main")
+                .select("component", "rep", "text", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
+                        F.expr("cast(pmod(xxhash64(rep, 1), asking) as int)").alias("ask")))
+    return answers.unionByName(asks).select(
+        _group(F.col("component"), F.col("block"), F.col("ask")).alias("grp"), F.col("rep").alias("id"), "text")
