@@ -8,16 +8,17 @@ whole table of queries.
 
 from quarry.schema import Field, Schema, SearchError
 from quarry.query import (
-    Bool, Equals, Fuzzy, Phrase, Prefix, Range, Term,
+    Bool, Equals, Fuzzy, Nothing, Phrase, Prefix, Range, Term,
     all_of, any_of, any_words, boolean, equals, fuzzy, fuzzy_prefix, match, phrase, prefix,
     range_, term,
 )
+from quarry.querystring import parse
 from quarry.plans.index import Index
 from quarry.plans.searcher import Searcher
 
 __all__ = [
     "Field", "Schema", "SearchError", "Index", "Searcher",
-    "Term", "Phrase", "Prefix", "Fuzzy", "Range", "Equals", "Bool",
+    "Term", "Phrase", "Prefix", "Fuzzy", "Range", "Equals", "Bool", "Nothing", "parse",
     "all_of", "any_of", "any_words", "boolean", "match",
     "term", "phrase", "prefix", "fuzzy", "fuzzy_prefix", "range_", "equals",
 ]

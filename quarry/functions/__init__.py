@@ -1,11 +1,9 @@
-from quarry.functions.text import (
-    MAX_TOKEN_BYTES, TOKEN_PATTERN, analyse, raw_tokens, tokens,
-)
+from quarry.functions.text import TOKEN_PATTERN, analyse, tokens
 from quarry.functions.distance import (
     edit_distance, edit_distance_to_literal, prefix_distance_to_literal,
 )
 
 __all__ = [
-    "TOKEN_PATTERN", "MAX_TOKEN_BYTES", "analyse", "raw_tokens", "tokens",
+    "TOKEN_PATTERN", "analyse", "tokens",
     "edit_distance", "edit_distance_to_literal", "prefix_distance_to_literal",
 ]

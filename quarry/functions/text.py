@@ -1,8 +1,7 @@
 """Text analysis as JVM-side column expressions.
 
-The analyser lower-cases the text, splits it into maximal runs of Unicode
-letters and digits, and drops tokens of 40 bytes or more. Positions count
-every run, kept or dropped, so a dropped token leaves a gap.
+The analyser lower-cases the text and splits it into maximal runs of
+Unicode letters and digits. Every run is a token, however long.
 """
 
 from __future__ import annotations
@@ -11,9 +10,8 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Token pattern and the byte length from which a token is dropped.
+# Fixed value: the token pattern.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
-MAX_TOKEN_BYTES = 40
 
 # Word and non-word pieces together cover a text exactly (used for highlighting).
 PIECE_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
@@ -21,24 +19,12 @@ PIECE_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
 _PY_TOKEN = regex.compile(TOKEN_PATTERN)
 
 
-def raw_tokens(col: Column | str) -> Column:
-    """All runs of letters/digits of the lower-cased text, long ones included."""
+def tokens(col: Column | str) -> Column:
+    """ARRAY<STRING> of the tokens, in order."""
     c = F.col(col) if isinstance(col, str) else col
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
 
 
-def keep_token(t: Column) -> Column:
-    return F.octet_length(t) < MAX_TOKEN_BYTES
-
-
-def tokens(col: Column | str) -> Column:
-    """ARRAY<STRING> of the tokens that are indexed, in order."""
-    return F.filter(raw_tokens(col), keep_token)
-
-
 def analyse(text: str | None) -> list[str]:
     """Driver-side analysis of a query literal (a few words, never data)."""
-    if not text:
-        return []
-    return [t for t in _PY_TOKEN.findall(text.lower())
-            if len(t.encode("utf-8")) < MAX_TOKEN_BYTES]
+    return _PY_TOKEN.findall(text.lower()) if text else []

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import keep_token, raw_tokens
+from quarry.functions.text import tokens
 from quarry.sources.corpus import COMMIT_COL
 
 
@@ -30,31 +30,34 @@ def field_texts(corpus: DataFrame, fields: list[str], id_col: str = "doc_id") ->
 
 
 def postings(corpus: DataFrame, fields: list[str], id_col: str = "doc_id") -> DataFrame:
-    """Token table (doc_id, field, pos, term); positions count dropped tokens too."""
+    """Token table (doc_id, field, pos, term)."""
     ft = field_texts(corpus, fields, id_col)
     keys = [c for c in ft.columns if c in ("doc_id", COMMIT_COL, "field")]
     # posexplode_outer: no inferred `size(...) > 0` filter that would run the
-    # regex a second time; the null row of an empty text fails keep_token.
-    return (ft.select(*keys, F.posexplode_outer(raw_tokens("text")).alias("pos", "term"))
-              .where(keep_token(F.col("term"))))
+    # regex a second time; the null row of an empty text is dropped after.
+    return (ft.select(*keys, F.posexplode_outer(tokens("text")).alias("pos", "term"))
+              .where(F.col("term").isNotNull()))
 
 
-def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id") -> DataFrame:
+def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
+               partitions: int | None = None) -> DataFrame:
     """(commit_id?, field, term, doc_id, tf, dl, positions).
 
     Document length is computed from the token array before the explode,
-    so no join is needed to attach it. The group (document, term) is
-    bounded by one document's length, and map-side partial aggregation
-    runs before the shuffle.
+    so no join is needed to attach it. With `partitions`, each document is
+    brought to one partition first: the group by (document, term) then needs
+    no exchange, so texts are shuffled and their exploded tokens are not.
     """
+    if partitions:
+        corpus = corpus.repartition(partitions, F.col(f"`{id_col}`"))
     ft = field_texts(corpus, fields, id_col)
     keys = [c for c in ft.columns if c in ("doc_id", COMMIT_COL, "field")]
     # dl is computed once per document, below the explode; computed in the
     # same select as the generator it would be re-evaluated per token.
-    toks = (ft.select(*keys, raw_tokens("text").alias("toks"))
-              .select(*keys, "toks", F.size(F.filter("toks", keep_token)).alias("dl")))
+    toks = (ft.select(*keys, tokens("text").alias("toks"))
+              .select(*keys, "toks", F.size("toks").alias("dl")))
     exploded = (toks.select(*keys, "dl", F.posexplode_outer("toks").alias("pos", "term"))
-                    .where(keep_token(F.col("term"))))
+                    .where(F.col("term").isNotNull()))
     group = [c for c in (COMMIT_COL, "field", "term", "doc_id", "dl") if c in exploded.columns]
     return exploded.groupBy(*group).agg(
         F.count(F.lit(1)).cast("int").alias("tf"),

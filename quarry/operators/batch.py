@@ -10,6 +10,7 @@ from quarry.functions.text import tokens
 from quarry.operators.ranking import DEFAULT_LIMIT, top_k_per_query
 from quarry.operators.scoring import K1, bm25, idf
 from quarry.schema import SearchError
+from quarry.session import scratch_path
 
 # Pruning keeps documents whose score bound comes within this margin of the
 # k-th score, far wider than the 1e-9 ranking precision.
@@ -28,11 +29,9 @@ def query_terms(queries: DataFrame, text_col: str = "text", key: str = "query_id
 
 
 def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
-               key: str = "query_id", k: int | None = DEFAULT_LIMIT) -> DataFrame:
-    """(query_id, doc_id, score) of the bag-of-words OR query of each row.
-
-    With `k`, only the documents that can reach a query's top k are scored
-    (exact MaxScore pruning, below); with k=None every match is scored.
+               key: str = "query_id", k: int = DEFAULT_LIMIT) -> DataFrame:
+    """(query_id, doc_id, score) of the bag-of-words OR query of each row:
+    the documents that can reach a query's top k (exact MaxScore pruning).
 
     Joining query words to the term table on `term` would emit every
     (query, document) pair that shares a frequent word such as `the`. So:
@@ -55,57 +54,53 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
     tables grow with the query table and are never broadcast by hint.
     """
     index.schema.require_text(field)
-    qt = query_terms(queries, text_col, key)
+    spark = index.spark
     n_docs, avgdl = index.stat_values().get(field, (0, 0.0))
     n_docs, avgdl = F.lit(n_docs).cast("long"), F.lit(float(avgdl))
-    # only the query words' vocabulary rows are summed over commits
-    wanted = qt.select("term").distinct()
-    voc = index.vocabulary(F.col("field") == field, only=wanted).select("term", "df")
-    qv = (qt.join(voc, "term")
-            .withColumn("idf", idf(F.col("df"), n_docs))
-            .withColumn("ub", F.col("qtf") * F.col("idf") * (K1 + 1.0)))
-
-
-    tt = index.terms.where(F.col("field") == field).select("term", "doc_id", "tf", "dl")
-
-    def contrib(df: DataFrame) -> Column:
-        return F.col("qtf") * bm25(F.col("idf"), F.col("tf"), F.col("dl"), avgdl)
-
-    def exact(cands: DataFrame, words: DataFrame) -> DataFrame:
-        """Scores of candidate (query, doc) pairs over `words` (query, term, qtf, idf),
-        looked up by the unique key (doc_id, term)."""
-        trip = cands.join(words, "query_id")
-        j = trip.join(tt, ["doc_id", "term"])
-        return j.groupBy("query_id", "doc_id").agg(F.sum(contrib(j)).alias("score"))
-
-    words = qv.select("query_id", "term", "qtf", "idf")
-    if k is None:
-        rows = words.join(tt, "term")
-        return rows.groupBy("query_id", "doc_id").agg(F.sum(contrib(rows)).alias("score"))
 
+    def shared(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"batch-{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    # query words, analysed and looked up once; only their vocabulary rows
+    # are summed over commits
+    qt = shared(query_terms(queries, text_col, key), "words")
+    voc = index.vocabulary(F.col("field") == field, only=qt).select("term", "df")
+    words = shared(qt.join(voc, "term").select(
+        "query_id", "term", "qtf", "df", idf(F.col("df"), n_docs).alias("idf")), "weighted")
+    # the one scan of the term table: rows of the query words
+    tt = shared(index.terms.where(F.col("field") == field).select("term", "doc_id", "tf", "dl")
+                     .join(words.select("term"), "term", "left_semi"), "terms")
+
+    def scored(rows: DataFrame) -> DataFrame:
+        contribution = F.col("qtf") * bm25(F.col("idf"), F.col("tf"), F.col("dl"), avgdl)
+        return rows.groupBy("query_id", "doc_id").agg(F.sum(contribution).alias("score"))
+
+    cols = ("query_id", "term", "qtf", "idf")
     rare = Window.partitionBy("query_id").orderBy("df", "term")
-    qv = (qv.withColumn("cum_df", F.sum("df").over(
+    qv = (words.withColumn("cum_df", F.sum("df").over(
                 rare.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-            .withColumn("seed", F.col("cum_df") - F.col("df") < SEED_FACTOR * k))
+               .withColumn("seed", F.col("cum_df") - F.col("df") < SEED_FACTOR * k))
     # partial scores over the seed words are lower bounds of exact scores, so
     # their k-th best is a lower bound of the query's final k-th score
-    seed = qv.where("seed").select("query_id", "term", "qtf", "idf").join(tt, "term")
-    partial = seed.groupBy("query_id", "doc_id").agg(F.sum(contrib(seed)).alias("score"))
-    kth = (top_k_per_query(partial, k)
+    partial = scored(qv.where("seed").select(*cols).join(tt, "term"))
+    kth = (top_k_per_query(partial, k, spread=False)
            .groupBy("query_id")
            .agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(0.0)).alias("theta")))
     low = Window.partitionBy("query_id").orderBy("ub", "term") \
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    split = (qv.join(kth, "query_id", "left")
-               .withColumn("essential", F.col("seed") | (
-                   F.sum("ub").over(low) >= F.coalesce(F.col("theta"), F.lit(0.0)) - PRUNE_MARGIN)))
+    split = shared(qv.withColumn("ub", F.col("qtf") * F.col("idf") * (K1 + 1.0))
+                     .join(kth, "query_id", "left")
+                     .select(*cols, (F.col("seed") | (
+                         F.sum("ub").over(low) >= F.coalesce(F.col("theta"), F.lit(0.0)) - PRUNE_MARGIN))
+                         .alias("essential")), "split")
     # essential words (the seed and the high-idf words): scored straight
     # from the term join, their document lists are the short ones
-    ess = split.where("essential").select("query_id", "term", "qtf", "idf").join(tt, "term")
-    part = ess.groupBy("query_id", "doc_id").agg(F.sum(contrib(ess)).alias("score"))
+    part = shared(scored(split.where("essential").select(*cols).join(tt, "term")), "part")
     # the remaining (frequent) words only for those candidates, by (doc_id, term)
-    rest = exact(part.select("query_id", "doc_id"),
-                 split.where(~F.col("essential")).select("query_id", "term", "qtf", "idf"))
+    wanted = part.select("query_id", "doc_id").join(split.where("not essential").select(*cols), "query_id")
+    rest = scored(wanted.join(tt, ["doc_id", "term"]))
     return (part.unionByName(rest).groupBy("query_id", "doc_id")
                 .agg(F.sum("score").alias("score")))
 
@@ -114,7 +109,7 @@ def batch_search(index, queries: DataFrame, field: str, k: int = DEFAULT_LIMIT,
                  text_col: str = "text", key: str = "query_id") -> DataFrame:
     """Top k documents for every query row: (query_id, rank, doc_id, score)."""
     hits = batch_hits(index, queries, field, text_col, key, k)
-    return top_k_per_query(hits, k).select("query_id", "rank", "doc_id", "score")
+    return top_k_per_query(hits, k, spread=False).select("query_id", "rank", "doc_id", "score")
 
 
 def deletion_keys(word, k: int):
@@ -153,12 +148,14 @@ def batch_fuzzy(index, words: DataFrame, field: str, distance: int = 1,
                                        F.char_length("word") + distance)).alias("tlen"))
     vk = v.select("term", F.explode(deletion_keys("term", distance)).alias("key"),
                   F.char_length("term").alias("tlen"))
-    cand = wk.join(vk, ["key", "tlen"]).select("word", "term").distinct()
-    if not transposition:
-        d = F.levenshtein("word", "term", distance)
-        return cand.select("word", "term", d.alias("distance")).where(F.col("distance") >= 0)
-    # a swap is at most two plain edits: the codegen'd bounded Levenshtein
-    # drops most candidates before the exact table runs
-    cand = cand.where(F.levenshtein("word", "term", 2 * distance) >= 0)
-    d = edit_distance(F.col("word"), F.col("term"), transposition)
+    # the codegen'd bounded Levenshtein runs straight after the join, so only
+    # near pairs are shuffled to drop repeats; a swap is at most two plain
+    # edits, and plain edits of at most one cannot be bettered by a swap
+    bound = 2 * distance if transposition else distance
+    plain = F.levenshtein("word", "term", bound)
+    cand = (wk.join(vk, ["key", "tlen"]).select("word", "term", plain.alias("plain"))
+              .where("plain >= 0").distinct())
+    d = F.col("plain")
+    if transposition:
+        d = F.when(d <= 1, d).otherwise(edit_distance(F.col("word"), F.col("term"), True))
     return cand.select("word", "term", d.alias("distance")).where(F.col("distance") <= distance)

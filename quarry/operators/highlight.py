@@ -6,9 +6,11 @@ the first fragment starting at offset 0; a fragment weighs the sum over
 its matched words of 1 / (1 + df); the heaviest wins, the earliest on a
 tie; no match gives the empty string. Offsets count characters.
 
-Runs only on the top-k rows. The fragment is chosen by one `aggregate`
-over the word / non-word pieces with a constant-size state, so the cost
-is linear in the text length.
+Runs only on the top-k rows. What is marked in a hit is found by joining the
+hit's own tokens with the vocabulary terms the query accepts, so a fuzzy
+query may accept any number of terms. The fragment is chosen by one
+`aggregate` over the word / non-word pieces with a constant-size state, so
+the cost is linear in the text length.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import MAX_TOKEN_BYTES, PIECE_PATTERN
-from quarry.operators.predicates import MAX_INLINE_TERMS, fuzzy_vocabulary
-from quarry.operators.ranking import MAX_LOOKUP_HITS
+from quarry.functions.text import PIECE_PATTERN, tokens
+from quarry.operators.predicates import fuzzy_vocabulary, value_ranges
+from quarry.operators.ranking import rank_order, stored_fields, stored_name
 from quarry.query import Fuzzy, Phrase, Query, Term
 from quarry.schema import TEXT, SearchError
 
@@ -35,10 +37,11 @@ def escape_html(c: Column) -> Column:
     return c
 
 
-def highlight_terms(index, query: Query, field: str) -> dict[str, float]:
-    """term -> weight for the terms of `query` on `field` (bounded by the query)."""
+def marked_terms(index, query: Query, field: str) -> DataFrame | None:
+    """(term, weight): the vocabulary terms of `field` that the query's leaves
+    accept; None if no leaf is on the field."""
     words: set[str] = set()
-    fuzzy: list[Fuzzy] = []
+    parts: list[DataFrame] = []
     for leaf in query.leaves():
         if getattr(leaf, "field", None) != field:
             continue
@@ -46,32 +49,38 @@ def highlight_terms(index, query: Query, field: str) -> dict[str, float]:
             words.add(leaf.value)
         elif isinstance(leaf, Phrase):
             words.update(leaf.terms)
-        elif isinstance(leaf, Fuzzy):
-            fuzzy.append(leaf)
-    for q in fuzzy:   # the matched variants are what gets marked
-        few = [r["term"] for r in fuzzy_vocabulary(index, q).select("term")
-               .limit(MAX_INLINE_TERMS + 1).collect()]
-        if len(few) <= MAX_INLINE_TERMS:
-            words.update(few)
-    if not words:
-        return {}
-    rows = (index.vocabulary((F.col("field") == field) & F.col("term").isin(sorted(words)))
-                 .select("term", "df").collect())
-    return {r["term"]: 1.0 / (1.0 + r["df"]) for r in rows if r["df"] > 0}
-
-
-def snippet(text: Column, weights: dict[str, float], max_chars: int) -> Column:
-    """HTML snippet column for one text column and a literal term -> weight map."""
-    if not weights:
-        return F.lit("")
-    keys = sorted(weights)
-    wmap = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                             F.array(*[F.lit(float(weights[k])) for k in keys]))
+        elif isinstance(leaf, Fuzzy):   # the matched variants are what gets marked
+            parts.append(index.vocabulary(F.col("field") == field, only=fuzzy_vocabulary(index, leaf)))
+    if words:
+        parts.append(index.vocabulary((F.col("field") == field) & value_ranges("term", words)
+                                      & F.col("term").isin(sorted(words))))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("term", (1.0 / (1.0 + F.col("df"))).alias("weight")).distinct()
+
+
+def hit_weights(index, hits: DataFrame, text: str, query: Query, field: str) -> DataFrame | None:
+    """(doc_id, weights MAP<term, weight>): for each hit the terms of its own
+    text that are to be marked; a map is no larger than its text."""
+    marked = marked_terms(index, query, field)
+    if marked is None:
+        return None
+    own = hits.select("doc_id", F.explode(F.array_distinct(tokens(text))).alias("term"))
+    return (own.join(marked, "term").groupBy("doc_id")
+               .agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("weights")))
+
+
+def snippet(text: Column, wmap: Column, max_chars: int) -> Column:
+    """HTML snippet column for one text column and a term -> weight map (may be null)."""
+    wmap = F.coalesce(wmap, F.create_map().cast("map<string,double>"))
     text = F.coalesce(text, F.lit(""))
     pieces = F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0)
 
     def is_token(p):
-        return p.rlike(WORD_START) & (F.octet_length(F.lower(p)) < MAX_TOKEN_BYTES)
+        return p.rlike(WORD_START)
 
     def step(acc, p):
         start = acc["off"]
@@ -129,21 +138,24 @@ def attach_snippets(index, top: DataFrame, query: Query, fields, max_chars: int
             raise SearchError(f"Snippet field '{f}' not found in schema") from None
         if fd.type == TEXT:
             wanted.append(f)
-    missing = [f for f in wanted if f not in top.columns]
+    have = {f: stored_name(f) for f in wanted if stored_name(f) in top.columns}
     src = top
+    missing = [f for f in wanted if f not in have]
     if missing:
-        extra = index.corpus.select(F.col(index.id_col).alias("doc_id"),
-                                    *[F.col(f"`{f}`").alias(f"__snip_{f}") for f in missing])
-        # a bounded set of hits: push their ids into the corpus scan (clustered
-        # on id) instead of joining against every document's text
-        ids = [r["doc_id"] for r in top.select("doc_id").limit(MAX_LOOKUP_HITS + 1).collect()]
-        if len(ids) <= MAX_LOOKUP_HITS:
-            extra = extra.where(F.col("doc_id").isin(ids))
+        # text that is not stored is fetched for the hits only
+        extra = stored_fields(index, top.select("doc_id"), missing)
+        extra = extra.select("doc_id", *[F.col(f"`{stored_name(f)}`").alias(f"__snip_{f}") for f in missing])
         src = top.join(extra, "doc_id", "left")
-    cols = {f: (F.col(f"`{f}`") if f not in missing else F.col(f"__snip_{f}")) for f in wanted}
+        have |= {f: f"__snip_{f}" for f in missing}
     pairs = []
-    for f in wanted:
-        pairs += [F.lit(f), snippet(cols[f], highlight_terms(index, query, f), max_chars)]
+    for i, f in enumerate(wanted):
+        weights = hit_weights(index, src, f"`{have[f]}`", query, f)
+        w = F.lit(None).cast("map<string,double>")
+        if weights is not None:
+            src = src.join(weights.withColumnRenamed("weights", f"__weights_{i}"), "doc_id", "left")
+            w = F.col(f"__weights_{i}")
+        pairs += [F.lit(f), snippet(F.col(f"`{have[f]}`"), w, max_chars)]
     snip = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
     out = src.withColumn("snippets", snip)
-    return out.drop(*[f"__snip_{f}" for f in missing])
+    drop = [c for c in out.columns if c.startswith(("__snip_", "__weights_"))]
+    return out.drop(*drop).orderBy(*rank_order())

@@ -9,20 +9,39 @@ range and equality leaves are row filters on the corpus, pushed to parquet.
 from __future__ import annotations
 
 from collections import defaultdict
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.distance import edit_distance_to_literal, prefix_distance_to_literal
 from quarry.operators.scoring import bm25, idf
-from quarry.query import Equals, Fuzzy, Phrase, Prefix, Range, Term
-from quarry.schema import BOOL, I64, NUMERIC_TYPES, TEXT, U64, SearchError
+from quarry.query import Equals, Fuzzy, Nothing, Phrase, Prefix, Range, Term
+from quarry.schema import BOOL, I64, NUMERIC_TYPES, TEXT, U64, U64_MAX, SearchError
 
 LEAF_COLS = ("leaf_id", "doc_id", "score")
 
-# Above this many matched terms, a fuzzy expansion is joined instead of
-# being inlined as an IN list on the term-table scan.
-MAX_INLINE_TERMS = 4096
+# Value ranges that are pushed to a scan for a list of values. Spark pushes an
+# IN of more than ten values only as one span from the least to the greatest.
+PUSHED_RANGES = 32
+# Values that are brought to the driver to make such ranges of; the filter
+# they make is exact only together with the join or list it goes with.
+PUSHED_VALUES = 1000
+
+
+def value_ranges(column: str, values) -> Column:
+    """A necessary condition for `column` to be one of the values: an OR of at
+    most PUSHED_RANGES ranges (of single values, if there are no more), which
+    parquet can skip row groups by."""
+    values = sorted(set(values))
+    if not values:
+        return F.lit(False)
+    step = -(-len(values) // PUSHED_RANGES)
+    runs = [values[i:i + step] for i in range(0, len(values), step)]
+    c = F.col(column)
+    return reduce(lambda x, y: x | y, [
+        (c == F.lit(r[0])) if r[0] == r[-1] else (c >= F.lit(r[0])) & (c <= F.lit(r[-1])) for r in runs])
 
 
 def _pairs_filter(pairs) -> Column:
@@ -30,15 +49,14 @@ def _pairs_filter(pairs) -> Column:
     by_field = defaultdict(set)
     for f, t in pairs:
         by_field[f].add(t)
-    cond = None
+    cond = F.lit(False)
     for f, ts in sorted(by_field.items()):
-        c = (F.col("field") == f) & F.col("term").isin(sorted(ts))
-        cond = c if cond is None else cond | c
-    return cond if cond is not None else F.lit(False)
+        cond = cond | ((F.col("field") == f) & value_ranges("term", ts) & F.col("term").isin(sorted(ts)))
+    return cond
 
 
 def _empty(index) -> DataFrame:
-    return index.spark.createDataFrame([], "leaf_id int, doc_id long, score double")
+    return index.spark.createDataFrame([], f"leaf_id int, doc_id {index.id_type}, score double")
 
 
 def _searchable_text(index, field: str, kind: str = "term") -> bool:
@@ -70,39 +88,35 @@ def term_rows(index, leaves: list[tuple[int, Term]]) -> DataFrame:
     return j.select("leaf_id", "doc_id", score.alias("score"))
 
 
-def phrase_rows(index, leaves: list[tuple[int, Phrase]]) -> DataFrame:
-    """Rows for phrase leaves: positions aligned by (pos - offset).
+def _shifted(positions: str, by: int) -> Column:
+    return F.transform(positions, lambda p: p - by)
 
-    One join to the (term, offset) table and a group on
-    (leaf, doc, start): a phrase of n tokens starts at `start` when the
-    group has n rows. No self join. The phrase frequency is the tf of a
-    BM25 score whose idf is the sum of the phrase terms' idf.
+
+def phrase_rows(index, leaf_id: int, q: Phrase) -> DataFrame:
+    """Rows of a phrase leaf: one group per document that holds its terms'
+    position arrays, shifted by the term's offset and intersected.
+
+    Positions are never exploded and there is one exchange. The phrase
+    frequency is the tf of a BM25 score whose idf is the sum of the phrase
+    terms' idf.
     """
-    leaves = [(i, q) for i, q in leaves if _searchable_text(index, q.field) and q.terms]
-    if not leaves:
+    if not _searchable_text(index, q.field) or not q.terms:
         return _empty(index)
-    spark = index.spark
-    offs = spark.createDataFrame(
-        [(i, q.field, t, o, len(q.terms)) for i, q in leaves for o, t in enumerate(q.terms)],
-        "leaf_id int, field string, term string, offset int, n int")
-    cond = _pairs_filter((q.field, t) for _, q in leaves for t in q.terms)
-    hits = (index.terms.where(cond)
-                 .select("field", "term", "doc_id", "dl", F.explode("positions").alias("pos")))
-    aligned = (hits.join(F.broadcast(offs), ["field", "term"])
-                   .select("leaf_id", "field", "doc_id", "dl", "n",
-                           (F.col("pos") - F.col("offset")).alias("start")))
-    starts = (aligned.groupBy("leaf_id", "field", "doc_id", "dl", "n", "start")
-                     .agg(F.count(F.lit(1)).alias("c"))
-                     .where(F.col("c") == F.col("n")))
-    freq = starts.groupBy("leaf_id", "field", "doc_id", "dl").agg(F.count(F.lit(1)).alias("pf"))
-    n_docs, avgdl = index.stat_columns()
-    dfs = index.vocabulary(cond).select("field", "term", "df")
-    idfs = (offs.join(dfs, ["field", "term"], "left")
-                .groupBy("leaf_id")
-                .agg(F.sum(idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)).alias("idf")))
-    j = freq.join(F.broadcast(idfs), "leaf_id")
-    score = bm25(F.col("idf"), F.col("pf"), F.col("dl"), avgdl)
-    return j.select("leaf_id", "doc_id", score.alias("score"))
+    distinct = sorted(set(q.terms))
+    cond = _pairs_filter((q.field, t) for t in distinct)
+    hits = index.terms.where(cond).select("term", "doc_id", "dl", "positions")
+    per_doc = hits.groupBy("doc_id").agg(F.any_value("dl").alias("dl"), *[
+        F.max(F.when(F.col("term") == t, F.col("positions"))).alias(f"_p{i}") for i, t in enumerate(distinct)])
+    per_doc = per_doc.where(reduce(lambda x, y: x & y, [F.col(f"_p{i}").isNotNull() for i in range(len(distinct))]))
+    starts = [_shifted(f"_p{distinct.index(t)}", o) for o, t in enumerate(q.terms)]
+    freq = per_doc.select("doc_id", "dl", F.size(reduce(F.array_intersect, starts)).alias("pf")).where("pf > 0")
+    n_docs, avgdl = index.stat_columns(F.lit(q.field))
+    # one row a phrase term: a word that the phrase holds twice counts twice
+    times = F.create_map(*[x for t in distinct for x in (F.lit(t), F.lit(q.terms.count(t)))])
+    idfs = index.vocabulary(cond).select((idf(F.col("df"), n_docs) * F.element_at(times, F.col("term"))).alias("idf"))
+    total = F.coalesce(idfs.agg(F.sum("idf").alias("idf")).scalar(), F.lit(0.0))
+    score = bm25(F.col("_idf"), F.col("pf"), F.col("dl"), avgdl)
+    return freq.withColumn("_idf", total).select(F.lit(leaf_id).alias("leaf_id"), "doc_id", score.alias("score"))
 
 
 def _java_quote(s: str) -> str:
@@ -165,7 +179,9 @@ def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
         elif q.transposition:
             # a swap is at most two plain edits
             where = where & (F.levenshtein(term, F.lit(t), 2 * k) >= 0)
-            dist = edit_distance_to_literal(term, t, True)
+            # plain edits of at most one cannot be bettered by a swap
+            plain = F.levenshtein(term, F.lit(t), 2 * k)
+            dist = F.when(plain <= 1, plain).otherwise(edit_distance_to_literal(term, t, True))
         else:
             where = where & (F.levenshtein(term, F.lit(t), k) >= 0)
             dist = F.levenshtein(term, F.lit(t))
@@ -173,18 +189,19 @@ def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
     return voc.select("field", "term", dist.alias("distance")).where(F.col("distance") <= k)
 
 
-def fuzzy_rows(index, leaf_id: int, q: Fuzzy, matched: DataFrame | None = None) -> DataFrame:
+def fuzzy_rows(index, leaf_id: int, q: Fuzzy) -> DataFrame:
+    """Rows of the documents that hold a term the leaf accepts: the term table
+    semi-joined with the matched vocabulary, however large that is. The
+    ranges of its first PUSHED_VALUES terms, if they are all, are pushed to
+    the scan, which then reads little of the field."""
     if not _searchable_text(index, q.field, "fuzzy"):
         return _empty(index)
-    matched = matched if matched is not None else fuzzy_vocabulary(index, q)
+    matched = fuzzy_vocabulary(index, q).select("field", "term")
     terms = index.terms.where(F.col("field") == q.field)
-    # Inline a small expansion as IN (pushed to parquet, skips row groups);
-    # beyond the bound, fall back to a join the planner sizes at run time.
-    few = [r["term"] for r in matched.select("term").limit(MAX_INLINE_TERMS + 1).collect()]
-    if len(few) <= MAX_INLINE_TERMS:
-        rows = terms.where(F.col("term").isin(few)) if few else terms.where(F.lit(False))
-    else:
-        rows = terms.join(matched.select("field", "term"), ["field", "term"], "left_semi")
+    few = [r["term"] for r in matched.select("term").limit(PUSHED_VALUES + 1).collect()]
+    if len(few) <= PUSHED_VALUES:
+        terms = terms.where(value_ranges("term", few))
+    rows = terms.join(matched, ["field", "term"], "left_semi")
     return rows.select(F.lit(leaf_id).alias("leaf_id"), "doc_id", F.lit(1.0).alias("score"))
 
 
@@ -212,13 +229,20 @@ def range_condition(index, q: Range) -> Column:
         if f.type == U64 and b < 0:
             raise SearchError(f"Range bounds on u64 field '{q.field}' must be non-negative")
     c = F.col(f"`{q.field}`")
+    lit = (lambda v: F.lit(str(v)).cast("decimal(20,0)")) if f.type == U64 else F.lit
+    if f.type == U64:
+        # a bound past the type: nothing above it, everything below it
+        if q.lower is not None and q.lower > U64_MAX:
+            return F.lit(False)
+        if q.upper is not None and q.upper > U64_MAX:
+            q = replace(q, upper=None)
     lo_inc = q.inclusive in ("both", "lower")
     hi_inc = q.inclusive in ("both", "upper")
     cond = c.isNotNull()
     if q.lower is not None:
-        cond = cond & ((c >= F.lit(q.lower)) if lo_inc else (c > F.lit(q.lower)))
+        cond = cond & ((c >= lit(q.lower)) if lo_inc else (c > lit(q.lower)))
     if q.upper is not None:
-        cond = cond & ((c <= F.lit(q.upper)) if hi_inc else (c < F.lit(q.upper)))
+        cond = cond & ((c <= lit(q.upper)) if hi_inc else (c < lit(q.upper)))
     return cond
 
 
@@ -239,6 +263,10 @@ def equals_condition(index, q: Equals) -> Column:
         raise SearchError(f"Field '{q.field}' is a bool field")
     if f.type != BOOL and (isinstance(q.value, bool) or not isinstance(q.value, (int, float))):
         raise SearchError(f"Field '{q.field}' is a {f.type} field")
+    if f.type == U64:
+        if not isinstance(q.value, int) or not 0 <= q.value <= U64_MAX:
+            return F.lit(False)
+        return F.col(f"`{q.field}`") == F.lit(str(q.value)).cast("decimal(20,0)")
     return F.col(f"`{q.field}`") == F.lit(q.value)
 
 
@@ -252,16 +280,15 @@ def equals_rows(index, leaf_id: int, q: Equals) -> DataFrame:
 
 
 def leaf_rows(index, leaves: list[tuple[int, object]]) -> DataFrame:
-    """Union of the rows of all leaves; term and phrase leaves share scans."""
+    """Union of the rows of all leaves; term leaves share a scan."""
     parts = []
     terms = [(i, q) for i, q in leaves if isinstance(q, Term)]
-    phrases = [(i, q) for i, q in leaves if isinstance(q, Phrase)]
     if terms:
         parts.append(term_rows(index, terms))
-    if phrases:
-        parts.append(phrase_rows(index, phrases))
     for i, q in leaves:
-        if isinstance(q, Prefix):
+        if isinstance(q, Phrase):
+            parts.append(phrase_rows(index, i, q))
+        elif isinstance(q, Prefix):
             parts.append(prefix_rows(index, i, q))
         elif isinstance(q, Fuzzy):
             parts.append(fuzzy_rows(index, i, q))
@@ -269,9 +296,8 @@ def leaf_rows(index, leaves: list[tuple[int, object]]) -> DataFrame:
             parts.append(range_rows(index, i, q))
         elif isinstance(q, Equals):
             parts.append(equals_rows(index, i, q))
-        elif not isinstance(q, (Term, Phrase)):
+        elif isinstance(q, Nothing):
+            parts.append(_empty(index))
+        elif not isinstance(q, Term):
             raise SearchError(f"Unknown query leaf {q!r}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)

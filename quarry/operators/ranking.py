@@ -16,52 +16,45 @@ RANK_DECIMALS = 9
 def rank_order():
     return [F.desc(F.round("score", RANK_DECIMALS)), F.asc("doc_id")]
 
-# Above this limit the hits are not collected to the driver for the
-# stored-field lookup; a join is planned instead.
-MAX_LOOKUP_HITS = 10000
-
-
 def top_k(hits: DataFrame, k: int = DEFAULT_LIMIT) -> DataFrame:
     """Best k hits, descending score, ties by doc_id. Planned as
     TakeOrderedAndProject: each partition keeps k rows, the driver merges."""
     return hits.orderBy(*rank_order()).limit(k)
 
 
-def top_k_per_query(hits: DataFrame, k: int = DEFAULT_LIMIT, key: str = "query_id") -> DataFrame:
+def top_k_per_query(hits: DataFrame, k: int = DEFAULT_LIMIT, key: str = "query_id",
+                    spread: bool = True) -> DataFrame:
     """Best k hits of every query. `row_number() <= k` is rewritten by Spark
     into a partial per-partition group limit before the shuffle, so a query
-    matching most of the corpus still ships at most k rows per partition."""
+    matching most of the corpus still ships at most k rows per partition.
+
+    Without `spread` the hits must already be spread over (query, doc), as a
+    sum by these two leaves them. If they arrived partitioned by query alone,
+    the window would need no exchange, get no partial limit, and a query
+    holding a third of all hits would be sorted in one task."""
     w = Window.partitionBy(key).orderBy(*rank_order())
-    # Spread each query's hits over partitions by (query, doc) first. If the
-    # hits arrived partitioned by query alone, the window would need no
-    # exchange, get no partial limit, and a query holding a third of all
-    # hits would be sorted in one task; this way every partition forwards
-    # at most k rows per query to the final limit.
-    spread = hits.repartition(key, "doc_id")
-    return (spread.withColumn("rank", F.row_number().over(w))
-                  .where(F.col("rank") <= k))
-
-
-def total_hits(top: DataFrame) -> DataFrame:
-    """Number of hits returned (so at most the limit), as the reference reports."""
-    return top.agg(F.count(F.lit(1)).alias("total_hits"))
-
-
-def stored_fields(index, top: DataFrame, limit: int | None = None) -> DataFrame:
-    """Attach the stored fields to a small set of hits, after the limit.
-
-    With a bounded limit, the hit ids are collected (at most `limit` rows)
-    and pushed as an IN filter into the corpus scan, which is clustered on
-    the id; otherwise a join, sized at run time by AQE.
-    """
-    stored = [f for f in index.schema.stored_fields() if f != index.id_col]
-    corpus = index.corpus.select(F.col(index.id_col).alias("doc_id"),
-                                 *[F.col(f"`{f}`") for f in stored])
-    if limit is not None and limit <= MAX_LOOKUP_HITS:
-        rows = top.collect()
-        if not rows:
-            return top.join(corpus, "doc_id", "left")
-        local = index.spark.createDataFrame(rows, top.schema)
-        ids = [r["doc_id"] for r in rows]
-        return local.join(corpus.where(F.col("doc_id").isin(ids)), "doc_id", "left")
-    return top.join(corpus, "doc_id", "left")
+    rows = hits.repartition(key, "doc_id") if spread else hits
+    return (rows.withColumn("rank", F.row_number().over(w))
+                .where(F.col("rank") <= k))
+
+
+# Stored fields with a name of ours are returned under this prefix.
+CLASH_PREFIX = "stored_"
+
+
+def stored_name(field: str) -> str:
+    return CLASH_PREFIX + field if field in ("doc_id", "score", "snippets") else field
+
+
+def stored_fields(index, top: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Attach stored fields to the top hits: the hits come to the driver, as
+    the answer of the search they are, and are joined with the corpus, whose
+    scan gets ranges of their ids pushed (it is clustered on the id)."""
+    from quarry.operators.predicates import value_ranges
+    stored = [f for f in (index.schema.stored_fields() if fields is None else fields) if f != index.id_col]
+    rows = top.collect()
+    local = index.spark.createDataFrame(rows, top.schema)
+    corpus = index.corpus.where(value_ranges(f"`{index.id_col}`", [r["doc_id"] for r in rows]))
+    return local.join(corpus.select(F.col(f"`{index.id_col}`").alias("doc_id"),
+                                    *[F.col(f"`{f}`").alias(stored_name(f)) for f in stored]),
+                      "doc_id", "left")

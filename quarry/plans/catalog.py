@@ -1,8 +1,8 @@
 """The registered workload: one query per operator, over the given tables.
 
 Each function takes (spark, sf_dir) and returns a DataFrame; the index it
-searches is built from the tables under sf_dir (once per process and
-table, then reused), so the work grows with the tables.
+searches is built from the tables under sf_dir (once per process and set of
+source files, then reused), so the work grows with the tables.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from quarry.plans.searcher import Searcher
 from quarry.query import (Equals, Fuzzy, Phrase, Prefix, Range, Term, all_of, any_of,
                           any_words, boolean, match)
 from quarry.schema import Schema
-from quarry.session import checkpoint_dir, scratch_path
-from quarry.sources.corpus import COMMIT_COL, ingest, read_corpus
+from quarry.querystring import parse
+from quarry.session import checkpoint_dir, scratch_path, source_key
+from quarry.sources.corpus import COMMIT_COL, ingest
 
 DOCS_SCHEMA = (Schema()
                .add_text_field("text", stored=True)
@@ -39,6 +40,7 @@ CUSTOMER_SCHEMA = (Schema()
                    .add_text_field("c_name", stored=True)
                    .add_text_field("c_mktsegment", stored=True)
                    .add_i64_field("balance", stored=True)
+                   .add_u64_field("big", stored=True)        # above the signed range
                    .add_f64_field("c_acctbal", stored=True))
 
 EVENTS_SCHEMA = (Schema()
@@ -51,16 +53,14 @@ TURNS_SCHEMA = (Schema()
                 .add_text_field("role", stored=True)
                 .add_text_field("text", stored=True))
 
-# A conversation turn is one document; its id packs (conv_id, turn), with
-# turns numbered below TURN_SLOTS.
-TURN_SLOTS = 1000
-
 PAGES_SCHEMA = (Schema()
                 .add_text_field("html", stored=True)
                 .add_text_field("url", stored=True, indexed=False))
 
-# commit order used by the append / snapshot queries: one batch per language
-COMMIT_LANGS = ("en", "fr", "de", "es")
+# the append / snapshot queries write this many commits, by the id
+COMMITS = 3
+
+_BUILT: dict[tuple, str] = {}
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -73,32 +73,47 @@ def docs_frame(spark, sf) -> DataFrame:
     return _t(spark, sf, "documents").join(labels, "doc_id", "left")
 
 
+def _built(spark, name: str, make, *sources: DataFrame) -> Index:
+    """The index `make(path)` writes, once for each state of the source files."""
+    key = (name, checkpoint_dir(spark), *[source_key(d) for d in sources])
+    if key not in _BUILT:
+        path = scratch_path(spark, name)
+        make(path)
+        _BUILT[key] = path
+    return Index.open(spark, _BUILT[key])
+
+
+def _index(spark, sf, table: str, schema: Schema, df: DataFrame, id_col: str) -> Index:
+    return _built(spark, table, lambda path: Index.build(df, schema, id_col, path), df)
+
+
 def docs_index(spark, sf) -> Index:
-    checkpoint_dir(spark)
-    return Index.build(docs_frame(spark, sf), DOCS_SCHEMA)
+    return _index(spark, sf, "documents", DOCS_SCHEMA, docs_frame(spark, sf), "doc_id")
 
 
 def part_index(spark, sf) -> Index:
-    return Index.build(_t(spark, sf, "part"), PART_SCHEMA, id_col="p_partkey")
+    return _index(spark, sf, "part", PART_SCHEMA, _t(spark, sf, "part"), "p_partkey")
 
 
 def customer_index(spark, sf) -> Index:
-    c = _t(spark, sf, "customer").withColumn("balance", F.floor("c_acctbal").cast("long"))
-    return Index.build(c, CUSTOMER_SCHEMA, id_col="c_custkey")
+    c = _t(spark, sf, "customer").withColumns({
+        "balance": F.floor("c_acctbal").cast("long"),
+        "big": F.col("c_custkey").cast("decimal(20,0)") + F.lit(str(2 ** 63)).cast("decimal(20,0)")})
+    return _index(spark, sf, "customer", CUSTOMER_SCHEMA, c, "c_custkey")
 
 
 def events_index(spark, sf) -> Index:
-    return Index.build(_t(spark, sf, "events"), EVENTS_SCHEMA, id_col="event_id")
+    return _index(spark, sf, "events", EVENTS_SCHEMA, _t(spark, sf, "events"), "event_id")
 
 
 def turns_index(spark, sf) -> Index:
-    t = _t(spark, sf, "conversations").withColumn(
-        "doc_id", F.col("conv_id") * TURN_SLOTS + F.col("turn"))
-    return Index.build(t, TURNS_SCHEMA)
+    """A conversation turn is one document."""
+    t = _t(spark, sf, "conversations").withColumn("doc_id", F.concat_ws(":", "conv_id", "turn"))
+    return _index(spark, sf, "conversations", TURNS_SCHEMA, t, "doc_id")
 
 
 def pages_index(spark, sf) -> Index:
-    return Index.build(_t(spark, sf, "pages"), PAGES_SCHEMA, id_col="page_id")
+    return _index(spark, sf, "pages", PAGES_SCHEMA, _t(spark, sf, "pages"), "page_id")
 
 
 def _scored(df: DataFrame) -> DataFrame:
@@ -111,6 +126,18 @@ def _hits(index_fn, query):
     return run
 
 
+def _string_hits(index_fn, fields, text):
+    def run(spark, sf):
+        idx = index_fn(spark, sf)
+        return _scored(Searcher(idx).hits(parse(idx.schema, fields, text)))
+    return run
+
+
+def _as_long(df: DataFrame, *cols: str) -> DataFrame:
+    """Unsigned values that fit, as the plain integers of the source."""
+    return df.withColumns({c: F.col(c).cast("long") for c in cols})
+
+
 # ------------------------------------------------------------------ A: sources
 def q_ingest_typed(spark, sf):
     c = _t(spark, sf, "customer").select(
@@ -125,51 +152,46 @@ def q_ingest_typed(spark, sf):
               .add_u64_field("balance_u", stored=True)        # negatives -> null
               .add_bool_field("c_mktsegment", stored=True)    # string -> null
               .add_text_field("c_phone", stored=True))        # missing -> null
-    return ingest(c, schema)
+    return _as_long(ingest(c, schema), "c_nationkey", "balance_u")
 
 
 def q_corpus_scan(spark, sf):
-    idx = docs_index(spark, sf)
-    return read_corpus(spark, idx.path + "/corpus").select(
-        "doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
+    return _as_long(docs_index(spark, sf).corpus.select(
+        "doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"), "n_chars", "quality")
 
 
-_COMMITTED: dict = {}
+def _committed_index(spark, sf) -> Index:
+    """`documents` written as COMMITS commits, a document's by its id."""
+    docs = docs_frame(spark, sf)
 
+    def make(path):
+        idx = None
+        for c in range(COMMITS):
+            part = docs.where(F.pmod("doc_id", F.lit(COMMITS)) == c)
+            idx = idx.append(part, c) if idx else Index.build(part, DOCS_SCHEMA, path=path, commit_id=c)
 
-def _committed_index(spark, sf, reuse: bool = False) -> Index:
-    """`documents` written as one commit per language (COMMIT_LANGS order)."""
-    docs = docs_frame(spark, sf)
-    key = (docs.semanticHash(), checkpoint_dir(spark))
-    if reuse and key in _COMMITTED:
-        return Index.open(spark, _COMMITTED[key], DOCS_SCHEMA)
-    idx = Index.build(docs.where(F.col("lang") == COMMIT_LANGS[0]), DOCS_SCHEMA,
-                      path=scratch_path(spark, "commits"), commit_id=0, reuse=False)
-    for c, lang in enumerate(COMMIT_LANGS[1:], start=1):
-        idx = idx.append(docs.where(F.col("lang") == lang), c)
-    _COMMITTED[key] = idx.path
-    return idx
+    return _built(spark, "commits", make, docs)
 
 
 def q_append_commit(spark, sf):
-    idx = _committed_index(spark, sf)
-    return read_corpus(spark, idx.path + "/corpus").select("doc_id", "lang", "n_chars", COMMIT_COL)
+    return _as_long(_committed_index(spark, sf).corpus.select("doc_id", "lang", "n_chars", COMMIT_COL), "n_chars")
 
 
 def q_snapshot_read(spark, sf):
-    idx = _committed_index(spark, sf, reuse=True).as_of(1)
+    idx = _committed_index(spark, sf).as_of(1)
     return _scored(Searcher(idx).hits(Term("text", "the")))
 
 
 def q_stream_ingest(spark, sf):
+    """A folder that receives the documents in several files: each is a
+    micro-batch, and so a commit."""
     from quarry.streaming.ingest_stream import ingest_stream
     src = _t(spark, sf, "documents")
-    path = scratch_path(spark, "stream")
-    # a file stream source watches a folder: the table's file is picked by name
-    sdf = (spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1)
-                .option("pathGlobFilter", "documents.parquet").parquet(sf.rstrip("/")))
+    folder, path = scratch_path(spark, "incoming"), scratch_path(spark, "stream")
+    src.repartition(COMMITS, "doc_id").write.parquet(folder)
+    sdf = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     ingest_stream(spark, sdf, Schema().add_text_field("text", stored=True), path)
-    return spark.read.parquet(path + "/terms").select(
+    return Index.open(spark, path).terms.select(
         "doc_id", "field", "term", F.col("tf").cast("long").alias("tf"))
 
 
@@ -187,16 +209,18 @@ def q_postings(spark, sf):
 
 
 def q_term_stats(spark, sf):
-    idx = docs_index(spark, sf)
-    st = idx.stats()
-    v = idx.vocabulary(F.col("field") == "text")
-    n = st.where(F.col("field") == "text").select("n_docs").scalar()
+    """Per (field, term, document): tf and length; per term: df, cf, idf."""
     from quarry.operators.scoring import idf
-    return v.select("field", "term", "df", "cf", F.round(idf(F.col("df"), n), 6).alias("idf"))
+    idx = docs_index(spark, sf)
+    n, _ = idx.stat_columns()
+    rows = idx.terms.join(idx.vocabulary(), ["field", "term"])
+    return rows.select("field", "term", "doc_id", F.col("tf").cast("long").alias("tf"),
+                       F.col("dl").cast("long").alias("dl"), "df", "cf",
+                       F.round(idf(F.col("df"), n), 6).alias("idf"))
 
 
 def q_vocabulary(spark, sf):
-    return part_index(spark, sf).vocabulary().select("field", "term", "df")
+    return docs_index(spark, sf).vocabulary().select("field", "term", "df", "cf")
 
 
 def q_corpus_stats(spark, sf):
@@ -217,6 +241,7 @@ q_phrase_match = _hits(docs_index, Phrase("text", ["of", "the"]))
 q_range_u64 = _hits(docs_index, Range("n_chars", 100, 1000, "both", "u64"))
 q_range_i64 = _hits(customer_index, Range("balance", -500, 500, "lower", "i64"))
 q_range_f64 = _hits(events_index, Range("value", 10.0, 50.0, "neither", "f64"))
+q_range_u64_high = _hits(customer_index, Range("big", 2 ** 63 + 100, 2 ** 64 - 1, "both", "u64"))
 q_range_open = _hits(docs_index, Range("n_chars", 1000, None))
 q_field_equals = _hits(docs_index, Equals("toxic", True))
 
@@ -238,6 +263,13 @@ q_phrase_and_term = _hits(docs_index, boolean(must=[Phrase("text", ["of", "the"]
                                               must_not=[Term("text", "and")]))
 
 
+# query strings
+q_query_string_nested = _string_hits(
+    docs_index, ["text"], '+the (text:of OR "in the") -and')
+q_query_string_range = _string_hits(
+    docs_index, ["text"], "the AND (n_chars:[1000 TO 5000} OR toxic:true)")
+
+
 # ------------------------------------------------------------------ E: ranking
 q_bm25_score = _hits(docs_index, any_words(["text"], "the language of data"))
 q_constant_score = _hits(docs_index, any_of(Prefix("text", "lang"), Range("n_chars", 0, 100)))
@@ -255,8 +287,8 @@ def q_total_hits(spark, sf):
 def q_stored_fields(spark, sf):
     s = Searcher(docs_index(spark, sf))
     r = s.search(any_words(["text"], "the language of data"), 10)
-    return r.select("doc_id", F.round("score", 6).alias("score"), "lang", "n_chars",
-                    "quality", "toxic", "text")
+    return _as_long(r.select("doc_id", F.round("score", 6).alias("score"), "lang", "n_chars",
+                             "quality", "toxic", "text"), "n_chars", "quality")
 
 
 # ------------------------------------------------------------------ F: highlight
@@ -321,6 +353,7 @@ QUERIES = {
     "range_u64": q_range_u64,
     "range_i64": q_range_i64,
     "range_f64": q_range_f64,
+    "range_u64_high": q_range_u64_high,
     "range_open": q_range_open,
     "field_equals": q_field_equals,
     "bool_and": q_bool_and,
@@ -334,6 +367,8 @@ QUERIES = {
     "multi_field_turns": q_multi_field_turns,
     "text_and_range": q_text_and_range,
     "phrase_and_term": q_phrase_and_term,
+    "query_string_nested": q_query_string_nested,
+    "query_string_range": q_query_string_range,
     "bm25_score": q_bm25_score,
     "constant_score": q_constant_score,
     "top_k": q_top_k,

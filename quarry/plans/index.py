@@ -1,13 +1,20 @@
 """The index: corpus + term table + per-commit vocabulary and statistics.
 
-`Index.build` writes the four tables to the shared checkpoint folder (or a
-given path), so every later search reads parquet with pushdown instead of
-re-tokenising, and a lost executor recomputes from files, not lineage:
+`Index.build` writes the tables to a path (by default in the shared
+checkpoint folder), so every later search reads parquet with pushdown instead
+of re-tokenising, and a lost executor recomputes from files, not lineage:
 
-    corpus/  partitioned by commit_id
+    meta     schema and id column, as JSON
+    corpus/  partitioned by commit_id, clustered on the id
     terms/   partitioned by commit_id, field; range-clustered on (term, doc_id)
     vocab/   partitioned by commit_id, field; sorted on term
     stats/   one row per (commit_id, field)
+    commits/ an empty marker per commit, written last
+
+A commit counts once its marker is there: a reader lists the markers when it
+opens the index and reads only those partitions, so it sees a commit's four
+tables or none of them. What a broken write left is removed before its id is
+written again; a finished id is refused (a stream replaces its own).
 
 Range clustering on (term, doc_id) rather than term alone lets a very
 frequent term spread over many files instead of one.
@@ -15,55 +22,79 @@ frequent term spread over many files instead of one.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators import analysis
 from quarry.schema import Schema, SearchError
-from quarry.session import exists, scratch_path, touch
-from quarry.sources.corpus import COMMIT_COL, ingest
+from quarry.session import exists, get_text, names, put_text, remove, scratch_path
+from quarry.sources.corpus import COMMIT_COL, check_ids, ingest
 
-_CACHE: dict[tuple, str] = {}
-
-# Target bytes of input per written partition.
+# Target bytes of input per written partition. The term table holds
+# positions and is larger than its input, hence the factor.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+TERMS_PER_INPUT = 2
+TABLES = ("corpus", "terms", "vocab", "stats")
 
 
 def _write_partitions(spark: SparkSession, df: DataFrame) -> int:
-    """Output partitions for one commit: about one per 128 MB of input (from
-    the optimiser's size estimate), at least the cluster's default
-    parallelism, at most spark.sql.shuffle.partitions. A small commit then
-    writes a few files, not hundreds."""
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        # sum of the scanned relations (a join's own estimate, without table
-        # statistics, can be the product of its sides)
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
-        size = 0
-        while leaves.hasNext():
-            size += int(str(leaves.next().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: use the configured number
-        return cap
-    want = max(spark.sparkContext.defaultParallelism, -(-size // TARGET_PARTITION_BYTES))
-    return max(1, min(cap, want))
+    """Output partitions for one commit: one per 128 MB of input (the scanned
+    relations' sizes; a join's own estimate, without table statistics, can
+    be the product of its sides), the default parallelism at least. A source
+    whose size Spark does not know counts as the session's shuffle setting."""
+    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes").rstrip("bB"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    size, least = 0, spark.sparkContext.defaultParallelism
+    while leaves.hasNext():
+        n = int(str(leaves.next().stats().sizeInBytes()))
+        if n < unknown:
+            size += n
+        else:
+            least = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-TERMS_PER_INPUT * size // TARGET_PARTITION_BYTES))
+
+
+def _schemas(schema: Schema, id_col: str, id_type: T.DataType) -> dict[str, T.StructType]:
+    """The declared schemas of the four tables: reads need no inference, and
+    every commit has the same types."""
+    commit, field = T.StructField(COMMIT_COL, T.LongType()), T.StructField("field", T.StringType())
+    term = T.StructField("term", T.StringType())
+    fields = [T.StructField(f.name, f.spark_type()) for f in schema.fields if f.name != id_col]
+    return {
+        "corpus": T.StructType([T.StructField(id_col, id_type), *fields, commit]),
+        "terms": T.StructType([term, T.StructField("doc_id", id_type), T.StructField("dl", T.IntegerType()),
+                               T.StructField("tf", T.IntegerType()),
+                               T.StructField("positions", T.ArrayType(T.IntegerType())), commit, field]),
+        "vocab": T.StructType([term, T.StructField("df", T.LongType()), T.StructField("cf", T.LongType()),
+                               commit, field]),
+        "stats": T.StructType([field, T.StructField("n_docs", T.LongType()),
+                               T.StructField("total_len", T.LongType()), commit]),
+    }
 
 
 class Index:
     """A searchable view: corpus rows and the tables derived from them.
 
-    `commit` pins the view to a snapshot (`None` = everything written).
+    `commit` pins the view to a snapshot (`None` = everything committed when
+    the index was opened).
     """
 
     def __init__(self, spark: SparkSession, schema: Schema, corpus: DataFrame,
                  terms: DataFrame, vocab: DataFrame, stats: DataFrame,
                  id_col: str = "doc_id", path: str | None = None,
-                 commit: int | None = None):
+                 commit: int | None = None, commits: tuple[int, ...] | None = None):
         self.spark, self.schema, self.id_col = spark, schema, id_col
         self._corpus, self._terms, self._vocab, self._stats = corpus, terms, vocab, stats
-        self.path, self.commit = path, commit
+        self.path, self.commit, self.commits = path, commit, commits
         self._stat_rows = None
 
+    @property
+    def id_type(self) -> str:
+        return self._corpus.schema[self.id_col].dataType.simpleString()
+
     # ---------------------------------------------------------------- build
     @classmethod
     def from_corpus(cls, df: DataFrame, schema: Schema, id_col: str = "doc_id") -> "Index":
@@ -77,89 +108,112 @@ class Index:
                    analysis.commit_vocabulary(terms),
                    analysis.commit_stats(corpus, terms, fields), id_col)
 
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, schema: Schema, id_col: str, id_type: T.DataType) -> None:
+        """An index without commits."""
+        if exists(spark, path + "/meta"):
+            raise SearchError(f"Index already exists at '{path}'")
+        put_text(spark, path + "/meta", json.dumps({"id_col": id_col, "id_type": id_type.json(),
+                                                     "schema": schema.validate().to_json()}))
+
     @classmethod
     def build(cls, df: DataFrame, schema: Schema, id_col: str = "doc_id",
-              path: str | None = None, commit_id: int = 0,
-              partitions: int | None = None, reuse: bool = True) -> "Index":
+              path: str | None = None, commit_id: int = 0, partitions: int | None = None) -> "Index":
         """Ingest `df` as the first commit and write all index tables."""
         spark = df.sparkSession
-        key = (df.semanticHash(), repr(schema), id_col, commit_id)
-        if path is None and reuse and key in _CACHE and exists(spark, _CACHE[key] + "/_BUILT"):
-            return cls.open(spark, _CACHE[key], schema, id_col)
         path = path or scratch_path(spark, "index")
-        if exists(spark, path + "/corpus"):
-            raise SearchError(f"Index already exists at '{path}'")
-        corpus = ingest(df, schema, id_col).withColumn(COMMIT_COL, F.lit(commit_id).cast("long"))
-        cls._write_commit(spark, corpus, schema, id_col, path, partitions, "errorifexists",
-                          [commit_id])
-        touch(spark, path + "/_BUILT")   # written last: the build is complete
-        _CACHE[key] = path
-        return cls.open(spark, path, schema, id_col)
+        corpus = ingest(df, schema, id_col)
+        cls.create(spark, path, schema, id_col, corpus.schema[id_col].dataType)
+        cls._write_commit(spark, corpus, schema, id_col, path, commit_id, partitions)
+        return cls.open(spark, path)
 
     @staticmethod
-    def _write_commit(spark, corpus, schema, id_col, path, partitions, mode,
-                      commits, dynamic=False):
-        """Write commit(s) `commits` of corpus rows and their derived tables.
-
-        The term table is aggregated once and persisted (memory, spilling to
-        disk) while the range sampler, the term write, the vocabulary and the
-        statistics read it; a lost executor recomputes its blocks from lineage.
-        With `dynamic`, only the commit partitions present are replaced, so a
-        replayed batch rewrites its own commit and nothing else.
-        """
+    def _write_commit(spark, corpus: DataFrame, schema: Schema, id_col: str, path: str, commit_id: int,
+                      partitions: int | None = None, replace: bool = False) -> None:
+        """Write one commit: corpus rows, then the tables derived from them,
+        then the marker.
+
+        The texts are tokenised from the written corpus, each document in one
+        partition, so grouping its tokens needs no exchange; vocabulary and
+        statistics are read off the written term table."""
+        commit_id = int(commit_id)
+        done = [int(c) for c in names(spark, path + "/commits")]
+        if commit_id in done and not replace:
+            raise SearchError(f"Commit {commit_id} already exists at '{path}'")
+        marker = f"{path}/commits/{commit_id}"
+        remove(spark, marker)
+        for t in TABLES:
+            remove(spark, f"{path}/{t}/{COMMIT_COL}={commit_id}")
+        check_ids(corpus, id_col)
+        others = [c for c in done if c != commit_id]
+        if others:
+            earlier = Index.open(spark, path).corpus.where(F.col(COMMIT_COL).isin(others))
+            if not corpus.select(id_col).join(earlier.select(id_col), id_col, "left_semi").isEmpty():
+                raise SearchError(f"Document id '{id_col}' must be unique: an id of commit {commit_id} is indexed already")
         n = partitions or _write_partitions(spark, corpus)
         fields = schema.text_fields()
-        commits = [int(c) for c in commits]
+        schemas = _schemas(schema, id_col, corpus.schema[id_col].dataType)
+
+        def folder(table):
+            return f"{path}/{table}/{COMMIT_COL}={commit_id}"
 
-        def writer(df, *parts):
-            w = df.write.mode(mode)
-            if dynamic:
-                w = w.option("partitionOverwriteMode", "dynamic")
-            return w.partitionBy(*parts)
+        def written(table):
+            # files of this commit, with the commit as a column again
+            kept = T.StructType([f for f in schemas[table].fields if f.name != COMMIT_COL])
+            return (spark.read.schema(kept).parquet(folder(table))
+                         .withColumn(COMMIT_COL, F.lit(commit_id).cast("long")))
 
         # corpus: clustered on the id so that a hit lookup by id skips files
-        writer(corpus.repartitionByRange(n, id_col).sortWithinPartitions(id_col),
-               COMMIT_COL).parquet(path + "/corpus")
-        # tokenise from the written files: as many tasks as files, not as
-        # many as the source happened to have
-        batch = spark.read.parquet(path + "/corpus").where(F.col(COMMIT_COL).isin(commits))
-        terms = analysis.term_table(batch, fields, id_col).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            writer(terms.repartitionByRange(n, "field", "term", "doc_id")
-                        .sortWithinPartitions("field", "term", "doc_id"),
-                   COMMIT_COL, "field").parquet(path + "/terms")
-            writer(analysis.commit_vocabulary(terms)
-                     .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term"),
-                   COMMIT_COL, "field").parquet(path + "/vocab")
-            writer(analysis.commit_stats(batch, terms, fields).coalesce(1),
-                   COMMIT_COL).parquet(path + "/stats")
-        finally:
-            terms.unpersist()
+        (corpus.drop(COMMIT_COL).repartitionByRange(n, F.col(f"`{id_col}`")).sortWithinPartitions(F.col(f"`{id_col}`"))
+               .write.parquet(folder("corpus")))
+        batch = written("corpus")
+        terms = analysis.term_table(batch, fields, id_col, partitions=n).drop(COMMIT_COL)
+        (terms.repartitionByRange(n, "field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
+              .write.partitionBy("field").parquet(folder("terms")))
+        terms = written("terms")
+        # fields as partition folders need a row to exist; an empty commit has none
+        (analysis.commit_vocabulary(terms).drop(COMMIT_COL)
+                 .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term")
+                 .write.partitionBy("field").parquet(folder("vocab")))
+        (analysis.commit_stats(batch, terms, fields).drop(COMMIT_COL).coalesce(1)
+                 .write.parquet(folder("stats")))
+        put_text(spark, marker)
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, schema: Schema,
-             id_col: str = "doc_id") -> "Index":
-        if not exists(spark, path + "/corpus"):
+    def open(cls, spark: SparkSession, path: str) -> "Index":
+        """Open a written index: schema and id column are stored with it."""
+        if not exists(spark, path + "/meta"):
             raise SearchError(f"Index not found at '{path}'")
-        rd = spark.read
-        return cls(spark, schema, rd.parquet(path + "/corpus"), rd.parquet(path + "/terms"),
-                   rd.parquet(path + "/vocab"), rd.parquet(path + "/stats"), id_col, path)
+        meta = json.loads(get_text(spark, path + "/meta"))
+        schema, id_col = Schema.from_json(meta["schema"]), meta["id_col"]
+        schemas = _schemas(schema, id_col, T._parse_datatype_json_string(meta["id_type"]))
+        commits = tuple(sorted(int(c) for c in names(spark, path + "/commits")))
+
+        def read(table):
+            if not commits:
+                return spark.createDataFrame([], schemas[table])
+            df = spark.read.schema(schemas[table]).parquet(f"{path}/{table}")
+            return df.where(F.col(COMMIT_COL).isin(list(commits)))
+
+        return cls(spark, schema, *(read(t) for t in TABLES), id_col, path, None, commits)
 
     def append(self, df: DataFrame, commit_id: int) -> "Index":
         """Write one more batch as commit `commit_id` and reopen (A3)."""
         if self.path is None:
             raise SearchError("append needs a written index (Index.build)")
         corpus = ingest(df, self.schema, self.id_col)
-        corpus = corpus.withColumn(COMMIT_COL, F.lit(commit_id).cast("long"))
-        self._write_commit(self.spark, corpus, self.schema, self.id_col, self.path,
-                           None, "append", [commit_id])
-        return Index.open(self.spark, self.path, self.schema, self.id_col)
+        self._write_commit(self.spark, corpus, self.schema, self.id_col, self.path, commit_id)
+        return Index.open(self.spark, self.path)
+
+    def drop(self) -> None:
+        """Remove a written index (a scratch copy that is no longer needed)."""
+        remove(self.spark, self.path)
 
     # ---------------------------------------------------------------- views
     def as_of(self, commit_id: int) -> "Index":
         """Snapshot: commits after `commit_id` are invisible (A4)."""
         return Index(self.spark, self.schema, self._corpus, self._terms, self._vocab,
-                     self._stats, self.id_col, self.path, commit_id)
+                     self._stats, self.id_col, self.path, commit_id, self.commits)
 
     def _pin(self, df: DataFrame) -> DataFrame:
         if self.commit is None:
@@ -207,15 +261,16 @@ class Index:
         return {r["field"]: (int(r["n_docs"]), int(r["total_len"]) / max(int(r["n_docs"]), 1))
                 for r in self._stats_rows()}
 
-    def stat_columns(self, field_col: str = "field"):
+    def stat_columns(self, field="field"):
         """(n_docs, avgdl) columns for rows of any field: literal lookups."""
+        field = F.col(field) if isinstance(field, str) else field
         vals = self.stat_values()
         if not vals:
             return F.lit(None).cast("long"), F.lit(None).cast("double")
         keys = sorted(vals)
         n = F.create_map(*[x for f in keys for x in (F.lit(f), F.lit(vals[f][0]).cast("long"))])
         a = F.create_map(*[x for f in keys for x in (F.lit(f), F.lit(float(vals[f][1])))])
-        return F.try_element_at(n, F.col(field_col)), F.try_element_at(a, F.col(field_col))
+        return F.try_element_at(n, field), F.try_element_at(a, field)
 
     def stats(self) -> DataFrame:
         """(field, n_docs, total_len, avgdl): one row per text field."""

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators import ranking
 from quarry.operators.boolean import evaluate
-from quarry.query import Fuzzy, Prefix, Query, Range, Term, any_words
+from quarry.query import Fuzzy, Prefix, Query, Range, Term
+from quarry.querystring import parse
 from quarry.schema import F64, I64, U64, SearchError
 
 
@@ -21,23 +22,21 @@ class Searcher:
         self.index = index
 
     # ------------------------------------------------------------ matching
-    def hits(self, query: Query | None) -> DataFrame:
+    def hits(self, query: Query) -> DataFrame:
         """Every matching document with its score: (doc_id, score)."""
-        if query is None:
-            return self.index.spark.createDataFrame([], "doc_id long, score double")
         return evaluate(self.index, query)
 
-    def search(self, query: Query | None, limit: int = ranking.DEFAULT_LIMIT,
+    def search(self, query: Query, limit: int = ranking.DEFAULT_LIMIT,
                stored: bool = True) -> DataFrame:
         """Top `limit` hits, best first, with their stored fields."""
         if not isinstance(limit, int) or limit < 1:
             raise SearchError("limit must be a positive integer")
         top = ranking.top_k(self.hits(query), limit)
         if stored:
-            top = ranking.stored_fields(self.index, top, limit)
+            top = ranking.stored_fields(self.index, top)
         return top.orderBy(*ranking.rank_order())
 
-    def total_hits(self, query: Query | None, limit: int = ranking.DEFAULT_LIMIT) -> DataFrame:
+    def total_hits(self, query: Query, limit: int = ranking.DEFAULT_LIMIT) -> DataFrame:
         """(total_hits, total_matches): hits returned (capped by the limit,
         as the reference reports) and the uncapped number of matches."""
         hits = self.hits(query)
@@ -48,14 +47,16 @@ class Searcher:
     def search_term(self, field: str, value: str, limit: int = 10) -> DataFrame:
         return self.search(Term(field, value), limit)
 
-    def search_query(self, query: Query | str, default_fields, limit: int = 10) -> DataFrame:
-        if isinstance(query, str):
-            query = any_words(default_fields, query)
-        elif not default_fields:
+    def parsed(self, query: Query | str, default_fields) -> Query:
+        """A query string over the default fields as a query value."""
+        if not default_fields:
             raise SearchError("At least one default field must be provided")
         for f in default_fields:
             self.index.schema.field(f)
-        return self.search(query, limit)
+        return parse(self.index.schema, default_fields, query) if isinstance(query, str) else query
+
+    def search_query(self, query: Query | str, default_fields, limit: int = 10) -> DataFrame:
+        return self.search(self.parsed(query, default_fields), limit)
 
     def search_prefix(self, field: str, prefix: str, limit: int = 10) -> DataFrame:
         return self.search(Prefix(field, prefix), limit)
@@ -87,11 +88,12 @@ class Searcher:
         from quarry.operators.batch import batch_fuzzy
         return batch_fuzzy(self.index, words, field, distance, transposition, word_col)
 
-    def search_with_snippets(self, query: Query, snippet_fields, max_snippet_chars: int = 150,
-                             limit: int = 10) -> DataFrame:
+    def search_with_snippets(self, query: Query | str, snippet_fields, max_snippet_chars: int = 150,
+                             limit: int = 10, default_fields=()) -> DataFrame:
         from quarry.operators.highlight import attach_snippets
-        top = self.search(query, limit)
-        return attach_snippets(self.index, top, query, snippet_fields, max_snippet_chars)
+        if isinstance(query, str):
+            query = self.parsed(query, default_fields)
+        return attach_snippets(self.index, self.search(query, limit), query, snippet_fields, max_snippet_chars)
 
     def search_fuzzy_with_snippets(self, field, term, snippet_fields, distance=1,
                                    transposition=True, max_snippet_chars=150, limit=10):

@@ -1,8 +1,8 @@
 """Query values: small immutable objects compiled to one DataFrame plan.
 
-Each syntax form of a query string is a constructor here; there is no
-string parser. Leaves are Term, Phrase, Prefix, Fuzzy, Range and Equals;
-Bool composes them with must / should / must_not semantics.
+Leaves are Term, Phrase, Prefix, Fuzzy, Range, Equals and Nothing; Bool
+composes them with must / should / must_not semantics. `quarry.querystring`
+turns a query string into these values.
 """
 
 from __future__ import annotations
@@ -20,6 +20,11 @@ class Query:
         yield self
 
 
+@dataclass(frozen=True)
+class Nothing(Query):
+    """Matches no document (a clause whose text holds no token)."""
+
+
 @dataclass(frozen=True)
 class Term(Query):
     """Exact token. The value is not analysed: `Term("title", "Hello")` only
@@ -119,7 +124,7 @@ def boolean(must=(), should=(), must_not=()) -> Bool:
     return Bool(must=must, should=should, must_not=must_not)
 
 
-def match(fields, text: str) -> Query | None:
+def match(fields, text: str) -> Query:
     """The query-string leaf `f:text`: analysed; several tokens are a phrase.
     With several default fields the leaf is an OR over them."""
     if isinstance(fields, str):
@@ -128,12 +133,12 @@ def match(fields, text: str) -> Query | None:
         raise SearchError("At least one default field must be provided")
     toks = analyse(text)
     if not toks:
-        return None
+        return Nothing()
     per_field = [Term(f, toks[0]) if len(toks) == 1 else Phrase(f, toks) for f in fields]
     return per_field[0] if len(per_field) == 1 else Bool(should=per_field)
 
 
-def any_words(fields, text: str) -> Query | None:
+def any_words(fields, text: str) -> Query:
     """Bare words `a b` over default fields: an OR of the words, each an OR
     over the fields."""
     if isinstance(fields, str):
@@ -141,9 +146,8 @@ def any_words(fields, text: str) -> Query | None:
     if not fields:
         raise SearchError("At least one default field must be provided")
     words = [match(fields, w) for w in analyse(text)]
-    words = [w for w in words if w is not None]
     if not words:
-        return None
+        return Nothing()
     return words[0] if len(words) == 1 else Bool(should=words)
 
 

@@ -6,7 +6,8 @@ All validation happens on the driver, before a Spark job starts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import types as T
 
@@ -42,7 +43,7 @@ class Field:
     def spark_type(self) -> T.DataType:
         return {
             TEXT: T.StringType(),
-            U64: T.LongType(),
+            U64: T.DecimalType(20, 0),      # the whole unsigned 64-bit range
             I64: T.LongType(),
             F64: T.DoubleType(),
             BOOL: T.BooleanType(),
@@ -107,12 +108,12 @@ class Schema:
             )
         return f
 
-    def to_struct(self) -> T.StructType:
-        return T.StructType([
-            T.StructField(f.name, f.spark_type(), True,
-                          {"quarry.type": f.type, "stored": f.stored, "indexed": f.indexed})
-            for f in self.fields
-        ])
+    def to_json(self) -> str:
+        return json.dumps([asdict(f) for f in self.fields])
+
+    @classmethod
+    def from_json(cls, text: str) -> "Schema":
+        return cls(Field(**f) for f in json.loads(text))
 
     def __repr__(self):
         return f"Schema({list(self.fields)!r})"

@@ -1,6 +1,3 @@
-from quarry.sources.corpus import (
-    COMMIT_COL, append_commit, as_of, create_corpus, ingest, read_corpus,
-)
+from quarry.sources.corpus import COMMIT_COL, check_ids, ingest
 
-__all__ = ["COMMIT_COL", "ingest", "read_corpus", "create_corpus",
-           "append_commit", "as_of"]
+__all__ = ["COMMIT_COL", "ingest", "check_ids"]

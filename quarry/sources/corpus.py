@@ -1,18 +1,16 @@
-"""Typed ingest and the stored corpus (scan, create, append commit, snapshot).
+"""Typed ingest: incoming rows onto the declared schema.
 
-A corpus is a parquet table partitioned by `commit_id`. Each commit is one
-append; a reader pinned to commit v filters `commit_id <= v`, which Spark
-turns into partition pruning, so later commits stay invisible.
+A corpus is a parquet table partitioned by `commit_id`; `quarry.plans.index`
+writes its commits and reads them back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.schema import BOOL, F64, I64, TEXT, U64, U64_MAX, Schema, SearchError
-from quarry.session import exists
 
 COMMIT_COL = "commit_id"
 
@@ -29,13 +27,11 @@ def _coerce(src: Column, src_type: T.DataType, field_type: str) -> Column:
     if field_type == TEXT:
         return src if isinstance(src_type, T.StringType) else F.lit(None).cast("string")
     if field_type == U64:
-        if is_int:
-            return F.when(src >= 0, src.cast("long"))
-        if is_dec0:
-            # unsigned values beyond the signed range keep full precision
-            return F.when((src >= 0) & (src <= F.lit(str(U64_MAX)).cast("decimal(20,0)")),
-                          src.cast("decimal(20,0)"))
-        return F.lit(None).cast("long")
+        if is_int or is_dec0:
+            wide = src.cast("decimal(38,0)")
+            return F.when((wide >= 0) & (wide <= F.lit(str(U64_MAX)).cast("decimal(38,0)")),
+                          wide.cast("decimal(20,0)"))
+        return F.lit(None).cast("decimal(20,0)")
     if field_type == I64:
         if is_int:
             return src.cast("long")
@@ -75,29 +71,11 @@ def ingest(df: DataFrame, schema: Schema, id_col: str = "doc_id") -> DataFrame:
     return df.select(*cols)
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Open a stored corpus. A missing path is an error, raised on the driver."""
-    if not exists(spark, path):
-        raise SearchError(f"Index not found at '{path}'")
-    return spark.read.parquet(path)
-
-
-def create_corpus(df: DataFrame, path: str, commit_id: int = 0) -> None:
-    """Create a corpus from a first batch; refuses an existing path."""
-    (df.withColumn(COMMIT_COL, F.lit(commit_id).cast("long"))
-       .write.mode("errorifexists").partitionBy(COMMIT_COL).parquet(path))
-
-
-def append_commit(df: DataFrame, path: str, commit_id: int) -> None:
-    """Make one batch searchable as a unit: one partition per commit.
-
-    The write committer publishes the commit atomically; a reader sees all
-    of it or none.
-    """
-    (df.withColumn(COMMIT_COL, F.lit(commit_id).cast("long"))
-       .write.mode("append").partitionBy(COMMIT_COL).parquet(path))
-
-
-def as_of(df: DataFrame, commit_id: int) -> DataFrame:
-    """The corpus as a reader opened after `commit_id` sees it."""
-    return df.where(F.col(COMMIT_COL) <= F.lit(commit_id))
+def check_ids(corpus: DataFrame, id_col: str) -> None:
+    """Refuse a batch in which an id is null or occurs twice: a search sums a
+    document's scores by its id, so such rows would be taken for one."""
+    bad = (corpus.groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+                 .where("n > 1 or id is null").limit(1).collect())
+    if bad:
+        what = "is null" if bad[0]["id"] is None else f"{bad[0]['id']} occurs {bad[0]['n']} times"
+        raise SearchError(f"Document id '{id_col}' must be unique: it {what}")

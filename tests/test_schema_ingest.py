@@ -44,7 +44,12 @@ def test_unsigned_decimal_source(spark):
     assert int(r[1]) == 18446744073709551615 and r[2] is None
 
 
-def test_missing_corpus_is_error(spark):
-    from quarry.sources.corpus import read_corpus
+def test_missing_index_is_error(spark, tmp_path):
+    from quarry import Index
     with pytest.raises(SearchError, match="not found"):
-        read_corpus(spark, "/tmp/quarry-does-not-exist-xyz")
+        Index.open(spark, str(tmp_path / "none"))
+
+
+def test_schema_round_trip():
+    s = Schema().add_text_field("t", stored=True).add_u64_field("n", indexed=False).add_bool_field("b")
+    assert Schema.from_json(s.to_json()).fields == s.fields

@@ -202,14 +202,14 @@ def test_snapshot(spark, tmp_path):
     from quarry.plans.index import Index
     s = Schema().add_text_field("text", stored=True)
     first = spark.createDataFrame([(1, "first")], "doc_id long, text string")
-    idx = Index.build(first, s, path=str(tmp_path / "ix"), reuse=False)
+    idx = Index.build(first, s, path=str(tmp_path / "ix"))
     old = Searcher(idx)
     idx2 = idx.append(spark.createDataFrame([(2, "first second")], "doc_id long, text string"), 1)
     assert ids(Searcher(idx2.as_of(0)).hits(Term("text", "first"))) == [1]
     assert ids(Searcher(idx2).hits(Term("text", "first"))) == [1, 2]
     assert old.index.commit is None
     with pytest.raises(SearchError, match="already exists"):
-        Index.build(first, s, path=str(tmp_path / "ix"), reuse=False)
+        Index.build(first, s, path=str(tmp_path / "ix"))
 
 
 def test_fuzzy_containment(make_index):

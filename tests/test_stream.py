@@ -16,7 +16,7 @@ def test_stream_equals_batch(spark, tmp_path):
     s = Schema().add_text_field("text", stored=True)
     out = str(tmp_path / "ix")
     ingest_stream(spark, sdf, s, out)
-    streamed = Index.open(spark, out, s)
+    streamed = Index.open(spark, out)
     commits = sorted(r[0] for r in streamed.corpus.select("commit_id").distinct().collect())
     assert commits == [0, 1]
     batch = Index.from_corpus(spark.createDataFrame(rows, schema), s)
