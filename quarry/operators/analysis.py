@@ -58,8 +58,11 @@ def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
               .select(*keys, "toks", F.size("toks").alias("dl")))
     exploded = (toks.select(*keys, "dl", F.posexplode_outer("toks").alias("pos", "term"))
                     .where(F.col("term").isNotNull()))
-    group = [c for c in (COMMIT_COL, "field", "term", "doc_id", "dl") if c in exploded.columns]
+    # the term first: rows are sorted by the keys, and a term's first bytes
+    # tell rows apart better than an id that a whole document shares
+    group = [c for c in ("term", "doc_id", "field", COMMIT_COL) if c in exploded.columns]
     return exploded.groupBy(*group).agg(
+        F.any_value("dl").alias("dl"),
         F.count(F.lit(1)).cast("int").alias("tf"),
         F.array_sort(F.collect_list("pos")).alias("positions"),
     )

@@ -167,9 +167,16 @@ class Index:
         (corpus.drop(COMMIT_COL).repartitionByRange(n, F.col(f"`{id_col}`")).sortWithinPartitions(F.col(f"`{id_col}`"))
                .write.parquet(folder("corpus")))
         batch = written("corpus")
-        terms = analysis.term_table(batch, fields, id_col, partitions=n).drop(COMMIT_COL)
-        (terms.repartitionByRange(n, "field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
+        # tokens are counted once and kept aside: the range exchange reads its
+        # input twice (for the bounds, then for the rows)
+        aside = f"{path}/_aside/{commit_id}"
+        remove(spark, aside)
+        counted = analysis.term_table(batch.drop(COMMIT_COL), fields, id_col, partitions=n)
+        counted.write.parquet(aside)
+        (spark.read.schema(counted.schema).parquet(aside)
+              .repartitionByRange(n, "field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
               .write.partitionBy("field").parquet(folder("terms")))
+        remove(spark, aside)
         terms = written("terms")
         # fields as partition folders need a row to exist; an empty commit has none
         (analysis.commit_vocabulary(terms).drop(COMMIT_COL)

@@ -29,6 +29,7 @@ def main():
         "phrase (C7)": s.hits(Phrase("text", ["of", "the"])),
         "prefix (C3)": s.hits(Prefix("text", "men")),
         "batch search, top 10 per query (G1)": batch.batch_search(idx, qs, "text", 10),
+        "batch typo correction (G2)": batch.batch_fuzzy(idx, qs.select(F.explode(F.split("text", " ")).alias("word")), "text"),
     }
     print("# Physical plans\n")
     print(f"Generated by `tools/show_plans.py` at `{sf}` (local[8], AQE on; the plans are the "
