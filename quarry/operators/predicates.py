@@ -24,7 +24,7 @@ LEAF_COLS = ("leaf_id", "doc_id", "score")
 
 # Value ranges that are pushed to a scan for a list of values. Spark pushes an
 # IN of more than ten values only as one span from the least to the greatest.
-PUSHED_RANGES = 32
+PUSHED_RANGES = 200
 # Values that are brought to the driver to make such ranges of; the filter
 # they make is exact only together with the join or list it goes with.
 PUSHED_VALUES = 1000
