@@ -42,8 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and as `text` what they decode to."""
-    encoded = sentencepiece_bpe.encode(docs, PIECE_MODEL)
-    return sentencepiece_bpe.decode(encoded, PIECE_MODEL, out_col="text")
+    return sentencepiece_bpe.encode(docs, PIECE_MODEL, decoded_col="text")
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("repeat_dedup", repeat_dedup), ("mix", mix),

@@ -48,7 +48,7 @@ ROWS = 6                # signature values in a band: 3 permutations, both ends
 MISS = 2e-5             # chance to miss a pair exactly at the threshold
 BLOCK = 128             # documents that are compared with one another in a task
 PIVOTS = 8              # documents that all blocks of a large cluster share
-SLICE_BYTES = 1 << 20   # text that is hashed at once
+SLICE_BYTES = 1 << 19   # text that is hashed at once
 
 _RNG = np.random.default_rng(77)
 _FACTORS = _RNG.integers(0, 2 ** 63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)

@@ -29,7 +29,7 @@ from quarry.llm.shingles import join_words, powers, prefix, word_table
 FIT_ROWS = 20_000        # labelled documents that the trees are fitted on, about
 TREES, DEPTH, BINS, RATE, L2, LEAST_WEIGHT = 60, 4, 32, 0.15, 1.0, 2.0
 THRESHOLD = 0.3
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 # Kinds of bytes, by the characters that belong to them.
 KINDS = {
@@ -226,7 +226,7 @@ def score(docs: DataFrame, trees: Trees, text_col: str = "text", keep: list[str]
 
     def run(batches):
         for b in batches:
-            s = trees.score(_statistics_of(b.column("_text")))
+            s = trees.score(_statistics_of(b.column(b.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64())], names=schema.names)
     return src.mapInArrow(run, schema)
 

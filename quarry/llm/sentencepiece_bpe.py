@@ -30,12 +30,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import fresh
 
 MARK = "▁"
-CACHE_WORDS = 400_000          # words kept by a Python worker; more start a new cache
+CACHE_WORDS = 150_000          # words kept by a Python worker; more start a new cache
 BATCH_WORDS = 50_000           # words that one set of merge rounds takes
 
 _NO = np.iinfo(np.int64).max
@@ -285,25 +286,29 @@ def _runs(column: pa.Array, limit: int = 1 << 20):
         yield at, run
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
-    """`docs` with `ids` (array of int) and `n_tokens`; other columns stay,
-    but for ones of these two names, which are replaced."""
-    src = fresh(docs, "ids", "n_tokens")
-    out = T.StructType([f for f in src.schema.fields]
-                       + [T.StructField("ids", T.ArrayType(T.IntegerType())),
-                          T.StructField("n_tokens", T.LongType())])
-    at = src.columns.index(text_col)
+def encode(docs: DataFrame, model_path: str, text_col: str = "text",
+           decoded_col: str | None = None) -> DataFrame:
+    """`docs` with `ids` (array of int) and `n_tokens`, and with what the ids
+    decode to in `decoded_col` if one is named; other columns stay, but for
+    ones of these names, which are replaced."""
+    kept = fresh(docs, "ids", "n_tokens", *([decoded_col] if decoded_col else [])).columns
+    src = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_text"))
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+    added += [T.StructField(decoded_col, T.StringType())] if decoded_col else []
+    out = T.StructType([*src.schema.fields[:-1], *added])
 
     def run(batches):
         enc = encoder(model_path)
         for b in batches:
-            for row, texts in _runs(b.column(at)):
+            for row, texts in _runs(b.column(len(kept))):
                 ids = [_ids_of(es) for es in enc.lookup(texts)]
                 n = np.array([len(x) for x in ids], np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()),
                                                  pa.array(np.concatenate(ids), pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [*b.slice(row, len(texts)).columns, lists, pa.array(n)], names=out.names)
+                cols = [*b.slice(row, len(texts)).columns[:-1], lists, pa.array(n)]
+                if decoded_col:
+                    cols.append(pa.array([enc.decode(x.tolist()) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, names=out.names)
     return src.mapInArrow(run, out)
 
 

@@ -48,7 +48,7 @@ L = 200                  # length of a repeated string, in bytes
 K = 32                   # length of an anchor
 GROUP = 20_000           # contexts of one anchor that a task takes together
 BATCH = 20_000           # contexts whose rounds run together (more if a group is larger)
-SLICE_BYTES = 1 << 21    # text that is hashed at once
+SLICE_BYTES = 1 << 19    # text that is hashed at once
 PAD = 0xFF               # never a byte of UTF-8
 
 SECOND = _RNG.integers(0, 2 ** 64, 256, np.uint64)
