@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh
+from quarry.llm.common import fresh, written
 
 SEED = 17
 TEMPERATURE = 2.0      # default target weight of a source: its rows to the power 1 / TEMPERATURE
@@ -78,7 +78,9 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, wanted: float | None
         given = weights.select(_name(weights.columns[0]).alias("name"),
                                F.col(weights.columns[1]).cast("double").alias("weight"))
         sources = sources.drop("weight").join(given, "name", "left").fillna(0.0, ["weight"])
-    table = rates(sources.where("weight > 0"), wanted)
+    # written, so that the planner knows its size: broadcast if that is below
+    # the session's threshold, and no shuffle of the documents by source
+    table = written(rates(sources.where("weight > 0"), wanted), "rates")
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     drawn = _uniform(F.lit(str(seed)), key)
     names = [F.col(f"`{c}`") for c in src.columns]
