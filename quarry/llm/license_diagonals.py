@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import ascii_lower, table, written
@@ -92,24 +92,17 @@ def spans(found: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first")))
     whole = lines.where("exact and n = pairs").select("tid", "size", "label", "exact", F.col("d").alias("first"),
                                                      F.lit(1.0).alias("share"))
-    # notices: a text's votes on one template are folded in order of their
-    # diagonal, so that neighbours within DRIFT make one run; the list holds a
-    # row a diagonal, at most as many as the text has words
-    per = (lines.where("not exact").groupBy("tid", "size", "template", "label", "exact", "pairs")
-                .agg(F.sort_array(F.collect_list(F.struct("d", "n", "first"))).alias("ds")))
-    empty = F.array().cast("array<struct<d:int,n:bigint,first:int>>")
-
-    def fold(acc, x):
-        last = F.element_at(acc, -1)
-        joins = (F.size(acc) > 0) & (x.d - F.try_element_at(acc, F.lit(-1)).d <= DRIFT)
-        return F.when(joins, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-            x.d.alias("d"), (last.n + x.n).alias("n"), F.least(last.first, x.first).alias("first"))))).otherwise(
-            F.concat(acc, F.array(F.struct(x.d.alias("d"), x.n.alias("n"), x.first.alias("first")))))
-
-    runs = per.select("tid", "size", "label", "exact", "pairs", F.explode(F.aggregate("ds", empty, fold)).alias("r"))
-    partial = (runs.withColumn("share", F.least(F.lit(1.0), F.col("r.n") / F.col("pairs")))
+    # notices: neighbouring diagonals within DRIFT make one run; a window holds a
+    # text's diagonals on one template, at most as many as it has words
+    order = Window.partitionBy("tid", "size", "template").orderBy("d")
+    apart = F.coalesce(F.col("d") - F.lag("d").over(order) > DRIFT, F.lit(False)).cast("int")
+    runs = (lines.where("not exact").withColumn("apart", apart)
+                 .withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+                 .groupBy("tid", "size", "template", "label", "exact", "pairs", "run")
+                 .agg(F.sum("n").alias("n"), F.min("first").alias("first")))
+    partial = (runs.withColumn("share", F.least(F.lit(1.0), F.col("n") / F.col("pairs")))
                    .where(F.col("share") >= SHARE)
-                   .select("tid", "size", "label", "exact", F.col("r.first").alias("first"), "share"))
+                   .select("tid", "size", "label", "exact", "first", "share"))
     return whole.unionByName(partial)
 
 
@@ -124,6 +117,9 @@ def scan(docs: DataFrame, tmpl: DataFrame | None = None) -> DataFrame:
         F.max(F.when(F.col("exact"), F.col("first"))).cast("long").alias("last_word"),
         join(F.collect_set(F.when(F.col("exact"), F.col("label")))).alias("base_labels"),
         join(F.collect_set("label")).alias("labels"), F.max("share").alias("score"))
+    # written: the join below then has an exchange on either side, and Spark can
+    # split the key of a text with very many copies
+    found = written(found, "found")
     keyed = src.select("doc_id", F.xxhash64("text").alias("tid"), F.octet_length("text").alias("size"),
                        F.size(_words(F.col("text"))).cast("long").alias("n_words"))
     return keyed.join(found, ["tid", "size"], "left").select(
