@@ -37,7 +37,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,7 @@ from quarry.llm.shingles import _RNG, BYTE_VALUE, mix, powers, prefix
 L = 200                  # length of a repeated string, in bytes
 K = 32                   # length of an anchor
 GROUP = 20_000           # contexts of one anchor that a task takes together
+SALTS = 16               # tasks that the occurrences of one context are spread over
 BATCH = 20_000           # contexts whose rounds run together (more if a group is larger)
 SLICE_BYTES = 1 << 19    # text that is hashed at once
 PAD = 0xFF               # never a byte of UTF-8
@@ -247,19 +248,18 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", group: int = GROUP)
     spark = docs.sparkSession
     texts = (docs.select(F.xxhash64(text_col).alias("tid"), F.col(text_col).alias("text"))
                  .where(F.octet_length("text") >= L))
-    known = _anchor_rows(texts, True).groupBy("h").count().where("count > 1").select("h")
+    # written, so that the join below has an exchange on either side and Spark
+    # can split the hash of a very common passage
+    known = written(_anchor_rows(texts, True).groupBy("h").count().where("count > 1").select("h"), "known")
     rows = written(_anchor_rows(texts, False).join(known.hint("merge"), "h"), "anchors")
-    kinds = rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"),
-                                       F.min(F.struct("tid", "place")).alias("one"))
-    kinds = written(kinds, "contexts")
+    settled, kinds = _kinds(rows)
     groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
     pos, size = F.col("place").bitwiseAND(0xFFFFFFFF), F.shiftright("place", 32)
-    whole = (rows.join(kinds.where("n > 1").select("h", "c"), ["h", "c"])
-             .select("tid", size.alias("size"), F.greatest(pos - (L - K), F.lit(0)).alias("begin"),
-                     F.least(pos + L, size).alias("end")).distinct())
+    whole = settled.select("tid", size.alias("size"), F.greatest(pos - (L - K), F.lit(0)).alias("begin"),
+                           F.least(pos + L, size).alias("end")).distinct()
     # contexts to compare: of anchors with several kinds, one of them unique
     open_ = (kinds.join(groups.where("kinds > 1 and least = 1"), "h")
-                  .select("h", "n", "kinds", "one.tid", "one.place"))
+                  .select("h", "n", "kinds", "tid", "place"))
     per_text = (open_.groupBy("tid", F.shiftright("place", 32).alias("size"))
                      .agg(F.collect_list(F.struct("h", "n", "kinds", "place")).alias("open")))
     # one copy of a text is enough, whichever row has it
@@ -270,8 +270,30 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", group: int = GROUP)
     large = contexts.where(F.col("kinds") > group)
     if not large.isEmpty():
         spans = spans.unionByName(_count_windows(large))
-    return spans.groupBy("tid", "size").agg(
-        F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
+    # written: the join with the documents then has an exchange on either side,
+    # and Spark can split the key of a text with very many copies
+    return written(spans.groupBy("tid", "size").agg(
+        F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends")), "spans")
+
+
+def _kinds(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(occurrences of contexts that occur twice or more; one row (h, c, n, tid,
+    place) of each context, n its number of occurrences).
+
+    Occurrences are counted by windows over (h, c, salt), so a very common
+    context is spread over SALTS tasks, and then over (h, c), where at most two
+    rows a salt are left."""
+    # dealt by row number, since copies of a text have equal ids and places
+    salted = rows.withColumn("salt", F.monotonically_increasing_id() % SALTS)
+    near = Window.partitionBy("h", "c", "salt")
+    one = written(salted.withColumn("n", F.count(F.lit(1)).over(near))
+                        .withColumn("at", F.row_number().over(near.orderBy("tid", "place"))), "salted")
+    both = Window.partitionBy("h", "c")
+    left = written(one.where("at = 1").withColumn("all", F.sum("n").over(both))
+                      .withColumn("first", F.row_number().over(both.orderBy("tid", "place"))), "contexts")
+    names = ["h", "c", "tid", "place"]
+    settled = one.where("n > 1").select(*names).unionByName(left.where("n = 1 and all > 1").select(*names))
+    return settled, left.where("first = 1").select("h", "c", F.col("all").alias("n"), "tid", "place")
 
 
 def _cut_contexts(fetched: DataFrame) -> DataFrame:
