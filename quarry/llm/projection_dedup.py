@@ -4,10 +4,17 @@ A vector's hash bits are the signs of its products with random directions;
 near vectors agree in most bits. Each pass takes its own directions,
 concatenates the bits, sorts all vectors by them over the whole table, and
 compares each vector with the next WINDOW ones by cosine. Pairs that reach the
-threshold are united across passes. A pass misses a pair when a bit near the
-front differs; the number of passes grows with the logarithm of the table so
-that a pair exactly at the threshold is missed by all with a chance of about
-MISS.
+threshold are united across passes.
+
+In a crowded place more than WINDOW strangers stand between the ends of a
+pair. Runs of vectors that agree in a pass's first `prefix_bits` bits and are
+longer than the window are therefore compared all against all, in blocks of
+at most BLOCK against BLOCK; blocks that lie in one component already are left
+out, and if the runs of all passes are more work than comparing every vector
+that stands in one with every other, that is done instead. A pass so finds every
+pair that agrees in these bits, which depends on the pair's angle alone: a pair
+exactly at the threshold is missed by all passes with a chance of at most MISS,
+however dense its surroundings are.
 
 A window is too short for a large group of near copies, but chains of
 neighbours connect the group all the same. The links of each vector are
@@ -49,14 +56,19 @@ SEED = 20240229
 
 
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS) -> int:
-    """Passes until a pair at the threshold is missed with a chance of about
-    `miss`: it comes within the window if the bits that tell it from the
-    window's worth of strangers agree."""
+    """Passes until a pair at the threshold is missed with a chance of at most
+    `miss`: a pass finds it if its first `prefix_bits` bits agree."""
     agree = 1 - math.acos(threshold) / math.pi
-    found = agree ** max(1.0, math.log2(max(n, 2) / window))
+    found = agree ** prefix_bits(n, window)
     return max(4, math.ceil(math.log(miss) / math.log(1 - min(found, 0.9))))
 
 
+def prefix_bits(n: int, window: int = WINDOW) -> int:
+    """Bits that vectors of a run agree in: were the bits fair, a run would be
+    no longer than the window on average."""
+    return min(BITS, max(1, math.ceil(math.log2(max(n, 2) / window))))
+
+
 def _matrix(column) -> np.ndarray:
     """(rows, dimension) of a list column whose lists have one length."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -161,13 +173,13 @@ def _window_links(blocks: DataFrame, threshold: float) -> DataFrame:
     return src.mapInArrow(run, "a long, b long")
 
 
-def _ranked(keys: DataFrame) -> DataFrame:
-    """(rank, rep, v): the place of each row in the order of (pass, key, rep).
+def _ranked(rows: DataFrame, *order: str) -> DataFrame:
+    """`rows` with `rank`, the place of each row in the order of these columns.
     The sorted table is written; ranks come from its rows' places within a
     partition and the partitions' sizes (a row a partition)."""
-    spark = keys.sparkSession
-    sorted_ = written(keys.repartitionByRange(tasks_for(spark), "pass", "key", "rep")
-                          .sortWithinPartitions("pass", "key", "rep")
+    spark = rows.sparkSession
+    sorted_ = written(rows.repartitionByRange(tasks_for(spark), *order)
+                          .sortWithinPartitions(*order)
                           .withColumn("at", F.monotonically_increasing_id()), "sorted")
     part = F.shiftright("at", 33).alias("part")
     before, sizes = 0, []
@@ -176,7 +188,78 @@ def _ranked(keys: DataFrame) -> DataFrame:
         before += r["count"]
     starts = spark.createDataFrame(sizes or [(0, 0)], "part long, start long")
     return (sorted_.withColumn("part", part).join(F.broadcast(starts), "part")
-                   .select((F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("rank"), "rep", "v"))
+                   .select((F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("rank"), *rows.columns))
+
+
+def _run_links(keys: DataFrame, reps: DataFrame, found: DataFrame, bits: int, threshold: float) -> DataFrame | None:
+    """(a, b): links between components, of vectors that agree in the first
+    `bits` bits of a pass and stand in a run longer than the window; None if no
+    run is. `keys`: (pass, key, rep); `found`: (rep, component)."""
+    spark, run = keys.sparkSession, ["pass", "prefix"]
+    keys = keys.select("pass", F.shiftright("key", BITS - bits).alias("prefix"), "rep")
+    runs = written(keys.groupBy(run).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WINDOW + 1), "runs")
+    work = runs.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0]
+    if work is None:
+        return None
+    crowd = written(keys.join(runs, run).select(*run, "rep"), "crowd")
+    once = crowd.select("rep").distinct()
+    if work > float(once.count()) ** 2:
+        crowd = once.select(F.lit(0).alias("pass"), F.lit(0).cast("long").alias("prefix"), "rep")
+    # in the order of components, so that most blocks of a large one hold nothing else
+    ranked = _ranked(crowd.join(found, "rep", "left").select(*run, F.coalesce("component", "rep").alias("component"), "rep"),
+                     *run, "component", "rep")
+    starts = written(ranked.groupBy(run).agg(F.min("rank").alias("start")), "starts")
+    placed = written(ranked.join(starts, run).select(
+        *run, F.floor((F.col("rank") - F.col("start")) / BLOCK).alias("block"), "component", "rep"), "placed")
+    blocks = written(placed.groupBy(*run, "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")), "blocks")
+    x = blocks.select(*run, F.col("block").alias("x"), F.col("lo").alias("xlo"), F.col("hi").alias("xhi"))
+    y = blocks.select(*run, F.col("block").alias("y"), "lo", "hi")
+    pairs = written(x.join(y, run).where((F.col("x") <= F.col("y")) & (F.least("xlo", "lo") != F.greatest("xhi", "hi")))
+                     .select(*run, "x", "y"), "blockpairs")
+    cols = [*run, "x", "y"]
+    asks = placed.withColumnRenamed("block", "x").join(pairs, [*run, "x"]).select(*cols, F.lit(True).alias("asks"), "component", "rep")
+    answers = (placed.withColumnRenamed("block", "y").join(pairs.where("x < y"), [*run, "y"])
+                     .select(*cols, F.lit(False).alias("asks"), "component", "rep"))
+    src = (asks.unionByName(answers).join(reps.select("rep", "v"), "rep").withColumn("grp", F.xxhash64(*cols))
+               .repartition(tasks_for(spark), "grp").sortWithinPartitions("grp", *cols)
+               .select(*cols, "asks", "component", "rep", "v"))
+
+    def close(parts):
+        t = pa.Table.from_batches(parts).combine_chunks()
+        asks = t.column("asks").to_numpy()
+        component, rep = t.column("component").to_numpy(), t.column("rep").to_numpy()
+        v = t.column("v").chunk(0)
+        size = np.diff(v.offsets.to_numpy())
+        for dim in np.unique(size).tolist():
+            q = np.flatnonzero(asks & (size == dim))
+            r = q if asks.all() else np.flatnonzero(~asks & (size == dim))
+            if len(q) and len(r):
+                near = _unit(_matrix(v.take(pa.array(q)))) @ _unit(_matrix(v.take(pa.array(r)))).T >= threshold
+                i, j = np.nonzero(near & (component[q][:, None] != component[r][None, :]))
+                yield from _forest(rep, q[i], r[j])
+
+    def links(parts):
+        out = list(close(parts)) if parts else []
+        return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
+                                           pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+
+    def compare(batches):
+        held, key = [], None
+        for b in batches:
+            names = np.stack([b.column(i).to_numpy() for i in range(4)], axis=1)
+            cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(names)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
+                    continue
+                now = tuple(names[i].tolist())
+                if held and now != key:
+                    yield links(held)
+                    held = []
+                key = now
+                held.append(b.slice(i, j - i))
+        yield links(held)
+
+    return src.mapInArrow(compare, "a long, b long")
 
 
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -246,14 +329,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     reps = written(base.where("digest is not null").groupBy("digest")
                        .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.any_value("v").alias("v"))
                        .where(F.col("rep").isNotNull()), "reps")
-    passes = passes_for(reps.count(), threshold)
-    ranked = _ranked(_keys(reps, passes))
+    n = reps.count()
+    ranked = _ranked(_keys(reps, passes_for(n, threshold)), "pass", "key", "rep")
     block = F.floor(F.col("rank") / STEP)
     blocks = ranked.select(F.explode(F.when((F.col("rank") % STEP < WINDOW) & (F.col("rank") >= STEP),
                                             F.array(block - 1, block)).otherwise(F.array(block))).alias("block"),
                            "rank", "rep", "v")
-    found = components(written(_window_links(blocks, threshold), "pairs"))
-    found = written(found.select(F.col("id").alias("rep"), F.col("component")), "components")
+    pairs = written(_window_links(blocks, threshold), "pairs")
+    united = lambda e: written(components(e).select(F.col("id").alias("rep"), F.col("component")), "components")
+    found = united(pairs)
+    more = _run_links(ranked, reps, found, prefix_bits(n), threshold)
+    if more is not None:
+        found = united(pairs.unionByName(written(more, "runlinks")))
     counts = _link_counts(reps.join(found, "rep").select("component", "rep", "v", "weight"), threshold)
     rows = (reps.select("digest", "rep", "weight").join(found, "rep", "left").join(counts, "rep", "left")
                 .select("digest", F.coalesce("component", "rep").alias("component_id"),

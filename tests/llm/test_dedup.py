@@ -123,6 +123,33 @@ def test_vectors(spark, monkeypatch):
                   for r in projection_dedup.near_duplicates(alone).collect()) == [("5", 0, 5, True), ("None", 0, None, False)]
 
 
+def _dense_cloud(rows, others, pairs):
+    """`others` strangers, a cloud of `rows` vectors with cosines of about 0.9,
+    and for `pairs` of these a partner at 0.951."""
+    rng = np.random.default_rng(6)
+    unit = lambda m: m / np.linalg.norm(m, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal(64))
+    cloud = unit(np.sqrt(0.9) * centre + np.sqrt(0.1) * unit(rng.standard_normal((rows, 64))))
+    some = cloud[:pairs]
+    aside = rng.standard_normal(some.shape)
+    aside = unit(aside - (aside * some).sum(axis=1, keepdims=True) * some)
+    return np.vstack([rng.standard_normal((others, 64)), cloud, 0.951 * some + np.sqrt(1 - 0.951 ** 2) * aside])
+
+
+@pytest.mark.parametrize("rows,block", [(4000, 1024), (300, 70)])
+def test_vectors_in_a_dense_cloud(spark, monkeypatch, rows, block):
+    monkeypatch.setattr(projection_dedup, "BLOCK", block)
+    x = _dense_cloud(rows, 2 * rows, min(rows // 4, 300))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.triu(unit @ unit.T >= 0.95, 1)
+    links = near.sum(axis=0) + near.sum(axis=1)
+    want = _classes(range(len(x)), zip(*(i.tolist() for i in np.nonzero(near))))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in projection_dedup.near_duplicates(df).collect()}
+    wrong = [i for i in got if got[i] != (links[i], want[i], want[i] == i)]
+    assert len(got) == len(x) and wrong == []
+
+
 def _brute_repeats(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = {}
