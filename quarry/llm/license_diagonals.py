@@ -5,8 +5,14 @@ the license templates (a fixed, small table, broadcast). A match at text
 word p and template word t lies on the diagonal p - t; a template that
 stands in a text shows as many matches on one diagonal. Votes are counted by
 (text, template, diagonal) with partial sums; neighbouring diagonals, as
-left by an inserted or lost word, are merged; a merged run is a span if it
-holds enough of the template's pairs.
+left by an inserted or lost word, are merged into runs.
+
+A run with enough votes is verified: its span is the longest chain of matches
+whose template places and text places both increase, with at most DRIFT
+diagonals of change for each template place it goes on. The chain must hold
+enough of the template's pairs; each counts once, so a repeated pair adds
+nothing, and a chain is never longer than the template and what is inserted
+in it, however long the run is.
 
 A short phrase (a template marked exact) must have all its pairs on one
 diagonal, so its words stand there consecutively. The join compares words
@@ -82,6 +88,29 @@ def votes(docs: DataFrame, tmpl: DataFrame) -> DataFrame:
     return (pairs.join(small, hit).select("tid", "size", "template", "label", "exact", "pairs", "tpos", "pos").distinct())
 
 
+def _chain(matches, pairs):
+    """(n, first): length and first text place of the longest chain of matches
+    (pos, tpos), which come in this order. A chain's neighbours are less than
+    (DRIFT + 1) * pairs words apart, so only that much is kept: linear in the run."""
+    def step(state, m):
+        near = F.filter(state["kept"], lambda k: k["pos"] > m["pos"] - (DRIFT + 1) * pairs)
+        before = F.filter(near, lambda k: (k["pos"] < m["pos"]) & (k["tpos"] < m["tpos"])
+                          & (F.abs((m["pos"] - k["pos"]) - (m["tpos"] - k["tpos"])) <= DRIFT * (m["tpos"] - k["tpos"])))
+        # the longest chain so far, the leftmost of equals
+        last = F.array_max(F.transform(before, lambda k: F.struct(k["n"].alias("n"), (-k["first"]).alias("left"))))
+        n = F.coalesce(last["n"], F.lit(0)) + 1
+        first = F.coalesce(-last["left"], m["pos"])
+        now = F.array(F.struct(m["pos"].alias("pos"), m["tpos"].alias("tpos"), n.alias("n"), first.alias("first")))
+        better = n > state["best"]["n"]
+        return F.struct(F.concat(near, now).alias("kept"), F.struct(
+            F.when(better, n).otherwise(state["best"]["n"]).alias("n"),
+            F.when(better, first).otherwise(state["best"]["first"]).alias("first")).alias("best"))
+
+    start = F.expr("named_struct('kept', cast(array() as array<struct<pos: int, tpos: int, n: int, first: int>>),"
+                   " 'best', named_struct('n', 0, 'first', 0))")
+    return F.aggregate(matches, start, step, lambda state: state["best"])
+
+
 def spans(found: DataFrame) -> DataFrame:
     """(tid, size, label, exact, first, share): verified places of templates.
     `first` is the template's first word in the text, `share` the share of
@@ -94,15 +123,21 @@ def spans(found: DataFrame) -> DataFrame:
                                                      F.lit(1.0).alias("share"))
     # notices: neighbouring diagonals within DRIFT make one run; a window holds a
     # text's diagonals on one template, at most as many as it has words
-    order = Window.partitionBy("tid", "size", "template").orderBy("d")
+    key = ["tid", "size", "template"]
+    order = Window.partitionBy(*key).orderBy("d")
     apart = F.coalesce(F.col("d") - F.lag("d").over(order) > DRIFT, F.lit(False)).cast("int")
-    runs = (lines.where("not exact").withColumn("apart", apart)
-                 .withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-                 .groupBy("tid", "size", "template", "label", "exact", "pairs", "run")
-                 .agg(F.sum("n").alias("n"), F.min("first").alias("first")))
-    partial = (runs.withColumn("share", F.least(F.lit(1.0), F.col("n") / F.col("pairs")))
-                   .where(F.col("share") >= SHARE)
-                   .select("tid", "size", "label", "exact", "first", "share"))
+    voted = (lines.where("not exact").withColumn("apart", apart)
+                  .withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+                  .withColumn("votes", F.sum("n").over(Window.partitionBy(*key, "run")))
+                  .where(F.col("votes") >= SHARE * F.col("pairs")).select(*key, "d", "run"))
+    matches = (found.where("not exact").withColumn("d", diagonal).join(voted, [*key, "d"])
+                    .groupBy(*key, "label", "exact", "pairs", "run")
+                    .agg(F.array_sort(F.collect_list(F.struct("pos", "tpos"))).alias("matches"))
+                    .where(F.size(F.array_distinct("matches.tpos")) >= SHARE * F.col("pairs")))
+    partial = (matches.withColumn("best", _chain(F.col("matches"), F.col("pairs")))
+                      .withColumn("share", F.col("best.n") / F.col("pairs"))
+                      .where(F.col("share") >= SHARE)
+                      .select("tid", "size", "label", "exact", F.col("best.first").alias("first"), "share"))
     return whole.unionByName(partial)
 
 

@@ -135,6 +135,35 @@ def test_licenses(spark):
     assert license_diagonals.scan(df.limit(0)).collect() == []
 
 
+def _longest_chain(words, template):
+    matches = [(p, t) for p in range(len(words) - 1) for t in range(len(template) - 1)
+               if words[p:p + 2] == template[t:t + 2]]
+    best = {}
+    for p, t in matches:
+        best[p, t] = 1 + max([n for (q, u), n in best.items()
+                              if q < p and u < t and abs(p - q - t + u) <= license_diagonals.DRIFT * (t - u)], default=0)
+    return max(best.values(), default=0)
+
+
+def test_license_spans_are_verified(spark):
+    notices = license_diagonals.NOTICES
+    split = license_diagonals._template_words
+    apache, nc, bsd = (split(notices[k]) for k in ("apache-notice", "cc-by-nc", "bsd-text"))
+    far = bsd[:5] + ["a", "b", "c"] + bsd[5:12] + ["d", "e"] + bsd[12:]
+    odd = {"2.0 2.0 2.0 2.0 2.0 2.0": "", "4.0, 4.0, 4.0, 4.0, 4.0": "", "4.0 " * 500: "",
+           "2.0 version 2 license version apache license the apache under the licensed under": "apache",
+           " ".join(reversed(apache)): "", " ".join(" ".join(nc[i:i + 2]) for i in range(len(nc) - 2, -1, -1)): "",
+           "4.0 " * 300 + notices["cc-by-nc"] + " 4.0" * 300: "cc-by-nc", " ".join(far): "bsd-text",
+           notices["apache-notice"] + ". " + notices["apache-notice"]: "apache,apache-notice"}
+    df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_diagonals.scan(df).collect()}
+    for i, (text, labels) in enumerate(odd.items()):
+        assert got[i].labels == labels, text
+        share = max(_longest_chain(split(text), split(t)) / (len(split(t)) - 1) for t in notices.values())
+        if "apache" not in labels:
+            assert got[i].score == (share if share >= license_diagonals.SHARE else 0), text
+
+
 def test_mixing(spark):
     rows = [(i, f"t{i}", "big" if i % 3 else None if i % 2 else "small", 0) for i in range(3000)] + [(5, "t5", "big", 0), (None, "t", "tiny", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, copy int")
