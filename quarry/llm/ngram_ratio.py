@@ -10,10 +10,10 @@ the score is the mean weight of the text's n-grams. A text is kept if its
 score reaches THRESHOLD, a fixed number: every document is judged, and by
 itself.
 
-The raw counts cover the whole corpus, with partial sums before the shuffle.
-The trusted counts come from at most about TRUSTED_ROWS documents that
-`labels` calls good, picked by a hash of the id. Both end in one row of
-BUCKETS numbers, which the scoring plan holds as a constant.
+The raw counts cover the whole corpus, the trusted counts all documents that
+`labels` calls good; both are taken in one pass, with partial sums before the
+shuffle, and end in one row of BUCKETS numbers, which the scoring plan holds as
+a constant.
 
 Nulls count as texts without words, which fail the base rules. Everything
 about one text happens within its row, however long it is; repeated rows are
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from quarry.llm.common import SPACE_CLASS, table, written
 
 BUCKETS = 1 << 14
-TRUSTED_ROWS = 20_000       # trusted documents that are counted, about
 SMOOTH = 1.0                # added to each bucket's count
 THRESHOLD = -0.4            # least mean log-ratio of a kept text
 WINDOW = 5
@@ -104,22 +103,24 @@ def buckets(text: Column) -> Column:
 
 
 def _counts(texts: DataFrame) -> DataFrame:
-    return (texts.select(F.explode(buckets(F.col("text"))).alias("bucket"))
-                 .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    """(bucket, raw, trusted) of (text, good)."""
+    return (texts.select(F.explode(buckets(F.col("text"))).alias("bucket"), "good")
+                 .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("good").alias("trusted")))
 
 
-def weights(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: `weights`, an array of BUCKETS log-ratios."""
     spark = docs.sparkSession
     good = labels.where(F.col("quality") == 1).select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    total = good.count()
-    if total > trusted_rows:
-        good = good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * trusted_rows / total))
+    # written, so that the planner knows its size and broadcasts it only if it is small
+    good = written(good, "good").withColumn("good", F.lit(True))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    raw = _counts(texts).withColumnRenamed("n", "raw")
-    trusted = _counts(texts.join(F.broadcast(good), "doc_id", "left_semi")).withColumnRenamed("n", "trusted")
+    known = texts.where(F.col("doc_id").isNotNull()).join(good, "doc_id", "left")
+    unknown = texts.where(F.col("doc_id").isNull())          # kept from the join, where they would be one key
+    counts = _counts(known.select("text", F.coalesce("good", F.lit(False)).alias("good"))
+                          .unionByName(unknown.select("text", F.lit(False).alias("good"))))
     both = (spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-                 .join(raw, "bucket", "left").join(trusted, "bucket", "left").fillna(0, ["raw", "trusted"]))
+                 .join(counts, "bucket", "left").fillna(0, ["raw", "trusted"]))
     row = both.agg(F.sum("raw").alias("nr"), F.sum("trusted").alias("nt"),
                    F.sort_array(F.collect_list(F.struct("bucket", "raw", "trusted"))).alias("b"))
     one = F.lit(SMOOTH * BUCKETS)

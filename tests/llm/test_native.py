@@ -109,6 +109,16 @@ def test_score_by_hand(spark):
     assert abs(got[0] - sum(w[i] for i in at) / 3) < 1e-6 and got[2] == 0
 
 
+def test_trusted_counts_cover_all_good_documents(spark):
+    docs = spark.range(21_000).selectExpr("id as doc_id", "concat('word', id, ' of ', id % 7) as text")
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    # all documents are good: trusted and raw counts are the same
+    assert set(ngram_ratio.weights(docs, labels).first()["weights"]) == {0.0}
+    anonymous = docs.limit(3).selectExpr("cast(null as long) as doc_id", "'rare ' || text as text")
+    found = ngram_ratio.weights(docs.unionByName(anonymous), labels).first()["weights"]
+    assert len(found) == ngram_ratio.BUCKETS and min(found) < 0
+
+
 PHRASE = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
 
 
