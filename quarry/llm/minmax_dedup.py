@@ -2,7 +2,7 @@
 
 Each hash permutation gives two signature values, the smallest and the
 largest hash of a document's shingle set, so a signature of 2p values costs
-p evaluations per shingle. Both agree between two sets with a chance equal
+p evaluations per shingle. Each agrees between two sets with a chance equal
 to their Jaccard similarity. Bands of these values bring candidates
 together; links are confirmed on the full sets, and components are the
 classes.
@@ -56,8 +56,17 @@ _TERMS = _RNG.integers(0, 2 ** 64, 4096, np.uint64)
 
 
 def bands_for(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
-    """Bands with which a pair at the threshold shares none with a chance under `miss`."""
-    return math.ceil(math.log(miss) / math.log(1 - threshold ** rows))
+    """Bands with which a pair at the threshold shares none with a chance under `miss`.
+
+    Of n shingles in either set, m in both, a permutation's smallest and largest
+    are both shared with a chance of m (m - 1) / (n (n - 1)), which is less than
+    (m / n)^2 and least for small sets; with n it goes to threshold^2."""
+    both = threshold ** 2
+    for n in range(2, 1000):
+        m = math.ceil(threshold * n - 1e-9)
+        if m < n:
+            both = min(both, m * (m - 1) / (n * (n - 1)))
+    return math.ceil(math.log(miss) / math.log(1 - both ** (rows // 2)))
 
 
 def signatures(h: np.ndarray, at: np.ndarray, bands: int, rows: int = ROWS) -> np.ndarray:

@@ -87,6 +87,14 @@ def test_more_bands_for_lower_thresholds():
     assert minmax_dedup.bands_for(0.8) > minmax_dedup.bands_for(0.85)
 
 
+def test_bands_cover_small_sets():
+    for num, small in ((85, [(6, 7), (17, 20)]), (80, [(4, 5), (8, 10)])):
+        bands = minmax_dedup.bands_for(num / 100)
+        for m, n in small:
+            band = (m * (m - 1) / (n * (n - 1))) ** (minmax_dedup.ROWS // 2)
+            assert (1 - band) ** bands < minmax_dedup.MISS
+
+
 def test_vectors(spark, monkeypatch):
     monkeypatch.setattr(projection_dedup, "BLOCK", 7)
     monkeypatch.setattr(projection_dedup, "STEP", 80)
