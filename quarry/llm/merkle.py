@@ -175,18 +175,21 @@ def _unlimited_recursion(spark: SparkSession):
         spark.conf.set(key, old)
 
 
-# `place` is the climbing row's place in the run of its next node.
+# A climb: `place` is the row's place in the run of its next node. The first
+# step is made where the climb starts; what is found there is the leaf and
+# then its siblings, on later steps the siblings alone.
+_BESIDE = "concat(substring(kids, 1, 32 * place), substring(kids, 32 * place + 33))"
+_FOLD = "unhex(sha2(lower(hex(concat(substring(kids, 1, 32 * place), folded, substring(kids, 32 * place + 33)))), 256))"
+_PLACE = f"""CAST(CASE WHEN n.step <= c.h THEN shiftright(c.pos, {FAN_BITS} * (n.step - 1))
+                 ELSE shiftright(c.tree, {FAN_BITS} * (n.step - c.h - 1)) END & {FAN - 1} AS int) AS place"""
 CLIMB = f"""
 WITH RECURSIVE climb(tree, pos, h, doc_id, step, up, found, folded) AS (
-  SELECT tree, pos, h, doc_id, 0 AS step, shiftright(pos, {FAN_BITS}) AS up, leaf AS found, tampered AS folded
-  FROM {{leaves}}
+  SELECT tree, pos, h, doc_id, step, up, coalesce(concat(leaf, {_BESIDE}), leaf) AS found, coalesce({_FOLD}, folded) AS folded
+  FROM (SELECT c.tree, c.pos, c.h, c.doc_id, 1 AS step, n.up, n.kids, c.leaf, c.tampered AS folded, {_PLACE}
+        FROM {{leaves}} c LEFT JOIN {{nodes}} n ON n.tree = c.tree AND n.step = 1 AND n.block = shiftright(c.pos, {FAN_BITS}))
   UNION ALL
-  SELECT tree, pos, h, doc_id, step, up,
-         concat(substring(kids, 1, 32 * place), substring(kids, 32 * place + 33)) AS found,
-         unhex(sha2(lower(hex(concat(substring(kids, 1, 32 * place), folded, substring(kids, 32 * place + 33)))), 256)) AS folded
-  FROM (SELECT c.tree, c.pos, c.h, c.doc_id, n.step, n.up, n.kids, c.folded,
-               CAST(CASE WHEN n.step <= c.h THEN shiftright(c.pos, {FAN_BITS} * (n.step - 1))
-                         ELSE shiftright(c.tree, {FAN_BITS} * (n.step - c.h - 1)) END & {FAN - 1} AS int) AS place
+  SELECT tree, pos, h, doc_id, step, up, {_BESIDE} AS found, {_FOLD} AS folded
+  FROM (SELECT c.tree, c.pos, c.h, c.doc_id, n.step, n.up, n.kids, c.folded, {_PLACE}
         FROM climb c JOIN {{nodes}} n ON n.tree = c.tree AND n.step = c.step + 1 AND n.block = c.up)
 )
 SELECT tree, pos, doc_id, step, found, folded FROM climb
@@ -206,10 +209,10 @@ def proofs(docs: DataFrame) -> DataFrame:
     path = (climb.groupBy("tree", "pos", "doc_id")
                  .agg(F.sort_array(F.collect_list(F.struct("step", "found"))).alias("path"),
                       F.max_by("folded", "step").alias("folded")))
-    beside = F.array_join(F.transform(F.slice("path", 2, 1 << 30), lambda x: F.lower(F.hex(x.found))), "")
+    beside = F.substr(F.array_join(F.transform("path", lambda x: F.lower(F.hex(x.found))), ""), F.lit(65))
     root = F.lit(None if root is None else root.hex()).cast("string")
     rows = path.join(subroots.select("tree", "subroot"), "tree").select(
-        "doc_id", _text(F.col("path")[0].found).alias("leaf"), _text(F.col("subroot")).alias("subroot"), root.alias("root"),
+        "doc_id", F.substring(_text(F.col("path")[0].found), 1, 64).alias("leaf"), _text(F.col("subroot")).alias("subroot"), root.alias("root"),
         F.sha2(beside, 256).alias("proof_sha256"), _text(F.col("folded")).alias("folded_root"),
         (_text(F.col("folded")) == root).alias("verified"))
     with _unlimited_recursion(spark):
@@ -232,7 +235,7 @@ def _sql_leaf(text: str) -> str:
 ORACLE = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, lang, {_sql_leaf('text')} AS leaf,
-         CASE WHEN {_CRC} % 3 = 0 THEN {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+         CASE WHEN doc_id IS NOT NULL AND {_CRC} % 3 = 0 THEN {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
   FROM documents),
 p AS (SELECT *, coalesce(lang, '') || CASE WHEN lang IS NULL THEN '0' ELSE '1' END AS tree,
              row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
