@@ -5,10 +5,11 @@ form a stratum, in which a term's contribution depends on its tf alone:
 w * impact(tf, m), impact = (10^9 tf) div (1000 tf + 12 m). The index keeps, a
 row a block of a stratum, each term's postings in runs of equal tf, highest
 first; an impact is computed once for each (m, tf) of a block, never for each
-posting. `directory` holds (term, m, docs, top tf).
+posting.
 
-A batch of queries is answered in two visits. From the directory come each
-term's weight and, for each query and stratum, a bound: the sum over its words
+A batch of queries is answered in two visits. From the blocks' vocabularies
+(term, documents, top tf) come each term's weight and, for each query and
+stratum, a bound: the sum over its words
 of w * impact(top tf, m). The first visit reads, for each query, blocks of the
 strata with the highest bounds until they hold FIRST_DOCS documents; the k-th
 best score found is a lower bound of the final one. The second visit reads the
@@ -77,33 +78,34 @@ def terms_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_TO_TERMS).split() if text else []
 
 
+def _lengths(batches):
+    """Terms of each text, without those of none."""
+    for batch in batches:
+        n = [len(terms_of(t.as_py())) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x in n if x], pa.int64())], ["n"])
+
+
 def _forward(batches):
-    """Texts to (doc_id, n, terms, tfs), without documents of no term."""
+    """Texts to (doc_id, n, terms, tfs), without documents of no term: distinct
+    terms with a space between, their tf as packed 32-bit integers."""
     for batch in batches:
-        ids, ns, ends, terms, tfs = [], [], [0], [], []
+        rows, size = [], 0
         for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
             words = terms_of(text.as_py())
-            if not words:
-                continue
-            count = Counter(words)
-            ids.append(doc_id.as_py())
-            ns.append(len(words))
-            terms.extend(count.keys())
-            tfs.extend(count.values())
-            ends.append(len(terms))
-            if len(terms) > 1_000_000:
-                yield _forward_batch(ids, ns, ends, terms, tfs)
-                ids, ns, ends, terms, tfs = [], [], [0], [], []
-        if ids:
-            yield _forward_batch(ids, ns, ends, terms, tfs)
-
-
-def _forward_batch(ids, ns, ends, terms, tfs) -> pa.RecordBatch:
-    off = pa.array(ends, pa.int32())
-    return pa.RecordBatch.from_arrays([
-        pa.array(ids, pa.int64()), pa.array(ns, pa.int64()),
-        pa.ListArray.from_arrays(off, pa.array(terms, pa.binary()).cast(pa.string())),
-        pa.ListArray.from_arrays(off, pa.array(tfs, pa.int32()))], ["doc_id", "n", "terms", "tfs"])
+            if words:
+                count = Counter(words)
+                rows.append((doc_id.as_py(), len(words), b" ".join(count), np.fromiter(count.values(), "<i4", len(count)).tobytes()))
+                size += len(rows[-1][2])
+            if size > 1 << 22:
+                yield _forward_batch(rows)
+                rows, size = [], 0
+        if rows:
+            yield _forward_batch(rows)
+
+
+def _forward_batch(rows) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                                      ["doc_id", "n", "terms", "tfs"])
 
 
 _BLOCK = ("m int, block int, docs array<long>, terms array<string>, counts array<int>, tops array<int>, "
@@ -114,12 +116,11 @@ def _block(key, table):
     """One block: postings by term, within it by descending tf, in runs of equal tf."""
     table = table.combine_chunks()
     ids = table.column("doc_id").combine_chunks().fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
-    lists = table.column("terms").combine_chunks()
-    length = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    words = lists.flatten().dictionary_encode()
-    tf = table.column("tfs").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    each = [t.split(b" ") for t in table.column("terms").to_pylist()]
+    words = pa.array([w for ws in each for w in ws], pa.binary()).cast(pa.string()).dictionary_encode()
+    tf = np.frombuffer(b"".join(table.column("tfs").to_pylist()), "<i4").astype(np.int64)
     code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    slot = np.repeat(np.arange(len(ids)), length)
+    slot = np.repeat(np.arange(len(ids)), [len(ws) for ws in each])
     order = np.lexsort((slot, -tf, code))
     code, tf, slot = code[order], tf[order], slot[order]
     new_term = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
@@ -136,30 +137,45 @@ def _block(key, table):
 
 
 class StratifiedIndex:
-    """blocks, directory (term, m, docs, top) and strata (m, docs, blocks), written
-    to the shared folder; n_docs and n_words of the corpus."""
+    """blocks and strata (m, docs, blocks), written to the shared folder; n_docs
+    and n_words of the corpus."""
 
-    def __init__(self, blocks: DataFrame, directory: DataFrame, strata: DataFrame, n_docs: int, n_words: int):
-        self.blocks, self.directory, self.strata, self.n_docs, self.n_words = blocks, directory, strata, n_docs, n_words
+    def __init__(self, blocks: DataFrame, strata: DataFrame, n_docs: int, n_words: int):
+        self.blocks, self.strata, self.n_docs, self.n_words = blocks, strata, n_docs, n_words
 
     @classmethod
     def build(cls, docs: DataFrame) -> "StratifiedIndex":
-        forward = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-            _forward, "doc_id long, n long, terms array<string>, tfs array<int>"), "ranked-forward")
-        total = forward.agg(F.count(F.lit(1)), F.sum("n")).first()
-        n_docs, n_words = total[0], total[1] or 1
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        # lengths first: m depends on those of all documents
+        lengths = written(docs.select("text").mapInArrow(_lengths, "n long").groupBy("n").agg(F.count(F.lit(1)).alias("docs")), "ranked-lengths")
+        total = lengths.agg(F.sum("docs"), F.sum(F.col("n") * F.col("docs"))).first()
+        n_docs, n_words = total[0] or 0, total[1] or 1
         m = normaliser(F.col("n"), n_docs, n_words)
-        strata = written(forward.groupBy(m.alias("m")).agg(
-            F.count(F.lit(1)).alias("docs"), F.ceil(F.sum("n") / BLOCK_WORDS).cast("int").alias("blocks")), "ranked-strata")
+        strata = written(lengths.groupBy(m.alias("m")).agg(F.sum("docs").alias("docs"), F.ceil(
+            F.sum(F.col("n") * F.col("docs")) / BLOCK_WORDS).cast("int").alias("blocks")), "ranked-strata")
+        forward = docs.mapInArrow(_forward, "doc_id long, n long, terms binary, tfs binary")
         # a null id would hash alike in all rows, so its terms are hashed
         spread = F.when(F.col("doc_id").isNull(), F.xxhash64("terms")).otherwise(F.xxhash64("doc_id"))
         rows = forward.withColumn("m", m).join(strata.select("m", "blocks"), "m")
         blocks = written(rows.select("m", F.pmod(spread, F.col("blocks")).cast("int").alias("block"), "doc_id", "terms", "tfs")
                              .groupBy("m", "block").applyInArrow(_block, _BLOCK), "ranked-blocks")
-        entry = F.explode(F.arrays_zip("terms", "counts", "tops")).alias("e")
-        directory = written(blocks.select("m", entry).groupBy(F.col("e.terms").alias("term"), "m").agg(
-            F.sum("e.counts").alias("docs"), F.max("e.tops").alias("top")), "ranked-directory")
-        return cls(blocks, directory, strata, n_docs, n_words)
+        return cls(blocks, strata, n_docs, n_words)
+
+    def known(self, words: list[str]) -> DataFrame:
+        """(term, m, docs, top tf) of the words, from the blocks' vocabularies."""
+        def found(batches):
+            terms = pa.array(words, pa.string())
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    code = pc.index_in(terms, value_set=batch.column("terms")[i].values)
+                    here = code.is_valid()
+                    code = code.filter(here)
+                    yield pa.RecordBatch.from_arrays([
+                        terms.filter(here), pa.array([batch.column("m")[i].as_py()] * len(code), pa.int32()),
+                        batch.column("counts")[i].values.take(code), batch.column("tops")[i].values.take(code)], ["term", "m", "docs", "top"])
+
+        rows = self.blocks.select("m", "terms", "counts", "tops").mapInArrow(found, "term string, m int, docs int, top int")
+        return rows.groupBy("term", "m").agg(F.sum("docs").alias("docs"), F.max("top").alias("top"))
 
 
 def _visit(queries: dict[int, tuple[list[str], list[int]]], least: dict[int, int], wanted, k: int):
@@ -253,9 +269,8 @@ def _batch(index: StratifiedIndex, texts: list[str | None], k: int) -> DataFrame
     """(q, rank, doc_id, score) for a batch of queries, numbered from 0."""
     spark = index.blocks.sparkSession
     words = [(q, w.decode(), c) for q, t in enumerate(texts) for w, c in Counter(terms_of(t)).items()]
-    asked = spark.createDataFrame(words, "q int, term string, qtf int")
     # bounded by the batch: its words, then words x strata
-    known = index.directory.join(F.broadcast(asked.select("term").distinct()), "term")
+    known = written(index.known(sorted({w for _, w, _ in words})), "ranked-words")
     df = {r["term"]: r["df"] for r in known.groupBy("term").agg(F.sum("docs").alias("df")).collect()}
     queries: dict[int, tuple[list[str], list[int]]] = {}
     for q, w, c in words:
@@ -270,7 +285,7 @@ def _batch(index: StratifiedIndex, texts: list[str | None], k: int) -> DataFrame
     top = F.col("top").cast("long")
     each = F.col("w") * F.call_function("div", F.lit(1_000_000_000) * top, 1000 * top + 12 * F.col("m"))
     bounds = written(known.join(F.broadcast(weights), "term").groupBy("q", "m").agg(F.sum(each).alias("bound"))
-                          .join(F.broadcast(index.strata), "m"), "ranked-bounds")
+                          .join(index.strata, "m"), "ranked-bounds")
 
     # first visit: strata in order of their bounds
     before = Window.partitionBy("q").orderBy(F.desc("bound"), "m").rowsBetween(Window.unboundedPreceding, -1)
