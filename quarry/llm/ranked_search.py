@@ -193,40 +193,39 @@ def _visit(queries: dict[int, tuple[list[str], list[int]]], least: dict[int, int
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         floor = dict(least)
 
-        def block(m, qs, ids, own_terms, tops, term_runs, run_tf, run_ends, slots):
+        def block(m, qs, ids, own_terms, term_runs, run_tf, run_ends, slots):
             code = pc.index_in(terms, value_set=own_terms).fill_null(-1).to_numpy(zero_copy_only=False)
             first_run = np.r_[0, term_runs[:-1]]
             # once for each run of equal tf
             worth = impact(run_tf.astype(np.int64), m).astype(np.float64)
             run_starts = np.r_[0, run_ends[:-1]]
-            top = worth[first_run]
+            top, low, high = worth[first_run], run_starts[first_run], run_ends[term_runs - 1]
+            each = np.repeat(worth, run_ends - run_starts)
+
+            def added(which, ws):
+                """What these terms give each document, exact in a double."""
+                spans = list(zip(low[which].tolist(), high[which].tolist()))
+                return np.bincount(np.concatenate([slots[a:b] for a, b in spans]), minlength=len(ids), weights=np.concatenate(
+                    [each[a:b] for a, b in spans]) * np.repeat(ws, [b - a for a, b in spans]))
+
             for q in qs:
                 mine, ws = plan[q]
                 here = code[mine]
                 ws, here = ws[here >= 0], here[here >= 0]
-                if not len(here):
-                    continue
                 most = ws * top[here]
                 need = max(floor[q], 1)
                 if most.sum() < need:
                     continue
                 order = np.argsort(-most)
+                here, ws = here[order], ws[order]
                 left = most.sum() - np.cumsum(most[order])
-                score, done = np.zeros(len(ids)), 0
-                essential = int(np.searchsorted(-left, -need, side="right")) + 1
-                for upto in (min(essential, len(order)), len(order)):
-                    for i in order[done:upto]:
-                        t = here[i]
-                        a, b = first_run[t], term_runs[t]
-                        lo, hi = run_starts[a], run_ends[b - 1]
-                        # documents of a term are distinct, so plain indexing adds
-                        score[slots[lo:hi]] += np.repeat(ws[i] * worth[a:b], run_ends[a:b] - run_starts[a:b])
-                    done = upto
-                    if done < len(order) and score.max() + left[done - 1] < need:
-                        score = None
-                        break
-                if score is None:
-                    continue
+                # the terms without which no document gets there, then the others
+                lead = min(int(np.searchsorted(-left, -need, side="right")) + 1, len(here))
+                score = added(here[:lead], ws[:lead])
+                if lead < len(here):
+                    if score.max() + left[lead - 1] < need:
+                        continue
+                    score += added(here[lead:], ws[lead:])
                 hit = np.flatnonzero(score >= need)
                 if not len(hit):
                     continue
@@ -246,7 +245,7 @@ def _visit(queries: dict[int, tuple[list[str], list[int]]], least: dict[int, int
                 m = batch.column("m")[i].as_py()
                 qs = ints(batch, "qs", i).tolist() if wanted is None else wanted.get((m, batch.column("block")[i].as_py()), ())
                 if len(qs):
-                    block(m, qs, ints(batch, "docs", i), batch.column("terms")[i].values, ints(batch, "tops", i),
+                    block(m, qs, ints(batch, "docs", i), batch.column("terms")[i].values,
                           ints(batch, "term_runs", i), ints(batch, "run_tf", i), ints(batch, "run_ends", i), ints(batch, "slots", i))
         if best:
             q = np.concatenate([np.full(len(s), x, np.int64) for x, (s, _) in best.items()])
@@ -298,14 +297,14 @@ def _batch(index: StratifiedIndex, texts: list[str | None], k: int) -> DataFrame
     least = {q: 1 for q in queries}
     places = spark.createDataFrame(sorted(wanted), "m int, block int")
     near = index.blocks.where(F.col("m").isin(sorted({m for m, _ in wanted}))).join(F.broadcast(places), ["m", "block"], "left_semi")
-    for r in _best(near.drop("counts").mapInArrow(_visit(queries, least, wanted, k), _FOUND), k).where(F.col("rank") == k).collect():
+    for r in _best(near.drop("counts", "tops").mapInArrow(_visit(queries, least, wanted, k), _FOUND), k).where(F.col("rank") == k).collect():
         least[r["q"]] = r["score"]
 
     # second visit: the strata whose bound reaches the k-th score
     reach = spark.createDataFrame(list(least.items()), "q int, least long")
     open_ = written(bounds.join(F.broadcast(reach), "q").where("bound >= least")
                           .groupBy("m").agg(F.collect_list(F.col("q")).alias("qs")), "ranked-visits")
-    rows = index.blocks.drop("counts").join(F.broadcast(open_), "m")
+    rows = index.blocks.drop("counts", "tops").join(F.broadcast(open_), "m")
     return written(_best(rows.mapInArrow(_visit(queries, least, None, k), _FOUND), k), "ranked-best")
 
 
