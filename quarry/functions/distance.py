@@ -87,3 +87,56 @@ def prefix_distance_to_literal(col, query: str, distance: int,
         return F.lit(0)
     row = _dp_last_row(F.lit(query), b, transposition)
     return F.when(F.char_length(b) == 0, F.lit(len(query))).otherwise(F.array_min(row))
+
+
+def deletion_keys(word, k: int):
+    """All strings made by deleting up to k characters (as a column of arrays).
+
+    Two strings within k edits (a swap counting one) share at least one
+    key in which each side lost at most k characters.
+    """
+    w = _col(word)
+    keys = F.array(w)
+    for _ in range(k):
+        keys = F.array_distinct(F.flatten(F.transform(keys, lambda s: F.concat(
+            F.array(s),
+            F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(s), F.lit(1))),
+                        lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 1 << 30)))
+        ))))
+    return keys
+
+
+# A term of more characters is found by its segments: it has too many deletions.
+LONG_TERM = 16
+# Two edits, of which a swap can touch two segments, leave one of five whole.
+SEGMENTS = 5
+SEGMENT_MARK = "\u0001"
+
+
+def neighbourhood_keys(term) -> Column:
+    """Keys under which a term is found by anything within two edits: all its
+    forms without up to two characters, or for a long term its segments, each
+    with its number."""
+    t = _col(term)
+    n = F.char_length(t)
+    at = [F.floor(n * i / SEGMENTS).cast("int") for i in range(SEGMENTS + 1)]
+    segments = F.array(*[F.concat(F.lit(f"{SEGMENT_MARK}{i}"), F.substring(t, at[i] + 1, at[i + 1] - at[i])) for i in range(SEGMENTS)])
+    return F.when(n <= LONG_TERM, deletion_keys(t, 2)).otherwise(segments)
+
+
+def neighbourhood_probes(word: str, k: int) -> list[str]:
+    """The keys to ask for the terms within k edits of `word` (k at most 2)."""
+    forms, m = {word}, len(word)
+    if m - k <= LONG_TERM:
+        for _ in range(k):
+            forms |= {w[:i] + w[i + 1:] for w in forms for i in range(len(w))}
+    else:
+        forms = set()
+    for n in range(max(LONG_TERM + 1, m - k), m + k + 1):
+        at = [n * i // SEGMENTS for i in range(SEGMENTS + 1)]
+        for i in range(SEGMENTS):
+            for start in range(max(0, at[i] - k), at[i] + k + 1):
+                piece = word[start:start + at[i + 1] - at[i]]
+                if len(piece) == at[i + 1] - at[i]:
+                    forms.add(f"{SEGMENT_MARK}{i}{piece}")
+    return sorted(forms)

@@ -12,9 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.distance import neighbourhood_keys
 from quarry.functions.text import tokens
+from quarry.schema import BOOL, F64, I64, U64, Field
 from quarry.sources.corpus import COMMIT_COL
 
+# The column of the value table that holds a field type's values.
+VALUE_COLUMNS = {U64: "dec", I64: "long", F64: "dbl", BOOL: "long"}
+VALUE_TYPES = {"dec": "decimal(20,0)", "long": "long", "dbl": "double"}
+
 
 def field_texts(corpus: DataFrame, fields: list[str], id_col: str = "doc_id") -> DataFrame:
     """(doc_id, [commit_id], field, text): one row per document and text field."""
@@ -68,6 +74,26 @@ def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
     )
 
 
+def value_table(corpus: DataFrame, fields: list[Field], id_col: str = "doc_id") -> DataFrame:
+    """(field, dec, long, dbl, doc_id, commit_id?): one row per document and
+    value that is not null; the field's type says which column holds it (a
+    boolean as 0 or 1)."""
+    keys = [F.col(f"`{id_col}`").alias("doc_id")] + [F.col(c) for c in corpus.columns if c == COMMIT_COL]
+    parts = []
+    for f in fields:
+        mine = VALUE_COLUMNS[f.type]
+        parts.append(corpus.where(F.col(f"`{f.name}`").isNotNull()).select(
+            F.lit(f.name).alias("field"),
+            *[(F.col(f"`{f.name}`") if c == mine else F.lit(None)).cast(t).alias(c) for c, t in VALUE_TYPES.items()], *keys))
+    if not parts:
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in {"field": "string", **VALUE_TYPES}.items()]
+        return corpus.select(*nothing, *keys).where(F.lit(False))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def vocabulary(terms: DataFrame) -> DataFrame:
     """(field, term, df, cf): distinct terms of each field with document and
     collection frequency. Summing per-commit rows gives the view's numbers."""
@@ -84,6 +110,14 @@ def commit_vocabulary(terms: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
+def neighbourhoods(vocab: DataFrame) -> DataFrame:
+    """(commit_id?, field, key, n, term): a vocabulary's terms under the keys
+    by which anything within two edits finds them; n is the term's length."""
+    keys = [c for c in vocab.columns if c in (COMMIT_COL, "field")]
+    return vocab.select(*keys, F.explode(neighbourhood_keys("term")).alias("key"),
+                        F.char_length("term").alias("n"), "term")
+
+
 def commit_stats(corpus: DataFrame, terms: DataFrame, fields: list[str]) -> DataFrame:
     """(commit_id, field, n_docs, total_len): tiny, one row per commit and field."""
     docs = corpus.groupBy(COMMIT_COL).agg(F.count(F.lit(1)).alias("n_docs"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.distance import edit_distance
+from quarry.functions.distance import deletion_keys, edit_distance
 from quarry.functions.text import tokens
 from quarry.operators.ranking import DEFAULT_LIMIT, top_k_per_query
 from quarry.operators.scoring import K1, bm25, idf
@@ -112,23 +112,6 @@ def batch_search(index, queries: DataFrame, field: str, k: int = DEFAULT_LIMIT,
     return top_k_per_query(hits, k, spread=False).select("query_id", "rank", "doc_id", "score")
 
 
-def deletion_keys(word, k: int):
-    """All strings made by deleting up to k characters (as a column of arrays).
-
-    Two strings within k edits (a swap counting one) share at least one
-    key in which each side lost at most k characters.
-    """
-    w = F.col(word) if isinstance(word, str) else word
-    keys = F.array(w)
-    for _ in range(k):
-        keys = F.array_distinct(F.flatten(F.transform(keys, lambda s: F.concat(
-            F.array(s),
-            F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(s), F.lit(1))),
-                        lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 1 << 30)))
-        ))))
-    return keys
-
-
 def batch_fuzzy(index, words: DataFrame, field: str, distance: int = 1,
                 transposition: bool = True, word_col: str = "word") -> DataFrame:
     """(word, term, distance) for every vocabulary term within `distance` of

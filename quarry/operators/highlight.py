@@ -77,19 +77,20 @@ def snippet(text: Column, wmap: Column, max_chars: int) -> Column:
     """HTML snippet column for one text column and a term -> weight map (may be null)."""
     wmap = F.coalesce(wmap, F.create_map().cast("map<string,double>"))
     text = F.coalesce(text, F.lit(""))
-    pieces = F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0)
-
     def is_token(p):
         return p.rlike(WORD_START)
 
+    # each piece is looked at once: is it a word, how long, what does it weigh
+    pieces = F.transform(F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0), lambda p: F.struct(
+        is_token(p).alias("word"), F.char_length(p).alias("len"),
+        F.coalesce(F.try_element_at(wmap, F.lower(p)), F.lit(0.0)).alias("weight")))
+
     def step(acc, p):
         start = acc["off"]
-        end = start + F.char_length(p)
-        word = is_token(p)
+        end = start + p["len"]
+        word, w = p["word"], p["weight"]
         brk = word & ((end - acc["fs"]) > F.lit(max_chars))
         better = brk & (acc["fsc"] > acc["bsc"])
-        w = F.when(word, F.coalesce(F.try_element_at(wmap, F.lower(p)), F.lit(0.0))) \
-             .otherwise(F.lit(0.0))
         return F.struct(
             end.alias("off"),
             F.when(brk, start).otherwise(acc["fs"]).alias("fs"),
@@ -122,7 +123,8 @@ def snippet(text: Column, wmap: Column, max_chars: int) -> Column:
     return F.when(best["bsc"] > 0, marked).otherwise(F.lit(""))
 
 
-def attach_snippets(index, top: DataFrame, query: Query, fields, max_chars: int = 150) -> DataFrame:
+def attach_snippets(index, top: DataFrame, query: Query, fields, max_chars: int = 150,
+                    limit: int | None = None) -> DataFrame:
     """Add `snippets MAP<field, html>` to hits that carry stored text fields.
 
     Unknown fields are an error; non-text fields are skipped. A text field
@@ -143,7 +145,7 @@ def attach_snippets(index, top: DataFrame, query: Query, fields, max_chars: int
     missing = [f for f in wanted if f not in have]
     if missing:
         # text that is not stored is fetched for the hits only
-        extra = stored_fields(index, top.select("doc_id"), missing)
+        extra = stored_fields(index, top.select("doc_id"), missing, limit)
         extra = extra.select("doc_id", *[F.col(f"`{stored_name(f)}`").alias(f"__snip_{f}") for f in missing])
         src = top.join(extra, "doc_id", "left")
         have |= {f: f"__snip_{f}" for f in missing}

@@ -3,7 +3,8 @@
 
 Text leaves read the term table filtered on (field, term) so parquet can
 skip; prefix and fuzzy leaves first scan the (much smaller) vocabulary;
-range and equality leaves are row filters on the corpus, pushed to parquet.
+range and equality leaves read their own part of the value table, which is
+clustered on (field, value).
 """
 
 from __future__ import annotations
@@ -12,21 +13,22 @@ from collections import defaultdict
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.distance import edit_distance_to_literal, prefix_distance_to_literal
+from quarry.functions.distance import edit_distance_to_literal, neighbourhood_probes, prefix_distance_to_literal
+from quarry.operators.analysis import VALUE_COLUMNS
 from quarry.operators.scoring import bm25, idf
 from quarry.query import Equals, Fuzzy, Nothing, Phrase, Prefix, Range, Term
 from quarry.schema import BOOL, I64, NUMERIC_TYPES, TEXT, U64, U64_MAX, SearchError
+from quarry.session import scratch_path
 
 LEAF_COLS = ("leaf_id", "doc_id", "score")
 
 # Value ranges that are pushed to a scan for a list of values. Spark pushes an
 # IN of more than ten values only as one span from the least to the greatest.
 PUSHED_RANGES = 200
-# Values that are brought to the driver to make such ranges of; the filter
-# they make is exact only together with the join or list it goes with.
+# Terms of a fuzzy leaf that are brought to the driver to make a filter of.
 PUSHED_VALUES = 1000
 
 
@@ -160,7 +162,8 @@ def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
 
     Cheap JVM filters (length window, bounded Levenshtein) run before the
     vocabulary is summed over commits; the exact table then runs only on
-    the distinct survivors.
+    the distinct survivors. An index with deletion neighbourhoods is asked for
+    the keys the term shares with what is near it, and reads little else.
     """
     k, t, m = q.distance, q.term, len(q.term)
     term = F.col("term")
@@ -185,23 +188,35 @@ def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
         else:
             where = where & (F.levenshtein(term, F.lit(t), k) >= 0)
             dist = F.levenshtein(term, F.lit(t))
-    voc = index.vocabulary(where).select("field", "term")
+    if index.near is not None and k and not q.prefix:
+        probes = neighbourhood_probes(t, k)
+        voc = index.near.where(where & value_ranges("key", probes) & F.col("key").isin(probes)
+                               & F.col("n").between(m - k, m + k)).select("field", "term").distinct()
+    else:
+        voc = index.vocabulary(where).select("field", "term")
     return voc.select("field", "term", dist.alias("distance")).where(F.col("distance") <= k)
 
 
 def fuzzy_rows(index, leaf_id: int, q: Fuzzy) -> DataFrame:
-    """Rows of the documents that hold a term the leaf accepts: the term table
-    semi-joined with the matched vocabulary, however large that is. The
-    ranges of its first PUSHED_VALUES terms, if they are all, are pushed to
-    the scan, which then reads little of the field."""
+    """Rows of the documents that hold a term the leaf accepts. The vocabulary
+    is matched once: the terms make the filter that is pushed to the scan. If
+    they are more than PUSHED_VALUES they are written, ranges over them are
+    pushed and the term table is semi-joined with them."""
     if not _searchable_text(index, q.field, "fuzzy"):
         return _empty(index)
     matched = fuzzy_vocabulary(index, q).select("field", "term")
-    terms = index.terms.where(F.col("field") == q.field)
     few = [r["term"] for r in matched.select("term").limit(PUSHED_VALUES + 1).collect()]
+    terms = index.terms.where(F.col("field") == q.field)
     if len(few) <= PUSHED_VALUES:
-        terms = terms.where(value_ranges("term", few))
-    rows = terms.join(matched, ["field", "term"], "left_semi")
+        rows = terms.where(value_ranges("term", few) & F.col("term").isin(few))
+    else:
+        path = scratch_path(index.spark, "fuzzy")
+        matched.write.parquet(path)
+        matched = index.spark.read.schema(matched.schema).parquet(path)
+        cut = F.ntile(PUSHED_RANGES).over(Window.orderBy("term"))
+        spans = matched.select("term", cut.alias("part")).groupBy("part").agg(F.min("term").alias("lo"), F.max("term").alias("hi")).collect()
+        within = reduce(lambda x, y: x | y, [F.col("term").between(r["lo"], r["hi"]) for r in spans])
+        rows = terms.where(within).join(matched, ["field", "term"], "left_semi")
     return rows.select(F.lit(leaf_id).alias("leaf_id"), "doc_id", F.lit(1.0).alias("score"))
 
 
@@ -216,6 +231,7 @@ def _check_numeric(index, q) -> object:
 
 
 def range_condition(index, q: Range) -> Column:
+    """The range as a condition on the value table."""
     f = _check_numeric(index, q)
     if f.type not in NUMERIC_TYPES:
         raise SearchError(f"Field '{q.field}' is not a numeric field")
@@ -228,7 +244,7 @@ def range_condition(index, q: Range) -> Column:
             raise SearchError(f"Range bounds on '{q.field}' must be integers")
         if f.type == U64 and b < 0:
             raise SearchError(f"Range bounds on u64 field '{q.field}' must be non-negative")
-    c = F.col(f"`{q.field}`")
+    c = F.col(VALUE_COLUMNS[f.type])
     lit = (lambda v: F.lit(str(v)).cast("decimal(20,0)")) if f.type == U64 else F.lit
     if f.type == U64:
         # a bound past the type: nothing above it, everything below it
@@ -238,7 +254,7 @@ def range_condition(index, q: Range) -> Column:
             q = replace(q, upper=None)
     lo_inc = q.inclusive in ("both", "lower")
     hi_inc = q.inclusive in ("both", "upper")
-    cond = c.isNotNull()
+    cond = (F.col("field") == q.field) & c.isNotNull()
     if q.lower is not None:
         cond = cond & ((c >= lit(q.lower)) if lo_inc else (c > lit(q.lower)))
     if q.upper is not None:
@@ -246,16 +262,18 @@ def range_condition(index, q: Range) -> Column:
     return cond
 
 
-def range_rows(index, leaf_id: int, q: Range) -> DataFrame:
-    cond = range_condition(index, q)
-    if not index.schema.field(q.field).indexed:
+def _value_rows(index, leaf_id: int, field: str, cond: Column) -> DataFrame:
+    if not index.schema.field(field).indexed:
         return _empty(index)
-    return (index.corpus.where(cond)
-                 .select(F.lit(leaf_id).alias("leaf_id"), F.col(index.id_col).alias("doc_id"),
-                         F.lit(1.0).alias("score")))
+    return index.values.where(cond).select(F.lit(leaf_id).alias("leaf_id"), "doc_id", F.lit(1.0).alias("score"))
+
+
+def range_rows(index, leaf_id: int, q: Range) -> DataFrame:
+    return _value_rows(index, leaf_id, q.field, range_condition(index, q))
 
 
 def equals_condition(index, q: Equals) -> Column:
+    """The equality as a condition on the value table."""
     f = index.schema.field(q.field)
     if f.type == TEXT:
         raise SearchError(f"Field '{q.field}' is a text field; use a term query")
@@ -266,17 +284,14 @@ def equals_condition(index, q: Equals) -> Column:
     if f.type == U64:
         if not isinstance(q.value, int) or not 0 <= q.value <= U64_MAX:
             return F.lit(False)
-        return F.col(f"`{q.field}`") == F.lit(str(q.value)).cast("decimal(20,0)")
-    return F.col(f"`{q.field}`") == F.lit(q.value)
+        value = F.lit(str(q.value)).cast("decimal(20,0)")
+    else:
+        value = F.lit(int(q.value) if f.type == BOOL else q.value)
+    return (F.col("field") == q.field) & (F.col(VALUE_COLUMNS[f.type]) == value)
 
 
 def equals_rows(index, leaf_id: int, q: Equals) -> DataFrame:
-    cond = equals_condition(index, q)
-    if not index.schema.field(q.field).indexed:
-        return _empty(index)
-    return (index.corpus.where(cond)
-                 .select(F.lit(leaf_id).alias("leaf_id"), F.col(index.id_col).alias("doc_id"),
-                         F.lit(1.0).alias("score")))
+    return _value_rows(index, leaf_id, q.field, equals_condition(index, q))
 
 
 def leaf_rows(index, leaves: list[tuple[int, object]]) -> DataFrame:

@@ -38,6 +38,8 @@ def top_k_per_query(hits: DataFrame, k: int = DEFAULT_LIMIT, key: str = "query_i
                 .where(F.col("rank") <= k))
 
 
+# Hits whose ids are brought to the driver to scan the corpus by.
+PUSHED_HITS = 10_000
 # Stored fields with a name of ours are returned under this prefix.
 CLASH_PREFIX = "stored_"
 
@@ -46,15 +48,18 @@ def stored_name(field: str) -> str:
     return CLASH_PREFIX + field if field in ("doc_id", "score", "snippets") else field
 
 
-def stored_fields(index, top: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Attach stored fields to the top hits: the hits come to the driver, as
-    the answer of the search they are, and are joined with the corpus, whose
-    scan gets ranges of their ids pushed (it is clustered on the id)."""
+def stored_fields(index, top: DataFrame, fields: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Attach stored fields to the top hits. A few hits (at most PUSHED_HITS)
+    come to the driver, as the answer of the search they are, and the corpus,
+    clustered on the id, is scanned by ranges of their ids. More hits stay on
+    the executors and are joined there."""
     from quarry.operators.predicates import value_ranges
     stored = [f for f in (index.schema.stored_fields() if fields is None else fields) if f != index.id_col]
-    rows = top.collect()
-    local = index.spark.createDataFrame(rows, top.schema)
-    corpus = index.corpus.where(value_ranges(f"`{index.id_col}`", [r["doc_id"] for r in rows]))
-    return local.join(corpus.select(F.col(f"`{index.id_col}`").alias("doc_id"),
-                                    *[F.col(f"`{f}`").alias(stored_name(f)) for f in stored]),
-                      "doc_id", "left")
+    corpus = index.corpus
+    if limit is not None and limit <= PUSHED_HITS:
+        rows = top.collect()
+        top = index.spark.createDataFrame(rows, top.schema)
+        corpus = corpus.where(value_ranges(f"`{index.id_col}`", [r["doc_id"] for r in rows]))
+    return top.join(corpus.select(F.col(f"`{index.id_col}`").alias("doc_id"),
+                                  *[F.col(f"`{f}`").alias(stored_name(f)) for f in stored]),
+                    "doc_id", "left")

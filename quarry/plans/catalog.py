@@ -83,12 +83,12 @@ def _built(spark, name: str, make, *sources: DataFrame) -> Index:
     return Index.open(spark, _BUILT[key])
 
 
-def _index(spark, sf, table: str, schema: Schema, df: DataFrame, id_col: str) -> Index:
-    return _built(spark, table, lambda path: Index.build(df, schema, id_col, path), df)
+def _index(spark, sf, table: str, schema: Schema, df: DataFrame, id_col: str, near: bool = False) -> Index:
+    return _built(spark, table, lambda path: Index.build(df, schema, id_col, path, near=near), df)
 
 
 def docs_index(spark, sf) -> Index:
-    return _index(spark, sf, "documents", DOCS_SCHEMA, docs_frame(spark, sf), "doc_id")
+    return _index(spark, sf, "documents", DOCS_SCHEMA, docs_frame(spark, sf), "doc_id", near=True)
 
 
 def part_index(spark, sf) -> Index:
@@ -268,6 +268,8 @@ q_query_string_nested = _string_hits(
     docs_index, ["text"], '+the (text:of OR "in the") -and')
 q_query_string_range = _string_hits(
     docs_index, ["text"], "the AND (n_chars:[1000 TO 5000} OR toxic:true)")
+q_query_string_not = _string_hits(docs_index, ["text"], 'the of AND NOT and NOT "in the"')
+q_query_string_signed = _string_hits(customer_index, ["c_name"], "balance:-5 OR balance:[-900 TO -800} OR balance:+42")
 
 
 # ------------------------------------------------------------------ E: ranking
@@ -323,6 +325,24 @@ def q_batch_search(spark, sf):
                     F.round("score", 6).alias("score"))
 
 
+def query_strings(spark, sf) -> DataFrame:
+    """A query string for each `benchmark` item, of its first words, in five forms."""
+    words = tokens("text")
+    w = [F.coalesce(F.get(words, F.lit(i)), F.lit("of")) for i in range(6)]
+    form = F.pmod("item_id", F.lit(5))
+    text = (F.when(form == 0, F.concat_ws(" ", *w))
+             .when(form == 1, F.format_string('"%s %s" OR (+%s +%s)', *w[:4]))
+             .when(form == 2, F.format_string("+%s %s NOT %s", *w[:3]))
+             .when(form == 3, F.format_string("(%s OR %s) AND n_chars:[200 TO 3000]", *w[:2]))
+             .otherwise(F.lit("the")))
+    return _t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), text.alias("text"))
+
+
+def q_batch_query_strings(spark, sf):
+    r = Searcher(docs_index(spark, sf)).batch_query_strings(query_strings(spark, sf), ["text"], 10)
+    return r.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", F.round("score", 6).alias("score"))
+
+
 def q_batch_fuzzy(spark, sf):
     idx = docs_index(spark, sf)
     words = _t(spark, sf, "benchmark").select(F.explode(tokens("text")).alias("word"))
@@ -369,6 +389,8 @@ QUERIES = {
     "phrase_and_term": q_phrase_and_term,
     "query_string_nested": q_query_string_nested,
     "query_string_range": q_query_string_range,
+    "query_string_not": q_query_string_not,
+    "query_string_signed": q_query_string_signed,
     "bm25_score": q_bm25_score,
     "constant_score": q_constant_score,
     "top_k": q_top_k,
@@ -379,4 +401,5 @@ QUERIES = {
     "snippets_html": q_snippets_html,
     "batch_search": q_batch_search,
     "batch_fuzzy": q_batch_fuzzy,
+    "batch_query_strings": q_batch_query_strings,
 }

@@ -8,11 +8,14 @@ of re-tokenising, and a lost executor recomputes from files, not lineage:
     corpus/  partitioned by commit_id, clustered on the id
     terms/   partitioned by commit_id, field; range-clustered on (term, doc_id)
     vocab/   partitioned by commit_id, field; sorted on term
+    values/  partitioned by commit_id, field; range-clustered on the value
+    near/    (if asked for) partitioned by commit_id, field; range-clustered on
+             the deletion key: a fuzzy search's candidate terms
     stats/   one row per (commit_id, field)
     commits/ an empty marker per commit, written last
 
 A commit counts once its marker is there: a reader lists the markers when it
-opens the index and reads only those partitions, so it sees a commit's four
+opens the index and reads only those partitions, so it sees a commit's
 tables or none of them. What a broken write left is removed before its id is
 written again; a finished id is refused (a stream replaces its own).
 
@@ -37,7 +40,11 @@ from quarry.sources.corpus import COMMIT_COL, check_ids, ingest
 # positions and is larger than its input, hence the factor.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 TERMS_PER_INPUT = 2
-TABLES = ("corpus", "terms", "vocab", "stats")
+# Rows of a page of the value table: a range reads whole pages.
+VALUE_PAGE_ROWS = 1000
+# The same for the neighbourhoods, of which a search asks a few hundred keys.
+NEAR_PAGE_ROWS = 1000
+TABLES = ("corpus", "terms", "vocab", "values", "near", "stats")
 
 
 def _write_partitions(spark: SparkSession, df: DataFrame) -> int:
@@ -58,7 +65,7 @@ def _write_partitions(spark: SparkSession, df: DataFrame) -> int:
 
 
 def _schemas(schema: Schema, id_col: str, id_type: T.DataType) -> dict[str, T.StructType]:
-    """The declared schemas of the four tables: reads need no inference, and
+    """The declared schemas of the tables: reads need no inference, and
     every commit has the same types."""
     commit, field = T.StructField(COMMIT_COL, T.LongType()), T.StructField("field", T.StringType())
     term = T.StructField("term", T.StringType())
@@ -70,6 +77,9 @@ def _schemas(schema: Schema, id_col: str, id_type: T.DataType) -> dict[str, T.St
                                T.StructField("positions", T.ArrayType(T.IntegerType())), commit, field]),
         "vocab": T.StructType([term, T.StructField("df", T.LongType()), T.StructField("cf", T.LongType()),
                                commit, field]),
+        "values": T.StructType([T.StructField("dec", T.DecimalType(20, 0)), T.StructField("long", T.LongType()),
+                                T.StructField("dbl", T.DoubleType()), T.StructField("doc_id", id_type), commit, field]),
+        "near": T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.IntegerType()), term, commit, field]),
         "stats": T.StructType([field, T.StructField("n_docs", T.LongType()),
                                T.StructField("total_len", T.LongType()), commit]),
     }
@@ -83,11 +93,12 @@ class Index:
     """
 
     def __init__(self, spark: SparkSession, schema: Schema, corpus: DataFrame,
-                 terms: DataFrame, vocab: DataFrame, stats: DataFrame,
+                 terms: DataFrame, vocab: DataFrame, values: DataFrame, near: DataFrame | None, stats: DataFrame,
                  id_col: str = "doc_id", path: str | None = None,
                  commit: int | None = None, commits: tuple[int, ...] | None = None):
         self.spark, self.schema, self.id_col = spark, schema, id_col
-        self._corpus, self._terms, self._vocab, self._stats = corpus, terms, vocab, stats
+        self._corpus, self._terms, self._vocab = corpus, terms, vocab
+        self._values, self._near, self._stats = values, near, stats
         self.path, self.commit, self.commits = path, commit, commits
         self._stat_rows = None
 
@@ -106,24 +117,28 @@ class Index:
         terms = analysis.term_table(corpus, fields, id_col)
         return cls(df.sparkSession, schema, corpus, terms,
                    analysis.commit_vocabulary(terms),
+                   analysis.value_table(corpus, schema.value_fields(), id_col), None,
                    analysis.commit_stats(corpus, terms, fields), id_col)
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, schema: Schema, id_col: str, id_type: T.DataType) -> None:
-        """An index without commits."""
+    def create(cls, spark: SparkSession, path: str, schema: Schema, id_col: str, id_type: T.DataType,
+               near: bool = False) -> None:
+        """An index without commits. With `near` every commit also writes the
+        deletion neighbourhoods of its vocabulary, for fuzzy searches."""
         if exists(spark, path + "/meta"):
             raise SearchError(f"Index already exists at '{path}'")
-        put_text(spark, path + "/meta", json.dumps({"id_col": id_col, "id_type": id_type.json(),
+        put_text(spark, path + "/meta", json.dumps({"id_col": id_col, "id_type": id_type.json(), "near": near,
                                                      "schema": schema.validate().to_json()}))
 
     @classmethod
     def build(cls, df: DataFrame, schema: Schema, id_col: str = "doc_id",
-              path: str | None = None, commit_id: int = 0, partitions: int | None = None) -> "Index":
+              path: str | None = None, commit_id: int = 0, partitions: int | None = None,
+              near: bool = False) -> "Index":
         """Ingest `df` as the first commit and write all index tables."""
         spark = df.sparkSession
         path = path or scratch_path(spark, "index")
         corpus = ingest(df, schema, id_col)
-        cls.create(spark, path, schema, id_col, corpus.schema[id_col].dataType)
+        cls.create(spark, path, schema, id_col, corpus.schema[id_col].dataType, near)
         cls._write_commit(spark, corpus, schema, id_col, path, commit_id, partitions)
         return cls.open(spark, path)
 
@@ -182,6 +197,15 @@ class Index:
         (analysis.commit_vocabulary(terms).drop(COMMIT_COL)
                  .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term")
                  .write.partitionBy("field").parquet(folder("vocab")))
+        if json.loads(get_text(spark, path + "/meta")).get("near"):
+            (analysis.neighbourhoods(written("vocab").drop(COMMIT_COL))
+                     .repartitionByRange(n, "field", "key", "n").sortWithinPartitions("field", "key", "n")
+                     .write.option("parquet.page.row.count.limit", NEAR_PAGE_ROWS).partitionBy("field").parquet(folder("near")))
+        # values: a range or an equality reads its own files and pages only
+        place = ["field", *analysis.VALUE_TYPES, "doc_id"]
+        (analysis.value_table(batch.drop(COMMIT_COL), schema.value_fields(), id_col)
+                 .repartitionByRange(n, *place).sortWithinPartitions(*place)
+                 .write.option("parquet.page.row.count.limit", VALUE_PAGE_ROWS).partitionBy("field").parquet(folder("values")))
         (analysis.commit_stats(batch, terms, fields).drop(COMMIT_COL).coalesce(1)
                  .write.parquet(folder("stats")))
         put_text(spark, marker)
@@ -197,6 +221,8 @@ class Index:
         commits = tuple(sorted(int(c) for c in names(spark, path + "/commits")))
 
         def read(table):
+            if table == "near" and not meta.get("near"):
+                return None
             if not commits:
                 return spark.createDataFrame([], schemas[table])
             df = spark.read.schema(schemas[table]).parquet(f"{path}/{table}")
@@ -220,7 +246,7 @@ class Index:
     def as_of(self, commit_id: int) -> "Index":
         """Snapshot: commits after `commit_id` are invisible (A4)."""
         return Index(self.spark, self.schema, self._corpus, self._terms, self._vocab,
-                     self._stats, self.id_col, self.path, commit_id, self.commits)
+                     self._values, self._near, self._stats, self.id_col, self.path, commit_id, self.commits)
 
     def _pin(self, df: DataFrame) -> DataFrame:
         if self.commit is None:
@@ -235,6 +261,16 @@ class Index:
     def terms(self) -> DataFrame:
         return self._pin(self._terms)
 
+    @property
+    def values(self) -> DataFrame:
+        """(field, dec, long, dbl, doc_id): the indexed numbers and booleans."""
+        return self._pin(self._values)
+
+    @property
+    def near(self) -> DataFrame | None:
+        """(field, key, n, term): deletion neighbourhoods, if the index keeps them."""
+        return None if self._near is None else self._pin(self._near)
+
     def vocabulary(self, where=None, only: DataFrame | None = None) -> DataFrame:
         """(field, term, df, cf). `where` and the semi join with `only` (a
         `term` column) are applied before the per-commit rows are summed;

@@ -298,6 +298,12 @@ FROM tf JOIN dl USING (field, doc_id) JOIN dfs USING (field, term) JOIN st USING
                                  f"WHERE n_chars >= 1000 AND n_chars < 5000",
                                  f"SELECT doc_id, 1.0{D} AS score FROM {DOCS} WHERE toxic"],
                                 f"{_m(1)} AND ({_m(2)} OR {_m(3)})", f"0.0{D} + {_s(1)} + {_s(2)} + {_s(3)}"),
+    # "the of AND NOT and NOT "in the"": the OR (of AND NOT and), without the phrase
+    "query_string_not": _bool([_term("text", "the"), _term("text", "of"), _term("text", "and"), _phrase("text", ["in", "the"])],
+                              f"({_m(1)} OR ({_m(2)} AND NOT ({_m(3)}))) AND NOT ({_m(4)})",
+                              f"0.0{D} + {_s(1)} + (CASE WHEN {_m(2)} AND NOT ({_m(3)}) THEN {_s(2)} ELSE 0.0{D} END)"),
+    "query_string_signed": f"""SELECT c_custkey AS doc_id, 1.0{D} AS score FROM customer
+        WHERE floor(c_acctbal) IN (-5, 42) OR (floor(c_acctbal) >= -900 AND floor(c_acctbal) < -800)""",
     "bm25_score": BM25_ALL,
     "constant_score": _bool([_const("field = 'text' AND regexp_full_match(term, 'lang[a-z0-9]*')"),
                              f"SELECT doc_id, 1.0{D} AS score FROM documents WHERE n_chars BETWEEN 0 AND 100"],
@@ -336,4 +342,29 @@ w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{TOK}')) AS word F
 v AS (SELECT DISTINCT term FROM p WHERE field = 'text')
 SELECT w.word, v.term, (CASE WHEN w.word = v.term THEN 0 ELSE 1 END)::BIGINT AS distance
 FROM w JOIN v ON abs(length(w.word) - length(v.term)) <= 1 AND {_OSA1}""",
+    "batch_query_strings": DOCS_IX + f""",
+q AS (SELECT item_id AS query_id, item_id % 5 AS form, [coalesce(l[1], 'of'), coalesce(l[2], 'of'), coalesce(l[3], 'of'),
+             coalesce(l[4], 'of'), coalesce(l[5], 'of'), coalesce(l[6], 'of')] AS w
+      FROM (SELECT item_id, regexp_extract_all(lower(text), '{TOK}') AS l FROM benchmark)),
+qw AS (SELECT query_id, form, unnest(CASE WHEN form = 4 THEN ['the'] ELSE w END) AS term, unnest(CASE WHEN form = 4 THEN [1] ELSE range(1, 7) END) AS i FROM q),
+ws AS (SELECT qw.query_id, qw.form, qw.i, sc.doc_id, sc.score FROM qw JOIN sc ON sc.field = 'text' AND sc.term = qw.term),
+ph AS (SELECT query_id, doc_id, {_bm25("(" + _idf('d1.df', 'st.n') + " + " + _idf('d2.df', 'st.n') + ")", 'pf', 'dl.dl', 'st.avgdl')} AS score
+       FROM (SELECT q.query_id, q.w[1] AS w1, q.w[2] AS w2, a.doc_id, count(*) AS pf FROM q
+             JOIN p a ON a.field = 'text' AND a.term = q.w[1] JOIN p b ON b.field = 'text' AND b.term = q.w[2] AND b.doc_id = a.doc_id AND b.pos = a.pos + 1
+             WHERE q.form = 1 GROUP BY ALL)
+       JOIN dl USING (doc_id) JOIN st ON st.field = 'text' AND dl.field = 'text'
+       JOIN dfs d1 ON d1.field = 'text' AND d1.term = w1 JOIN dfs d2 ON d2.field = 'text' AND d2.term = w2),
+u AS (SELECT query_id, form, i, doc_id, score FROM ws UNION ALL SELECT query_id, 1, 7, doc_id, score FROM ph),
+g AS (SELECT query_id, form, doc_id, {", ".join(f"max(CASE WHEN i = {i} THEN score END) AS s{i}" for i in range(1, 8))}
+      FROM u GROUP BY ALL),
+h AS (SELECT query_id, doc_id, CASE form
+        WHEN 1 THEN {_s(7)} + (CASE WHEN {_m(3)} AND {_m(4)} THEN s3 + s4 ELSE 0.0{D} END)
+        WHEN 2 THEN s1 + {_s(2)}
+        WHEN 3 THEN {_s(1)} + {_s(2)} + 1.0{D}
+        WHEN 4 THEN s1
+        ELSE {" + ".join(_s(i) for i in range(1, 7))} END AS score
+      FROM g WHERE CASE form WHEN 0 THEN true WHEN 1 THEN {_m(7)} OR ({_m(3)} AND {_m(4)}) WHEN 2 THEN {_m(1)} AND s3 IS NULL
+        WHEN 3 THEN ({_m(1)} OR {_m(2)}) AND doc_id IN (SELECT doc_id FROM documents WHERE n_chars BETWEEN 200 AND 3000) ELSE true END),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM h)
+SELECT query_id, rank::BIGINT AS rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10""",
 }

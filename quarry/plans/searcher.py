@@ -33,7 +33,7 @@ class Searcher:
             raise SearchError("limit must be a positive integer")
         top = ranking.top_k(self.hits(query), limit)
         if stored:
-            top = ranking.stored_fields(self.index, top)
+            top = ranking.stored_fields(self.index, top, limit=limit)
         return top.orderBy(*ranking.rank_order())
 
     def total_hits(self, query: Query, limit: int = ranking.DEFAULT_LIMIT) -> DataFrame:
@@ -82,6 +82,17 @@ class Searcher:
         from quarry.operators.batch import batch_search
         return batch_search(self.index, queries, field, limit, text_col, key)
 
+    def batch_query_strings(self, queries: DataFrame, default_fields, limit: int | None = 10,
+                            text_col: str = "text", key: str = "query_id") -> DataFrame:
+        """Top `limit` documents for every query string of a table, in any form."""
+        from quarry.operators.batch_queries import batch_query_strings
+        return batch_query_strings(self.index, queries, default_fields, limit, text_col, key)
+
+    def batch_queries(self, queries: dict[int, Query], limit: int | None = 10) -> DataFrame:
+        """The same for query values, prefix and fuzzy leaves among them."""
+        from quarry.operators.batch_queries import batch_queries
+        return batch_queries(self.index, queries, limit)
+
     def correct_words(self, words: DataFrame, field: str, distance: int = 1,
                       transposition: bool = True, word_col: str = "word") -> DataFrame:
         """(word, term, distance) for the vocabulary terms near each word (G2)."""
@@ -93,7 +104,7 @@ class Searcher:
         from quarry.operators.highlight import attach_snippets
         if isinstance(query, str):
             query = self.parsed(query, default_fields)
-        return attach_snippets(self.index, self.search(query, limit), query, snippet_fields, max_snippet_chars)
+        return attach_snippets(self.index, self.search(query, limit), query, snippet_fields, max_snippet_chars, limit)
 
     def search_fuzzy_with_snippets(self, field, term, snippet_fields, distance=1,
                                    transposition=True, max_snippet_chars=150, limit=10):

@@ -96,6 +96,10 @@ class Schema:
         """Indexed text fields: the ones analysed into the term table."""
         return [f.name for f in self.fields if f.type == TEXT and f.indexed]
 
+    def value_fields(self) -> list[Field]:
+        """Indexed numeric and boolean fields: the ones kept in the value table."""
+        return [f for f in self.fields if f.type != TEXT and f.indexed]
+
     def stored_fields(self) -> list[str]:
         return [f.name for f in self.fields if f.stored]
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from quarry import Bool, Equals, Nothing, Phrase, Range, Schema, Searcher, SearchError, Term, parse
+from quarry import Bool, Equals, Nothing, Phrase, Range, Schema, Searcher, SearchError, Term, boolean, parse
 
 TEXTS = (Schema().add_text_field("title", stored=True).add_text_field("content", stored=True)
          .add_text_field("tags", stored=True).add_u64_field("views", stored=True)
@@ -98,3 +98,30 @@ def test_default_fields(searcher):
     assert {r["doc_id"] for r in searcher.search_query("phoenix", ["title"]).collect()} == set()
     snip = searcher.search_with_snippets("otp", ["content"], default_fields=["content"]).collect()
     assert [r["snippets"]["content"] for r in snip] == ["<b>otp</b> genserver"]
+
+
+def test_not_excludes_the_next_clause():
+    t, term = Schema().add_text_field("t").add_i64_field("n").add_f64_field("f"), lambda w: Term("t", w)
+    def q(text):
+        return parse(t, ["t"], text)
+    assert q("elixir NOT rust") == q("elixir -rust") == boolean(should=[term("elixir")], must_not=[term("rust")])
+    assert q("elixir AND NOT rust") == q("elixir AND -rust") == boolean(must=[term("elixir")], must_not=[term("rust")])
+    assert q("NOT rust +elixir web") == boolean(must=[term("elixir")], should=[term("web")], must_not=[term("rust")])
+    assert q("a NOT (b c)") == boolean(should=[term("a")], must_not=[boolean(should=[term("b"), term("c")])])
+    assert q("t:(a NOT b)") == boolean(should=[term("a")], must_not=[term("b")])
+    # quoted or after a field it is a word, in lower case too
+    assert q('"NOT" a') == boolean(should=[term("not"), term("a")]) and q("t:NOT") == term("not") and q("not") == term("not")
+    for bad in ("NOT rust", "a NOT", "a NOT NOT b", "NOT -a b", "a NOT OR b", "a (NOT b)", "- a"):
+        with pytest.raises(SearchError, match="Failed to parse"):
+            q(bad)
+
+
+def test_signed_values_after_a_field():
+    s = Schema().add_text_field("t").add_i64_field("temp").add_f64_field("f").add_u64_field("u")
+    assert parse(s, ["t"], "temp:-5") == Equals("temp", -5) and parse(s, ["t"], "temp:+5") == Equals("temp", 5)
+    assert parse(s, ["t"], "f:-2.5 AND temp:[-9 TO -1}") == boolean(must=[Equals("f", -2.5), Range("temp", -9, -1, "lower")])
+    assert parse(s, ["t"], "a -5") == boolean(should=[Term("t", "a")], must_not=[Term("t", "5")])
+    assert parse(s, ["t"], "t:-5") == Term("t", "5")
+    for bad in ("temp:-x", "temp: -5", "t:-x", "temp:--5"):
+        with pytest.raises(SearchError):
+            parse(s, ["t"], bad)
