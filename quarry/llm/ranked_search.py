@@ -50,7 +50,7 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # The same on UTF-8 bytes: A-Z become a-z, bytes of no term become spaces.
 _TO_TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 # Words of a block, about (a longer document is a block of its own).
-BLOCK_WORDS = 65_536
+BLOCK_WORDS = 32_768
 # Documents in the strata of a query's first visit.
 FIRST_DOCS = 2_000
 # Queries answered at once, and the UTF-8 bytes of their texts.
@@ -108,8 +108,10 @@ def _forward_batch(rows) -> pa.RecordBatch:
                                       ["doc_id", "n", "terms", "tfs"])
 
 
-_BLOCK = ("m int, block int, docs array<long>, terms array<string>, counts array<int>, tops array<int>, "
-          "term_runs array<int>, run_tf array<int>, run_ends array<int>, slots array<int>")
+# Arrays are packed, 32 bits a number (ids 64), so that a block crosses between
+# the JVM and Python as bytes; terms have a space between.
+_BLOCK = ("m int, block int, docs binary, terms binary, counts binary, tops binary, "
+          "term_runs binary, run_tf binary, run_ends binary, slots binary")
 
 
 def _block(key, table):
@@ -117,7 +119,7 @@ def _block(key, table):
     table = table.combine_chunks()
     ids = table.column("doc_id").combine_chunks().fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
     each = [t.split(b" ") for t in table.column("terms").to_pylist()]
-    words = pa.array([w for ws in each for w in ws], pa.binary()).cast(pa.string()).dictionary_encode()
+    words = pa.array([w for ws in each for w in ws], pa.binary()).dictionary_encode()
     tf = np.frombuffer(b"".join(table.column("tfs").to_pylist()), "<i4").astype(np.int64)
     code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     slot = np.repeat(np.arange(len(ids)), [len(ws) for ws in each])
@@ -125,15 +127,21 @@ def _block(key, table):
     code, tf, slot = code[order], tf[order], slot[order]
     new_term = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
     new_run = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (tf[1:] != tf[:-1])])
-    row = {
-        "m": [key[0].as_py()], "block": [key[1].as_py()], "docs": [ids], "terms": [words.dictionary],
-        "counts": [np.diff(np.r_[new_term, len(code)])], "tops": [tf[new_term]],
-        "term_runs": [np.searchsorted(new_run, np.r_[new_term[1:], len(code)])],
-        "run_tf": [tf[new_run]], "run_ends": [np.r_[new_run[1:], len(code)]], "slots": [slot]}
-    kinds = {"docs": pa.list_(pa.int64()), "terms": pa.list_(pa.string())}
-    return pa.table({k: pa.array(v, pa.int32()) if k in ("m", "block") else
-                     pa.ListArray.from_arrays(pa.array([0, len(v[0])], pa.int32()), pa.array(v[0], kinds.get(k, pa.list_(pa.int32())).value_type))
-                     for k, v in row.items()})
+    packed = {
+        "docs": ids.astype("<i8"), "terms": b" ".join(words.dictionary.to_pylist()),
+        "counts": np.diff(np.r_[new_term, len(code)]), "tops": tf[new_term],
+        "term_runs": np.searchsorted(new_run, np.r_[new_term[1:], len(code)]),
+        "run_tf": tf[new_run], "run_ends": np.r_[new_run[1:], len(code)], "slots": slot}
+    return pa.table({"m": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32())} | {
+        k: pa.array([v if k == "terms" else (v if k == "docs" else v.astype("<i4")).tobytes()], pa.binary()) for k, v in packed.items()})
+
+
+def _ints(batch, name: str, i: int, kind: str = "<i4") -> np.ndarray:
+    return np.frombuffer(batch.column(name)[i].as_buffer(), kind)
+
+
+def _terms(batch, i: int) -> pa.Array:
+    return pa.array(batch.column("terms")[i].as_py().split(b" "), pa.binary())
 
 
 class StratifiedIndex:
@@ -164,15 +172,15 @@ class StratifiedIndex:
     def known(self, words: list[str]) -> DataFrame:
         """(term, m, docs, top tf) of the words, from the blocks' vocabularies."""
         def found(batches):
-            terms = pa.array(words, pa.string())
+            terms = pa.array([w.encode() for w in words], pa.binary())
             for batch in batches:
                 for i in range(batch.num_rows):
-                    code = pc.index_in(terms, value_set=batch.column("terms")[i].values)
+                    code = pc.index_in(terms, value_set=_terms(batch, i))
                     here = code.is_valid()
-                    code = code.filter(here)
+                    code = code.filter(here).to_numpy()
                     yield pa.RecordBatch.from_arrays([
-                        terms.filter(here), pa.array([batch.column("m")[i].as_py()] * len(code), pa.int32()),
-                        batch.column("counts")[i].values.take(code), batch.column("tops")[i].values.take(code)], ["term", "m", "docs", "top"])
+                        terms.filter(here).cast(pa.string()), pa.array([batch.column("m")[i].as_py()] * len(code), pa.int32()),
+                        pa.array(_ints(batch, "counts", i)[code]), pa.array(_ints(batch, "tops", i)[code])], ["term", "m", "docs", "top"])
 
         rows = self.blocks.select("m", "terms", "counts", "tops").mapInArrow(found, "term string, m int, docs int, top int")
         return rows.groupBy("term", "m").agg(F.sum("docs").alias("docs"), F.max("top").alias("top"))
@@ -189,7 +197,7 @@ def _visit(queries: dict[int, tuple[list[str], list[int]]], least: dict[int, int
     plan = {q: (np.array([at[w] for w in words]), np.array(ws, np.float64)) for q, (words, ws) in queries.items()}
 
     def run(batches):
-        terms = pa.array(vocabulary, pa.string())
+        terms = pa.array([w.encode() for w in vocabulary], pa.binary())
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         floor = dict(least)
 
@@ -237,16 +245,13 @@ def _visit(queries: dict[int, tuple[list[str], list[int]]], least: dict[int, int
                 if len(keep) == k:
                     floor[q] = max(floor[q], int(s[keep[-1]]))
 
-        def ints(batch, name, i):
-            return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
-
         for batch in batches:
             for i in range(batch.num_rows):
                 m = batch.column("m")[i].as_py()
-                qs = ints(batch, "qs", i).tolist() if wanted is None else wanted.get((m, batch.column("block")[i].as_py()), ())
+                qs = batch.column("qs")[i].as_py() if wanted is None else wanted.get((m, batch.column("block")[i].as_py()), ())
                 if len(qs):
-                    block(m, qs, ints(batch, "docs", i), batch.column("terms")[i].values,
-                          ints(batch, "term_runs", i), ints(batch, "run_tf", i), ints(batch, "run_ends", i), ints(batch, "slots", i))
+                    block(m, qs, _ints(batch, "docs", i, "<i8"), _terms(batch, i),
+                          *(_ints(batch, c, i) for c in ("term_runs", "run_tf", "run_ends", "slots")))
         if best:
             q = np.concatenate([np.full(len(s), x, np.int64) for x, (s, _) in best.items()])
             ids = np.concatenate([d for _, d in best.values()])
