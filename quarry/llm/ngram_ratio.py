@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import SPACE_CLASS, table, written
+from quarry.llm.url_cascade import cascade
 
 BUCKETS = 1 << 14
 SMOOTH = 1.0                # added to each bucket's count
@@ -109,16 +110,17 @@ def _counts(texts: DataFrame) -> DataFrame:
 
 
 def weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row: `weights`, an array of BUCKETS log-ratios."""
+    """One row: `weights`, an array of BUCKETS log-ratios.
+
+    Which documents are trusted is asked of a Bloom cascade of the good ids
+    over the ids of the corpus, a constant of the plan: exact, and no text is
+    joined or shuffled."""
     spark = docs.sparkSession
-    good = labels.where(F.col("quality") == 1).select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    # written, so that the planner knows its size and broadcasts it only if it is small
-    good = written(good, "good").withColumn("good", F.lit(True))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    known = texts.where(F.col("doc_id").isNotNull()).join(good, "doc_id", "left")
-    unknown = texts.where(F.col("doc_id").isNull())          # kept from the join, where they would be one key
-    counts = _counts(known.select("text", F.coalesce("good", F.lit(False)).alias("good"))
-                          .unionByName(unknown.select("text", F.lit(False).alias("good"))))
+    good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("key"))
+    own = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    trusted = cascade(good, own.select(F.col("id").alias("key")))
+    known = F.coalesce(trusted.holds(F.col("id"), "f") & F.col("id").isNotNull(), F.lit(False))
+    counts = _counts(trusted.attach(own, "f").select("text", known.alias("good")))
     both = (spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
                  .join(counts, "bucket", "left").fillna(0, ["raw", "trusted"]))
     row = both.agg(F.sum("raw").alias("nr"), F.sum("trusted").alias("nt"),
