@@ -25,8 +25,11 @@ at the threshold is missed with a chance below MISS, a closer one far less.
 
 Nulls: a null or wordless text has an empty set and links with nothing. A
 row without an id is looked up by its set, but names no class: it is kept if
-its class has no id. Rows that repeat an id are one vertex. Columns other
-than id and text are not read.
+its class has no id. A vertex is a set, named by its smallest id and its
+digest, so rows that repeat an id with different texts are different vertices.
+Ties of ids go to the smaller digest. Very long texts are hashed in slices and
+whole; empty tables give no rows; of other columns, which may have any name,
+none is read (`deduplicated` carries them along).
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,12 +87,11 @@ def signatures(h: np.ndarray, at: np.ndarray, bands: int, rows: int = ROWS) -> n
     return keys + mix(np.arange(1, bands + 1, dtype=np.uint64))
 
 
-def sketch(docs: DataFrame, k: int, bands: int, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, set_digest, bands): digest and bands are null for an empty set."""
+def sketch(docs: DataFrame, k: int, bands: int) -> DataFrame:
+    """(id, tid, n_shingles, set_digest, bands) of docs (id, tid, text): digest and bands are null for an empty set."""
     def run(batches):
         for b in batches:
-            data, off = strings(b.column(1))
+            data, off = strings(b.column(2))
             n, digest, sig = [], [], []
             for i, j in slices(off, SLICE_BYTES):
                 h, at = shingle_hashes(data, off[i:j + 1], k)
@@ -107,12 +109,12 @@ def sketch(docs: DataFrame, k: int, bands: int, id_col: str = "doc_id",
                     sig.append(keys[row])
                     row += 1
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(sig, pa.list_(pa.int64()))], names=["id", "n_shingles", "set_digest", "bands"])
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                 pa.array(sig, pa.list_(pa.int64()))], names=["id", "tid", "n_shingles", "set_digest", "bands"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    src = docs.select("id", "tid", "text")
     return src.mapInArrow(run, T.StructType([
-        T.StructField("id", src.schema["id"].dataType), T.StructField("n_shingles", T.LongType()),
+        src.schema["id"], T.StructField("tid", T.LongType()), T.StructField("n_shingles", T.LongType()),
         T.StructField("set_digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
 
 
@@ -179,18 +181,32 @@ def _group(*cols):
 
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: (doc_id, n_shingles, component_id, kept).
+def _vertex(kind: T.DataType) -> Column:
+    """A name of a set that sorts as its smallest id: the id, then the digest."""
+    if isinstance(kind, T.IntegralType):
+        ahead = (F.col("id").cast("decimal(20,0)") + F.lit(str(2 ** 63)).cast("decimal(20,0)")).cast("decimal(20,0)")
+        return F.concat(F.lpad(ahead.cast("string"), 20, "0"), F.lit(":"), F.lower(F.hex("set_digest")))
+    return F.concat(F.col("id").cast("string"), F.lit("\0"), F.lower(F.hex("set_digest")))
 
-    Documents whose k-word shingle sets have a Jaccard similarity of num/den
-    or more are linked; component_id is the smallest id reachable by links.
-    """
-    bands = bands_for(num / den)
-    base = written(sketch(docs, k, bands, id_col, text_col), "sketch")
-    reps = written(base.where(F.col("set_digest").isNotNull()).groupBy("set_digest")
-                       .agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
-                       .where(F.col("rep").isNotNull()), "reps")
+
+def _id_of(vertex: str, kind: T.DataType) -> Column:
+    own = F.col(vertex)
+    if isinstance(kind, T.IntegralType):
+        return (F.substring(own, 1, 20).cast("decimal(20,0)") - F.lit(str(2 ** 63)).cast("decimal(20,0)")).cast(kind)
+    return F.substr(own, F.lit(1), F.length(own) - 33).cast(kind)
+
+
+def _classes(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Of docs (id, tid, text): the rows (id, tid, n_shingles, set_digest), and
+    for each set (set_digest, id, tid, rep, class), the names of its vertex
+    and of the smallest one reachable."""
+    bands, kind = bands_for(num / den), docs.schema["id"].dataType
+    base = written(sketch(docs, k, bands), "sketch")
+    named = F.when(F.col("id").isNotNull(), F.struct("id", "tid"))
+    reps = (base.where(F.col("set_digest").isNotNull()).groupBy("set_digest")
+                .agg(F.min(named).alias("first"), F.any_value("bands").alias("bands"))
+                .where(F.col("first").isNotNull()).select("set_digest", "first.id", "first.tid", "bands"))
+    reps = written(reps.withColumn("rep", _vertex(kind)), "reps")
     keyed = reps.select("rep", F.explode("bands").alias("key"))
     buckets = (keyed.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most"))
                     .where(F.col("least") != F.col("most")))
@@ -205,9 +221,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
               .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
               .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
               .withColumn("pivot", F.array_contains("pivots", F.col("rep"))).drop("pivots"))
-    # the texts of documents in clusters, fetched once
-    members = written(docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-                          .join(placed.hint("merge"), "rep"), "members")
+    # the texts of documents in clusters, fetched once (a row that is there
+    # twice gives the same text)
+    wanted = placed.join(reps.select("rep", "id", "tid"), "rep")
+    members = written(docs.join(wanted.hint("merge"), ["id", "tid"]).drop("id", "tid").dropDuplicates(["rep"]), "members")
     own = members.select("component", "rep", "text", "block", "blocks")
     shared = (members.where("pivot and blocks > 1")
               .select("component", "rep", "text",
@@ -219,24 +236,46 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     across = _across_blocks(members.where("blocks > 1"), edges)
     edges = edges.unionByName(written(confirmed(across, k, num, den), "links"))
     found = components(edges).withColumnRenamed("id", "rep").withColumnRenamed("component", "class")
-    classes = (reps.select("set_digest", "rep").join(found, "rep", "left")
-                   .select("set_digest", F.coalesce("class", "rep").alias("class")))
-    return (base.drop("bands").join(classes, "set_digest", "left")
+    classes = (reps.drop("bands").join(found, "rep", "left").withColumn("class", F.coalesce("class", "rep")))
+    return base.drop("bands"), classes
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, tid, text): `tid`, a hash of the text, tells rows of one id apart."""
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("tid"), F.col(f"`{text_col}`").alias("text"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: (doc_id, n_shingles, component_id, kept).
+
+    Documents whose k-word shingle sets have a Jaccard similarity of num/den
+    or more are linked; component_id is the smallest id reachable by links.
+    """
+    src = _keyed(docs, id_col, text_col)
+    base, classes = _classes(src, k, num, den)
+    known = classes.select("set_digest", _id_of("class", src.schema["id"].dataType).alias("class"))
+    return (base.drop("tid").join(known, "set_digest", "left")
                 .select(F.col("id").alias("doc_id"), "n_shingles",
                         F.coalesce("class", "id").alias("component_id"))
                 .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
                                                F.col("component_id").isNull())))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
-    """One document of each class, with its columns: the one with the
-    smallest id (one of its rows, if the id repeats). Rows without an id
-    cannot be told apart by it and stay."""
-    named = docs.where(F.col(id_col).isNotNull())
-    kept = (near_duplicates(named, id_col=id_col, text_col=text_col, **rule).where("kept")
-            .select(F.col("doc_id").alias(id_col)).distinct())
-    one = named.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(F.col(id_col).isNull()))
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One document of each class, with its columns: the one with the smallest
+    id (of rows that repeat it, the one whose set names the class). Of rows
+    with the same id and text one is kept. Rows without an id cannot be told
+    apart by it and stay."""
+    named = docs.where(F.col(f"`{id_col}`").isNotNull())
+    base, classes = _classes(_keyed(named, id_col, text_col), k, num, den)
+    kept = (classes.where(F.col("rep") == F.col("class")).select("id", "tid")
+                   .unionByName(base.where(F.col("set_digest").isNull()).select("id", "tid")).distinct())
+    rows = named.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"),
+                        F.xxhash64(F.col(f"`{text_col}`")).alias("tid"))
+    one = rows.join(kept, ["id", "tid"], "left_semi").dropDuplicates(["id", "tid"])
+    return (one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+               .unionByName(docs.where(F.col(f"`{id_col}`").isNull())))
 
 
 def _across_blocks(members: DataFrame, edges: DataFrame) -> DataFrame:

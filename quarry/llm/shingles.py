@@ -1,9 +1,11 @@
 """Word shingles of texts as 64-bit hashes, computed on flat byte arrays.
 
-A word's hash is a polynomial over random per-byte values, read off a prefix
-sum; a shingle's hash mixes its words' hashes in order. All arithmetic is
-modulo 2**64, so 64-bit hashes stand for shingles: two different ones of a
-comparison agree with a chance of about 2**-64.
+A word's hash sums its 8-byte pieces, each mixed with its number by a bijection
+of 64-bit values that spreads every bit; a shingle's hash mixes its words'
+hashes in order. No step is a polynomial, so words of a regular build (such as
+the Thue-Morse word, on which polynomials modulo 2**64 agree whatever their
+base) are no special case: two different shingles agree as two random 64-bit
+values do.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ LOWER[65:91] += 32
 _RNG = np.random.default_rng(20240229)
 BYTE_VALUE = _RNG.integers(0, 2 ** 64, 256, np.uint64)
 BASE = int(_RNG.integers(0, 2 ** 63, dtype=np.uint64)) * 2 + 1
+PIECE_SEED = np.uint64(0x9E3779B97F4A7C15)
 WORD_FACTOR = _RNG.integers(0, 2 ** 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -56,6 +59,17 @@ def prefix(data: np.ndarray, values: np.ndarray = BYTE_VALUE) -> np.ndarray:
     return out
 
 
+def _word_hashes(letters: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The hash of each word; `letters` holds their bytes one after the other."""
+    if not len(length):
+        return np.zeros(0, np.uint64)
+    at = np.arange(len(letters)) - np.repeat(np.cumsum(length) - length, length)      # place in the word
+    starts = np.flatnonzero((at & 7) == 0)
+    pieces = np.add.reduceat(letters.astype(np.uint64) << ((at & 7) << 3).astype(np.uint64), starts)
+    pieces = mix(pieces ^ mix((at[starts] >> 3).astype(np.uint64) + PIECE_SEED))
+    return mix(np.add.reduceat(pieces, np.flatnonzero(at[starts] == 0)) + length.astype(np.uint64))
+
+
 def word_table(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     """(hash, begin, end of each word, first word of each text). Texts are
     data[offsets[i]:offsets[i+1]]; words are runs of bytes other than \\x20
@@ -74,8 +88,7 @@ def word_table(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | first[1:-1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    p = prefix(LOWER[d] if lower else d)
-    h = mix((p[end] - p[start]) * powers(len(d) + 1)[1][start] + (end - start).astype(np.uint64))
+    h = _word_hashes((LOWER[d] if lower else d)[inside], end - start)
     return h, start, end, np.searchsorted(start, off)
 
 
