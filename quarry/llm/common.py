@@ -41,6 +41,20 @@ def fresh(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in have])
 
 
+def apart(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with those of its columns renamed that have one of the names an
+    operator uses, and the way back: columns of any name are carried along."""
+    taken, mine, new = {c.lower() for c in df.columns}, {n.lower() for n in names}, {}
+    for c in df.columns:
+        if c.lower() in mine:
+            n = c + "_"
+            while n.lower() in taken | mine:
+                n += "_"
+            taken.add(n.lower())
+            new[c] = n
+    return df.withColumnsRenamed(new), {n: c for c, n in new.items()}
+
+
 def ascii_lower(c: Column | str) -> Column:
     """A-Z to a-z, nothing else (`lower` would also map other letters)."""
     return F.translate(c if isinstance(c, Column) else F.col(c),

@@ -23,12 +23,12 @@ equal likelihoods the alphabetically first language.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +44,7 @@ CACHE_WORDS = 300_000
 GROUP_CELLS = 1 << 21      # words x positions x languages of one forward pass
 
 MARK = "▁"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

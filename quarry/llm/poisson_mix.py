@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, written
+from quarry.llm.common import apart, fresh, written
 
 SEED = 17
 TEMPERATURE = 2.0      # default target weight of a source: its rows to the power 1 / TEMPERATURE
@@ -72,7 +72,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, wanted: float | None
     its `rate`, the number of the `copy` (from 0) and `mix_key`, in the
     order of `mix_key` over the whole table. `weights`: (source, weight);
     tempered weights by default."""
-    src = fresh(docs, "rate", "copy", "mix_key")
+    src, back = apart(fresh(docs, "rate", "copy", "mix_key"), "name", "cdf", "_name", "_n")
+    id_col, source_col = ({v: k for k, v in back.items()}.get(c, c) for c in (id_col, source_col))
     sources = tempered(src, source_col)
     if weights is not None:
         given = weights.select(_name(weights.columns[0]).alias("name"),
@@ -91,7 +92,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, wanted: float | None
     copies = counted.select(*names, "rate", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("copy"))
     return (copies.withColumn("mix_key", F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("order"), key,
                                                            F.col("copy").cast("string"))))
-                  .orderBy("mix_key"))
+                  .orderBy("mix_key").withColumnsRenamed(back))
 
 
 # DuckDB SQL for mix() with the default weights over `documents`.

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import held_out, slices, strings
+from quarry.llm.common import apart, held_out, slices, strings
 from quarry.llm.shingles import join_words, powers, prefix, word_table
 
 FIT_ROWS = 20_000        # labelled documents that the trees are fitted on, about
@@ -220,15 +220,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, trees: Trees, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all by default) with `score`, the chance of label 1."""
-    src = docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns) if c != "score"],
-                      F.col(text_col).alias("_text"))
+    own, back = apart(docs.select(*[F.col(f"`{c}`") for c in (keep or docs.columns) if c != "score"]), "_text")
+    src = docs.select(*[F.col(f"`{back.get(c, c)}`").alias(c) for c in own.columns], F.col(f"`{text_col}`").alias("_text"))
     schema = T.StructType([*src.schema.fields[:-1], T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for b in batches:
             s = trees.score(_statistics_of(b.column(b.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64())], names=schema.names)
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).withColumnsRenamed(back)
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -240,7 +240,6 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score reaches the threshold, with their columns."""
-    names = docs.columns
-    renamed = docs.withColumnsRenamed({"score": "_own_score"})
-    out = score(renamed, train(docs, labels)).where(F.col("score") >= THRESHOLD).drop("score")
-    return out.withColumnsRenamed({"_own_score": "score"}).select(*[F.col(f"`{c}`") for c in names])
+    src, back = apart(docs, "score")
+    out = score(src, train(docs, labels)).where(F.col("score") >= THRESHOLD).drop("score")
+    return out.withColumnsRenamed(back).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import fresh
+from quarry.llm.common import apart, fresh
 
 MARK = "▁"
 CACHE_WORDS = 150_000          # words kept by a Python worker; more start a new cache
@@ -291,8 +291,9 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text",
     """`docs` with `ids` (array of int) and `n_tokens`, and with what the ids
     decode to in `decoded_col` if one is named; other columns stay, but for
     ones of these names, which are replaced."""
-    kept = fresh(docs, "ids", "n_tokens", *([decoded_col] if decoded_col else [])).columns
-    src = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_text"))
+    own, back = apart(fresh(docs, "ids", "n_tokens", *([decoded_col] if decoded_col else [])), "_text")
+    kept = own.columns
+    src = docs.select(*[F.col(f"`{back.get(c, c)}`").alias(c) for c in kept], F.col(f"`{text_col}`").alias("_text"))
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
     added += [T.StructField(decoded_col, T.StringType())] if decoded_col else []
     out = T.StructType([*src.schema.fields[:-1], *added])
@@ -309,7 +310,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text",
                 if decoded_col:
                     cols.append(pa.array([enc.decode(x.tolist()) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=out.names)
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(run, out).withColumnsRenamed(back)
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

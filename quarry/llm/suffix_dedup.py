@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import fresh, slices, strings, tasks_for, written
+from quarry.llm.common import apart, slices, strings, tasks_for, written
 from quarry.llm.shingles import _RNG, BYTE_VALUE, mix, powers, prefix
 
 L = 200                  # length of a repeated string, in bytes
@@ -393,7 +393,9 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` with the repeated strings cut out of its texts, in whole
     characters (a span that begins or ends within one is cut back); null
     texts stay null."""
-    src = _with_spans(fresh(docs, "_tid", "_size", "_begins", "_ends"), text_col)
+    own, back = apart(docs, "_tid", "_size", "_begins", "_ends")
+    text_col = {v: k for k, v in back.items()}.get(text_col, text_col)
+    src = _with_spans(own, text_col)
     schema = T.StructType([f for f in src.schema.fields if f.name not in ("_begins", "_ends")])
     at = src.columns.index(text_col)
 
@@ -408,4 +410,4 @@ def without_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
             cols = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(schema))]
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
     src_text = src.columns[at]
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).withColumnsRenamed(back).select(*[F.col(f"`{c}`") for c in docs.columns])
