@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import minmax_dedup, poisson_mix, quality_gbt, sentencepiece_bpe, suffix_dedup
-from quarry.llm.common import table, written
+from quarry.llm.common import apart, table, written
 from quarry.llm.queries import PIECE_MODEL
 
 # Near-duplicates here: five-word shingles, Jaccard similarity of 0.8 or more.
@@ -37,7 +37,8 @@ def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources replicated to their tempered weights, shuffled as a whole."""
-    return poisson_mix.mix(docs).select(*docs.columns)
+    own, back = apart(docs, "rate", "copy", "mix_key")
+    return poisson_mix.mix(own).select(*own.columns).withColumnsRenamed(back)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
