@@ -28,10 +28,16 @@ def query_terms(queries: DataFrame, text_col: str = "text", key: str = "query_id
                    .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
-               key: str = "query_id", k: int = DEFAULT_LIMIT) -> DataFrame:
-    """(query_id, doc_id, score) of the bag-of-words OR query of each row:
-    the documents that can reach a query's top k (exact MaxScore pruning).
+def _shared(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"batch-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def batch_hits(index, qt: DataFrame, field: str, k: int = DEFAULT_LIMIT) -> DataFrame:
+    """(query_id, doc_id, score) of the bag-of-words OR query of each query's
+    words (query_id, term, qtf): the documents that can reach a query's top k
+    (exact MaxScore pruning).
 
     Joining query words to the term table on `term` would emit every
     (query, document) pair that shares a frequent word such as `the`. So:
@@ -54,23 +60,16 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
     tables grow with the query table and are never broadcast by hint.
     """
     index.schema.require_text(field)
-    spark = index.spark
     n_docs, avgdl = index.stat_values().get(field, (0, 0.0))
     n_docs, avgdl = F.lit(n_docs).cast("long"), F.lit(float(avgdl))
 
-    def shared(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, f"batch-{name}")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    # query words, analysed and looked up once; only their vocabulary rows
-    # are summed over commits
-    qt = shared(query_terms(queries, text_col, key), "words")
+    # the query words are looked up once; only their vocabulary rows are
+    # summed over commits
     voc = index.vocabulary(F.col("field") == field, only=qt).select("term", "df")
-    words = shared(qt.join(voc, "term").select(
+    words = _shared(qt.join(voc, "term").select(
         "query_id", "term", "qtf", "df", idf(F.col("df"), n_docs).alias("idf")), "weighted")
     # the one scan of the term table: rows of the query words
-    tt = shared(index.terms.where(F.col("field") == field).select("term", "doc_id", "tf", "dl")
+    tt = _shared(index.terms.where(F.col("field") == field).select("term", "doc_id", "tf", "dl")
                      .join(words.select("term"), "term", "left_semi"), "terms")
 
     def scored(rows: DataFrame) -> DataFrame:
@@ -90,14 +89,14 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
            .agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(0.0)).alias("theta")))
     low = Window.partitionBy("query_id").orderBy("ub", "term") \
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    split = shared(qv.withColumn("ub", F.col("qtf") * F.col("idf") * (K1 + 1.0))
+    split = _shared(qv.withColumn("ub", F.col("qtf") * F.col("idf") * (K1 + 1.0))
                      .join(kth, "query_id", "left")
                      .select(*cols, (F.col("seed") | (
                          F.sum("ub").over(low) >= F.coalesce(F.col("theta"), F.lit(0.0)) - PRUNE_MARGIN))
                          .alias("essential")), "split")
     # essential words (the seed and the high-idf words): scored straight
     # from the term join, their document lists are the short ones
-    part = shared(scored(split.where("essential").select(*cols).join(tt, "term")), "part")
+    part = _shared(scored(split.where("essential").select(*cols).join(tt, "term")), "part")
     # the remaining (frequent) words only for those candidates, by (doc_id, term)
     wanted = part.select("query_id", "doc_id").join(split.where("not essential").select(*cols), "query_id")
     rest = scored(wanted.join(tt, ["doc_id", "term"]))
@@ -107,9 +106,18 @@ def batch_hits(index, queries: DataFrame, field: str, text_col: str = "text",
 
 def batch_search(index, queries: DataFrame, field: str, k: int = DEFAULT_LIMIT,
                  text_col: str = "text", key: str = "query_id") -> DataFrame:
-    """Top k documents for every query row: (query_id, rank, doc_id, score)."""
-    hits = batch_hits(index, queries, field, text_col, key, k)
-    return top_k_per_query(hits, k, spread=False).select("query_id", "rank", "doc_id", "score")
+    """Top k documents for every query row: (query_id, rank, doc_id, score).
+
+    Queries of the same words are one: it is scored and cut to k, then given
+    to each of them, so a thousand queries for a frequent word cost as one."""
+    qt = _shared(query_terms(queries, text_col, key), "words")
+    bags = qt.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "qtf"))).alias("bag"))
+    first = bags.groupBy("bag").agg(F.min("query_id").alias("first"))
+    members = _shared(bags.join(first, "bag").select("query_id", "first"), "members")
+    one = members.where(F.col("query_id") == F.col("first")).select("query_id")
+    hits = batch_hits(index, qt.join(one, "query_id", "left_semi"), field, k)
+    top = top_k_per_query(hits, k, spread=False).withColumnRenamed("query_id", "first")
+    return members.join(top, "first").select("query_id", "rank", "doc_id", "score")
 
 
 def batch_fuzzy(index, words: DataFrame, field: str, distance: int = 1,

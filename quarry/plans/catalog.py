@@ -183,13 +183,14 @@ def q_snapshot_read(spark, sf):
 
 
 def q_stream_ingest(spark, sf):
-    """A folder that receives the documents in several files: each is a
-    micro-batch, and so a commit."""
+    """A folder that receives the documents in several files: each third of
+    them is a micro-batch, and so a commit."""
     from quarry.streaming.ingest_stream import ingest_stream
     src = _t(spark, sf, "documents")
     folder, path = scratch_path(spark, "incoming"), scratch_path(spark, "stream")
-    src.repartition(COMMITS, "doc_id").write.parquet(folder)
-    sdf = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    files = max(COMMITS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    src.repartition(files, "doc_id").write.parquet(folder)
+    sdf = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", -(-files // COMMITS)).parquet(folder)
     ingest_stream(spark, sdf, Schema().add_text_field("text", stored=True), path)
     return Index.open(spark, path).terms.select(
         "doc_id", "field", "term", F.col("tf").cast("long").alias("tf"))
@@ -293,6 +294,30 @@ def q_stored_fields(spark, sf):
                              "quality", "toxic", "text"), "n_chars", "quality")
 
 
+def q_facets(spark, sf):
+    """Counts of hits by language, by label and by length."""
+    s = Searcher(docs_index(spark, sf))
+    return s.facets(any_words(["text"], "the language of data"), ["lang", "toxic", ("n_chars", [100, 1000, 5000])])
+
+
+def q_facets_top(spark, sf):
+    """The same over the best 100 hits."""
+    s = Searcher(docs_index(spark, sf))
+    return s.facets(any_words(["text"], "the language of data"), ["lang", ("n_chars", [100, 1000, 5000])], limit=100)
+
+
+def q_sorted_hits(spark, sf):
+    """Three pages of ten hits by length, longest first, each after the last row of the one before."""
+    s = Searcher(docs_index(spark, sf))
+    pages, after = [], None
+    for _ in range(3):
+        page = s.search_sorted(Term("text", "the"), "n_chars", descending=True, limit=10, after=after, stored=False)
+        pages.append(page)
+        after = s.cursor(page)
+    rows = pages[0].unionByName(pages[1]).unionByName(pages[2])
+    return rows.select("doc_id", F.col("value").cast("long").alias("value"), F.round("score", 6).alias("score"))
+
+
 # ------------------------------------------------------------------ F: highlight
 def q_snippets(spark, sf):
     s = Searcher(docs_index(spark, sf))
@@ -396,6 +421,9 @@ QUERIES = {
     "top_k": q_top_k,
     "total_hits": q_total_hits,
     "stored_fields": q_stored_fields,
+    "facets": q_facets,
+    "facets_top": q_facets_top,
+    "sorted_hits": q_sorted_hits,
     "snippets": q_snippets,
     "fuzzy_snippets": q_fuzzy_snippets,
     "snippets_html": q_snippets_html,

@@ -26,8 +26,9 @@ frequent term spread over many files instead of one.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +43,8 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 TERMS_PER_INPUT = 2
 # Rows of a page of the value table: a range reads whole pages.
 VALUE_PAGE_ROWS = 1000
+# Ranges of a batch's ids in which earlier commits are searched for them.
+PUSHED_RANGES = 200
 # The same for the neighbourhoods, of which a search asks a few hundred keys.
 NEAR_PAGE_ROWS = 1000
 TABLES = ("corpus", "terms", "vocab", "values", "near", "stats")
@@ -142,13 +145,15 @@ class Index:
         cls._write_commit(spark, corpus, schema, id_col, path, commit_id, partitions)
         return cls.open(spark, path)
 
-    @staticmethod
-    def _write_commit(spark, corpus: DataFrame, schema: Schema, id_col: str, path: str, commit_id: int,
+    @classmethod
+    def _write_commit(cls, spark, corpus: DataFrame, schema: Schema, id_col: str, path: str, commit_id: int,
                       partitions: int | None = None, replace: bool = False) -> None:
         """Write one commit: corpus rows, then the tables derived from them,
         then the marker.
 
-        The texts are tokenised from the written corpus, each document in one
+        Ids are checked on the written rows (the marker is what counts): they
+        must be unique in the batch, and no earlier commit may have them. The
+        texts are tokenised from the written corpus, each document in one
         partition, so grouping its tokens needs no exchange; vocabulary and
         statistics are read off the written term table."""
         commit_id = int(commit_id)
@@ -159,12 +164,6 @@ class Index:
         remove(spark, marker)
         for t in TABLES:
             remove(spark, f"{path}/{t}/{COMMIT_COL}={commit_id}")
-        check_ids(corpus, id_col)
-        others = [c for c in done if c != commit_id]
-        if others:
-            earlier = Index.open(spark, path).corpus.where(F.col(COMMIT_COL).isin(others))
-            if not corpus.select(id_col).join(earlier.select(id_col), id_col, "left_semi").isEmpty():
-                raise SearchError(f"Document id '{id_col}' must be unique: an id of commit {commit_id} is indexed already")
         n = partitions or _write_partitions(spark, corpus)
         fields = schema.text_fields()
         schemas = _schemas(schema, id_col, corpus.schema[id_col].dataType)
@@ -182,6 +181,16 @@ class Index:
         (corpus.drop(COMMIT_COL).repartitionByRange(n, F.col(f"`{id_col}`")).sortWithinPartitions(F.col(f"`{id_col}`"))
                .write.parquet(folder("corpus")))
         batch = written("corpus")
+        try:
+            check_ids(batch, id_col)
+            others = [c for c in done if c != commit_id]
+            if others:
+                earlier = cls._ids_near(Index.open(spark, path).corpus.where(F.col(COMMIT_COL).isin(others)), batch, id_col)
+                if not batch.select(F.col(f"`{id_col}`")).join(earlier, id_col, "left_semi").isEmpty():
+                    raise SearchError(f"Document id '{id_col}' must be unique: an id of commit {commit_id} is indexed already")
+        except SearchError:
+            remove(spark, folder("corpus"))
+            raise
         # tokens are counted once and kept aside: the range exchange reads its
         # input twice (for the bounds, then for the rows)
         aside = f"{path}/_aside/{commit_id}"
@@ -210,6 +219,19 @@ class Index:
                  .write.parquet(folder("stats")))
         put_text(spark, marker)
 
+    @staticmethod
+    def _ids_near(corpus: DataFrame, batch: DataFrame, id_col: str) -> DataFrame:
+        """The ids of `corpus` that can be among those of a written batch: both
+        are clustered on the id, so each file of the batch spans a range of
+        ids, and the ranges (at most PUSHED_RANGES) are pushed to the scan. A
+        batch of new, higher ids reads next to nothing of the earlier ones."""
+        own = F.col(f"`{id_col}`")
+        spans = (batch.groupBy(F.input_file_name().alias("file")).agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
+                      .withColumn("part", F.ntile(PUSHED_RANGES).over(Window.orderBy("lo")))
+                      .groupBy("part").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect())
+        near = reduce(lambda x, y: x | y, [own.between(r["lo"], r["hi"]) for r in spans], F.lit(False))
+        return corpus.where(near).select(own)
+
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> "Index":
         """Open a written index: schema and id column are stored with it."""

@@ -204,6 +204,20 @@ _html_score = "0.0::DOUBLE + " + " + ".join(_s(i + 1) for i in range(3))
 _HTML_TOP_RAW = _bool(_html_leaves, _html_matched, _html_score, PAGES_IX).replace(
     f"round({_html_score}, 6) AS score", f"{_html_score} AS score")
 
+_LENGTH = ("CASE WHEN n_chars < 100 THEN '(*, 100)' WHEN n_chars < 1000 THEN '[100, 1000)' "
+           "WHEN n_chars < 5000 THEN '[1000, 5000)' ELSE '[5000, *)' END")
+
+
+def _facets(hits: str, toxic: bool) -> str:
+    """Counts by value, one grouped query a facet."""
+    d = f"(SELECT * FROM {DOCS} x WHERE doc_id IN (SELECT doc_id FROM hits))"
+    parts = [f"SELECT 'lang' AS facet, lang AS value, count(*) AS count FROM {d} y WHERE lang IS NOT NULL GROUP BY lang",
+             f"SELECT 'n_chars', {_LENGTH}, count(*) FROM {d} y WHERE n_chars >= 0 GROUP BY 2"]
+    if toxic:
+        parts.append(f"SELECT 'toxic', toxic::VARCHAR, count(*) FROM {d} y WHERE toxic IS NOT NULL GROUP BY toxic")
+    return f"SELECT * FROM (WITH hits AS ({hits}) " + " UNION ALL ".join(parts) + ")"
+
+
 ORACLES = {
     "ingest_typed": """
 SELECT c_custkey AS doc_id, c_name, c_acctbal::DOUBLE AS c_acctbal,
@@ -367,4 +381,9 @@ h AS (SELECT query_id, doc_id, CASE form
         WHEN 3 THEN ({_m(1)} OR {_m(2)}) AND doc_id IN (SELECT doc_id FROM documents WHERE n_chars BETWEEN 200 AND 3000) ELSE true END),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM h)
 SELECT query_id, rank::BIGINT AS rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10""",
+    "facets": _facets(BM25_ALL, True),
+    "facets_top": _facets(f"SELECT doc_id FROM ({_top(_BM25_TOP_RAW, 100)})", False),
+    "sorted_hits": _hits(f"SELECT sc.doc_id, dd.n_chars AS value, score FROM sc JOIN documents dd USING (doc_id) "
+                         f"WHERE field = 'text' AND term = 'the' AND dd.n_chars >= 0 ORDER BY dd.n_chars DESC, sc.doc_id LIMIT 30").replace(
+        "SELECT doc_id, round(score, 6) AS score FROM h", "SELECT doc_id, value::BIGINT AS value, round(score, 6) AS score FROM h"),
 }

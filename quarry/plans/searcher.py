@@ -43,6 +43,31 @@ class Searcher:
         return hits.agg(F.least(F.count(F.lit(1)), F.lit(limit)).alias("total_hits"),
                         F.count(F.lit(1)).alias("total_matches"))
 
+    def facets(self, query: Query, by: list, limit: int | None = None) -> DataFrame:
+        """(facet, value, count): hits (the best `limit` of them, or all) by the
+        values of stored fields, or by (field, edges) in numeric buckets."""
+        from quarry.operators.facets import facets
+        hits = self.hits(query)
+        return facets(self.index, ranking.top_k(hits, limit) if limit else hits, by)
+
+    def search_sorted(self, query: Query, field: str, descending: bool = False, limit: int = ranking.DEFAULT_LIMIT,
+                      after: tuple | None = None, stored: bool = True) -> DataFrame:
+        """Hits in the order of (field, doc_id), with the field's `value`:
+        the first `limit`, or those after the row (value, doc_id)."""
+        from quarry.operators.facets import sorted_page
+        if not isinstance(limit, int) or limit < 1:
+            raise SearchError("limit must be a positive integer")
+        page = sorted_page(self.index, self.hits(query), field, descending, limit, after)
+        if stored:
+            page = ranking.stored_fields(self.index, page, limit=limit)
+        return page.orderBy(F.desc("value") if descending else F.asc("value"), F.asc("doc_id"))
+
+    @staticmethod
+    def cursor(page: DataFrame) -> tuple | None:
+        """What to continue a sorted page after: its last row; None if it is empty."""
+        last = page.select("value", "doc_id").tail(1)
+        return tuple(last[0]) if last else None
+
     # -------------------------------------------- the reference's entry points
     def search_term(self, field: str, value: str, limit: int = 10) -> DataFrame:
         return self.search(Term(field, value), limit)
