@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 
 from quarry.functions.distance import neighbourhood_keys
 from quarry.functions.text import tokens
+from quarry.operators.scoring import bm25_share
 from quarry.schema import BOOL, F64, I64, U64, Field
 from quarry.sources.corpus import COMMIT_COL
 
+# A commit's documents in the order of their ids, so many to a block: a hidden
+# column of the corpus and the term table, ascending with the id.
+BLOCK_COL = "_block"
+BLOCK_DOCS = 128
+# A term in at least so many documents of a commit has its blocks' tops kept.
+FREQUENT = 4 * BLOCK_DOCS
+
 # The column of the value table that holds a field type's values.
 VALUE_COLUMNS = {U64: "dec", I64: "long", F64: "dbl", BOOL: "long"}
 VALUE_TYPES = {"dec": "decimal(20,0)", "long": "long", "dbl": "double"}
@@ -25,8 +33,7 @@ VALUE_TYPES = {"dec": "decimal(20,0)", "long": "long", "dbl": "double"}
 def field_texts(corpus: DataFrame, fields: list[str], id_col: str = "doc_id") -> DataFrame:
     """(doc_id, [commit_id], field, text): one row per document and text field."""
     keys = [F.col(id_col).alias("doc_id")]
-    if COMMIT_COL in corpus.columns:
-        keys.append(F.col(COMMIT_COL))
+    keys += [F.col(c) for c in (COMMIT_COL, BLOCK_COL) if c in corpus.columns]
     if not fields:   # no indexed text field: an empty, typed table
         return corpus.select(*keys, F.lit(None).cast("string").alias("field"),
                              F.lit(None).cast("string").alias("text")).where(F.lit(False))
@@ -57,7 +64,8 @@ def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
     if partitions:
         corpus = corpus.repartition(partitions, F.col(f"`{id_col}`"))
     ft = field_texts(corpus, fields, id_col)
-    keys = [c for c in ft.columns if c in ("doc_id", COMMIT_COL, "field")]
+    keys = [c for c in ft.columns if c in ("doc_id", COMMIT_COL, "field", BLOCK_COL)]
+    block = [F.any_value(BLOCK_COL).alias(BLOCK_COL)] if BLOCK_COL in keys else []
     # dl is computed once per document, below the explode; computed in the
     # same select as the generator it would be re-evaluated per token.
     toks = (ft.select(*keys, tokens("text").alias("toks"))
@@ -68,7 +76,7 @@ def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
     # tell rows apart better than an id that a whole document shares
     group = [c for c in ("term", "doc_id", "field", COMMIT_COL) if c in exploded.columns]
     return exploded.groupBy(*group).agg(
-        F.any_value("dl").alias("dl"),
+        F.any_value("dl").alias("dl"), *block,
         F.count(F.lit(1)).cast("int").alias("tf"),
         F.array_sort(F.collect_list("pos")).alias("positions"),
     )
@@ -118,6 +126,17 @@ def neighbourhoods(vocab: DataFrame) -> DataFrame:
                         F.char_length("term").alias("n"), "term")
 
 
+def block_tops(terms: DataFrame, vocab: DataFrame, avgdl: dict[str, float]) -> DataFrame:
+    """(field, term, _block, top): the largest share of idf * (k1 + 1) that a
+    frequent term contributes to a document of each block, by the commit's own
+    average lengths."""
+    frequent = vocab.where(F.col("df") >= FREQUENT).select("field", "term")
+    mean = F.create_map(*[x for f, a in sorted(avgdl.items()) for x in (F.lit(f), F.lit(float(a or 1.0)))])
+    share = bm25_share(F.col("tf"), F.col("dl"), F.try_element_at(mean, F.col("field")))
+    return (terms.join(frequent, ["field", "term"], "left_semi").groupBy("field", "term", BLOCK_COL)
+                 .agg(F.max(share).alias("top")))
+
+
 def commit_stats(corpus: DataFrame, terms: DataFrame, fields: list[str]) -> DataFrame:
     """(commit_id, field, n_docs, total_len): tiny, one row per commit and field."""
     docs = corpus.groupBy(COMMIT_COL).agg(F.count(F.lit(1)).alias("n_docs"))

@@ -71,8 +71,9 @@ def _searchable_text(index, field: str, kind: str = "term") -> bool:
     return f.indexed
 
 
-def term_rows(index, leaves: list[tuple[int, Term]]) -> DataFrame:
-    """BM25-scored rows for many term leaves with one scan of the term table."""
+def term_rows(index, leaves: list[tuple[int, Term]], where: Column | None = None) -> DataFrame:
+    """BM25-scored rows for many term leaves with one scan of the term table,
+    of the rows `where` selects, if it is given."""
     leaves = [(i, q) for i, q in leaves if _searchable_text(index, q.field)]
     if not leaves:
         return _empty(index)
@@ -80,7 +81,7 @@ def term_rows(index, leaves: list[tuple[int, Term]]) -> DataFrame:
     lt = spark.createDataFrame([(i, q.field, q.value) for i, q in leaves],
                                "leaf_id int, field string, term string")
     cond = _pairs_filter((q.field, q.value) for _, q in leaves)
-    hits = index.terms.where(cond).select("field", "term", "doc_id", "tf", "dl")
+    hits = index.terms.where(cond if where is None else cond & where).select("field", "term", "doc_id", "tf", "dl")
     dfs = index.vocabulary(cond).select("field", "term", "df")
     n_docs, avgdl = index.stat_columns()
     # both small sides are bounded by the query's own size (terms x fields)

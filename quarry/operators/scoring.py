@@ -18,3 +18,8 @@ def idf(df: Column, n_docs: Column) -> Column:
 def bm25(idf_: Column, tf: Column, dl: Column, avgdl: Column) -> Column:
     norm = K1 * (1.0 - B + B * dl / avgdl)
     return idf_ * (K1 + 1.0) * tf / (tf + norm)
+
+
+def bm25_share(tf: Column, dl: Column, avgdl: Column) -> Column:
+    """A contribution as a share of the most a term can add, idf * (k1 + 1)."""
+    return tf / (tf + K1 * (1.0 - B + B * dl / avgdl))

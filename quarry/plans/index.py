@@ -11,6 +11,8 @@ of re-tokenising, and a lost executor recomputes from files, not lineage:
     values/  partitioned by commit_id, field; range-clustered on the value
     near/    (if asked for) partitioned by commit_id, field; range-clustered on
              the deletion key: a fuzzy search's candidate terms
+    tops/    partitioned by commit_id, field: the most a frequent term adds to
+             a document of each block of ids
     stats/   one row per (commit_id, field)
     commits/ an empty marker per commit, written last
 
@@ -47,7 +49,9 @@ VALUE_PAGE_ROWS = 1000
 PUSHED_RANGES = 200
 # The same for the neighbourhoods, of which a search asks a few hundred keys.
 NEAR_PAGE_ROWS = 1000
-TABLES = ("corpus", "terms", "vocab", "values", "near", "stats")
+TABLES = ("corpus", "terms", "vocab", "values", "near", "tops", "stats")
+# Rows of a page of the term table, of which a search for few blocks reads few.
+TERM_PAGE_ROWS = 2000
 
 
 def _write_partitions(spark: SparkSession, df: DataFrame) -> int:
@@ -72,10 +76,11 @@ def _schemas(schema: Schema, id_col: str, id_type: T.DataType) -> dict[str, T.St
     every commit has the same types."""
     commit, field = T.StructField(COMMIT_COL, T.LongType()), T.StructField("field", T.StringType())
     term = T.StructField("term", T.StringType())
+    block = T.StructField(analysis.BLOCK_COL, T.LongType())
     fields = [T.StructField(f.name, f.spark_type()) for f in schema.fields if f.name != id_col]
     return {
-        "corpus": T.StructType([T.StructField(id_col, id_type), *fields, commit]),
-        "terms": T.StructType([term, T.StructField("doc_id", id_type), T.StructField("dl", T.IntegerType()),
+        "corpus": T.StructType([T.StructField(id_col, id_type), *fields, block, commit]),
+        "terms": T.StructType([term, T.StructField("doc_id", id_type), T.StructField("dl", T.IntegerType()), block,
                                T.StructField("tf", T.IntegerType()),
                                T.StructField("positions", T.ArrayType(T.IntegerType())), commit, field]),
         "vocab": T.StructType([term, T.StructField("df", T.LongType()), T.StructField("cf", T.LongType()),
@@ -83,6 +88,7 @@ def _schemas(schema: Schema, id_col: str, id_type: T.DataType) -> dict[str, T.St
         "values": T.StructType([T.StructField("dec", T.DecimalType(20, 0)), T.StructField("long", T.LongType()),
                                 T.StructField("dbl", T.DoubleType()), T.StructField("doc_id", id_type), commit, field]),
         "near": T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.IntegerType()), term, commit, field]),
+        "tops": T.StructType([term, block, T.StructField("top", T.DoubleType()), commit, field]),
         "stats": T.StructType([field, T.StructField("n_docs", T.LongType()),
                                T.StructField("total_len", T.LongType()), commit]),
     }
@@ -96,12 +102,12 @@ class Index:
     """
 
     def __init__(self, spark: SparkSession, schema: Schema, corpus: DataFrame,
-                 terms: DataFrame, vocab: DataFrame, values: DataFrame, near: DataFrame | None, stats: DataFrame,
+                 terms: DataFrame, vocab: DataFrame, values: DataFrame, near: DataFrame | None, tops: DataFrame | None, stats: DataFrame,
                  id_col: str = "doc_id", path: str | None = None,
                  commit: int | None = None, commits: tuple[int, ...] | None = None):
         self.spark, self.schema, self.id_col = spark, schema, id_col
         self._corpus, self._terms, self._vocab = corpus, terms, vocab
-        self._values, self._near, self._stats = values, near, stats
+        self._values, self._near, self._tops, self._stats = values, near, tops, stats
         self.path, self.commit, self.commits = path, commit, commits
         self._stat_rows = None
 
@@ -120,7 +126,7 @@ class Index:
         terms = analysis.term_table(corpus, fields, id_col)
         return cls(df.sparkSession, schema, corpus, terms,
                    analysis.commit_vocabulary(terms),
-                   analysis.value_table(corpus, schema.value_fields(), id_col), None,
+                   analysis.value_table(corpus, schema.value_fields(), id_col), None, None,
                    analysis.commit_stats(corpus, terms, fields), id_col)
 
     @classmethod
@@ -178,7 +184,9 @@ class Index:
                          .withColumn(COMMIT_COL, F.lit(commit_id).cast("long")))
 
         # corpus: clustered on the id so that a hit lookup by id skips files
+        # (its rows are numbered in that order; the number's high bits count partitions)
         (corpus.drop(COMMIT_COL).repartitionByRange(n, F.col(f"`{id_col}`")).sortWithinPartitions(F.col(f"`{id_col}`"))
+               .withColumn(analysis.BLOCK_COL, F.floor(F.monotonically_increasing_id() / analysis.BLOCK_DOCS))
                .write.parquet(folder("corpus")))
         batch = written("corpus")
         try:
@@ -199,7 +207,7 @@ class Index:
         counted.write.parquet(aside)
         (spark.read.schema(counted.schema).parquet(aside)
               .repartitionByRange(n, "field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
-              .write.partitionBy("field").parquet(folder("terms")))
+              .write.option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("terms")))
         remove(spark, aside)
         terms = written("terms")
         # fields as partition folders need a row to exist; an empty commit has none
@@ -217,6 +225,11 @@ class Index:
                  .write.option("parquet.page.row.count.limit", VALUE_PAGE_ROWS).partitionBy("field").parquet(folder("values")))
         (analysis.commit_stats(batch, terms, fields).drop(COMMIT_COL).coalesce(1)
                  .write.parquet(folder("stats")))
+        means = {r["field"]: r["total_len"] / max(r["n_docs"], 1) for r in written("stats").collect()}
+        if means:
+            (analysis.block_tops(terms, written("vocab"), means)
+                     .repartitionByRange(n, "field", "term", analysis.BLOCK_COL).sortWithinPartitions("field", "term", analysis.BLOCK_COL)
+                     .write.partitionBy("field").parquet(folder("tops")))
         put_text(spark, marker)
 
     @staticmethod
@@ -268,7 +281,7 @@ class Index:
     def as_of(self, commit_id: int) -> "Index":
         """Snapshot: commits after `commit_id` are invisible (A4)."""
         return Index(self.spark, self.schema, self._corpus, self._terms, self._vocab,
-                     self._values, self._near, self._stats, self.id_col, self.path, commit_id, self.commits)
+                     self._values, self._near, self._tops, self._stats, self.id_col, self.path, commit_id, self.commits)
 
     def _pin(self, df: DataFrame) -> DataFrame:
         if self.commit is None:
@@ -277,7 +290,12 @@ class Index:
 
     @property
     def corpus(self) -> DataFrame:
-        return self._pin(self._corpus)
+        return self._pin(self._corpus).drop(analysis.BLOCK_COL)
+
+    @property
+    def tops(self) -> DataFrame | None:
+        """(field, term, commit_id, _block, top) of frequent terms; a written index has it."""
+        return None if self._tops is None else self._pin(self._tops)
 
     @property
     def terms(self) -> DataFrame:
@@ -337,6 +355,14 @@ class Index:
         a = F.create_map(*[x for f in keys for x in (F.lit(f), F.lit(float(vals[f][1])))])
         return F.try_element_at(n, field), F.try_element_at(a, field)
 
+    def mean_growth(self, field: str) -> float:
+        """How far the view's average length exceeds a commit's own, at most:
+        a document's contribution grows by no more."""
+        rows = (self._pin(self._stats).where((F.col("field") == field) & (F.col("total_len") > 0))
+                    .agg(F.min(F.col("total_len") / F.col("n_docs")).alias("least")).first())
+        mean = self.stat_values().get(field, (0, 0.0))[1]
+        return max(1.0, mean / rows["least"]) if rows["least"] else 1.0
+
     def stats(self) -> DataFrame:
         """(field, n_docs, total_len, avgdl): one row per text field."""
         return analysis.corpus_stats(self._pin(self._stats))

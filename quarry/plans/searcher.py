@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import ranking
 from quarry.operators.boolean import evaluate
+from quarry.operators.bounded import bounded_hits
 from quarry.query import Fuzzy, Prefix, Query, Range, Term
 from quarry.querystring import parse
 from quarry.schema import F64, I64, U64, SearchError
@@ -31,7 +32,8 @@ class Searcher:
         """Top `limit` hits, best first, with their stored fields."""
         if not isinstance(limit, int) or limit < 1:
             raise SearchError("limit must be a positive integer")
-        top = ranking.top_k(self.hits(query), limit)
+        hits = bounded_hits(self.index, query, limit)
+        top = ranking.top_k(self.hits(query) if hits is None else hits, limit)
         if stored:
             top = ranking.stored_fields(self.index, top, limit=limit)
         return top.orderBy(*ranking.rank_order())
