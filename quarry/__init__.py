@@ -6,6 +6,7 @@ DataFrame plan over those tables, so one job can serve one query or a
 whole table of queries.
 """
 
+from quarry.functions.text import Analyzer
 from quarry.schema import Field, Schema, SearchError
 from quarry.query import (
     Bool, Equals, Fuzzy, Nothing, Phrase, Prefix, Range, Term,
@@ -17,7 +18,7 @@ from quarry.plans.index import Index
 from quarry.plans.searcher import Searcher
 
 __all__ = [
-    "Field", "Schema", "SearchError", "Index", "Searcher",
+    "Analyzer", "Field", "Schema", "SearchError", "Index", "Searcher",
     "Term", "Phrase", "Prefix", "Fuzzy", "Range", "Equals", "Bool", "Nothing", "parse",
     "all_of", "any_of", "any_words", "boolean", "match",
     "term", "phrase", "prefix", "fuzzy", "fuzzy_prefix", "range_", "equals",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.distance import neighbourhood_keys
-from quarry.functions.text import tokens
+from quarry.functions.text import Analyzer, tokens
 from quarry.operators.scoring import bm25_share
 from quarry.schema import BOOL, F64, I64, U64, Field
 from quarry.sources.corpus import COMMIT_COL
@@ -52,8 +52,16 @@ def postings(corpus: DataFrame, fields: list[str], id_col: str = "doc_id") -> Da
               .where(F.col("term").isNotNull()))
 
 
+def _field_tokens(analyzers: dict[str, Analyzer]):
+    """The tokens of (field, text) rows, by the field's own chain."""
+    out = tokens("text")
+    for f, a in sorted(analyzers.items()):
+        out = F.when(F.col("field") == f, tokens("text", a)).otherwise(out)
+    return out
+
+
 def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
     """(commit_id?, field, term, doc_id, tf, dl, positions).
 
     Document length is computed from the token array before the explode,
@@ -68,10 +76,12 @@ def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
     block = [F.any_value(BLOCK_COL).alias(BLOCK_COL)] if BLOCK_COL in keys else []
     # dl is computed once per document, below the explode; computed in the
     # same select as the generator it would be re-evaluated per token.
-    toks = (ft.select(*keys, tokens("text").alias("toks"))
-              .select(*keys, "toks", F.size("toks").alias("dl")))
+    grams = any(a.grams for a in (analyzers or {}).values())        # these leave gaps
+    length = F.size(F.filter("toks", lambda t: t != "")) if grams else F.size("toks")
+    toks = (ft.select(*keys, _field_tokens(analyzers or {}).alias("toks"))
+              .select(*keys, "toks", length.alias("dl")))
     exploded = (toks.select(*keys, "dl", F.posexplode_outer("toks").alias("pos", "term"))
-                    .where(F.col("term").isNotNull()))
+                    .where(F.col("term") != "" if grams else F.col("term").isNotNull()))
     # the term first: rows are sorted by the keys, and a term's first bytes
     # tell rows apart better than an id that a whole document shares
     group = [c for c in ("term", "doc_id", "field", COMMIT_COL) if c in exploded.columns]

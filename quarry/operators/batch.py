@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.distance import deletion_keys, edit_distance
-from quarry.functions.text import tokens
+from quarry.functions.text import DEFAULT, Analyzer, tokens
 from quarry.operators.ranking import DEFAULT_LIMIT, top_k_per_query
 from quarry.operators.scoring import K1, bm25, idf
 from quarry.schema import SearchError
@@ -21,10 +21,10 @@ PRUNE_MARGIN = 1e-6
 SEED_FACTOR = 8
 
 
-def query_terms(queries: DataFrame, text_col: str = "text", key: str = "query_id") -> DataFrame:
+def query_terms(queries: DataFrame, text_col: str = "text", key: str = "query_id", analyzer: Analyzer = DEFAULT) -> DataFrame:
     """(query_id, term, qtf): a query's whole text analysed like documents.
     A word written twice counts twice, as two OR clauses would."""
-    return (queries.select(F.col(key).alias("query_id"), F.explode(tokens(text_col)).alias("term"))
+    return (queries.select(F.col(key).alias("query_id"), F.explode(tokens(text_col, analyzer)).alias("term")).where("term != ''")
                    .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
@@ -110,7 +110,7 @@ def batch_search(index, queries: DataFrame, field: str, k: int = DEFAULT_LIMIT,
 
     Queries of the same words are one: it is scored and cut to k, then given
     to each of them, so a thousand queries for a frequent word cost as one."""
-    qt = _shared(query_terms(queries, text_col, key), "words")
+    qt = _shared(query_terms(queries, text_col, key, index.schema.require_text(field).analyzer), "words")
     bags = qt.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "qtf"))).alias("bag"))
     first = bags.groupBy("bag").agg(F.min("query_id").alias("first"))
     members = _shared(bags.join(first, "bag").select("query_id", "first"), "members")

@@ -68,7 +68,7 @@ def hit_weights(index, hits: DataFrame, text: str, query: Query, field: str) ->
     marked = marked_terms(index, query, field)
     if marked is None:
         return None
-    own = hits.select("doc_id", F.explode(F.array_distinct(tokens(text))).alias("term"))
+    own = hits.select("doc_id", F.explode(F.array_distinct(tokens(text, index.schema.field(field).analyzer))).alias("term"))
     return (own.join(marked, "term").groupBy("doc_id")
                .agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("weights")))
 

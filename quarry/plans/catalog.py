@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import tokens
+from quarry.functions.text import Analyzer, tokens
 from quarry.operators import analysis, batch
 from quarry.plans.index import Index
 from quarry.plans.searcher import Searcher
@@ -273,6 +273,19 @@ q_query_string_not = _string_hits(docs_index, ["text"], 'the of AND NOT and NOT
 q_query_string_signed = _string_hits(customer_index, ["c_name"], "balance:-5 OR balance:[-900 TO -800} OR balance:+42")
 
 
+def grams_index(spark, sf) -> Index:
+    """Part names by the 3-grams of their words, part types without frequent words."""
+    schema = (Schema().add_text_field("p_name", analyzer=Analyzer(grams=3))
+              .add_text_field("p_type", analyzer=Analyzer("spaces", stop=("small", "large"))))
+    return _index(spark, sf, "part-grams", schema, _t(spark, sf, "part"), "p_partkey")
+
+
+def q_analyzer_grams(spark, sf):
+    """Names with an inner string, found by its n-grams."""
+    idx = grams_index(spark, sf)
+    return Searcher(idx).hits(parse(idx.schema, ["p_name"], "idge OR p_type:SMALL")).select("doc_id")
+
+
 # ------------------------------------------------------------------ E: ranking
 q_bm25_score = _hits(docs_index, any_words(["text"], "the language of data"))
 q_constant_score = _hits(docs_index, any_of(Prefix("text", "lang"), Range("n_chars", 0, 100)))
@@ -416,6 +429,7 @@ QUERIES = {
     "query_string_range": q_query_string_range,
     "query_string_not": q_query_string_not,
     "query_string_signed": q_query_string_signed,
+    "analyzer_grams": q_analyzer_grams,
     "bm25_score": q_bm25_score,
     "constant_score": q_constant_score,
     "top_k": q_top_k,

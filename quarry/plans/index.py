@@ -123,7 +123,7 @@ class Index:
         if COMMIT_COL not in corpus.columns:
             corpus = corpus.withColumn(COMMIT_COL, F.lit(0).cast("long"))
         fields = schema.text_fields()
-        terms = analysis.term_table(corpus, fields, id_col)
+        terms = analysis.term_table(corpus, fields, id_col, analyzers=schema.analyzers())
         return cls(df.sparkSession, schema, corpus, terms,
                    analysis.commit_vocabulary(terms),
                    analysis.value_table(corpus, schema.value_fields(), id_col), None, None,
@@ -203,7 +203,7 @@ class Index:
         # input twice (for the bounds, then for the rows)
         aside = f"{path}/_aside/{commit_id}"
         remove(spark, aside)
-        counted = analysis.term_table(batch.drop(COMMIT_COL), fields, id_col, partitions=n)
+        counted = analysis.term_table(batch.drop(COMMIT_COL), fields, id_col, partitions=n, analyzers=schema.analyzers())
         counted.write.parquet(aside)
         (spark.read.schema(counted.schema).parquet(aside)
               .repartitionByRange(n, "field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")

@@ -318,6 +318,9 @@ FROM tf JOIN dl USING (field, doc_id) JOIN dfs USING (field, term) JOIN st USING
                               f"0.0{D} + {_s(1)} + (CASE WHEN {_m(2)} AND NOT ({_m(3)}) THEN {_s(2)} ELSE 0.0{D} END)"),
     "query_string_signed": f"""SELECT c_custkey AS doc_id, 1.0{D} AS score FROM customer
         WHERE floor(c_acctbal) IN (-5, 42) OR (floor(c_acctbal) >= -900 AND floor(c_acctbal) < -800)""",
+    # p_type:SMALL is a stop word there, so only the inner string finds anything
+    "analyzer_grams": f"""SELECT p_partkey AS doc_id FROM part
+        WHERE list_bool_or(list_transform(regexp_extract_all(lower(p_name), '{TOK}'), lambda w: contains(w, 'idge')))""",
     "bm25_score": BM25_ALL,
     "constant_score": _bool([_const("field = 'text' AND regexp_full_match(term, 'lang[a-z0-9]*')"),
                              f"SELECT doc_id, 1.0{D} AS score FROM documents WHERE n_chars BETWEEN 0 AND 100"],

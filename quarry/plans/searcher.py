@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry.operators import ranking
 from quarry.operators.boolean import evaluate
 from quarry.operators.bounded import bounded_hits
-from quarry.query import Fuzzy, Prefix, Query, Range, Term
+from quarry.query import Fuzzy, Prefix, Query, Range, Term, match_field
 from quarry.querystring import parse
 from quarry.schema import F64, I64, U64, SearchError
 
@@ -23,6 +23,10 @@ class Searcher:
         self.index = index
 
     # ------------------------------------------------------------ matching
+    def match(self, field: str, text: str) -> Query:
+        """The query for a text on a field, by the field's own analyzer."""
+        return match_field(self.index.schema.require_text(field), text)
+
     def hits(self, query: Query) -> DataFrame:
         """Every matching document with its score: (doc_id, score)."""
         return evaluate(self.index, query)

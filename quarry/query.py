@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from quarry.functions.text import analyse
+from quarry.functions.text import analyse, grams_of
 from quarry.schema import SearchError
 
 INCLUSIVE = ("both", "lower", "upper", "neither")
@@ -138,6 +138,17 @@ def match(fields, text: str) -> Query:
     return per_field[0] if len(per_field) == 1 else Bool(should=per_field)
 
 
+def match_field(field, text: str) -> Query:
+    """`match` on a field of a schema, by the field's own analyzer. A token
+    that becomes several n-grams is a phrase of them: an inner string."""
+    toks, n = analyse(text, field.analyzer), field.analyzer.grams
+    if not n:
+        leaf = [Term(field.name, toks[0])] if len(toks) == 1 else [Phrase(field.name, toks)] if toks else []
+    else:
+        leaf = [Term(field.name, g[0]) if len(g) == 1 else Phrase(field.name, g) for g in (grams_of(t, n) for t in toks)]
+    return Nothing() if not leaf else leaf[0] if len(leaf) == 1 else Bool(must=leaf)
+
+
 def any_words(fields, text: str) -> Query:
     """Bare words `a b` over default fields: an OR of the words, each an OR
     over the fields."""

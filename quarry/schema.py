@@ -11,6 +11,8 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import types as T
 
+from quarry.functions.text import DEFAULT, Analyzer
+
 TEXT = "text"
 U64 = "u64"
 I64 = "i64"
@@ -33,8 +35,13 @@ class Field:
     type: str
     stored: bool = False
     indexed: bool = True
+    analyzer: Analyzer = DEFAULT
 
     def __post_init__(self):
+        if isinstance(self.analyzer, dict):
+            object.__setattr__(self, "analyzer", Analyzer(**self.analyzer))
+        if self.analyzer != DEFAULT and self.type != TEXT:
+            raise SearchError("Only text fields have an analyzer")
         if self.type not in FIELD_TYPES:
             raise SearchError(f"Unsupported field type '{self.type}'")
         if not isinstance(self.name, str) or not self.name:
@@ -59,8 +66,8 @@ class Schema:
     def _add(self, name, type_, stored, indexed) -> "Schema":
         return Schema(self.fields + (Field(name, type_, stored, indexed),))
 
-    def add_text_field(self, name, stored=False, indexed=True) -> "Schema":
-        return self._add(name, TEXT, stored, indexed)
+    def add_text_field(self, name, stored=False, indexed=True, analyzer: Analyzer = DEFAULT) -> "Schema":
+        return Schema(self.fields + (Field(name, TEXT, stored, indexed, analyzer),))
 
     def add_u64_field(self, name, stored=False, indexed=True) -> "Schema":
         return self._add(name, U64, stored, indexed)
@@ -96,6 +103,10 @@ class Schema:
         """Indexed text fields: the ones analysed into the term table."""
         return [f.name for f in self.fields if f.type == TEXT and f.indexed]
 
+    def analyzers(self) -> dict[str, Analyzer]:
+        """The fields with a chain of their own."""
+        return {f.name: f.analyzer for f in self.fields if f.analyzer != DEFAULT}
+
     def value_fields(self) -> list[Field]:
         """Indexed numeric and boolean fields: the ones kept in the value table."""
         return [f for f in self.fields if f.type != TEXT and f.indexed]
