@@ -42,11 +42,13 @@ def words(text: Column) -> Column:
 
 
 def window_hashes(words_: Column, size: int = WINDOW) -> Column:
-    """A hash of each window of neighbouring words, in order."""
-    return F.when(F.size(words_) >= size, F.transform(
-        F.sequence(F.lit(0), F.size(words_) - size),
-        lambda i: F.xxhash64(*[F.get(words_, i + t) for t in range(size)]))).otherwise(
-        F.array().cast("array<bigint>"))
+    """A hash of each window of neighbouring words, in order, from the words'
+    own hashes: each word is hashed once."""
+    def windows(h):
+        return F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.xxhash64(*[F.get(h, i + t) for t in range(size)]))
+
+    hashed = F.transform(F.array(F.transform(words_, lambda w: F.xxhash64(w))), windows)
+    return F.when(F.size(words_) >= size, F.element_at(hashed, 1)).otherwise(F.array().cast("array<bigint>"))
 
 
 def repeated_words(windows: Column, size: int = WINDOW) -> Column:
