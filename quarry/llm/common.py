@@ -19,12 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends
     there, so a lost executor costs a re-read and not a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:6]}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

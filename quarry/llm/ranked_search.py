@@ -51,6 +51,8 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _TO_TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 # Words of a block, about (a longer document is a block of its own).
 BLOCK_WORDS = 32_768
+# Blocks of a row group: a reader holds one at a time, so few.
+ROW_GROUP = 8
 # Documents in the strata of a query's first visit.
 FIRST_DOCS = 2_000
 # Queries answered at once, and the UTF-8 bytes of their texts.
@@ -166,7 +168,8 @@ class StratifiedIndex:
         spread = F.when(F.col("doc_id").isNull(), F.xxhash64("terms")).otherwise(F.xxhash64("doc_id"))
         rows = forward.withColumn("m", m).join(strata.select("m", "blocks"), "m")
         blocks = written(rows.select("m", F.pmod(spread, F.col("blocks")).cast("int").alias("block"), "doc_id", "terms", "tfs")
-                             .groupBy("m", "block").applyInArrow(_block, _BLOCK), "ranked-blocks")
+                             .groupBy("m", "block").applyInArrow(_block, _BLOCK), "ranked-blocks",
+                         **{"parquet.block.row.count.limit": ROW_GROUP})
         return cls(blocks, strata, n_docs, n_words)
 
     def known(self, words: list[str]) -> DataFrame:
