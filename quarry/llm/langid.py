@@ -18,7 +18,9 @@ Rows held out (crc32 of the id as text, mod 5 = 0) and rows with a null
 language are never learnt from. The prediction reads the text alone: null
 texts and texts without a letter are `und` with score 0, as is everything
 when there is nothing to learn from. Repeated rows get the same answer,
-equal likelihoods the alphabetically first language.
+equal likelihoods the alphabetically first language. A letter is a character
+of Unicode category L, so numerals are none. Long texts are read whole; an empty
+table gives no rows. Other columns, which may have any name, are not read.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ and not only their hashes, which verifies every vote.
 
 A text is known by its 64-bit hash and length, so rows with equal texts
 share one result and rows that repeat an id stay apart. Null and wordless
-texts have no places, no labels and score 0.
+texts have no places, no labels and score 0. Long texts are read whole; an
+empty table gives no rows. Other columns, which may have any name, are not read.
 """
 
 from __future__ import annotations

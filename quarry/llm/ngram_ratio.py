@@ -17,7 +17,8 @@ a constant.
 
 Nulls count as texts without words, which fail the base rules. Everything
 about one text happens within its row, however long it is; repeated rows are
-judged alike. With no trusted documents all weights are 0 and base rules
+judged alike. An empty table gives no rows; other columns, which may have any
+name, are not read. With no trusted documents all weights are 0 and base rules
 alone decide.
 """
 

@@ -11,8 +11,10 @@ source evenly.
 The table of rates has one row a source. A null source is a source of its
 own; rows that repeat an id get the same count; a null id counts as an id of
 its own. A source without a target weight has rate 0. Columns of the
-documents stay, but for ones named as the added ones (`rate`, `copy`,
-`mix_key`), which are replaced.
+documents stay, whatever their names, but for ones named as the added ones
+(`rate`, `copy`, `mix_key`), which are replaced. Ties of the sort key are copies
+of rows of one id. Null, empty and very long texts are rows like others; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

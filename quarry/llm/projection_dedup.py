@@ -30,7 +30,8 @@ Vectors that are null, empty or zero, or hold null or non-finite components,
 link with nothing, as do vectors of another length (only vectors of equal
 length are compared). A row without an id names no component: component_id
 is null unless it is a copy of, or linked with, one that has an id, and kept
-is false. Rows that repeat an id are one vertex. Other columns are not read.
+is false. Rows that repeat an id are one vertex. An empty table gives no rows.
+Other columns, which may have any name, are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ quality label are never learnt from; a document labelled more than once
 counts as good if any of its labels says so. A null text is scored as an
 empty one. Scores depend on the text alone, so repeated rows score alike;
 columns other than id and text are not read. With no labels, or labels of
-one kind only, every score is that share (0.5 without any).
+one kind only, every score is that share (0.5 without any). Texts of any
+length are read whole, in slices; an empty table gives no rows. `score` and
+`accepted` carry the other columns along, whatever their names.
 """
 
 from __future__ import annotations

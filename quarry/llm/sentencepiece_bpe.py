@@ -17,7 +17,8 @@ cannot change the result: when no piece that begins or ends with the merged
 piece has a rank as good as its own. Otherwise only the leftmost is merged.
 
 Nulls count as empty text, and an empty text has no ids. A very long text is
-handled word by word; rows that repeat are encoded as often as they occur.
+handled word by word; rows that repeat are encoded as often as they occur. An
+empty table gives no rows. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations

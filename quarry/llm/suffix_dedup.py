@@ -28,7 +28,9 @@ the strings are contexts of anchors, which also deals them out:
 Strings are judged on the input bytes, matches never cross documents, and
 overlapping or same-document repeats count. Null and short texts have none.
 Documents with the same text share their result; rows that repeat an id are
-separate documents. Other columns are carried along.
+separate documents. Ties do not arise: every occurrence of a repeated string
+goes. An empty table gives no rows, a very long text is cut like any other.
+Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ occur in the list.
 
 Null urls and urls without `://` have an empty host and path, fit no rule
 and are allowed. Repeated pages are judged alike. Hosts are lower-cased in
-A-Z only. Other columns of the pages are not read.
+A-Z only. Urls of any length are parsed whole; an empty table gives no rows.
+Other columns of the pages, which may have any name, are not read.
 """
 
 from __future__ import annotations
