@@ -3,6 +3,13 @@
 Every stage is a function (spark, docs, sf_dir) -> DataFrame; its rows are
 written as Parquet and read again as the next stage's `docs`. All but the
 last return the columns of `documents`.
+
+Every stage takes rows with nulls in any column, empty and very long texts,
+repeated ids and rows, further columns of any name (which it carries along)
+and an empty table, which gives no rows. Of rows with the same id and text the
+near-duplicate stage keeps one; rows without an id stay there; a null text is
+scored as an empty one, links with nothing, stays null where it is cut, and has
+no tokens. Ties go to the smaller id.
 """
 
 from __future__ import annotations
