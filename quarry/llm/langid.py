@@ -11,8 +11,10 @@ Spark sums the counts, and only the piece table, bounded by the vocabulary
 and the number of languages, comes to the driver.
 
 A character that no piece holds has one small probability in every
-language. Words of more than LONGEST characters are cut into runs of that
-length, and no segmentation crosses such a cut.
+language. A word of any length is scored over all its segmentations: of a word
+of more than LONGEST characters only the last columns of the forward pass are
+held. For learning, which takes a sample anyway, such words are cut into runs of
+LONGEST characters.
 
 Rows held out (crc32 of the id as text, mod 5 = 0) and rows with a null
 language are never learnt from. The prediction reads the text alone: null
@@ -41,8 +43,10 @@ FIT_DOCS = 500             # documents of each language that are learnt from, ab
 ROUNDS = 3                 # rounds of expectation-maximisation
 SMOOTH = 0.1               # added to each expected count
 UNSEEN = 1e-7              # probability of a character that no piece holds
-LONGEST = 256
+LONGEST = 256              # longer words are learnt from in runs, and scored one by one
 CACHE_WORDS = 300_000
+CACHE_CHARS = 1 << 24      # characters of the words kept
+STRIP = 4096               # characters of a long word whose pieces are looked up at once
 GROUP_CELLS = 1 << 21      # words x positions x languages of one forward pass
 
 MARK = "▁"
@@ -150,15 +154,34 @@ def _expected(table: np.ndarray, p: np.ndarray, weight: np.ndarray, counts: np.n
                 counts[:, lang] += np.bincount(piece, share[:, lang], len(p))
 
 
+def _long_word(v: Vocabulary, word: str, p: np.ndarray) -> np.ndarray:
+    """Log likelihood (languages) of one word: row l of `last` is the likelihood
+    of the word up to l + 1 characters back, each language over its own scale."""
+    last = np.zeros((v.longest, p.shape[1]))
+    last[0] = 1
+    total = np.zeros(p.shape[1])
+    for start in range(0, len(word), STRIP):
+        back = max(0, start - v.longest + 1)
+        table = _piece_table(v, [word[back:start + STRIP]])[0][start - back:]
+        share = p[table]
+        share[table[:, 0] == v.size, 0] = UNSEEN
+        scales = np.empty((len(table), p.shape[1]))
+        for j, row in enumerate(share):
+            a = (last * row).sum(axis=0)
+            last[1:] = last[:-1] / a
+            last[0] = 1
+            scales[j] = a
+        total += np.log(scales).sum(axis=0)
+    return total
+
+
+def words_of_text(text: str | None) -> list[str]:
+    return [MARK + w for w in (text or "").lower().split()]
+
+
 def split(text: str | None) -> list[str]:
-    out = []
-    for w in (text or "").lower().split():
-        if len(w) < LONGEST:
-            out.append(MARK + w)
-        else:
-            w = MARK + w
-            out += [w[i:i + LONGEST] for i in range(0, len(w), LONGEST)]
-    return out
+    """The words to learn from, long ones in runs."""
+    return [w[i:i + LONGEST] for w in words_of_text(text) for i in range(0, len(w), LONGEST)]
 
 
 def _by_length(words: list[str], languages: int):
@@ -184,8 +207,12 @@ class Model:
     def log_likelihood(self, words: list[str]) -> np.ndarray:
         v = vocabulary(self.path)
         out = np.zeros((len(words), len(self.langs)))
-        for at, group in _by_length(words, len(self.langs)):
-            out[at] = _forward(_piece_table(v, group), self.p)[0]
+        short = np.array([i for i, w in enumerate(words) if len(w) <= LONGEST], np.int64)
+        for at, group in _by_length([words[i] for i in short], len(self.langs)):
+            out[short[at]] = _forward(_piece_table(v, group), self.p)[0]
+        for i, w in enumerate(words):
+            if len(w) > LONGEST:
+                out[i] = _long_word(v, w, self.p)
         return out
 
 
@@ -259,15 +286,17 @@ class Scorer:
 
     def _reset(self):
         self.at: dict[str, int] = {}
+        self.chars = 0
         self.table = np.zeros((1024, len(self.m.langs)))
 
     def _learn(self, words: set[str]):
         new = [w for w in words if w not in self.at]
-        if len(self.at) + len(new) > CACHE_WORDS:
+        if len(self.at) + len(new) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self._reset()
             new = list(words)
         if not new:
             return
+        self.chars += sum(map(len, new))
         n = len(self.at)
         while len(self.table) < n + len(new):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
@@ -278,7 +307,7 @@ class Scorer:
         """(language, score) of each text."""
         if not self.m.langs:
             return [("und", 0.0)] * len(texts)
-        words = [split(t) if t and _LETTER.search(t) else None for t in texts]
+        words = [words_of_text(t) if t and _LETTER.search(t) else None for t in texts]
         self._learn({w for ws in words if ws for w in ws})
         out, get = [], self.at.__getitem__
         for ws in words:

@@ -16,6 +16,10 @@ Several equal pairs of one word are merged in one round only where that
 cannot change the result: when no piece that begins or ends with the merged
 piece has a rank as good as its own. Otherwise only the leftmost is merged.
 
+A word of more than LONG_WORD characters takes the same rounds, but on linked
+symbols with the places of each rank kept beside them: a round then costs what
+it merges, not the length of the word.
+
 Nulls count as empty text, and an empty text has no ids. A very long text is
 handled word by word; rows that repeat are encoded as often as they occur. An
 empty table gives no rows. Other columns are carried along, whatever their names.
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import heapq
 import re
 from functools import lru_cache
 
@@ -39,6 +44,7 @@ from quarry.llm.common import apart, fresh
 MARK = "▁"
 CACHE_WORDS = 150_000          # words kept by a Python worker; more start a new cache
 BATCH_WORDS = 50_000           # words that one set of merge rounds takes
+LONG_WORD = 1024               # characters of a word whose rounds are indexed by rank
 
 _NO = np.iinfo(np.int64).max
 
@@ -121,14 +127,28 @@ class PieceModel:
         sym = self.char[points]
         unknown = sym < 0
         sym = np.where(unknown, -1 - points.astype(np.int64), sym)
-        sym, word = self._merge_rounds(sym, np.repeat(np.arange(len(words)), lengths))
+        word = np.repeat(np.arange(len(words)), lengths)
+        ends = np.cumsum(lengths)
+        long = np.flatnonzero(lengths > LONG_WORD)
+        merged = [(self._merge_indexed(sym[ends[w] - lengths[w]:ends[w]]), w) for w in long]
+        if len(long):
+            short = (lengths <= LONG_WORD)[word]
+            sym, word = sym[short], word[short]
+        sym, word = self._merge_rounds(sym, word)
+        if len(long):
+            sym = np.concatenate([sym, *[s for s, _ in merged]])
+            word = np.concatenate([word, *[np.full(len(s), w) for s, w in merged]])
+            order = np.argsort(word, kind="stable")
+            sym, word = sym[order], word[order]
         return self._ids(sym, word, len(words))
 
     def _pairs(self, sym, word, at):
         """(rank, piece) of the pairs that begin at the positions `at`."""
         at1 = np.minimum(at + 1, len(sym) - 1)
-        x, y = sym[at], sym[at1]
-        ok = (at1 > at) & (word[at] == word[at1]) & (x >= 0) & (y >= 0)
+        return self._ranked(sym[at], sym[at1], (at1 > at) & (word[at] == word[at1]))
+
+    def _ranked(self, x, y, ok):
+        ok = ok & (x >= 0) & (y >= 0)
         key = x << 32 | y
         slot = np.searchsorted(self.pair_key, np.where(ok, key, _NO))
         hit = ok & (self.pair_key[slot] == key)
@@ -173,6 +193,54 @@ class PieceModel:
         order = np.argsort(word, kind="stable")
         return sym[order], word[order]
 
+    def _merge_indexed(self, sym: np.ndarray) -> np.ndarray:
+        """The rounds of one long word: symbols stay in place, linked to their
+        neighbours; `places` holds where a pair of each rank may begin."""
+        n = len(sym)
+        sym = np.append(sym, -1)                   # place n ends the word
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        rank, made = np.full(n + 1, _NO), np.zeros(n + 1, np.int64)
+        places: dict[int, list[int]] = {}
+        ranks: list[int] = []
+
+        def note(at):
+            for r, i in zip(rank[at].tolist(), at.tolist()):
+                if r == _NO:
+                    continue
+                if r not in places:
+                    places[r] = []
+                    heapq.heappush(ranks, r)
+                places[r].append(i)
+
+        def look(at):
+            rank[at], made[at] = self._ranked(sym[at], sym[after[at]], after[at] < n)
+            note(at)
+
+        look(np.arange(n))
+        while ranks:
+            low = heapq.heappop(ranks)
+            p = np.unique(np.array(places.pop(low), np.int64))
+            p = p[rank[p] == low]
+            if not len(p):
+                continue
+            if self.alone[made[p[0]]]:
+                note(p[1:])
+                p = p[:1]
+            # overlapping pairs: every second one of a run, from the left
+            run = np.r_[True, p[1:] != after[p[:-1]]]
+            run_at = np.maximum.accumulate(np.where(run, np.arange(len(p)), 0))
+            p = p[(np.arange(len(p)) - run_at) % 2 == 0]
+            gone = after[p]
+            sym[p] = made[p]
+            rank[gone] = _NO
+            sym[gone] = -1
+            after[p] = after[gone]
+            before[after[p]] = p
+            after[gone] = -1
+            left = before[p]
+            look(np.unique(np.concatenate([p, left[left >= 0]])))
+        return sym[:n][after[:n] >= 0]
+
     def _ids(self, sym: np.ndarray, word: np.ndarray, n: int) -> list[list[int]]:
         odd = set(word[(sym < 0) | (sym >= self.n_pieces)].tolist())
         flat = sym.tolist()

@@ -1,11 +1,14 @@
 """URL cascade, n-gram ratio, license diagonals, Poisson mixing: DataFrame operators."""
 
+import math
 import random
 import re
 from collections import Counter
 
 import duckdb
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from quarry.llm import license_diagonals, ngram_ratio, poisson_mix, url_cascade
@@ -204,3 +207,43 @@ def test_mixing_as_duckdb(spark):
     mine = sorted((str(r.doc_id), r.source or "", r.copy, r.mix_key, round(r.rate, 6), r.text) for r in poisson_mix.mix(df).collect())
     theirs = sorted((str(r[0]), r[3] or "", r[6], r[7], r[5], r[1]) for r in con.execute(poisson_mix.ORACLE).fetchall())
     assert mine == theirs and len(mine) > 300
+
+
+def _spark_hash(*parts):
+    """xxhash64 of strings, each seeded with the hash of those before."""
+    h = 42
+    for s in parts:
+        h = xxhash.xxh64_intdigest(s.encode(), seed=h)
+    return h
+
+
+def test_ngram_scores_by_brute_force(spark):
+    rng = random.Random(8)
+    plain, junk = "the cat sat on a mat and saw it go by, then left.".split(), "xx #1 $$ click_here buy now!! zz 99".split()
+    docs = [(i, " ".join(rng.choice(plain if i % 3 else junk) for _ in range(rng.randrange(9, 60)))) for i in range(60)]
+    docs += [(60, None), (61, ""), (62, "one two"), (63, docs[1][1]), (64, docs[1][1]), (65, "word " * 3000), (None, docs[2][1])]
+    labels = [(i, 1 if i is not None and i % 3 else 0) for i, _ in docs if i != 5] + [(999, 1)]
+    got = {(r.doc_id, r.n_words): r for r in ngram_ratio.verdicts(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+
+    def grams(text):
+        t = regex.findall(ngram_ratio.TOKEN, text or "")
+        return [_spark_hash(x) % ngram_ratio.BUCKETS for x in t] + [_spark_hash(*x) % ngram_ratio.BUCKETS for x in zip(t, t[1:])]
+
+    good = {i for i, q in labels if q == 1 and i is not None}
+    raw, trusted = Counter(), Counter()
+    for i, t in docs:
+        raw.update(grams(t))
+        trusted.update(grams(t) if i in good else ())
+    size = ngram_ratio.BUCKETS
+    weight = [math.log((trusted[b] + 1) / (sum(trusted.values()) + size)) - math.log((raw[b] + 1) / (sum(raw.values()) + size))
+              for b in range(size)]
+    assert len(got) == len(docs)
+    for i, t in docs:
+        words = (t or "").split()
+        g = grams(t)
+        want = sum(weight[b] for b in g) / len(g) if g else 0.0
+        r = got[i, len(words)]
+        assert r.score == pytest.approx(want, abs=2e-6)
+        assert r.kept == (not r.base_failed and want >= ngram_ratio.THRESHOLD)
+    assert 0 < sum(r.kept for r in got.values()) < len(docs)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -150,3 +151,39 @@ def test_quality_on_held_out_documents(spark):
     assert kept.columns == ["doc_id", "text", "score"] and kept.first().score in ("en", "de", "fr", "es")
     empty = quality_gbt.predictions(docs.limit(0), labels.limit(0))
     assert empty.collect() == []
+
+
+def test_long_words_as_the_library_in_near_linear_time():
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    m, rng = sentencepiece_bpe.model(PIECE_MODEL), random.Random(5)
+    words = ["".join(rng.choice(a) for _ in range(n)) for a, n in
+             [("abcdefghijklmnopqrstuvwxyz", 5000), ("ab", 4000), ("the", 3000), ("日本語é😀x", 2000), ("=-_", 3000), ("a", 2049),
+              ("aaab", 1500), ("nm", 1025)]]
+    got = m.encode_words([sentencepiece_bpe.MARK + w for w in words + ["short"]])
+    assert got == [sp.encode(w) for w in words + ["short"]]
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    start = time.process_time()
+    got = m.encode_words([sentencepiece_bpe.MARK + word])[0]
+    assert time.process_time() - start < 20          # about 2 s; a scan a round takes a minute
+    assert got == sp.encode(word)
+
+
+def test_language_of_a_long_word_sums_all_segmentations():
+    v = langid.vocabulary(PIECE_MODEL)
+    rng = np.random.default_rng(3)
+    p = rng.random((v.size + 1, 2)) ** 8
+    p /= p.sum(axis=0)
+    p[v.size] = 0
+    m = langid.Model(PIECE_MODEL, ["a", "b"], p)
+    letters = random.Random(4)
+    for n in (3, 200, langid.LONGEST - 1, langid.LONGEST + 40, langid.STRIP - 1, langid.STRIP + 300):
+        word = langid.MARK + "".join(letters.choice("abcdethx\x01é") for _ in range(n))
+        # a language at a time: with a common scale the unlikelier one of a long word comes to zero
+        whole = [langid._forward(langid._piece_table(v, [word]), p[:, [k]])[0][0, 0] for k in range(2)]
+        assert np.allclose(langid._long_word(v, word, p), whole, rtol=1e-9)
+        assert np.allclose(m.log_likelihood([word, "x", word])[[0, 2]], whole, rtol=1e-9)
+    start = time.process_time()
+    m.log_likelihood([langid.MARK + "abcde" * 20_000])
+    assert time.process_time() - start < 20
+    assert "".join(langid.split("ab" * 700)) == langid.MARK + "ab" * 700
+    assert len(langid.words_of_text("ab" * 700)) == 1
