@@ -27,6 +27,12 @@ FREQUENT = 4 * BLOCK_DOCS
 
 # The column of the value table that holds a field type's values.
 VALUE_COLUMNS = {U64: "dec", I64: "long", F64: "dbl", BOOL: "long"}
+# Pairs of neighbouring words are kept if both are in this share of a commit's
+# documents, and in this many.
+PAIR_SHARE, PAIR_DOCS = 0.1, 100
+# Common words up to this number are broadcast; more (documents of very many
+# distinct words) are joined as any table.
+BROADCAST_WORDS = 100_000
 VALUE_TYPES = {"dec": "decimal(20,0)", "long": "long", "dbl": "double"}
 
 
@@ -60,26 +66,59 @@ def _field_tokens(analyzers: dict[str, Analyzer]):
     return out
 
 
-def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
-               partitions: int | None = None, analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
-    """(commit_id?, field, term, doc_id, tf, dl, positions).
-
-    Document length is computed from the token array before the explode,
-    so no join is needed to attach it. With `partitions`, each document is
-    brought to one partition first: the group by (document, term) then needs
-    no exchange, so texts are shuffled and their exploded tokens are not.
-    """
+def _token_arrays(corpus: DataFrame, fields: list[str], id_col: str, partitions: int | None,
+                  analyzers: dict[str, Analyzer] | None):
+    """(key columns, rows (keys, toks, dl) of the documents' fields, whether
+    tokens may be gaps)."""
     if partitions:
         corpus = corpus.repartition(partitions, F.col(f"`{id_col}`"))
     ft = field_texts(corpus, fields, id_col)
     keys = [c for c in ft.columns if c in ("doc_id", COMMIT_COL, "field", BLOCK_COL)]
-    block = [F.any_value(BLOCK_COL).alias(BLOCK_COL)] if BLOCK_COL in keys else []
     # dl is computed once per document, below the explode; computed in the
     # same select as the generator it would be re-evaluated per token.
     grams = any(a.grams for a in (analyzers or {}).values())        # these leave gaps
     length = F.size(F.filter("toks", lambda t: t != "")) if grams else F.size("toks")
     toks = (ft.select(*keys, _field_tokens(analyzers or {}).alias("toks"))
               .select(*keys, "toks", length.alias("dl")))
+    return keys, toks, grams
+
+
+def common_words(vocab: DataFrame, n_docs: Column) -> Column:
+    """Whether a vocabulary row's word is in so large a share of a commit's
+    documents that its pairs are kept. A document of d distinct words has room
+    for few of them: there are at most (mean d) / PAIR_SHARE in a field."""
+    return (vocab["df"] >= F.lit(PAIR_SHARE) * n_docs) & (vocab["df"] >= PAIR_DOCS)
+
+
+def pair_table(corpus: DataFrame, common: DataFrame, fields: list[str], id_col: str, partitions: int,
+               analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
+    """(field, w1, w2, doc_id, dl, positions): where in a document two common
+    words (`common`: field, term) stand next to each other. Documents stay in
+    their partition, so pairs are grouped without an exchange of tokens as long
+    as the common words, which are counted first, are few."""
+    few = common.count() <= BROADCAST_WORDS
+    _, toks, _ = _token_arrays(corpus, fields, id_col, partitions, analyzers)
+    near = F.transform(F.sequence(F.lit(0), F.size("toks") - 2), lambda i: F.struct(
+        i.alias("pos"), F.get("toks", i).alias("w1"), F.get("toks", i + 1).alias("w2")))
+    pairs = toks.where(F.size("toks") >= 2).select("doc_id", "field", "dl", F.inline(near))
+    for w in ("w1", "w2"):
+        words = common.select("field", F.col("term").alias(w))
+        pairs = pairs.join(F.broadcast(words) if few else words, ["field", w], "left_semi")
+    return pairs.groupBy("doc_id", "field", "w1", "w2").agg(
+        F.any_value("dl").alias("dl"), F.array_sort(F.collect_list("pos")).alias("positions"))
+
+
+def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
+               partitions: int | None = None, analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
+    """(commit_id?, field, term, doc_id, tf, dl, positions).
+
+    Document length is computed from the token array before the explode,
+    so no join is needed to attach it. With `partitions`, each document is
+    brought to one partition first: the group by (document, term) then needs
+    no exchange, so texts are shuffled and their exploded tokens are not.
+    """
+    keys, toks, grams = _token_arrays(corpus, fields, id_col, partitions, analyzers)
+    block = [F.any_value(BLOCK_COL).alias(BLOCK_COL)] if BLOCK_COL in keys else []
     exploded = (toks.select(*keys, "dl", F.posexplode_outer("toks").alias("pos", "term"))
                     .where(F.col("term") != "" if grams else F.col("term").isNotNull()))
     # the term first: rows are sorted by the keys, and a term's first bytes

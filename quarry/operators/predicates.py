@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.distance import edit_distance_to_literal, neighbourhood_probes, prefix_distance_to_literal
 from quarry.operators.analysis import VALUE_COLUMNS
+from quarry.sources.corpus import COMMIT_COL
 from quarry.operators.scoring import bm25, idf
 from quarry.query import Equals, Fuzzy, Nothing, Phrase, Prefix, Range, Term
 from quarry.schema import BOOL, I64, NUMERIC_TYPES, TEXT, U64, U64_MAX, SearchError
@@ -95,24 +96,71 @@ def _shifted(positions: str, by: int) -> Column:
     return F.transform(positions, lambda p: p - by)
 
 
+def _pair_cover(words, common: set[str]) -> list[tuple[int, tuple[str, ...]]]:
+    """(offset, word or pair of words) that together are the phrase: pairs of
+    common words from the left, the last one of an odd run overlapping."""
+    out, covered = [], 0
+    for o, w in enumerate(words):
+        if o < covered:
+            continue
+        if w in common and words[o + 1:o + 2] and words[o + 1] in common:
+            out.append((o, (w, words[o + 1])))
+            covered = o + 2
+        elif w in common and o and words[o - 1] in common:
+            out.append((o - 1, (words[o - 1], w)))
+        else:
+            out.append((o, (w,)))
+    return out
+
+
+def _phrase_places(index, field: str, cover, where: Column | None = None) -> DataFrame:
+    """(doc_id, dl, pf): how often each document holds all parts of `cover` in place."""
+    keys, where = sorted({k for _, k in cover}), F.lit(True) if where is None else where
+    ones, twos = [k for k in keys if len(k) == 1], [k for k in keys if len(k) == 2]
+    rows = []
+    if ones:
+        rows.append(index.terms.where(_pairs_filter((field, k[0]) for k in ones) & where)
+                         .select(F.array("term").alias("key"), "doc_id", "dl", "positions"))
+    if twos:
+        wanted = reduce(lambda x, y: x | y, [(F.col("w1") == a) & (F.col("w2") == b) for a, b in twos])
+        rows.append(index.pairs.where((F.col("field") == field) & wanted & where)
+                         .select(F.array("w1", "w2").alias("key"), "doc_id", "dl", "positions"))
+    hits = reduce(DataFrame.unionByName, rows)
+    if len(keys) == 1 and len(cover) == 1:
+        return hits.select("doc_id", "dl", F.size("positions").alias("pf"))
+    per_doc = hits.groupBy("doc_id").agg(F.any_value("dl").alias("dl"), *[
+        F.max(F.when(F.col("key") == F.array(*map(F.lit, k)), F.col("positions"))).alias(f"_p{i}") for i, k in enumerate(keys)])
+    per_doc = per_doc.where(reduce(lambda x, y: x & y, [F.col(f"_p{i}").isNotNull() for i in range(len(keys))]))
+    starts = [_shifted(f"_p{keys.index(k)}", o) for o, k in cover]
+    return per_doc.select("doc_id", "dl", F.size(reduce(F.array_intersect, starts)).alias("pf")).where("pf > 0")
+
+
 def phrase_rows(index, leaf_id: int, q: Phrase) -> DataFrame:
     """Rows of a phrase leaf: one group per document that holds its terms'
     position arrays, shifted by the term's offset and intersected.
 
-    Positions are never exploded and there is one exchange. The phrase
-    frequency is the tf of a BM25 score whose idf is the sum of the phrase
-    terms' idf.
+    Positions are never exploded and there is one exchange (none for two common
+    words). The phrase frequency is the tf of a BM25 score whose idf is the sum
+    of the phrase terms' idf.
+
+    Where the index keeps pairs of common words, a phrase is covered by such
+    pairs and its other words, so that the long lists of `of` and `the` are not
+    read; commits that keep no pairs of these words are searched word by word.
     """
     if not _searchable_text(index, q.field) or not q.terms:
         return _empty(index)
     distinct = sorted(set(q.terms))
     cond = _pairs_filter((q.field, t) for t in distinct)
-    hits = index.terms.where(cond).select("term", "doc_id", "dl", "positions")
-    per_doc = hits.groupBy("doc_id").agg(F.any_value("dl").alias("dl"), *[
-        F.max(F.when(F.col("term") == t, F.col("positions"))).alias(f"_p{i}") for i, t in enumerate(distinct)])
-    per_doc = per_doc.where(reduce(lambda x, y: x & y, [F.col(f"_p{i}").isNotNull() for i in range(len(distinct))]))
-    starts = [_shifted(f"_p{distinct.index(t)}", o) for o, t in enumerate(q.terms)]
-    freq = per_doc.select("doc_id", "dl", F.size(reduce(F.array_intersect, starts)).alias("pf")).where("pf > 0")
+    cover = [(o, (t,)) for o, t in enumerate(q.terms)]
+    common, commits = index.paired(q.field, q.terms) if len(q.terms) > 1 else (set(), [])
+    with_pairs = _pair_cover(q.terms, common)
+    if not commits or with_pairs == cover:
+        freq = _phrase_places(index, q.field, cover)
+    else:
+        inside = F.col(COMMIT_COL).isin(commits)
+        freq = _phrase_places(index, q.field, with_pairs, inside)
+        if set(commits) != {c for c in index.commits if index.commit is None or c <= index.commit}:
+            freq = freq.unionByName(_phrase_places(index, q.field, cover, ~inside))
     n_docs, avgdl = index.stat_columns(F.lit(q.field))
     # one row a phrase term: a word that the phrase holds twice counts twice
     times = F.create_map(*[x for t in distinct for x in (F.lit(t), F.lit(q.terms.count(t)))])

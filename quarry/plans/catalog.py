@@ -83,12 +83,12 @@ def _built(spark, name: str, make, *sources: DataFrame) -> Index:
     return Index.open(spark, _BUILT[key])
 
 
-def _index(spark, sf, table: str, schema: Schema, df: DataFrame, id_col: str, near: bool = False) -> Index:
-    return _built(spark, table, lambda path: Index.build(df, schema, id_col, path, near=near), df)
+def _index(spark, sf, table: str, schema: Schema, df: DataFrame, id_col: str, **kept: bool) -> Index:
+    return _built(spark, table, lambda path: Index.build(df, schema, id_col, path, **kept), df)
 
 
 def docs_index(spark, sf) -> Index:
-    return _index(spark, sf, "documents", DOCS_SCHEMA, docs_frame(spark, sf), "doc_id", near=True)
+    return _index(spark, sf, "documents", DOCS_SCHEMA, docs_frame(spark, sf), "doc_id", near=True, pairs=True)
 
 
 def part_index(spark, sf) -> Index:

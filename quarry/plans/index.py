@@ -11,6 +11,8 @@ of re-tokenising, and a lost executor recomputes from files, not lineage:
     values/  partitioned by commit_id, field; range-clustered on the value
     near/    (if asked for) partitioned by commit_id, field; range-clustered on
              the deletion key: a fuzzy search's candidate terms
+    pairs/   (if asked for) partitioned by commit_id, field; range-clustered on
+             (w1, w2, doc_id): where two common words stand together
     tops/    partitioned by commit_id, field: the most a frequent term adds to
              a document of each block of ids
     stats/   one row per (commit_id, field)
@@ -49,7 +51,7 @@ VALUE_PAGE_ROWS = 1000
 PUSHED_RANGES = 200
 # The same for the neighbourhoods, of which a search asks a few hundred keys.
 NEAR_PAGE_ROWS = 1000
-TABLES = ("corpus", "terms", "vocab", "values", "near", "tops", "stats")
+TABLES = ("corpus", "terms", "vocab", "values", "near", "pairs", "tops", "stats")
 # Rows of a page of the term table, of which a search for few blocks reads few.
 TERM_PAGE_ROWS = 2000
 
@@ -88,6 +90,8 @@ def _schemas(schema: Schema, id_col: str, id_type: T.DataType) -> dict[str, T.St
         "values": T.StructType([T.StructField("dec", T.DecimalType(20, 0)), T.StructField("long", T.LongType()),
                                 T.StructField("dbl", T.DoubleType()), T.StructField("doc_id", id_type), commit, field]),
         "near": T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.IntegerType()), term, commit, field]),
+        "pairs": T.StructType([T.StructField("doc_id", id_type), T.StructField("w1", T.StringType()), T.StructField("w2", T.StringType()),
+                               T.StructField("dl", T.IntegerType()), T.StructField("positions", T.ArrayType(T.IntegerType())), commit, field]),
         "tops": T.StructType([term, block, T.StructField("top", T.DoubleType()), commit, field]),
         "stats": T.StructType([field, T.StructField("n_docs", T.LongType()),
                                T.StructField("total_len", T.LongType()), commit]),
@@ -102,12 +106,13 @@ class Index:
     """
 
     def __init__(self, spark: SparkSession, schema: Schema, corpus: DataFrame,
-                 terms: DataFrame, vocab: DataFrame, values: DataFrame, near: DataFrame | None, tops: DataFrame | None, stats: DataFrame,
+                 terms: DataFrame, vocab: DataFrame, values: DataFrame, near: DataFrame | None, pairs: DataFrame | None,
+                 tops: DataFrame | None, stats: DataFrame,
                  id_col: str = "doc_id", path: str | None = None,
                  commit: int | None = None, commits: tuple[int, ...] | None = None):
         self.spark, self.schema, self.id_col = spark, schema, id_col
         self._corpus, self._terms, self._vocab = corpus, terms, vocab
-        self._values, self._near, self._tops, self._stats = values, near, tops, stats
+        self._values, self._near, self._pairs, self._tops, self._stats = values, near, pairs, tops, stats
         self.path, self.commit, self.commits = path, commit, commits
         self._stat_rows = None
 
@@ -126,28 +131,29 @@ class Index:
         terms = analysis.term_table(corpus, fields, id_col, analyzers=schema.analyzers())
         return cls(df.sparkSession, schema, corpus, terms,
                    analysis.commit_vocabulary(terms),
-                   analysis.value_table(corpus, schema.value_fields(), id_col), None, None,
+                   analysis.value_table(corpus, schema.value_fields(), id_col), None, None, None,
                    analysis.commit_stats(corpus, terms, fields), id_col)
 
     @classmethod
     def create(cls, spark: SparkSession, path: str, schema: Schema, id_col: str, id_type: T.DataType,
-               near: bool = False) -> None:
+               near: bool = False, pairs: bool = False) -> None:
         """An index without commits. With `near` every commit also writes the
-        deletion neighbourhoods of its vocabulary, for fuzzy searches."""
+        deletion neighbourhoods of its vocabulary, for fuzzy searches; with
+        `pairs` the places where two common words stand together, for phrases."""
         if exists(spark, path + "/meta"):
             raise SearchError(f"Index already exists at '{path}'")
-        put_text(spark, path + "/meta", json.dumps({"id_col": id_col, "id_type": id_type.json(), "near": near,
+        put_text(spark, path + "/meta", json.dumps({"id_col": id_col, "id_type": id_type.json(), "near": near, "pairs": pairs,
                                                      "schema": schema.validate().to_json()}))
 
     @classmethod
     def build(cls, df: DataFrame, schema: Schema, id_col: str = "doc_id",
               path: str | None = None, commit_id: int = 0, partitions: int | None = None,
-              near: bool = False) -> "Index":
+              near: bool = False, pairs: bool = False) -> "Index":
         """Ingest `df` as the first commit and write all index tables."""
         spark = df.sparkSession
         path = path or scratch_path(spark, "index")
         corpus = ingest(df, schema, id_col)
-        cls.create(spark, path, schema, id_col, corpus.schema[id_col].dataType, near)
+        cls.create(spark, path, schema, id_col, corpus.schema[id_col].dataType, near, pairs)
         cls._write_commit(spark, corpus, schema, id_col, path, commit_id, partitions)
         return cls.open(spark, path)
 
@@ -214,7 +220,8 @@ class Index:
         (analysis.commit_vocabulary(terms).drop(COMMIT_COL)
                  .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term")
                  .write.partitionBy("field").parquet(folder("vocab")))
-        if json.loads(get_text(spark, path + "/meta")).get("near"):
+        meta = json.loads(get_text(spark, path + "/meta"))
+        if meta.get("near"):
             (analysis.neighbourhoods(written("vocab").drop(COMMIT_COL))
                      .repartitionByRange(n, "field", "key", "n").sortWithinPartitions("field", "key", "n")
                      .write.option("parquet.page.row.count.limit", NEAR_PAGE_ROWS).partitionBy("field").parquet(folder("near")))
@@ -225,6 +232,14 @@ class Index:
                  .write.option("parquet.page.row.count.limit", VALUE_PAGE_ROWS).partitionBy("field").parquet(folder("values")))
         (analysis.commit_stats(batch, terms, fields).drop(COMMIT_COL).coalesce(1)
                  .write.parquet(folder("stats")))
+        if meta.get("pairs"):
+            common = cls._common(written("vocab"), written("stats"))
+            apart = analysis.pair_table(batch.drop(COMMIT_COL), common, fields, id_col, n, schema.analyzers())
+            apart.write.parquet(aside)
+            (spark.read.schema(apart.schema).parquet(aside)
+                  .repartitionByRange(n, "field", "w1", "w2", "doc_id").sortWithinPartitions("field", "w1", "w2", "doc_id")
+                  .write.option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("pairs")))
+            remove(spark, aside)
         means = {r["field"]: r["total_len"] / max(r["n_docs"], 1) for r in written("stats").collect()}
         if means:
             (analysis.block_tops(terms, written("vocab"), means)
@@ -256,7 +271,7 @@ class Index:
         commits = tuple(sorted(int(c) for c in names(spark, path + "/commits")))
 
         def read(table):
-            if table == "near" and not meta.get("near"):
+            if table in ("near", "pairs") and not meta.get(table):
                 return None
             if not commits:
                 return spark.createDataFrame([], schemas[table])
@@ -281,7 +296,7 @@ class Index:
     def as_of(self, commit_id: int) -> "Index":
         """Snapshot: commits after `commit_id` are invisible (A4)."""
         return Index(self.spark, self.schema, self._corpus, self._terms, self._vocab,
-                     self._values, self._near, self._tops, self._stats, self.id_col, self.path, commit_id, self.commits)
+                     self._values, self._near, self._pairs, self._tops, self._stats, self.id_col, self.path, commit_id, self.commits)
 
     def _pin(self, df: DataFrame) -> DataFrame:
         if self.commit is None:
@@ -311,6 +326,29 @@ class Index:
         """(field, key, n, term): deletion neighbourhoods, if the index keeps them."""
         return None if self._near is None else self._pin(self._near)
 
+    @staticmethod
+    def _common(vocab: DataFrame, stats: DataFrame) -> DataFrame:
+        """(commit_id, field, term): the words of each commit whose pairs it keeps."""
+        own = stats.select(COMMIT_COL, "field", "n_docs")
+        return (vocab.join(own, [COMMIT_COL, "field"]).where(analysis.common_words(vocab, F.col("n_docs")))
+                     .select(COMMIT_COL, "field", "term"))
+
+    @property
+    def pairs(self) -> DataFrame | None:
+        """(field, w1, w2, doc_id, dl, positions) of common words, if the index keeps them."""
+        return None if self._pairs is None else self._pin(self._pairs)
+
+    def paired(self, field: str, words) -> tuple[set[str], list[int]]:
+        """Which of a phrase's words are common somewhere, and the commits in
+        which all of these are: there pairs of them are kept. A row a word and
+        commit at most comes to the driver."""
+        if self._pairs is None:
+            return set(), []
+        rows = (self._common(self._pin(self._vocab).where((F.col("field") == field) & F.col("term").isin(sorted(set(words)))),
+                             self._pin(self._stats)).groupBy(COMMIT_COL).agg(F.collect_set("term").alias("terms")).collect())
+        common = set().union(*[r["terms"] for r in rows])
+        return common, sorted(r[COMMIT_COL] for r in rows if set(r["terms"]) == common)
+
     def vocabulary(self, where=None, only: DataFrame | None = None) -> DataFrame:
         """(field, term, df, cf). `where` and the semi join with `only` (a
         `term` column) are applied before the per-commit rows are summed;
