@@ -13,6 +13,8 @@ With ``transposition=True`` an adjacent swap costs one edit
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,6 +91,43 @@ def prefix_distance_to_literal(col, query: str, distance: int,
     return F.when(F.char_length(b) == 0, F.lit(len(query))).otherwise(F.array_min(row))
 
 
+def swapped_forms(word: str, k: int) -> dict[str, int]:
+    """The forms of a word with up to k disjoint pairs of neighbours swapped,
+    each with the fewest swaps that make it."""
+    out, last = {word: 0}, {(word, 0)}
+    for n in range(1, k + 1):
+        last = {(w[:i] + w[i + 1] + w[i] + w[i + 2:], i + 2) for w, at in last for i in range(at, len(w) - 1)}
+        for w, _ in last:
+            out.setdefault(w, n)
+    return out
+
+
+# Forms of which a filter is made; a word that has more is compared as it is.
+SWAPPED_FORMS = 64
+
+
+def within_of_literal(col, query: str, k: int, transposition: bool = True, prefix: bool = False) -> Column:
+    """A necessary condition for `col` (or a prefix of it) to be within k edits
+    of the literal, by Spark's own bounded Levenshtein: what swaps and plain
+    edits make of a word, plain edits make of the word with the swaps done."""
+    col, m, forms = _col(col), len(query), {query: 0}
+    rest = k
+    if transposition:
+        if m * k <= SWAPPED_FORMS and len(swaps := swapped_forms(query, k)) <= SWAPPED_FORMS:
+            forms = swaps
+        else:
+            rest = 2 * k        # a swap is at most two plain edits
+    tests = []
+    for w, used in forms.items():
+        left = rest - used
+        if prefix and left == 0:
+            tests.append(col.startswith(w))
+        else:
+            heads = [F.substring(col, 1, n) for n in range(max(0, m - k + used), m + k - used + 1)] if prefix else [col]
+            tests += [(h == F.lit(w)) if left == 0 else (F.levenshtein(h, F.lit(w), left) >= 0) for h in heads]
+    return reduce(lambda x, y: x | y, tests)
+
+
 def deletion_keys(word, k: int):
     """All strings made by deleting up to k characters (as a column of arrays).
 
@@ -106,7 +145,10 @@ def deletion_keys(word, k: int):
     return keys
 
 
-# A term of more characters is found by its segments: it has too many deletions.
+# A term of more characters is found by its halves: it has too many deletions.
+SHORT_TERM = 8
+HALF_MARK = "\u0002"
+# A term of more characters yet is found by its segments.
 LONG_TERM = 16
 # Two edits, of which a swap can touch two segments, leave one of five whole.
 SEGMENTS = 5
@@ -115,23 +157,39 @@ SEGMENT_MARK = "\u0001"
 
 def neighbourhood_keys(term) -> Column:
     """Keys under which a term is found by anything within two edits: all its
-    forms without up to two characters, or for a long term its segments, each
-    with its number."""
+    forms without up to two characters, or for a longer term the forms of its
+    two halves without up to one (two edits leave one half with one at most; a
+    swap across the middle changes one character of each), or for a long one
+    its segments, each with its number."""
     t = _col(term)
     n = F.char_length(t)
     at = [F.floor(n * i / SEGMENTS).cast("int") for i in range(SEGMENTS + 1)]
     segments = F.array(*[F.concat(F.lit(f"{SEGMENT_MARK}{i}"), F.substring(t, at[i] + 1, at[i + 1] - at[i])) for i in range(SEGMENTS)])
-    return F.when(n <= LONG_TERM, deletion_keys(t, 2)).otherwise(segments)
+    middle = F.floor(n / 2).cast("int")
+
+    def half(i, part):
+        return F.transform(deletion_keys(part, 1), lambda s: F.concat(F.lit(f"{HALF_MARK}{i}"), s))
+
+    halves = F.concat(half(0, F.substring(t, F.lit(1), middle)), half(1, F.substring(t, middle + 1, n)))
+    return F.when(n <= SHORT_TERM, deletion_keys(t, 2)).when(n <= LONG_TERM, halves).otherwise(segments)
 
 
 def neighbourhood_probes(word: str, k: int) -> list[str]:
     """The keys to ask for the terms within k edits of `word` (k at most 2)."""
     forms, m = {word}, len(word)
-    if m - k <= LONG_TERM:
+    if m - k <= SHORT_TERM:
         for _ in range(k):
             forms |= {w[:i] + w[i + 1:] for w in forms for i in range(len(w))}
     else:
         forms = set()
+    for n in range(max(SHORT_TERM + 1, m - k), min(LONG_TERM, m + k) + 1):
+        left, right = n // 2, n - n // 2
+        if k == 1:      # one half is whole, or a swap across the middle changed its inner end
+            near = [(0, word[:left]), (0, word[:left - 1]), (1, word[max(0, m - right):]), (1, word[max(0, m - right + 1):])]
+        else:           # one half has one edit at most
+            whole = [(0, word[:left + d]) for d in (-1, 0, 1)] + [(1, word[max(0, m - right - d):]) for d in (-1, 0, 1)]
+            near = whole + [(i, w[:j] + w[j + 1:]) for i, w in whole for j in range(len(w))]
+        forms |= {f"{HALF_MARK}{i}{w}" for i, w in near}
     for n in range(max(LONG_TERM + 1, m - k), m + k + 1):
         at = [n * i // SEGMENTS for i in range(SEGMENTS + 1)]
         for i in range(SEGMENTS):

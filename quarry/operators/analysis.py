@@ -180,8 +180,12 @@ def block_tops(terms: DataFrame, vocab: DataFrame, avgdl: dict[str, float]) -> D
     frequent term contributes to a document of each block, by the commit's own
     average lengths."""
     frequent = vocab.where(F.col("df") >= FREQUENT).select("field", "term")
-    mean = F.create_map(*[x for f, a in sorted(avgdl.items()) for x in (F.lit(f), F.lit(float(a or 1.0)))])
-    share = bm25_share(F.col("tf"), F.col("dl"), F.try_element_at(mean, F.col("field")))
+    if frequent.count() <= BROADCAST_WORDS:
+        frequent = F.broadcast(frequent)
+    mean = F.lit(1.0)
+    for f, a in sorted(avgdl.items()):
+        mean = F.when(F.col("field") == f, F.lit(float(a or 1.0))).otherwise(mean)
+    share = bm25_share(F.col("tf"), F.col("dl"), mean)
     return (terms.join(frequent, ["field", "term"], "left_semi").groupBy("field", "term", BLOCK_COL)
                  .agg(F.max(share).alias("top")))
 

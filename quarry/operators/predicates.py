@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.distance import edit_distance_to_literal, neighbourhood_probes, prefix_distance_to_literal
+from quarry.functions.distance import edit_distance_to_literal, neighbourhood_probes, prefix_distance_to_literal, within_of_literal
 from quarry.operators.analysis import VALUE_COLUMNS
 from quarry.sources.corpus import COMMIT_COL
 from quarry.operators.scoring import bm25, idf
@@ -33,6 +33,18 @@ PUSHED_RANGES = 200
 PUSHED_VALUES = 1000
 
 
+def in_runs(c: Column, runs: list[tuple]) -> Column:
+    """Whether `c` is in one of the ascending, disjoint (least, most) runs, as a
+    tree: parquet skips by it as by an OR of them, and a row that is read
+    takes a comparison a level, not a pair of them a run."""
+    if len(runs) == 1:
+        lo, hi = runs[0]
+        return (c == F.lit(lo)) if lo == hi else (c >= F.lit(lo)) & (c <= F.lit(hi))
+    mid = len(runs) // 2
+    at = F.lit(runs[mid][0])
+    return ((c < at) & in_runs(c, runs[:mid])) | ((c >= at) & in_runs(c, runs[mid:]))
+
+
 def value_ranges(column: str, values) -> Column:
     """A necessary condition for `column` to be one of the values: an OR of at
     most PUSHED_RANGES ranges (of single values, if there are no more), which
@@ -42,9 +54,7 @@ def value_ranges(column: str, values) -> Column:
         return F.lit(False)
     step = -(-len(values) // PUSHED_RANGES)
     runs = [values[i:i + step] for i in range(0, len(values), step)]
-    c = F.col(column)
-    return reduce(lambda x, y: x | y, [
-        (c == F.lit(r[0])) if r[0] == r[-1] else (c >= F.lit(r[0])) & (c <= F.lit(r[-1])) for r in runs])
+    return in_runs(F.col(column), [(r[0], r[-1]) for r in runs])
 
 
 def _pairs_filter(pairs) -> Column:
@@ -222,6 +232,8 @@ def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
                  & shared_chars(term, t, k, m + k))
         if k == 0:
             where = base & term.startswith(t)
+        else:
+            where = where & within_of_literal(term, t, k, q.transposition, prefix=True)
         dist = prefix_distance_to_literal(term, t, k, q.transposition)
     else:
         where = base & (F.abs(F.char_length(term) - F.lit(m)) <= k) & shared_chars(term, t, k)
@@ -229,8 +241,7 @@ def fuzzy_vocabulary(index, q: Fuzzy) -> DataFrame:
             where = base & (term == t)
             dist = F.lit(0)
         elif q.transposition:
-            # a swap is at most two plain edits
-            where = where & (F.levenshtein(term, F.lit(t), 2 * k) >= 0)
+            where = where & within_of_literal(term, t, k)
             # plain edits of at most one cannot be bettered by a swap
             plain = F.levenshtein(term, F.lit(t), 2 * k)
             dist = F.when(plain <= 1, plain).otherwise(edit_distance_to_literal(term, t, True))
@@ -264,7 +275,7 @@ def fuzzy_rows(index, leaf_id: int, q: Fuzzy) -> DataFrame:
         matched = index.spark.read.schema(matched.schema).parquet(path)
         cut = F.ntile(PUSHED_RANGES).over(Window.orderBy("term"))
         spans = matched.select("term", cut.alias("part")).groupBy("part").agg(F.min("term").alias("lo"), F.max("term").alias("hi")).collect()
-        within = reduce(lambda x, y: x | y, [F.col("term").between(r["lo"], r["hi"]) for r in spans])
+        within = in_runs(F.col("term"), sorted((r["lo"], r["hi"]) for r in spans))
         rows = terms.where(within).join(matched, ["field", "term"], "left_semi")
     return rows.select(F.lit(leaf_id).alias("leaf_id"), "doc_id", F.lit(1.0).alias("score"))
 

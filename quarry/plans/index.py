@@ -42,8 +42,10 @@ from quarry.session import exists, get_text, names, put_text, remove, scratch_pa
 from quarry.sources.corpus import COMMIT_COL, check_ids, ingest
 
 # Target bytes of input per written partition. The term table holds
-# positions and is larger than its input, hence the factor.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# positions and is larger than its input, hence the factor. A task sorts the
+# exploded tokens of its documents, some fifty times their compressed bytes:
+# at four times this it spills, and a larger input all the more.
+TARGET_PARTITION_BYTES = 24 * 1024 * 1024
 TERMS_PER_INPUT = 2
 # Rows of a page of the value table: a range reads whole pages.
 VALUE_PAGE_ROWS = 1000
@@ -57,7 +59,7 @@ TERM_PAGE_ROWS = 2000
 
 
 def _write_partitions(spark: SparkSession, df: DataFrame) -> int:
-    """Output partitions for one commit: one per 128 MB of input (the scanned
+    """Output partitions for one commit: TERMS_PER_INPUT per TARGET_PARTITION_BYTES of input (the scanned
     relations' sizes; a join's own estimate, without table statistics, can
     be the product of its sides), the default parallelism at least. A source
     whose size Spark does not know counts as the session's shuffle setting."""
@@ -241,10 +243,9 @@ class Index:
                   .write.option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("pairs")))
             remove(spark, aside)
         means = {r["field"]: r["total_len"] / max(r["n_docs"], 1) for r in written("stats").collect()}
-        if means:
-            (analysis.block_tops(terms, written("vocab"), means)
-                     .repartitionByRange(n, "field", "term", analysis.BLOCK_COL).sortWithinPartitions("field", "term", analysis.BLOCK_COL)
-                     .write.partitionBy("field").parquet(folder("tops")))
+        (analysis.block_tops(terms, written("vocab"), means)
+                 .repartitionByRange(n, "field", "term", analysis.BLOCK_COL).sortWithinPartitions("field", "term", analysis.BLOCK_COL)
+                 .write.partitionBy("field").parquet(folder("tops")))
         put_text(spark, marker)
 
     @staticmethod

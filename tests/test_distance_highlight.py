@@ -78,3 +78,23 @@ def test_snippet_on_unstored_field(make_index):
     assert len(r) == 1 and "body" not in r[0].asDict()
     assert r[0]["snippets"]["body"] == "the <b>phoenix</b> framework"
     assert r[0]["snippets"]["title"] == ""
+
+
+def test_the_cheap_filter_loses_no_near_word(spark):
+    """`within_of_literal` holds for all words (and prefixes) the exact table accepts, and for few others."""
+    import random
+
+    from quarry.functions.distance import edit_distance_to_literal, swapped_forms, within_of_literal
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("mntaé") for _ in range(rng.randint(1, 7))) for _ in range(1500)})
+    df = spark.createDataFrame([(w,) for w in words], "w string").localCheckpoint()
+    assert swapped_forms("abcd", 2) == {"abcd": 0, "bacd": 1, "acbd": 1, "abdc": 1, "badc": 2}
+    for q in ("mnt", "m", "mnéat", "tn" * 60):
+        for k in (1, 2):
+            for swaps in (True, False):
+                r = df.select(within_of_literal("w", q, k, swaps).alias("a"), (edit_distance_to_literal("w", q, swaps) <= k).alias("b"),
+                              within_of_literal("w", q, k, swaps, prefix=True).alias("c"),
+                              (prefix_distance_to_literal("w", q, k, swaps) <= k).alias("d")).collect()
+                assert not [x for x in r if (x["b"] and not x["a"]) or (x["d"] and not x["c"])], (q, k, swaps)
+    kept = df.where(within_of_literal("w", "mnt", 1, True, prefix=True)).count()
+    assert kept == df.where(prefix_distance_to_literal("w", "mnt", 1, True) <= 1).count()

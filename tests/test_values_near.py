@@ -128,3 +128,45 @@ def test_many_matched_terms_are_joined(spark, tmp_path, monkeypatch):
     few = _ids(Searcher(idx).hits(Fuzzy("text", "abc", 2)))
     monkeypatch.setattr(predicates, "PUSHED_VALUES", 50)
     assert _ids(Searcher(idx).hits(Fuzzy("text", "abc", 2))) == few and len(few) > 200
+
+
+def test_halves_find_what_two_edits_leave(spark):
+    """Terms of 9 to 16 characters by their halves: a swap across the middle, an edit in each, few keys a term."""
+    from quarry.functions.distance import HALF_MARK
+    rng = random.Random(8)
+    pairs = set()
+    for n in range(7, 19):
+        for _ in range(120):
+            b = "".join(rng.choice("abé") for _ in range(n))
+            h = n // 2
+            pairs |= {(_edited(rng, b, 1), b), (_edited(rng, b, 2), b), (b[:h - 1] + b[h] + b[h - 1] + b[h + 1:], b)}
+            swap = b[:h - 1] + b[h] + b[h - 1] + b[h + 1:]
+            pairs.add((_edited(rng, swap, 1), b))
+    df = spark.createDataFrame(sorted(pairs), "word string, term string").select("word", "term", neighbourhood_keys("term").alias("keys"))
+    for r in df.collect():
+        for k in (1, 2):
+            if _distance(r["word"], r["term"], True) <= k:
+                assert set(neighbourhood_probes(r["word"], k)) & set(r["keys"]), (r["word"], r["term"], k)
+        if 9 <= len(r["term"]) <= 16:
+            assert len(r["keys"]) <= len(r["term"]) + 2 and all(x.startswith(HALF_MARK) for x in r["keys"])
+
+
+def test_ranges_are_a_tree(spark):
+    """Two hundred ranges: the right rows, by a few comparisons a row."""
+    from quarry.operators.predicates import PUSHED_RANGES, in_runs, value_ranges
+    runs = [(f"{i:04d}", f"{i + 2:04d}") for i in range(0, 2000, 10)]
+    df = spark.range(2100).select(F.format_string("%04d", "id").alias("w"))
+    got = {r["w"] for r in df.where(in_runs(F.col("w"), runs)).collect()}
+    assert got == {f"{i:04d}" for i in range(2000) if i % 10 <= 2}
+    names = [f"{i:04d}" for i in range(0, 2000, 5)]
+    assert set(names) <= {r["w"] for r in df.where(value_ranges("w", names)).collect()}
+    assert df.where(value_ranges("w", names[:3])).count() == 3 and df.where(value_ranges("w", [])).count() == 0
+
+    def depth(tree):                   # of nested conditions, by their brackets
+        most = now = 0
+        for ch in tree:
+            now += (ch == "(") - (ch == ")")
+            most = max(most, now)
+        return most
+
+    assert depth(df.where(value_ranges("w", names))._jdf.queryExecution().analyzed().toString()) < 40 < PUSHED_RANGES
