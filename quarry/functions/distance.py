@@ -174,6 +174,20 @@ def neighbourhood_keys(term) -> Column:
     return F.when(n <= SHORT_TERM, deletion_keys(t, 2)).when(n <= LONG_TERM, halves).otherwise(segments)
 
 
+def neighbourhood(term: str) -> set[str]:
+    """The same keys of one term, as a value."""
+    def without_one(words):
+        return words | {w[:i] + w[i + 1:] for w in words for i in range(len(w))}
+
+    n = len(term)
+    if n <= SHORT_TERM:
+        return without_one(without_one({term}))
+    if n <= LONG_TERM:
+        return {f"{HALF_MARK}{i}{w}" for i, part in enumerate((term[:n // 2], term[n // 2:])) for w in without_one({part})}
+    at = [n * i // SEGMENTS for i in range(SEGMENTS + 1)]
+    return {f"{SEGMENT_MARK}{i}{term[at[i]:at[i + 1]]}" for i in range(SEGMENTS)}
+
+
 def neighbourhood_probes(word: str, k: int) -> list[str]:
     """The keys to ask for the terms within k edits of `word` (k at most 2)."""
     forms, m = {word}, len(word)

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.distance import neighbourhood_keys
 from quarry.functions.text import Analyzer, tokens
+from quarry.operators.chunks import posting_rows
 from quarry.operators.scoring import bm25_share
 from quarry.schema import BOOL, F64, I64, U64, Field
 from quarry.sources.corpus import COMMIT_COL
@@ -24,6 +24,8 @@ BLOCK_COL = "_block"
 BLOCK_DOCS = 128
 # A term in at least so many documents of a commit has its blocks' tops kept.
 FREQUENT = 4 * BLOCK_DOCS
+# Blocks of a partition of the corpus: its number is in the row number's bits above the 33rd.
+RUN_BLOCKS = (1 << 33) // BLOCK_DOCS
 
 # The column of the value table that holds a field type's values.
 VALUE_COLUMNS = {U64: "dec", I64: "long", F64: "dbl", BOOL: "long"}
@@ -90,34 +92,57 @@ def common_words(vocab: DataFrame, n_docs: Column) -> Column:
     return (vocab["df"] >= F.lit(PAIR_SHARE) * n_docs) & (vocab["df"] >= PAIR_DOCS)
 
 
+def _dealt(corpus: DataFrame, fields: list[str], id_col: str, partitions: int, analyzers: dict[str, Analyzer] | None,
+           common: dict[str, list[str]] | None = None) -> DataFrame:
+    def tokens_of(docs):
+        return _token_arrays(docs, fields, id_col, None, analyzers)[1].withColumnRenamed(BLOCK_COL, "block")
+
+    grams = any(a.grams for a in (analyzers or {}).values())
+    return posting_rows(tokens_of, corpus, corpus.count(), partitions, RUN_BLOCKS, grams, common)
+
+
 def pair_table(corpus: DataFrame, common: DataFrame, fields: list[str], id_col: str, partitions: int,
                analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
     """(field, w1, w2, doc_id, dl, positions): where in a document two common
-    words (`common`: field, term) stand next to each other. Documents stay in
-    their partition, so pairs are grouped without an exchange of tokens as long
-    as the common words, which are counted first, are few."""
-    few = common.count() <= BROADCAST_WORDS
+    words (`common`: field, term) stand next to each other, for a corpus of
+    numbered rows with unique ids, in partitions that are ranges of (field, w1,
+    w2, doc_id). The common words, which are counted first, are sent to the
+    tasks if they are few; else tokens are joined with them."""
+    if common.count() <= BROADCAST_WORDS:
+        words: dict[str, list[str]] = {}
+        for r in common.select("field", "term").collect():
+            words.setdefault(r["field"], []).append(r["term"])
+        return _dealt(corpus, fields, id_col, partitions, analyzers, words).drop("block", "tf")
     _, toks, _ = _token_arrays(corpus, fields, id_col, partitions, analyzers)
     near = F.transform(F.sequence(F.lit(0), F.size("toks") - 2), lambda i: F.struct(
         i.alias("pos"), F.get("toks", i).alias("w1"), F.get("toks", i + 1).alias("w2")))
     pairs = toks.where(F.size("toks") >= 2).select("doc_id", "field", "dl", F.inline(near))
     for w in ("w1", "w2"):
         words = common.select("field", F.col("term").alias(w))
-        pairs = pairs.join(F.broadcast(words) if few else words, ["field", w], "left_semi")
-    return pairs.groupBy("doc_id", "field", "w1", "w2").agg(
+        pairs = pairs.join(words, ["field", w], "left_semi")
+    place = ["field", "w1", "w2", "doc_id"]
+    return (pairs.groupBy("doc_id", "field", "w1", "w2").agg(
         F.any_value("dl").alias("dl"), F.array_sort(F.collect_list("pos")).alias("positions"))
+        .repartitionByRange(partitions, *place).sortWithinPartitions(*place))
+
+
+def dealt_terms(corpus: DataFrame, fields: list[str], id_col: str, partitions: int,
+                analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
+    """The term table of a corpus of numbered rows with unique ids, in
+    partitions that are ranges of (field, term, doc_id), sorted. A document's
+    tokens are grouped where it is read, and dealt by the chunk (`chunks`)."""
+    return _dealt(corpus, fields, id_col, partitions, analyzers).select(
+        "field", "term", "doc_id", "dl", F.col("block").alias(BLOCK_COL), "tf", "positions")
 
 
 def term_table(corpus: DataFrame, fields: list[str], id_col: str = "doc_id",
-               partitions: int | None = None, analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
+               analyzers: dict[str, Analyzer] | None = None) -> DataFrame:
     """(commit_id?, field, term, doc_id, tf, dl, positions).
 
     Document length is computed from the token array before the explode,
-    so no join is needed to attach it. With `partitions`, each document is
-    brought to one partition first: the group by (document, term) then needs
-    no exchange, so texts are shuffled and their exploded tokens are not.
+    so no join is needed to attach it.
     """
-    keys, toks, grams = _token_arrays(corpus, fields, id_col, partitions, analyzers)
+    keys, toks, grams = _token_arrays(corpus, fields, id_col, None, analyzers)
     block = [F.any_value(BLOCK_COL).alias(BLOCK_COL)] if BLOCK_COL in keys else []
     exploded = (toks.select(*keys, "dl", F.posexplode_outer("toks").alias("pos", "term"))
                     .where(F.col("term") != "" if grams else F.col("term").isNotNull()))
@@ -167,14 +192,6 @@ def commit_vocabulary(terms: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def neighbourhoods(vocab: DataFrame) -> DataFrame:
-    """(commit_id?, field, key, n, term): a vocabulary's terms under the keys
-    by which anything within two edits finds them; n is the term's length."""
-    keys = [c for c in vocab.columns if c in (COMMIT_COL, "field")]
-    return vocab.select(*keys, F.explode(neighbourhood_keys("term")).alias("key"),
-                        F.char_length("term").alias("n"), "term")
-
-
 def block_tops(terms: DataFrame, vocab: DataFrame, avgdl: dict[str, float]) -> DataFrame:
     """(field, term, _block, top): the largest share of idf * (k1 + 1) that a
     frequent term contributes to a document of each block, by the commit's own

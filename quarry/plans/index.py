@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators import analysis
+from quarry.operators.chunks import near_rows
 from quarry.schema import Schema, SearchError
 from quarry.session import exists, get_text, names, put_text, remove, scratch_path
 from quarry.sources.corpus import COMMIT_COL, check_ids, ingest
@@ -47,6 +48,8 @@ from quarry.sources.corpus import COMMIT_COL, check_ids, ingest
 # at four times this it spills, and a larger input all the more.
 TARGET_PARTITION_BYTES = 24 * 1024 * 1024
 TERMS_PER_INPUT = 2
+# Texts and postings take a third less of it than of the default, and as much time.
+CODEC = "zstd"
 # Rows of a page of the value table: a range reads whole pages.
 VALUE_PAGE_ROWS = 1000
 # Ranges of a batch's ids in which earlier commits are searched for them.
@@ -167,9 +170,9 @@ class Index:
 
         Ids are checked on the written rows (the marker is what counts): they
         must be unique in the batch, and no earlier commit may have them. The
-        texts are tokenised from the written corpus, each document in one
-        partition, so grouping its tokens needs no exchange; vocabulary and
-        statistics are read off the written term table."""
+        texts are tokenised where the written corpus is read, and their words
+        dealt by chunks of documents; vocabulary and statistics are read off
+        the written term table."""
         commit_id = int(commit_id)
         done = [int(c) for c in names(spark, path + "/commits")]
         if commit_id in done and not replace:
@@ -195,7 +198,7 @@ class Index:
         # (its rows are numbered in that order; the number's high bits count partitions)
         (corpus.drop(COMMIT_COL).repartitionByRange(n, F.col(f"`{id_col}`")).sortWithinPartitions(F.col(f"`{id_col}`"))
                .withColumn(analysis.BLOCK_COL, F.floor(F.monotonically_increasing_id() / analysis.BLOCK_DOCS))
-               .write.parquet(folder("corpus")))
+               .write.option("compression", CODEC).parquet(folder("corpus")))
         batch = written("corpus")
         try:
             check_ids(batch, id_col)
@@ -207,45 +210,32 @@ class Index:
         except SearchError:
             remove(spark, folder("corpus"))
             raise
-        # tokens are counted once and kept aside: the range exchange reads its
-        # input twice (for the bounds, then for the rows)
-        aside = f"{path}/_aside/{commit_id}"
-        remove(spark, aside)
-        counted = analysis.term_table(batch.drop(COMMIT_COL), fields, id_col, partitions=n, analyzers=schema.analyzers())
-        counted.write.parquet(aside)
-        (spark.read.schema(counted.schema).parquet(aside)
-              .repartitionByRange(n, "field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
-              .write.option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("terms")))
-        remove(spark, aside)
+        (analysis.dealt_terms(batch.drop(COMMIT_COL), fields, id_col, n, schema.analyzers())
+                 .write.option("compression", CODEC).option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("terms")))
         terms = written("terms")
         # fields as partition folders need a row to exist; an empty commit has none
         (analysis.commit_vocabulary(terms).drop(COMMIT_COL)
                  .repartitionByRange(n, "field", "term").sortWithinPartitions("field", "term")
-                 .write.partitionBy("field").parquet(folder("vocab")))
+                 .write.option("compression", CODEC).partitionBy("field").parquet(folder("vocab")))
         meta = json.loads(get_text(spark, path + "/meta"))
         if meta.get("near"):
-            (analysis.neighbourhoods(written("vocab").drop(COMMIT_COL))
-                     .repartitionByRange(n, "field", "key", "n").sortWithinPartitions("field", "key", "n")
-                     .write.option("parquet.page.row.count.limit", NEAR_PAGE_ROWS).partitionBy("field").parquet(folder("near")))
+            (near_rows(written("vocab"), n)
+                     .write.option("compression", CODEC).option("parquet.page.row.count.limit", NEAR_PAGE_ROWS).partitionBy("field").parquet(folder("near")))
         # values: a range or an equality reads its own files and pages only
         place = ["field", *analysis.VALUE_TYPES, "doc_id"]
         (analysis.value_table(batch.drop(COMMIT_COL), schema.value_fields(), id_col)
                  .repartitionByRange(n, *place).sortWithinPartitions(*place)
-                 .write.option("parquet.page.row.count.limit", VALUE_PAGE_ROWS).partitionBy("field").parquet(folder("values")))
+                 .write.option("compression", CODEC).option("parquet.page.row.count.limit", VALUE_PAGE_ROWS).partitionBy("field").parquet(folder("values")))
         (analysis.commit_stats(batch, terms, fields).drop(COMMIT_COL).coalesce(1)
                  .write.parquet(folder("stats")))
         if meta.get("pairs"):
             common = cls._common(written("vocab"), written("stats"))
-            apart = analysis.pair_table(batch.drop(COMMIT_COL), common, fields, id_col, n, schema.analyzers())
-            apart.write.parquet(aside)
-            (spark.read.schema(apart.schema).parquet(aside)
-                  .repartitionByRange(n, "field", "w1", "w2", "doc_id").sortWithinPartitions("field", "w1", "w2", "doc_id")
-                  .write.option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("pairs")))
-            remove(spark, aside)
+            (analysis.pair_table(batch.drop(COMMIT_COL), common, fields, id_col, n, schema.analyzers())
+                     .write.option("compression", CODEC).option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("pairs")))
         means = {r["field"]: r["total_len"] / max(r["n_docs"], 1) for r in written("stats").collect()}
         (analysis.block_tops(terms, written("vocab"), means)
                  .repartitionByRange(n, "field", "term", analysis.BLOCK_COL).sortWithinPartitions("field", "term", analysis.BLOCK_COL)
-                 .write.partitionBy("field").parquet(folder("tops")))
+                 .write.option("compression", CODEC).partitionBy("field").parquet(folder("tops")))
         put_text(spark, marker)
 
     @staticmethod
