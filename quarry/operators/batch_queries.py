@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.predicates import (_check_numeric, _searchable_text, equals_condition, fuzzy_vocabulary,
+from quarry.operators.predicates import (SCANNED_RANGES, _check_numeric, _searchable_text, equals_condition, fuzzy_vocabulary,
                                          prefix_terms, range_condition, value_ranges)
 from quarry.operators.ranking import DEFAULT_LIMIT, top_k_per_query
 from quarry.operators.scoring import bm25, idf
@@ -135,7 +135,7 @@ def _text_leaves(index, leaves: dict[Query, int]) -> DataFrame | None:
     terms = index.terms
     if variants is None:
         named = reduce(lambda x, y: x | y, [
-            (F.col("field") == f) & value_ranges("term", [w[2] for w in words if w[1] == f]) for f in sorted({w[1] for w in words})])
+            (F.col("field") == f) & value_ranges("term", [w[2] for w in words if w[1] == f], SCANNED_RANGES) for f in sorted({w[1] for w in words})])
         terms = terms.where(named)
         wanted = F.broadcast(wanted)
     rows = _written(terms.join(wanted, ["field", "term"]).select(

@@ -29,6 +29,9 @@ LEAF_COLS = ("leaf_id", "doc_id", "score")
 # Value ranges that are pushed to a scan for a list of values. Spark pushes an
 # IN of more than ten values only as one span from the least to the greatest.
 PUSHED_RANGES = 200
+# The same where the rows of a large part of the term table are compared with
+# them: with more, the code of the scan is too long for the JVM to compile.
+SCANNED_RANGES = 24
 # Terms of a fuzzy leaf that are brought to the driver to make a filter of.
 PUSHED_VALUES = 1000
 
@@ -45,14 +48,14 @@ def in_runs(c: Column, runs: list[tuple]) -> Column:
     return ((c < at) & in_runs(c, runs[:mid])) | ((c >= at) & in_runs(c, runs[mid:]))
 
 
-def value_ranges(column: str, values) -> Column:
+def value_ranges(column: str, values, most: int | None = None) -> Column:
     """A necessary condition for `column` to be one of the values: an OR of at
-    most PUSHED_RANGES ranges (of single values, if there are no more), which
-    parquet can skip row groups by."""
+    most PUSHED_RANGES (or `most`) ranges (of single values, if there are no
+    more), which parquet can skip row groups by."""
     values = sorted(set(values))
     if not values:
         return F.lit(False)
-    step = -(-len(values) // PUSHED_RANGES)
+    step = -(-len(values) // (most or PUSHED_RANGES))
     runs = [values[i:i + step] for i in range(0, len(values), step)]
     return in_runs(F.col(column), [(r[0], r[-1]) for r in runs])
 
@@ -273,7 +276,7 @@ def fuzzy_rows(index, leaf_id: int, q: Fuzzy) -> DataFrame:
         path = scratch_path(index.spark, "fuzzy")
         matched.write.parquet(path)
         matched = index.spark.read.schema(matched.schema).parquet(path)
-        cut = F.ntile(PUSHED_RANGES).over(Window.orderBy("term"))
+        cut = F.ntile(SCANNED_RANGES).over(Window.orderBy("term"))
         spans = matched.select("term", cut.alias("part")).groupBy("part").agg(F.min("term").alias("lo"), F.max("term").alias("hi")).collect()
         within = in_runs(F.col("term"), sorted((r["lo"], r["hi"]) for r in spans))
         rows = terms.where(within).join(matched, ["field", "term"], "left_semi")
