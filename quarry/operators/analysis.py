@@ -9,7 +9,7 @@ table is clustered by term.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import Analyzer, tokens
@@ -22,8 +22,10 @@ from quarry.sources.corpus import COMMIT_COL
 # column of the corpus and the term table, ascending with the id.
 BLOCK_COL = "_block"
 BLOCK_DOCS = 128
-# A term in at least so many documents of a commit has its blocks' tops kept.
-FREQUENT = 4 * BLOCK_DOCS
+# A term in at least so many documents of a commit, and in this share of them
+# (four of a block's), has its blocks' tops kept: a rarer one is in so few
+# documents of a block that its tops would be as many as its rows.
+FREQUENT, FREQUENT_SHARE = 4 * BLOCK_DOCS, 4 / BLOCK_DOCS
 # Blocks of a partition of the corpus: its number is in the row number's bits above the 33rd.
 RUN_BLOCKS = (1 << 33) // BLOCK_DOCS
 
@@ -192,11 +194,19 @@ def commit_vocabulary(terms: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
 
 
-def block_tops(terms: DataFrame, vocab: DataFrame, avgdl: dict[str, float]) -> DataFrame:
+def frequent_words(vocab: DataFrame, n_docs: Column) -> Column:
+    """Whether a vocabulary row's term is in so many documents of a commit that
+    its blocks' tops are kept. A document of d distinct words has room for few
+    of them (d / FREQUENT_SHARE in a field), so that there is at most d / 4 of a top a
+    document, however large the commit."""
+    return (vocab["df"] >= FREQUENT) & (vocab["df"] >= F.lit(FREQUENT_SHARE) * n_docs)
+
+
+def block_tops(terms: DataFrame, vocab: DataFrame, avgdl: dict[str, float], n_docs: int) -> DataFrame:
     """(field, term, _block, top): the largest share of idf * (k1 + 1) that a
     frequent term contributes to a document of each block, by the commit's own
     average lengths."""
-    frequent = vocab.where(F.col("df") >= FREQUENT).select("field", "term")
+    frequent = vocab.where(frequent_words(vocab, F.lit(n_docs))).select("field", "term")
     if frequent.count() <= BROADCAST_WORDS:
         frequent = F.broadcast(frequent)
     mean = F.lit(1.0)

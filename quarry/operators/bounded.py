@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.analysis import BLOCK_COL, FREQUENT
+from quarry.operators.analysis import BLOCK_COL, frequent_words
 from quarry.operators.predicates import _pairs_filter, term_rows, value_ranges
 from quarry.operators.ranking import top_k
 from quarry.operators.scoring import K1, bm25_share, idf
@@ -79,7 +79,8 @@ def bounded_hits(index, query: Query, k: int) -> DataFrame | None:
     kept = index.tops.where(cond).select("field", "term", COMMIT_COL, BLOCK_COL, F.least(
         F.col("top") * F.element_at(grown, F.col("field")), F.lit(1.0)).alias("top"))
     # a word that a commit has too seldom for `tops` gives its rows themselves
-    own_vocab = index._pin(index._vocab).where(cond & (F.col("df") < FREQUENT)).select("field", "term", COMMIT_COL)
+    own_vocab = index._pin(index._vocab).where(cond).join(F.broadcast(index._pin(index._stats)), [COMMIT_COL, "field"])
+    own_vocab = own_vocab.where(~frequent_words(own_vocab, F.col("n_docs"))).select("field", "term", COMMIT_COL)
     if not own_vocab.isEmpty():
         seldom = index.terms.where(cond).join(F.broadcast(own_vocab), ["field", "term", COMMIT_COL], "left_semi")
         share = bm25_share(F.col("tf"), F.col("dl"), avgdl)

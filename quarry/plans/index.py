@@ -232,8 +232,9 @@ class Index:
             common = cls._common(written("vocab"), written("stats"))
             (analysis.pair_table(batch.drop(COMMIT_COL), common, fields, id_col, n, schema.analyzers())
                      .write.option("compression", CODEC).option("parquet.page.row.count.limit", TERM_PAGE_ROWS).partitionBy("field").parquet(folder("pairs")))
-        means = {r["field"]: r["total_len"] / max(r["n_docs"], 1) for r in written("stats").collect()}
-        (analysis.block_tops(terms, written("vocab"), means)
+        own = written("stats").collect()
+        means = {r["field"]: r["total_len"] / max(r["n_docs"], 1) for r in own}
+        (analysis.block_tops(terms, written("vocab"), means, max([r["n_docs"] for r in own], default=0))
                  .repartitionByRange(n, "field", "term", analysis.BLOCK_COL).sortWithinPartitions("field", "term", analysis.BLOCK_COL)
                  .write.option("compression", CODEC).partitionBy("field").parquet(folder("tops")))
         put_text(spark, marker)

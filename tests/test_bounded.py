@@ -76,3 +76,18 @@ def test_bounds_hold_for_every_block(index):
     assert joined.count() == rows.count()
     assert joined.where(share > F.col("top") * index.mean_growth("text") + 1e-12).count() == 0
     assert index.tops.select("term").distinct().count() < 60 and "_block" not in index.corpus.columns
+
+
+def test_tops_follow_the_documents(spark, tmp_path, monkeypatch):
+    """A word in few of a block's documents keeps no tops, which would be as many as its rows; the hits are the same."""
+    monkeypatch.setattr("quarry.operators.analysis.FREQUENT", 2)
+    df = spark.createDataFrame([(i, "all " + "half " * (i % 2) + "few " * (i % 50 == 3) * (1 + i % 3)) for i in range(2_000)], "doc_id long, text string")
+    index = Index.build(df, Schema().add_text_field("text"), path=str(tmp_path / "ix"))
+    kept = {r["term"]: r["n"] for r in index.tops.groupBy("term").agg(F.count("*").alias("n")).collect()}
+    assert set(kept) == {"all", "half"} and sum(kept.values()) <= 2 * 2_000 / 4
+    for words in ("few", "all few", "half few all"):
+        query = any_words(["text"], words)
+        monkeypatch.setattr(bounded, "BOUNDED_FROM", 10 ** 12)
+        want = [(r["doc_id"], round(r["score"], 9)) for r in Searcher(index).search(query, 10, stored=False).collect()]
+        monkeypatch.setattr(bounded, "BOUNDED_FROM", 0)
+        assert [(r["doc_id"], round(r["score"], 9)) for r in Searcher(index).search(query, 10, stored=False).collect()] == want

@@ -1,7 +1,9 @@
 """What is dealt by the chunk: the rows of the plain grouping, few of them through the exchange."""
 
 import random
+from bisect import bisect_right
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -70,3 +72,42 @@ def test_a_terms_keys_are_the_same_in_both_forms(spark):
     terms = ["a", "é", "\U0001f600b"] + ["".join(rng.choice("abé\U0001f600") for _ in range(n)) for n in range(1, 40) for _ in range(4)]
     for r in spark.createDataFrame([(t,) for t in terms], "term string").select("term", neighbourhood_keys("term").alias("keys")).collect():
         assert set(r["keys"]) == neighbourhood(r["term"])
+
+
+def test_the_keys_of_many_terms_at_once():
+    rng = random.Random(4)
+    terms = ["", "a", "é", "\U0001f600b"] + ["".join(rng.choice("abé\U0001f600") for _ in range(n)) for n in range(1, 17) for _ in range(20)] + ["x" * 17]
+    found = {}
+    for i, key in zip(*[x.tolist() for x in chunks.neighbourhoods(terms)]):
+        found.setdefault(i, []).append(key)
+    assert {i: sorted(k) for i, k in found.items()} == {i: sorted(neighbourhood(t)) for i, t in enumerate(terms[:-1])}
+
+
+def test_one_message_a_part():
+    """What a task sends to a partition is one compressed row, and comes out as it went in."""
+    rows = [(rng_part, f"word{i}", [i, i + 1]) for i, rng_part in enumerate([2, 0, 2, 5, 0] * 400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.list_(pa.int32())))], ["part", "term", "doc_id"])
+    sent = chunks._messages(batch)
+    assert sent.column("part").to_pylist() == [0, 2, 5] and sent.nbytes < batch.nbytes / 2
+    out = [r for b in chunks._unpacked([sent]) for r in b.to_pylist()]
+    assert out == [{"term": t, "doc_id": d} for p in (0, 2, 5) for q, t, d in rows if q == p]
+
+
+def test_orders_are_stable():
+    rng = np.random.default_rng(5)
+    for most in (1, 10, 1 << 40, 1 << 62):
+        key = rng.integers(0, most, 5_000) // max(1, most // 50)
+        key[:2] = most - 1
+        assert (chunks._order(key) == np.argsort(key, kind="stable")).all()
+    assert not len(chunks._order(np.zeros(0, np.int64)))
+
+
+def test_terms_of_any_letters_are_dealt_to_their_part():
+    """Keys with NULs, long terms and cuts longer than a key, as a plain search of the cuts places them."""
+    words = ["a\0", "ab\0c", "abcdefgh", "hijklmnopq", "x" * 40, "zz", "é" * 5]
+    cuts = [("lang", "q"), ("text", "ab"), ("text", "abcdefghijklmnop"), ("text", "z")]
+    rows = [r for b in chunks._near(cuts)([pa.RecordBatch.from_arrays([pa.array(["text"] * 7 + ["zfield"]), pa.array([*words, "w"])], ["field", "term"])])
+            for part, m in zip(b.column("part").to_pylist(), [chunks._unpacked([b.slice(i, 1)]) for i in range(b.num_rows)])
+            for batch in m for r in [{**x, "part": part} for x in batch.to_pylist()]]
+    got = sorted((r["part"], r["field"], r["term"], k) for r in rows for k in r["keys"])
+    assert got == sorted((bisect_right(cuts, (f, k)), f, t, k) for f, t in [*[("text", w) for w in words], ("zfield", "w")] for k in neighbourhood(t))
