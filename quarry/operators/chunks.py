@@ -131,10 +131,12 @@ def _chunks(names: list[str], run_blocks: int, gaps: bool, common: dict[str, lis
         row = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
         pos = (np.arange(len(row)) - np.repeat(np.cumsum(lens) - lens, lens)).astype(np.int32)
         encoded = batch.column("toks").flatten().dictionary_encode()
-        in_order = pc.sort_indices(encoded.dictionary).to_numpy()
-        words, rank = encoded.dictionary.take(pa.array(in_order)), np.empty(len(in_order), np.int32)
-        rank[in_order] = np.arange(len(in_order))
-        code = rank[encoded.indices.to_numpy()]
+        words, code = encoded.dictionary, encoded.indices.to_numpy()
+        if cuts:        # words in order, so that chunks are
+            in_order = pc.sort_indices(words).to_numpy()
+            words, rank = words.take(pa.array(in_order)), np.empty(len(in_order), np.int32)
+            rank[in_order] = np.arange(len(in_order))
+            code = rank[code]
         field = batch.column("field").dictionary_encode()
         fields, in_field = field.dictionary, field.indices.to_numpy()
         block = batch.column("block").to_numpy()
