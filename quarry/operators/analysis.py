@@ -9,6 +9,8 @@ table is clustered by term.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,9 @@ PAIR_SHARE, PAIR_DOCS = 0.1, 100
 # Common words up to this number are broadcast; more (documents of very many
 # distinct words) are joined as any table.
 BROADCAST_WORDS = 100_000
+# Frequent words up to this number are a filter of the scan, which costs far less
+# a row than a join with them does; more are joined.
+FILTER_WORDS = 10_000
 VALUE_TYPES = {"dec": "decimal(20,0)", "long": "long", "dbl": "double"}
 
 
@@ -207,14 +212,19 @@ def block_tops(terms: DataFrame, vocab: DataFrame, avgdl: dict[str, float], n_do
     frequent term contributes to a document of each block, by the commit's own
     average lengths."""
     frequent = vocab.where(frequent_words(vocab, F.lit(n_docs))).select("field", "term")
-    if frequent.count() <= BROADCAST_WORDS:
-        frequent = F.broadcast(frequent)
+    some = frequent.limit(FILTER_WORDS + 1).collect()
+    if len(some) <= FILTER_WORDS:
+        words: dict[str, list[str]] = {}
+        for r in some:
+            words.setdefault(r["field"], []).append(r["term"])
+        own = terms.where(reduce(lambda x, y: x | y, [(F.col("field") == f) & F.col("term").isin(w) for f, w in sorted(words.items())], F.lit(False)))
+    else:
+        own = terms.join(F.broadcast(frequent) if frequent.count() <= BROADCAST_WORDS else frequent, ["field", "term"], "left_semi")
     mean = F.lit(1.0)
     for f, a in sorted(avgdl.items()):
         mean = F.when(F.col("field") == f, F.lit(float(a or 1.0))).otherwise(mean)
     share = bm25_share(F.col("tf"), F.col("dl"), mean)
-    return (terms.join(frequent, ["field", "term"], "left_semi").groupBy("field", "term", BLOCK_COL)
-                 .agg(F.max(share).alias("top")))
+    return own.groupBy("field", "term", BLOCK_COL).agg(F.max(share).alias("top"))
 
 
 def commit_stats(corpus: DataFrame, terms: DataFrame, fields: list[str]) -> DataFrame:

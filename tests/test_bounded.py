@@ -2,11 +2,12 @@
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from quarry import Index, Schema, Searcher, Term, all_of, any_words, match
-from quarry.operators import bounded
+from quarry.operators import analysis, bounded
 from quarry.query import Bool, Fuzzy
 from tests.test_index import _rows_read
 
@@ -91,3 +92,32 @@ def test_tops_follow_the_documents(spark, tmp_path, monkeypatch):
         want = [(r["doc_id"], round(r["score"], 9)) for r in Searcher(index).search(query, 10, stored=False).collect()]
         monkeypatch.setattr(bounded, "BOUNDED_FROM", 0)
         assert [(r["doc_id"], round(r["score"], 9)) for r in Searcher(index).search(query, 10, stored=False).collect()] == want
+
+
+def test_tops_of_few_words_are_a_filter_of_the_scan(index, monkeypatch):
+    """A row of the term table is not looked up in a join for them; more words than are filtered by give the same tops."""
+    terms, vocab = index.as_of(0).terms, index._pin(index._vocab).where("commit_id = 0")
+    mean = {f: a for f, (_, a) in index.as_of(0).stat_values().items()}
+
+    def tops():
+        df = analysis.block_tops(terms, vocab, mean, 9_000)
+        return "Join" in df._jdf.queryExecution().optimizedPlan().toString(), sorted(map(tuple, df.collect()))
+
+    joined, filtered = tops()
+    assert not joined and filtered == sorted(tuple(r) for r in index.as_of(0).tops.select("field", "term", "_block", "top").collect())
+    share = F.col("tf") / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("dl") / mean["text"]))
+    best = {(r["term"], r["_block"]): r["top"] for r in terms.where("field = 'text'").groupBy("term", "_block").agg(F.max(share).alias("top")).collect()}
+    kept = {r["term"] for r in vocab.where("field = 'text' and df >= 512 and df * 32 >= 9000").collect()}
+    assert {(t, b): pytest.approx(best[t, b]) for t, b in best if t in kept} == {(t, b): x for f, t, b, x in filtered if f == "text"}
+    for limit in ("FILTER_WORDS", "BROADCAST_WORDS"):
+        monkeypatch.setattr(analysis, limit, 0)
+        assert tops() == (True, filtered)
+
+
+def test_terms_are_written_as_differences(index):
+    """Ids ascend within a term: as differences they take less room than by a dictionary."""
+    files = [f.removeprefix("file:") for f in index.as_of(0).terms.where("field = 'text'").inputFiles() if "field=text" in f]
+    for f in files:
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        chunks = {c.path_in_schema: c.encodings for c in map(group.column, range(group.num_columns))}
+        assert all("DELTA_BINARY_PACKED" in chunks[c] for c in ("doc_id", "_block")), chunks
