@@ -48,11 +48,24 @@ def words_of(query: Query) -> list[Term] | None:
     return None
 
 
+def _by_commit(blocks: list) -> list[tuple]:
+    return [(c, [b for k, b in blocks if k == c]) for c in sorted({b[0] for b in blocks})]
+
+
+def _of_blocks(blocks: list) -> Column:
+    """Rows of the blocks (commit, block) and of no others."""
+    out = F.lit(False)
+    for c, own in _by_commit(blocks):
+        out = out | ((F.col(COMMIT_COL) == c) & F.col(BLOCK_COL).isin(own))
+    return out
+
+
 def _in_blocks(blocks: list) -> Column:
-    """Rows of the blocks (commit, block), by ranges that parquet skips pages by."""
+    """Rows of the blocks (commit, block), by ranges that parquet skips pages by;
+    where these are few for the blocks, of blocks between them as well."""
     out = F.lit(False)
-    for c in sorted({b[0] for b in blocks}):
-        out = out | ((F.col(COMMIT_COL) == c) & value_ranges(BLOCK_COL, [b for k, b in blocks if k == c]))
+    for c, own in _by_commit(blocks):
+        out = out | ((F.col(COMMIT_COL) == c) & value_ranges(BLOCK_COL, own))
     return out
 
 
@@ -95,14 +108,14 @@ def bounded_hits(index, query: Query, k: int) -> DataFrame | None:
         return rows.groupBy("doc_id").agg(F.sum("score").alias("score"))
 
     first = [(r[0], r[1]) for r in bound.orderBy(F.desc("bound"), COMMIT_COL, BLOCK_COL).limit(max(FIRST_BLOCKS, k // 8)).collect()]
-    best = top_k(scored(_in_blocks(first)), k).collect()
+    best = top_k(scored(_in_blocks(first) & _of_blocks(first)), k).collect()
     least = min(r["score"] for r in best) - MARGIN if len(best) == k else 0.0
     open_ = bound.where(F.col("bound") >= least)
     blocks = [(r[0], r[1]) for r in open_.select(COMMIT_COL, BLOCK_COL).limit(PUSHED_BLOCKS + 1).collect()]
     if len(blocks) > PUSHED_BLOCKS:
         return scored(None)
-    # of the first blocks the k best are known
+    # of the first blocks the k best are known: where ranges of the others span them, they are not read again
     done = set(first)
-    hits = scored(_in_blocks([b for b in blocks if b not in done]))
+    hits = scored(_in_blocks([b for b in blocks if b not in done]) & ~_of_blocks(first))
     return hits.unionByName(spark.createDataFrame([(r["doc_id"], r["score"]) for r in best], hits.schema))
 

@@ -45,6 +45,20 @@ def test_same_hits(index, query, monkeypatch):
             break
 
 
+@pytest.mark.parametrize("ranges", [1, 3])
+def test_ranges_that_span_the_first_blocks(index, monkeypatch, ranges):
+    """With fewer ranges than blocks, no document comes twice, be there few first blocks or many."""
+    monkeypatch.setattr("quarry.operators.predicates.PUSHED_RANGES", ranges)
+    s = Searcher(index)
+    for query, k in ((QUERIES[0], 10), (QUERIES[1], 10), (QUERIES[0], 150)):
+        monkeypatch.setattr(bounded, "BOUNDED_FROM", 10 ** 12)
+        want = [(r["doc_id"], round(r["score"], 9)) for r in s.search(query, k, stored=False).collect()]
+        monkeypatch.setattr(bounded, "BOUNDED_FROM", 0)
+        assert [(r["doc_id"], round(r["score"], 9)) for r in s.search(query, k, stored=False).collect()] == want
+    snippets = [r["snippets"]["text"] for r in s.search_with_snippets(QUERIES[0], ["text"], 150, 10).collect()]
+    assert len(snippets) == 10 and all("<b>" in x for x in snippets)
+
+
 def test_fewer_rows_are_read(index, monkeypatch):
     monkeypatch.setattr(bounded, "BOUNDED_FROM", 0)
     query = QUERIES[0]
