@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 from quarry.functions.distance import deletion_keys, edit_distance
 from quarry.functions.text import DEFAULT, Analyzer, tokens
+from quarry.operators.batch_blocks import PRUNE_MARGIN, block_hits
 from quarry.operators.ranking import DEFAULT_LIMIT, top_k_per_query
 from quarry.operators.scoring import K1, bm25, idf
 from quarry.schema import SearchError
 from quarry.session import scratch_path
 
-# Pruning keeps documents whose score bound comes within this margin of the
-# k-th score, far wider than the 1e-9 ranking precision.
-PRUNE_MARGIN = 1e-6
 # The seed takes a query's rarest words until their document frequencies sum
 # to SEED_FACTOR * k, so that (despite words sharing documents) the seed
 # usually yields k documents and a useful threshold.
@@ -37,7 +35,7 @@ def _shared(df: DataFrame, name: str) -> DataFrame:
 def batch_hits(index, qt: DataFrame, field: str, k: int = DEFAULT_LIMIT) -> DataFrame:
     """(query_id, doc_id, score) of the bag-of-words OR query of each query's
     words (query_id, term, qtf): the documents that can reach a query's top k
-    (exact MaxScore pruning).
+    (exact MaxScore pruning), about k of each query and block of documents.
 
     Joining query words to the term table on `term` would emit every
     (query, document) pair that shares a frequent word such as `the`. So:
@@ -51,17 +49,17 @@ def batch_hits(index, qt: DataFrame, field: str, k: int = DEFAULT_LIMIT) -> Data
        (less a margin wider than the ranking precision) is non-essential: a
        document holding only those words scores below theta and cannot
        enter the top k. Seed words are always essential. Only essential
-       words fetch candidates;
-    4. all candidates are scored exactly with an equi-join on
-       (doc_id, term) — keys that are unique in the term table, so no
-       frequent word forms a hot group.
+       words give candidates;
+    4. the rows of the query words are dealt once, by blocks of documents,
+       and each block scores its candidates exactly (`batch_blocks`): what is
+       dealt grows with the postings, not with the pairs of query and document.
 
     Every window is per query (bounded by its word count); the query-side
     tables grow with the query table and are never broadcast by hint.
     """
     index.schema.require_text(field)
-    n_docs, avgdl = index.stat_values().get(field, (0, 0.0))
-    n_docs, avgdl = F.lit(n_docs).cast("long"), F.lit(float(avgdl))
+    n_docs, mean = index.stat_values().get(field, (0, 0.0))
+    n_docs, avgdl = F.lit(n_docs).cast("long"), F.lit(float(mean))
 
     # the query words are looked up once; only their vocabulary rows are
     # summed over commits
@@ -89,19 +87,14 @@ def batch_hits(index, qt: DataFrame, field: str, k: int = DEFAULT_LIMIT) -> Data
            .agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(0.0)).alias("theta")))
     low = Window.partitionBy("query_id").orderBy("ub", "term") \
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    theta = F.coalesce(F.col("theta"), F.lit(0.0))
     split = _shared(qv.withColumn("ub", F.col("qtf") * F.col("idf") * (K1 + 1.0))
                      .join(kth, "query_id", "left")
-                     .select(*cols, (F.col("seed") | (
-                         F.sum("ub").over(low) >= F.coalesce(F.col("theta"), F.lit(0.0)) - PRUNE_MARGIN))
-                         .alias("essential")), "split")
-    # essential words (the seed and the high-idf words): scored straight
-    # from the term join, their document lists are the short ones
-    part = _shared(scored(split.where("essential").select(*cols).join(tt, "term")), "part")
-    # the remaining (frequent) words only for those candidates, by (doc_id, term)
-    wanted = part.select("query_id", "doc_id").join(split.where("not essential").select(*cols), "query_id")
-    rest = scored(wanted.join(tt, ["doc_id", "term"]))
-    return (part.unionByName(rest).groupBy("query_id", "doc_id")
-                .agg(F.sum("score").alias("score")))
+                     .select("query_id", "term", "ub", theta.alias("theta"),
+                             (F.col("seed") | (F.sum("ub").over(low) >= theta - PRUNE_MARGIN)).alias("essential")), "split")
+    size = (words.groupBy("term").agg(F.any_value("df").alias("df"), F.count(F.lit(1)).alias("n"))
+                 .agg(F.coalesce(F.sum("df"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first())
+    return block_hits(tt, split, *size, float(mean), k)
 
 
 def batch_search(index, queries: DataFrame, field: str, k: int = DEFAULT_LIMIT,
